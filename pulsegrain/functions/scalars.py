@@ -29,8 +29,11 @@ def _decode_one(value: Column) -> Column:
 
 def decode_json(value: Column) -> Column:
     """JSON held as text becomes the document it spells; in a list each item does. Bad text stays text."""
-    return F.when(V.is_list(value), V.variant(F.transform(V.elements(value), _decode_one))).otherwise(
-        _decode_one(value)
+    return V.let(
+        value,
+        lambda found: F.when(V.is_list(found), V.variant(F.transform(V.elements(found), _decode_one))).otherwise(
+            _decode_one(found)
+        ),
     )
 
 
@@ -216,11 +219,11 @@ def one(value: Column) -> Column:
 
 def gather(*values: Column) -> Column:
     """Several sources to one target: the values present in order as a list, a lone one as it is."""
-    present = F.array_compact(F.array(*values))
-    return (
-        F.when(F.size(present) == 0, F.lit(None).cast("variant"))
-        .when(F.size(present) == 1, F.try_element_at(present, F.lit(1)))
-        .otherwise(V.variant(present))
+    return V.let(
+        F.array_compact(F.array(*values)),
+        lambda present: F.when(F.size(present) == 1, F.get(present, F.lit(0))).when(
+            F.size(present) > 1, V.variant(present)
+        ),
     )
 
 

@@ -6,7 +6,8 @@ Only definite paths and ``[*]`` are accepted: ``$.a.b``, ``$['a:b'].c``, ``$.lis
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column
@@ -102,6 +103,45 @@ def scalar_kind(doc: Column, path: str = "$") -> Column:
     return F.when(~is_object(doc, path) & ~is_list(doc, path), F.schema_of_variant(get(doc, path)))
 
 
+def let(value: Column, build: Callable[[Column], Column]) -> Column:
+    """``build`` over a value that is computed once, however often ``build`` uses it."""
+    return F.get(F.transform(F.array(value), build), F.lit(0))
+
+
+@dataclass(frozen=True)
+class Place:
+    """A place inside a document. Going down costs nothing: only the value finally read is copied out."""
+
+    base: Column
+    parts: tuple[str | int, ...] = ()
+
+    def at(self, *parts: str | int) -> Place:
+        return Place(self.base, self.parts + parts)
+
+    def read(self, as_type: str) -> Column:
+        return F.try_variant_get(self.base, render(self.parts), as_type)
+
+    @property
+    def value(self) -> Column:
+        return self.read("variant")
+
+    @property
+    def text(self) -> Column:
+        return self.read("string")
+
+    @property
+    def items(self) -> Column:
+        return F.coalesce(self.read("array<variant>"), F.array().cast("array<variant>"))
+
+    @property
+    def is_object(self) -> Column:
+        return self.read("struct<>").isNotNull()
+
+    def copy(self, names: Mapping[str, str]) -> dict[str, Column]:
+        """Columns for source name → target name."""
+        return {target: self.at(source).value for source, target in names.items()}
+
+
 def has_value(value: Column) -> Column:
     """Neither absent nor JSON null; never NULL itself."""
     return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
@@ -189,14 +229,15 @@ def put_default(doc: Column, values: Mapping[str, Column], over_null: bool = Fal
 
 def merge_objects(items: Column) -> Column:
     """List of objects to one object; a repeated name collects its values in a list."""
-    entries = F.flatten(F.transform(items, lambda item: F.map_entries(fields(item))))
-    names = F.array_distinct(F.transform(entries, lambda entry: entry["key"]))
+    def merged(entries: Column) -> Column:
+        def value_of(name: Column) -> Column:
+            found = F.transform(F.filter(entries, lambda entry: entry["key"] == name), lambda entry: entry["value"])
+            return let(found, lambda values: F.when(F.size(values) == 1, values[0]).otherwise(variant(values)))
 
-    def value_of(name: Column) -> Column:
-        found = F.transform(F.filter(entries, lambda entry: entry["key"] == name), lambda entry: entry["value"])
-        return F.when(F.size(found) == 1, found[0]).otherwise(variant(found))
+        names = F.array_distinct(F.transform(entries, lambda entry: entry["key"]))
+        return F.to_variant_object(F.map_from_arrays(names, F.transform(names, value_of)))
 
-    return F.to_variant_object(F.map_from_arrays(names, F.transform(names, value_of)))
+    return let(F.flatten(F.transform(items, lambda item: F.map_entries(fields(item)))), merged)
 
 
 def first_present(*values: Column) -> Column:
