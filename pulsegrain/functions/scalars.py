@@ -276,9 +276,8 @@ def instant_micros(content: Column) -> Column:
 def iso_to_epoch(value: Column) -> Column:
     """ISO-8601 instant to text ``seconds.micros`` with six digits."""
     micros = F.when(V.scalar_kind(value) == "STRING", instant_micros(V.text(value)))
-    return F.format_string(
-        "%d.%06d", F.floor(micros / F.lit(1_000_000).cast("decimal(10,0)")), F.pmod(micros, F.lit(1_000_000))
-    )
+    seconds = F.floor(micros / F.lit(1_000_000).cast("decimal(10,0)")).cast("bigint")
+    return F.when(micros.isNotNull(), F.format_string("%d.%06d", seconds, F.pmod(micros, F.lit(1_000_000))))
 
 
 def setting(spark: SparkSession, name: str) -> Column:

@@ -76,7 +76,7 @@ def numbered(items: Column, build: Callable[[Column, Column], Column]) -> Column
 
 def tokens(value: Column, separator: str = " ") -> Column:
     """ARRAY<STRING> of the non-empty parts of a text."""
-    return F.filter(S.split(value, separator), lambda part: part != "")
+    return F.filter(S.split(separator, value), lambda part: part != "")
 
 
 def filter_values(place: V.Place, list_name: str, name: str) -> Column:

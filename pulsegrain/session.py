@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Keyed counter state needs column families, which only this provider has.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Nothing is ever emitted by time alone. Without this, state with an age limit makes an ``availableNow`` query
+    # run empty micro-batches for ever.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 
