@@ -187,14 +187,30 @@ def _scratch(spark) -> str:
     return tempfile.mkdtemp(prefix="run-", dir=root)
 
 
+def _late() -> Column:
+    """Own time of an event: now and then far behind or far ahead of its arrival."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    shift = F.when(k % 10 == 0, -k * (6 * HOUR // 10)).when(k == 99, 5 * DAY).otherwise(0)
+    return F.unix_millis(F.col("ts").cast("timestamp")) + shift
+
+
+def counter_late_fold(spark, sf_dir):
+    """Order of arrival: late readings have no difference, very late ones make the state be forgotten."""
+    messages = event_messages(
+        spark, sf_dir, own=_late(), a=_rising(39_916, 2**32),
+        b=F.when(F.col("event_type") != "view", _rising(71, 2**32)))
+    app = _app(_set("a", "b", kind="u32", time=TimeRule("$.own", "EpochMilli")), _config(u32_limit=2**31 - 1))
+    return _values(run(messages, app, order="arrival"), "a", "b")
+
+
 def interface_layouts(spark, sf_dir):
-    """Interface messages of three device layouts, made from line items, to rows with differences."""
-    lines = widen(table(spark, sf_dir, "lineitem"), "l_orderkey")
-    number = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    millis = F.unix_millis(F.col("l_shipdate").cast("timestamp")) + F.pmod(F.col("l_orderkey"), F.lit(60_000)) * 1000
-    octets = (F.col("l_extendedprice") * 100).cast("bigint").cast("string")
-    name, flag = F.concat(F.lit("Gi"), "l_suppkey"), F.col("l_returnflag")
-    state = F.struct(F.struct(octets.alias("in-octets"), F.col("l_linenumber").alias("out-errors")).alias("counters"))
+    """Interface messages of three device layouts, made from orders, to rows with differences."""
+    orders = widen(table(spark, sf_dir, "orders"), "o_orderkey")
+    number = F.col("o_orderkey")
+    millis = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.pmod(number, F.lit(60_000)) * 1000
+    octets = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    name, status = F.concat(F.lit("Gi"), "o_custkey"), F.col("o_orderstatus")
+    state = F.struct(F.struct(octets.alias("in-octets"), number.alias("out-errors")).alias("counters"))
     object_data = F.struct(
         F.lit(interfaces.ENCODING_PATH).alias("encoding_path"), millis.cast("string").alias("msg_timestamp"),
         F.array(F.struct(F.struct(F.struct(name.alias("name"), state.alias("state")).alias("interface")).alias("content"))).alias("data_json"),
@@ -211,29 +227,27 @@ def interface_layouts(spark, sf_dir):
             F.struct(octets.alias("inOctets")).alias("counters")).alias("state"))).alias("interface")))).alias("decoded"),
     )
     document = F.to_json(F.struct(
-        F.col("l_orderkey").alias("seq"), F.lit("10.0.0.1").alias("telemetry_node"),
+        number.alias("seq"), F.lit("10.0.0.1").alias("telemetry_node"),
         F.struct(F.lit("node").alias("nkey"), F.lit("plat").alias("pkey")).alias("label"),
-        F.when(F.col("l_linestatus") == "F", "json").otherwise("gpb").alias("serialization"),
-        F.when(flag == "A", F.to_json(object_data)).when(flag == "N", F.to_json(slash_data))
+        F.when(F.col("o_orderpriority") == "5-LOW", "gpb").otherwise("json").alias("serialization"),
+        F.when(status == "O", F.to_json(object_data)).when(status == "F", F.to_json(slash_data))
         .otherwise(F.to_json(decoded_data)).alias("telemetry_data"),
     ))
-    # the same row number may come twice; the row itself then decides nothing, as both have the same text
-    messages = as_messages(lines, name, document, F.col("l_shipdate"), number)
-    app = App([interfaces.pipeline(topic="ifs")], pre_transform=interfaces.door, normalize=_config(
-        cache_age_ms=2 * HOUR, wrap_time_ms=HOUR, cutoff_ms=HOUR))
-    out = run(messages, app)
-    return out.groupBy(
-        "topic", F.get_json_object("value", "$.name").alias("name"),
-        F.get_json_object("value", "$.oper_status").alias("oper_status"),
-        F.get_json_object("value", "$.node_id_str").alias("node_id_str"),
-    ).agg(
-        F.count("*").alias("n"),
-        F.count(F.when(F.get_json_object("value", "$.msg_timestamp").isNotNull(), 1)).alias("timed"),
-        F.min(F.get_json_object("value", "$.msg_timestamp").cast("bigint")).alias("first_ms"),
-        F.max(F.get_json_object("value", "$.msg_timestamp").cast("bigint")).alias("last_ms"),
+    messages = as_messages(orders, name, document, F.col("o_orderdate"), number)
+    app = App([interfaces.pipeline(topic="ifs")], pre_transform=interfaces.door, normalize=_LAYOUTS)
+    return run(messages, app).select(
+        "topic", F.col("offset").alias("o_orderkey"),
+        *[F.get_json_object("value", f"$.{field}").alias(field) for field in ("name", "oper_status", "node_id_str")],
+        *[
+            F.get_json_object("value", f"$.{field}").cast("bigint").alias(field)
+            for field in ("msg_timestamp", "in_octets", "out_errors")
+        ],
     )
 
 
+_LAYOUTS = _config(cache_age_ms=400 * DAY, wrap_time_ms=400 * DAY, state_ttl_ms=900 * DAY, u64_limit=2**62)
+
+
 def _end_to_end_app() -> App:
     def rows(doc: Column) -> Column:
         return F.transform(V.elements(doc, "$.parts"), lambda part: V.row_of({
@@ -287,7 +301,7 @@ QUERIES = {
     f.__name__: f for f in (
         counter_delta_u32, counter_wrap_u32, counter_wrap_u64, counter_reset, counter_stale, counter_time_local,
         counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, dlq_counters,
-        counter_stream, interface_layouts, dataflow_end_to_end,
+        counter_late_fold, counter_stream, interface_layouts, dataflow_end_to_end,
     )
 }
 
@@ -403,6 +417,56 @@ def _end_to_end_sql() -> str:
                   WHERE event_type = 'purchase'"""
 
 
+def _late_sql() -> str:
+    config = _config(u32_limit=2**31 - 1)
+
+    def fold(name: str, value: str) -> str:
+        wrapped = f"((4294967295 - f.sv + s.v) % 4294967296 + 4294967296) % 4294967296 < {config.u32_limit}"
+        fresh = f"f.st IS NULL OR s.t - f.st > {config.cache_age_ms}"
+        gone = f"f.st - s.t > {config.cutoff_ms}"
+        return f"""
+        {name}_src AS (
+            SELECT event_id, user_id AS grp, {value} AS v, epoch_us(ts) // 1000 + CASE
+                   WHEN k % 10 = 0 THEN -k * {6 * HOUR} // 10 WHEN k = 99 THEN {5 * DAY} ELSE 0 END AS t,
+                   row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn
+            FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) WHERE {value} IS NOT NULL),
+        {name}_fold AS (
+            SELECT grp, rn, event_id, v AS sv, t AS st, CAST(NULL AS BIGINT) AS d FROM {name}_src WHERE rn = 1
+            UNION ALL
+            SELECT s.grp, s.rn, s.event_id,
+                   CASE WHEN {fresh} OR s.t >= f.st THEN s.v WHEN {gone} THEN NULL ELSE f.sv END,
+                   CASE WHEN {fresh} OR s.t >= f.st THEN s.t WHEN {gone} THEN NULL ELSE f.st END,
+                   CASE WHEN {fresh} OR s.t < f.st THEN NULL WHEN s.v >= f.sv THEN CAST(s.v - f.sv AS BIGINT)
+                        WHEN s.t - f.st <= {config.wrap_time_ms} AND {wrapped}
+                        THEN CAST(4294967295 - f.sv + s.v AS BIGINT) END
+            FROM {name}_fold f JOIN {name}_src s ON s.grp = f.grp AND s.rn = f.rn + 1)"""
+
+    b = f"CASE WHEN event_type <> 'view' THEN {_rising_sql(71, 2**32)} END"
+    return f"""
+        WITH RECURSIVE {fold('a', _rising_sql(39_916, 2**32))}, {fold('b', b)}
+        SELECT e.event_id, a_fold.d AS a, b_fold.d AS b FROM events e
+        LEFT JOIN a_fold ON a_fold.event_id = e.event_id LEFT JOIN b_fold ON b_fold.event_id = e.event_id"""
+
+
+def _layouts_sql() -> str:
+    base = """
+        SELECT o_orderkey AS event_id, o_custkey || CASE WHEN o_orderstatus = 'F' THEN '.0' ELSE '' END AS grp, 0 AS n,
+               epoch_us(o_orderdate) // 1000 + o_orderkey % 60000 * 1000 AS t, {v} AS v
+        FROM orders WHERE o_orderpriority <> '5-LOW'"""
+    octets = _delta_sql(base.format(v="CAST(round(o_totalprice * 100) AS HUGEINT)"), "u64", _LAYOUTS)
+    errors = _delta_sql(base.format(v="o_orderkey::HUGEINT") + " AND o_orderstatus = 'O'", "u64", _LAYOUTS)
+    return f"""
+        SELECT 'ifs' AS topic, o_orderkey,
+               'Gi' || o_custkey || CASE WHEN o_orderstatus = 'F' THEN '.0' ELSE '' END AS name,
+               CASE WHEN o_orderstatus = 'F' THEN 'UP' END AS oper_status,
+               CASE WHEN o_orderstatus = 'F' THEN 'sys' END AS node_id_str,
+               epoch_us(o_orderdate) // 1000 + o_orderkey % 60000 * 1000 AS msg_timestamp,
+               octets.d AS in_octets, errors.d AS out_errors
+        FROM orders LEFT JOIN ({octets}) octets ON octets.event_id = o_orderkey
+        LEFT JOIN ({errors}) errors ON errors.event_id = o_orderkey
+        WHERE o_orderpriority <> '5-LOW'"""
+
+
 SQL = {
     "counter_delta_u32": _U32,
     "counter_wrap_u32": _columns_sql(_config(u32_limit=2_000_000_000), "u32", a=_rising_sql(2_039_916, 2**32)),
@@ -420,14 +484,7 @@ SQL = {
         a="(CASE WHEN event_type IN ('click', 'view') THEN 15000000000000000000::HUGEINT ELSE 0 END + event_id)"),
     "dlq_counters": _dlq_sql(),
     "counter_stream": _U32,
-    "interface_layouts": """
-        SELECT 'ifs' AS topic,
-               'Gi' || l_suppkey || CASE WHEN l_returnflag = 'N' THEN '.0' ELSE '' END AS name,
-               CASE WHEN l_returnflag = 'N' THEN 'UP' END AS oper_status,
-               CASE WHEN l_returnflag = 'N' THEN 'sys' END AS node_id_str,
-               count(*) AS n, count(*) AS timed,
-               min(epoch_us(l_shipdate) // 1000 + l_orderkey % 60000 * 1000) AS first_ms,
-               max(epoch_us(l_shipdate) // 1000 + l_orderkey % 60000 * 1000) AS last_ms
-        FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2, 3, 4""",
+    "counter_late_fold": _late_sql(),
+    "interface_layouts": _layouts_sql(),
     "dataflow_end_to_end": _end_to_end_sql(),
 }

@@ -14,42 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pulsegrain.operators import counters as C
+from pulsegrain.operators.fold import step
 from pulsegrain.specs import App, NormalizeConfig
 
 READINGS = "readings"
 
 
-def step(
-    state: tuple[int, int] | None, value: int, ts: int, kind: str, config: NormalizeConfig
-) -> tuple[tuple[int, int] | None, int | None]:
-    """One reading in order of arrival: the state it leaves and its difference.
-
-    Same rules as ``operators.counters.delta`` plus those for late readings: a reading older than the state has no
-    difference and leaves the state alone, unless it is older by more than the cutoff; then the state is wrong (a
-    time from the future) and is forgotten.
-    """
-    if state is None or ts - state[1] > config.cache_age_ms:
-        return (value, ts), None
-    old, seen = state
-    if ts < seen:
-        return (None if seen - ts > config.cutoff_ms else state), None
-    if value >= old:
-        return (value, ts), _signed64(value - old)
-    if ts - seen > config.wrap_time_ms:
-        return (value, ts), None
-    if kind == "u32":
-        over, bits, limit = C.MAX_U32 - old + value, 32, config.u32_limit
-    else:
-        end = C.MAX_U64 if old > C.MAX_S64 else C.MAX_S64
-        over, bits, limit = end - old + value, 64, config.u64_limit
-    return (value, ts), (_signed64(over) if over % 2**bits < limit else None)
-
-
-def _signed64(value: int) -> int:
-    low = value % 2**64
-    return low - 2**64 if low > C.MAX_S64 else low
-
-
 class CounterProcessor(StatefulProcessor):
     """Differences for all rows of one entity, oldest arrival first."""
 
