@@ -1,0 +1,125 @@
+"""Counter normalisation in order of the rows' own time for data where single pieces are dense.
+
+``counters.normalize_batch`` groups rows by entity and piece of time. Where one such group is too large for a task (a
+broken clock, or a key part that is missing in a third of all rows) this form cuts the order (entity, time, position)
+itself into even ranges, wherever the cuts fall. Inside a range every reading has its predecessor at hand, except the
+first ones of the entity that a cut runs through. Those few rows, and the last readings before each cut, are settled in
+a second, small step.
+
+Documents stay out of Python and are joined back by position.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pulsegrain.operators import counters as C
+from pulsegrain.operators.arrival import _DELTAS, POSITION, _frames
+from pulsegrain.operators.fold import step
+from pulsegrain.specs import App, NormalizeConfig
+
+ORDER = ["tag", "entity", "ts_ms", *POSITION]
+
+# ``part`` spreads finished rows by position and brings the open ones of an entity together.
+_SETTLED = (
+    "part bigint, turn int, tag string, entity string, ts_ms bigint, partition int, offset bigint, pos int, "
+    "deltas array<bigint>, open array<string>, seen array<string>, seen_at array<bigint>"
+)
+_DONE, _OPEN, _CARRY = 0, 1, 2
+
+
+def _within(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: NormalizeConfig):
+    """Settle what can be settled inside a range; hand on the rest and the readings at its end.
+
+    Only the first entity of a range can have begun before it, and only its last one can go on after it. So a range
+    leaves at most one open row per counter, holding values without an earlier reading in the range, and one carry row.
+    """
+    def carry(key: tuple, last, states: dict[int, tuple[int, int]]) -> tuple:
+        slots = range(len(heads[key[0]]))
+        held = [states.get(slot) for slot in slots]
+        return (None, _CARRY, *key, int(last.ts_ms), last.partition, int(last.offset), int(last.pos), None, None,
+                [h and str(h[0]) for h in held], [h and h[1] for h in held])
+
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        key, first_key, last, states = None, None, None, {}
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                now = (row.tag, row.entity)
+                if now != key:
+                    first_key = first_key or now
+                    key, states = now, {}
+                last = row
+                open_texts: list[str | None] = [None] * len(heads[row.tag])
+                deltas: list[int | None] = [None] * len(heads[row.tag])
+                for place, head in enumerate(heads[row.tag]):
+                    if row.texts[place] is None:
+                        continue
+                    if head not in states and key == first_key:
+                        open_texts[place] = row.texts[place]
+                    states[head], deltas[place] = step(
+                        states.get(head), int(row.texts[place]), int(row.ts_ms), kinds[row.tag][place], config)
+                waits = any(text is not None for text in open_texts)
+                yield (None, _OPEN if waits else _DONE, *key, int(row.ts_ms), row.partition, int(row.offset),
+                       int(row.pos), deltas, open_texts if waits else None, None, None)
+        if key is not None:
+            yield carry(key, last, states)
+
+    return lambda frames: _frames(rows(frames), _SETTLED)
+
+
+def _across(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: NormalizeConfig):
+    """Settle open rows with the readings carried over the cuts before them."""
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        key, states = None, {}
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                if row.turn == _DONE:
+                    yield (row.partition, int(row.offset), int(row.pos), row.tag, row.deltas)
+                    continue
+                now = (row.tag, row.entity)
+                if now != key:
+                    key, states = now, {}
+                if row.turn == _CARRY:
+                    for slot, value in enumerate(row.seen):
+                        if value is not None:
+                            states[slot] = (int(value), int(row.seen_at[slot]))
+                    continue
+                deltas = [None if pd.isna(delta) else int(delta) for delta in row.deltas]
+                for place, head in enumerate(heads[row.tag]):
+                    if row.open[place] is not None:
+                        _, deltas[place] = step(
+                            states.get(head), int(row.open[place]), int(row.ts_ms), kinds[row.tag][place], config)
+                yield (row.partition, int(row.offset), int(row.pos), row.tag, deltas)
+
+    return lambda frames: _frames(rows(frames), _DELTAS)
+
+
+def normalize_ranges(rows: DataFrame, app: App, ranges: int | None = None) -> DataFrame:
+    """Add ``d<n>`` per layer as ``normalize_batch`` does; ``ranges`` is the number of cuts (default: the session's)."""
+    for number, layer in enumerate(C.layers(app)):
+        heads = {p.tag: C._slot_heads(counters) for p, counters in layer.members}
+        kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
+        values = F.col(f"v{number}")
+        narrow = rows.where(
+            F.col(f"entity{number}").isNotNull() & F.exists(values, lambda value: value.isNotNull())
+        ).select(
+            "tag", F.col(f"entity{number}").alias("entity"), F.col("partition").cast("int").alias("partition"),
+            "offset", "pos", "ts_ms", values.cast("array<string>").alias("texts"),
+        )
+        cut = narrow.repartitionByRange(ranges, *ORDER) if ranges else narrow.repartitionByRange(*ORDER)
+        settled = cut.sortWithinPartitions(*ORDER).mapInPandas(_within(heads, kinds, app.normalize), _SETTLED)
+        # One consumer only: the cuts are drawn from a sample, so the step must not be run twice.
+        spread = F.when(F.col("turn") == _DONE, F.xxhash64(*POSITION)).otherwise(F.xxhash64("tag", "entity"))
+        deltas = (
+            settled.withColumn("part", spread).repartition("part")
+            .sortWithinPartitions("tag", "entity", "ts_ms", *POSITION, "turn")
+            .mapInPandas(_across(heads, kinds, app.normalize), _DELTAS)
+        )
+        rows = rows.join(deltas.withColumnRenamed("deltas", f"d{number}"), [*POSITION, "tag"], "left")
+    return rows
+
+

@@ -62,6 +62,18 @@ def counter_delta_u32(spark, sf_dir):
     return _values(run(messages, _app(_set("a", "b", kind="u32"), _config(u32_limit=2**31 - 1))), "a", "b")
 
 
+def counter_dense(spark, sf_dir):
+    """All rows of one kind share one key and all of another one time: even ranges whatever the keys."""
+    kind = F.col("event_type")
+    messages = event_messages(
+        spark, sf_dir, who=F.when(kind != "click", F.col("user_id")), a=_rising(39_916, 2**32),
+        own=F.when(kind == "view", F.lit(0)).otherwise(F.unix_millis(F.col("ts").cast("timestamp"))),
+        b=F.when(F.col("event_id") % 3 == 0, _rising(71, 2**32)))
+    counters = CounterSet(TimeRule("$.own", "EpochMilli"), tuple(
+        CounterSpec((KeyPart(path="$.who"), KeyPart(constant=name)), "u32", f"$.{name}") for name in ("a", "b")))
+    return _values(run(messages, _app(counters, _config(u32_limit=2**31 - 1)), order="dense"), "a", "b")
+
+
 def counter_wrap_u32(spark, sf_dir):
     messages = event_messages(spark, sf_dir, a=_rising(2_039_916, 2**32))
     return _values(run(messages, _app(_set("a", kind="u32"), _config(u32_limit=2_000_000_000))), "a")
@@ -299,7 +311,7 @@ def dataflow_end_to_end(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f for f in (
-        counter_delta_u32, counter_wrap_u32, counter_wrap_u64, counter_reset, counter_stale, counter_time_local,
+        counter_delta_u32, counter_dense, counter_wrap_u32, counter_wrap_u64, counter_reset, counter_stale, counter_time_local,
         counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, dlq_counters,
         counter_late_fold, counter_stream, interface_layouts, dataflow_end_to_end,
     )
@@ -339,10 +351,15 @@ def _rising_sql(factor: int, modulus: int, offset: int = 0) -> str:
     return f"((event_id::HUGEINT * {factor} + {offset}) % {modulus}::HUGEINT)"
 
 
-def _columns_sql(config: NormalizeConfig, kind: str, **values: str) -> str:
+_DENSE = """
+    SELECT event_id, CASE WHEN event_type <> 'click' THEN user_id ELSE -1 END AS grp, 0 AS n,
+           CASE WHEN event_type = 'view' THEN 0 ELSE epoch_us(ts) // 1000 END AS t, {v} AS v FROM events"""
+
+
+def _columns_sql(config: NormalizeConfig, kind: str, base: str = _BASE, **values: str) -> str:
     """One column per counter, all events kept."""
     joins = "".join(
-        f" LEFT JOIN ({_delta_sql(_BASE.format(v=value), kind, config)}) {name}_d ON {name}_d.event_id = e.event_id"
+        f" LEFT JOIN ({_delta_sql(base.format(v=value), kind, config)}) {name}_d ON {name}_d.event_id = e.event_id"
         for name, value in values.items()
     )
     return f"SELECT e.event_id{''.join(f', {name}_d.d AS {name}' for name in values)} FROM events e{joins}"
@@ -469,6 +486,9 @@ def _layouts_sql() -> str:
 
 SQL = {
     "counter_delta_u32": _U32,
+    "counter_dense": _columns_sql(
+        _config(u32_limit=2**31 - 1), "u32", base=_DENSE, a=_rising_sql(39_916, 2**32),
+        b=f"CASE WHEN event_id % 3 = 0 THEN {_rising_sql(71, 2**32)} END"),
     "counter_wrap_u32": _columns_sql(_config(u32_limit=2_000_000_000), "u32", a=_rising_sql(2_039_916, 2**32)),
     "counter_wrap_u64": _columns_sql(
         _config(u64_limit=2**62), "u64", a=_rising_sql(7_349_874_591_868_649, 2**64),

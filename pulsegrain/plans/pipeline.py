@@ -9,6 +9,7 @@ from pulsegrain.operators import counters as C
 from pulsegrain.operators import documents as D
 from pulsegrain.operators import routing as R
 from pulsegrain.operators.arrival import normalize_arrival
+from pulsegrain.operators.ranges import normalize_ranges
 from pulsegrain.specs import App
 
 
@@ -31,20 +32,39 @@ def emit(rows: DataFrame, app: App) -> DataFrame:
     )
 
 
+ENGINES = {"time": C.normalize_batch, "dense": normalize_ranges, "arrival": normalize_arrival}
+
+
 def run(messages: DataFrame, app: App, order: str = "time") -> DataFrame:
     """Bounded data. For streams see ``pulsegrain.streaming``.
 
-    ``order="time"``: counters follow the rows' own time, one shuffle. ``order="arrival"``: they follow the position of
-    messages, so late readings are treated as a stream treats them; the source is read twice.
+    ``order="time"``: counters follow the rows' own time; one shuffle, groups are an entity's pieces of time.
+    ``order="dense"``: the same results where single pieces are too dense for a task; see ``dense_pieces``.
+    ``order="arrival"``: counters follow the position of messages, so late readings are treated as in a stream.
+    The last two read the source more than once.
+    """
+    if order not in ENGINES:
+        raise ValueError(f"order is one of {', '.join(ENGINES)}, not {order!r}")
+    rows = C.read_counters(flatten(messages, app), app)
+    return emit(C.write_counters(ENGINES[order](rows, app), app), app)
+
+
+def dense_pieces(messages: DataFrame, app: App, limit: int) -> DataFrame:
+    """Groups of ``order="time"`` with more rows than ``limit``: tag, entity, start of the piece, rows.
+
+    Counted with a partial aggregation before the shuffle; run it over a sample of a large source.
     """
     rows = C.read_counters(flatten(messages, app), app)
-    if order == "time":
-        counted = C.normalize_batch(rows, app)
-    elif order == "arrival":
-        counted = normalize_arrival(rows, app)
-    else:
-        raise ValueError(f"order is 'time' or 'arrival', not {order!r}")
-    return emit(C.write_counters(counted, app), app)
+    start = F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(app.normalize.piece_ms))
+    found = None
+    for number in range(len(C.layers(app))):
+        counted = rows.where(F.col(f"entity{number}").isNotNull()).groupBy(
+            "tag", F.col(f"entity{number}").alias("entity"), start.alias("piece")).agg(F.count("*").alias("rows"))
+        part = counted.where(F.col("rows") > limit)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        raise ValueError("the app has no counters")
+    return found
 
 
 def to_sink(output: DataFrame) -> DataFrame:

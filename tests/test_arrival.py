@@ -8,6 +8,7 @@ import pytest
 from pulsegrain import App, CounterSet, CounterSpec, KeyPart, NormalizeConfig, Pipeline, TimeRule
 from pulsegrain.operators import arrival
 from pulsegrain.operators import counters as C
+from pulsegrain.operators.ranges import normalize_ranges
 from pulsegrain.operators.fold import NOTHING, SAME, after, effect, step
 from pulsegrain.plans.pipeline import emit, flatten
 
@@ -55,3 +56,26 @@ def test_arrival_equals_fold(spark, messages, run_length):
                 assert mine[name] == want
             else:
                 assert name not in mine
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7])
+def test_dense_equals_time_order(spark, messages, ranges):
+    """A third of all rows under one key and one time, cut into several ranges."""
+    rng = random.Random(ranges)
+    docs = []
+    for number in range(120):
+        doc = {"t": 5 if number % 3 == 0 else rng.randrange(2000), "x": rng.randrange(2**32)}
+        if number % 3:
+            doc["node"] = rng.choice("ab")
+        if rng.random() < 0.2:
+            doc["y"] = rng.randrange(100)
+        docs.append(doc)
+    counters = CounterSet(TimeRule("$.t", "EpochMilli"), tuple(
+        CounterSpec((KeyPart(path="$.node"), KeyPart(constant=name)), "u32", f"$.{name}") for name in "xy"))
+    app = App([Pipeline("p", "out", {}, None, counters)], normalize=CONFIG)
+    rows = C.read_counters(flatten(messages(docs), app), app)
+
+    def values(counted):
+        return sorted((r.offset, r.value) for r in emit(C.write_counters(counted, app), app).collect())
+
+    assert values(normalize_ranges(rows, app, ranges)) == values(C.normalize_batch(rows, app))
