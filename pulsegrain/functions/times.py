@@ -17,10 +17,9 @@ _EPOCH = r"^[+-]?[0-9]{1,19}$"
 def epoch_millis(row: Column, path: str, kind: str) -> Column:
     content = V.text(row, path)
     if kind == "RFC2822":
-        return F.when(
-            content.rlike(_LOCAL),
-            F.unix_millis(F.concat(content, F.lit(" " + LOCAL_ZONE)).try_cast("timestamp")),
-        )
+        # The seconds may be missing; the cast wants them.
+        zone = F.when(F.length(content) == 16, F.lit(":00 " + LOCAL_ZONE)).otherwise(F.lit(" " + LOCAL_ZONE))
+        return F.when(content.rlike(_LOCAL), F.unix_millis(F.concat(content, zone).try_cast("timestamp")))
     if kind == "ISO8601":
         return F.floor(instant_micros(content) / F.lit(1000).cast("decimal(5,0)")).cast("bigint")
     count = F.when(content.rlike(_EPOCH), content.try_cast("bigint"))

@@ -252,11 +252,13 @@ def _cut(rows: DataFrame, number: int, config: NormalizeConfig) -> DataFrame:
     """Give every row its piece and copy the tail of each piece, without documents, to the next."""
     ts, length = F.col("ts_ms"), config.piece_ms
     own = F.col(f"entity{number}").isNotNull() & F.exists(F.col(f"v{number}"), lambda value: value.isNotNull())
-    begin = ts - F.pmod(ts, F.lit(length))
+    # Times at the very ends of the range have no piece start or no next piece; they are no reason to fail.
+    begin = F.try_subtract(ts, F.pmod(ts, F.lit(length)))
+    following = F.try_add(begin, F.lit(length))
     piece = F.when(own, begin).otherwise(F.xxhash64("partition", "offset", "pos"))
     home = F.struct(piece.alias("piece"), F.lit(False).alias("copy"))
-    ahead = F.struct(F.try_add(begin, F.lit(length)).alias("piece"), F.lit(True).alias("copy"))
-    in_tail = own & (F.pmod(ts, F.lit(length)) >= length - config.cache_age_ms)
+    ahead = F.struct(following.alias("piece"), F.lit(True).alias("copy"))
+    in_tail = own & following.isNotNull() & (F.pmod(ts, F.lit(length)) >= length - config.cache_age_ms)
     placed = rows.select("*", F.explode_outer(F.when(in_tail, F.array(home, ahead)).otherwise(F.array(home))).alias("_at"))
     keep = ~F.col("_at.copy")
     light = {"row", "raw", "key"}

@@ -136,16 +136,16 @@ def _object_rows(doc: Place) -> Column:
     """``data_json``: a list of elements with one interface or subinterface each."""
     data = doc.at("telemetry_data")
 
-    def build(element: Column) -> Column:
+    def row(element: Column, combine) -> Column:
         interface = Place(element).at("content", "interface")
         state, sub = interface.at("state"), interface.at("subinterfaces", "subinterface")
         sub_state = sub.at("state")
 
-        def both(name: str) -> Column:
-            return S.gather(state.at(*name.split("/")).value, sub_state.at(*name.split("/")).value)
+        def both(*name: str) -> Column:
+            return combine(state.at(*name).value, sub_state.at(*name).value)
 
         index = F.when(sub_state.is_object, F.coalesce(sub_state.at("index").value, sub.at("index").value))
-        row = V.row_of({
+        return V.row_of({
             **_origin(doc, "telemetry_node", "platform_id", "node_id", "timestamp", "writer_id"),
             **data.copy({key: key for key in ("node_id_str", "subscription_id_str", "msg_timestamp")}),
             "type": state.at("type").value,
@@ -154,14 +154,19 @@ def _object_rows(doc: Place) -> Column:
             "description": both("description"),
             "admin_status": S.rename_values(both("admin-status"), ADMIN_STATUS),
             "oper_status": S.rename_values(both("oper-status"), OPER_STATUS),
-            **{target: both(f"counters/{name}") for name, target in _snake(OBJECT_COUNTERS).items()},
+            **{target: both("counters", name) for name, target in _snake(OBJECT_COUNTERS).items()},
             "index": _index(index),
             "name": F.coalesce(
                 sub_state.at("name").text,
                 _joined_name(F.array(interface.at("name").text), V.text(index)),
             ),
         })
-        return F.when(state.is_object | sub_state.is_object, row)
+
+    def build(element: Column) -> Column:
+        interface = Place(element).at("content", "interface")
+        main, sub = interface.at("state").is_object, interface.at("subinterfaces", "subinterface", "state").is_object
+        # An element with both kinds of state gathers their values; the rule is one kind.
+        return F.when(main & sub, row(element, S.gather)).when(main | sub, row(element, F.coalesce))
 
     return F.array_compact(F.transform(data.at("data_json").items, build))
 

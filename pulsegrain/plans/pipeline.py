@@ -55,7 +55,7 @@ def dense_pieces(messages: DataFrame, app: App, limit: int) -> DataFrame:
     Counted with a partial aggregation before the shuffle; run it over a sample of a large source.
     """
     rows = C.read_counters(flatten(messages, app), app)
-    start = F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(app.normalize.piece_ms))
+    start = F.try_subtract(F.col("ts_ms"), F.pmod(F.col("ts_ms"), F.lit(app.normalize.piece_ms)))
     found = None
     for number in range(len(C.layers(app))):
         counted = rows.where(F.col(f"entity{number}").isNotNull()).groupBy(
