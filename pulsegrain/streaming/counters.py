@@ -7,9 +7,9 @@ go through Python; documents pass as they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import attrgetter
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -21,55 +21,44 @@ READINGS = "readings"
 
 
 class CounterProcessor(StatefulProcessor):
-    """Differences for all rows of one entity, oldest arrival first."""
+    """Differences for all rows of one entity, oldest arrival first.
 
-    def __init__(self, kinds: dict[str, list[str]], slots: dict[str, list[str]], config: NormalizeConfig):
-        self.kinds, self.slots, self.config = kinds, slots, config
+    The readings of an entity are one state row, so a key costs one read and one write per micro-batch, whatever the
+    number of its rows and counters.
+    """
+
+    def __init__(
+        self, kinds: dict[str, list[str]], heads: dict[str, list[int]], columns: list[str], config: NormalizeConfig
+    ):
+        self.kinds, self.heads, self.columns, self.config = kinds, heads, columns, config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.readings = handle.getMapState(
-            READINGS, "slot string", "v string, ts bigint", ttlDurationMs=self.config.state_ttl_ms
+        self.readings = handle.getValueState(
+            READINGS, "held array<string>, times array<bigint>", ttlDurationMs=self.config.state_ttl_ms
         )
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         tag = key[0]
-        kinds, slots = self.kinds[tag], self.slots[tag]
+        kinds, heads = self.kinds[tag], self.heads[tag]
+        width, shape = len(heads), Row(*self.columns, "deltas")
+        states: list[tuple[int, int] | None] = [None] * width
+        saved = self.readings.get()
+        if saved is not None:
+            for slot, (value, ts) in enumerate(zip(*saved)):
+                states[slot] = None if value is None else (int(value), ts)
         # A micro-batch is bounded by the source's rate limit, and so is one entity's part of it.
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["partition", "offset", "pos"], kind="stable", ignore_index=True)
-        states: dict[str, tuple[int, int] | None] = {}
-        touched: set[str] = set()
-        results: list[list[int | None]] = []
-        for ts, texts in zip(batch["ts_ms"], batch["texts"]):
-            out: list[int | None] = []
-            for place, slot in enumerate(slots):
-                content = texts[place]
-                if content is None:
-                    out.append(None)
-                    continue
-                if slot not in states:
-                    states[slot] = self._load(slot)
-                states[slot], difference = step(states[slot], int(content), int(ts), kinds[place], self.config)
-                touched.add(slot)
-                out.append(difference)
-            results.append(out)
-        for slot in touched:
-            self._store(slot, states[slot])
-        batch["deltas"] = results
-        yield batch.drop(columns=["texts"])
-
-    def _load(self, slot: str) -> tuple[int, int] | None:
-        if not self.readings.containsKey((slot,)):
-            return None
-        held = self.readings.getValue((slot,))
-        return (int(held[0]), int(held[1]))
-
-    def _store(self, slot: str, state: tuple[int, int] | None) -> None:
-        if state is not None:
-            self.readings.updateValue((slot,), (str(state[0]), state[1]))
-        elif self.readings.containsKey((slot,)):
-            self.readings.removeKey((slot,))
+        for row in sorted(rows, key=attrgetter("partition", "offset", "pos")):
+            deltas: list[int | None] = [None] * width
+            for place, head in enumerate(heads):
+                text = row.texts[place]
+                if text is not None:
+                    states[head], deltas[place] = step(
+                        states[head], int(text), row.ts_ms, kinds[place], self.config)
+            yield shape(*[row[name] for name in self.columns], deltas)
+        self.readings.update((
+            [None if state is None else str(state[0]) for state in states],
+            [None if state is None else state[1] for state in states],
+        ))
 
     def close(self) -> None:
         pass
@@ -92,7 +81,7 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) ->
         F.col(entity).isNotNull() & F.exists(F.col(values), lambda value: value.isNotNull()), F.lit(False)
     )
     kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
-    slots = {p.tag: [repr(c.slot) for c in counters] for p, counters in layer.members}
+    heads = {p.tag: C._slot_heads(counters) for p, counters in layer.members}
     types = dict(rows.dtypes)
 
     def outward(name: str) -> Column:
@@ -111,11 +100,10 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) ->
         *[outward(name).alias("entity") if name == entity else outward(name) for name in rows.columns],
         F.col(values).cast("array<string>").alias("texts"),
     )
-    schema = ", ".join(
-        f"`{field.name}` {field.dataType.simpleString()}" for field in stateful.schema if field.name != "texts"
-    ) + ", deltas array<bigint>"
-    done = stateful.groupBy("tag", "entity").transformWithStateInPandas(
-        statefulProcessor=CounterProcessor(kinds, slots, config),
+    passed = [field for field in stateful.schema if field.name != "texts"]
+    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in passed) + ", deltas array<bigint>"
+    done = stateful.groupBy("tag", "entity").transformWithState(
+        statefulProcessor=CounterProcessor(kinds, heads, [field.name for field in passed], config),
         outputStructType=schema, outputMode="Append", timeMode="ProcessingTime",
     )
     back = done.withColumnRenamed("entity", entity).select(
