@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pulsegrain.functions import variants as V
 from pulsegrain.functions.scalars import whole_text
 from pulsegrain.functions.times import epoch_millis
+from pulsegrain.operators.documents import COUNTERS
 from pulsegrain.operators.predicates import predicate
 from pulsegrain.specs import App, CounterSpec, NormalizeConfig, Pipeline
 
@@ -187,7 +188,7 @@ def read_counters(rows: DataFrame, app: App) -> DataFrame:
     return checked.select(
         *plain,
         F.coalesce("error", "_fault").alias("error"),
-        F.when(F.col("_fault").isNotNull(), F.lit("counters")).otherwise(F.col("step")).alias("step"),
+        F.when(F.col("_fault").isNotNull(), F.lit(COUNTERS)).otherwise(F.col("step")).alias("step"),
         "ts_ms",
         *[F.when(fine, F.col(f"_e{n}")).alias(f"entity{n}") for n in range(len(found))],
         *[F.when(fine, F.col(f"_v{n}")).alias(f"v{n}") for n in range(len(found))],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,8 @@ from pulsegrain.functions.scalars import parse_text
 # Columns every message has; the names are those of Spark's Kafka source.
 ENVELOPE = ("key", "timestamp", "partition", "offset")
 
-PARSE, PRE_TRANSFORM, TRANSFORM, FLATTEN, COUNTERS, SERIALISE = (
-    "parse", "pre_transform", "transform", "flatten", "counters", "serialise",
-)
+# Names of the steps that can send a message to the dead letters.
+PARSE, TRANSFORM, COUNTERS = "parse", "transform", "counters"
 
 _SPACE = " \t\r\n"
 
@@ -63,12 +64,33 @@ def error_json(record: Column) -> Column:
     return F.to_json(record, {"ignoreNullFields": "false"})
 
 
-def typed_to_messages(rows: DataFrame, key: Column, timestamp: Column, partition: Column, offset: Column) -> DataFrame:
-    """Rows of a typed source (Avro, Parquet, ORC, JDBC, …) as JSON messages; nulls stay visible."""
-    document = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+# Names that Avro's JSON form gives the branches of a union.
+_BRANCHES = {
+    "string": "string", "int": "int", "bigint": "long", "float": "float", "double": "double", "boolean": "boolean",
+}
+
+
+def typed_document(rows: DataFrame, names: Sequence[str], unions: Sequence[str] = ()) -> Column:
+    """JSON text of typed columns, nulls visible. Columns in ``unions`` are shown the way Avro's JSON form shows optional
+    fields: ``null`` or an object named after the type."""
+    types = dict(rows.dtypes)
+
+    def shown(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        if name in unions:
+            return F.when(column.isNotNull(), F.struct(column.alias(_BRANCHES[types[name]]))).alias(name)
+        return column.alias(name)
+
+    return F.to_json(F.struct(*[shown(name) for name in names]), {"ignoreNullFields": "false"})
+
+
+def typed_to_messages(
+    rows: DataFrame, key: Column, timestamp: Column, partition: Column, offset: Column, unions: Sequence[str] = (),
+) -> DataFrame:
+    """Rows of a typed source (a stream or a table) as JSON messages."""
     return rows.select(
         key.cast("string").alias("key"),
-        document.alias("value"),
+        typed_document(rows, rows.columns, unions).alias("value"),
         timestamp.cast("timestamp").alias("timestamp"),
         partition.cast("int").alias("partition"),
         offset.cast("bigint").alias("offset"),

@@ -6,11 +6,13 @@ the source itself, never from a counter made up while reading.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pulsegrain.operators.documents import typed_to_messages
+from pulsegrain.operators.documents import typed_document, typed_to_messages
 
 MESSAGE_SCHEMA = "key string, value string, timestamp timestamp, topic string, partition int, offset bigint"
 
@@ -78,7 +80,7 @@ def json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def typed_batch(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None,
-    key: str | None = None, timestamp: str | None = None,
+    key: str | None = None, timestamp: str | None = None, unions: Sequence[str] = (),
 ) -> DataFrame:
     """Records of a typed format (Parquet, ORC; Avro where its package is present) as JSON messages.
 
@@ -95,7 +97,7 @@ def typed_batch(
     held = rows.select(
         *names, when.alias("_time"), part.cast("int").alias("_part"), place.alias("_place"),
     )
-    document = F.to_json(F.struct(*[F.col(name) for name in names]), {"ignoreNullFields": "false"})
+    document = typed_document(rows, names, unions)
     return held.select(
         (F.col(key) if key else F.lit(None)).cast("string").alias("key"), document.alias("value"),
         F.col("_time").cast("timestamp").alias("timestamp"), F.lit(path).alias("topic"),

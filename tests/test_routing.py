@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrain import App, Pipeline, run, to_sink
 from pulsegrain.functions import variants as V
 from pulsegrain.operators import metrics
+from pulsegrain.plans import notifications
 from pulsegrain.plans.pipeline import flatten
 from pulsegrain.sources import readers, writers
 
@@ -73,10 +74,24 @@ def test_sources(spark, messages, tmp_path):
     out = run(readers.json_lines(spark, str(tmp_path / "lines.json")), App([])).groupBy("topic").count().collect()
     assert {row.topic: row["count"] for row in out} == {"discard": 2, "dlq": 1}
     spark.createDataFrame([("up", None)], "event string, more string").write.orc(str(tmp_path / "typed"))
+    tagged = run(readers.typed_batch(spark, str(tmp_path / "typed"), "orc", unions=["event", "more"]), App([])).first()
+    assert json.loads(tagged.value) == {"event": {"string": "up"}, "more": None}
     typed = run(readers.typed_batch(spark, str(tmp_path / "typed"), "orc", key="event"), App([])).first()
     assert (typed.key, json.loads(typed.value)) == ("up", {"event": "up", "more": None})
 
 
+def test_notifications(messages, emitted):
+    def message(encoding):
+        return {"ietf-telemetry-message:message": {"payload": 1, "telemetry-message-metadata": {
+            "ietf-yang-push-telemetry-message:yang-push-subscription": {"encoding": encoding}}}, "other": 2}
+
+    name = "ietf-subscribed-notifications:encode-json"
+    app = App([notifications.pipeline()], pre_transform=notifications.door)
+    out = emitted(run(messages([message(name), message({name: None}), message("encode-cbor"), {}]), app))
+    assert [(topic, tag) for topic, tag, _ in out] == [("notifications", "ietf-notifications")] * 2
+    assert set(out[0][2]) == {"ietf-telemetry-message:message"}
+
+
 def test_kafka_options():
     options = readers.kafka_options("h:1", topic="t", pattern="dev-.*", max_offsets=10)
     assert options["subscribePattern"] == "dev-.*" and "subscribe" not in options

@@ -107,3 +107,20 @@ def test_step_on_known_sequences(kind, rows):
     for ts, value, want in rows:
         state, got = step(state, value, 1647244800000 + ts, kind, CONFIG)
         assert got == want
+
+
+def test_two_entities_in_one_stream(spark, tmp_path):
+    """Counters with different keys need one stateful step after another."""
+    both = CounterSet(TimeRule("$.t", "EpochMilli"), (
+        CounterSpec((KeyPart(path="$.node"), KeyPart(constant="a")), "u64", "$.a"),
+        CounterSpec((KeyPart(path="$.node"), KeyPart(path="$.port"), KeyPart(constant="b")), "u64", "$.b"),
+    ))
+    spec = App([Pipeline("p", "out", {}, None, both)], normalize=CONFIG)
+    docs = [{"id": n, "node": "x", "port": n % 2, "t": n, "a": n * 3, "b": n * 5} for n in range(6)]
+    write(spark, tmp_path / "in", docs)
+    query = stream_files(run_stream(stored_stream(spark, str(tmp_path / "in")), spec), str(tmp_path / "out"),
+                         str(tmp_path / "cp")).trigger(availableNow=True).start()
+    if not query.awaitTermination(120):
+        query.stop()
+    got = [(doc["a"], doc["b"]) for doc in docs_of(spark, tmp_path / "out")]
+    assert got == [(None, None), (3, None), (3, 10), (3, 10), (3, 10), (3, 10)]
