@@ -19,20 +19,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.operators import counters as C
+from pulsegrain.operators.documents import POSITION
 from pulsegrain.operators.fold import NOTHING, SAME, after, effect, step
 from pulsegrain.specs import App, NormalizeConfig
 
-POSITION = ["partition", "offset", "pos"]
-RUN = ["tag", "entity", "partition", "run"]
+RUN = ["tag", "entity", "origin", "partition", "run"]
 COUNTER = ["tag", "entity", "slot"]
 
 # Outcomes are (value, time): no time at all means the state is as before, no value that it is empty.
 _EFFECT = (
-    "tag string, entity string, partition int, run bigint, slot int, uppers array<bigint>, "
+    "tag string, entity string, origin string, partition int, run bigint, slot int, uppers array<bigint>, "
     "outcomes array<string>, outcome_times array<bigint>, empty string, empty_time bigint"
 )
-_START = "tag string, entity string, partition int, run bigint, slot int, held string, held_time bigint"
-_DELTAS = "partition int, offset bigint, pos int, tag string, deltas array<bigint>"
+_START = (
+    "tag string, entity string, origin string, partition int, run bigint, slot int, held string, held_time bigint"
+)
+_DELTAS = "origin string, partition int, offset bigint, pos int, tag string, deltas array<bigint>"
 _EMPTIED = ("", 0)
 _UNCHANGED = (None, None)
 _BATCH = 5_000
@@ -85,7 +87,7 @@ def _effects(heads: dict[str, list[int]], cutoff_ms: int):
         key, slots = None, {}
         for frame in frames:
             for row in frame.itertuples(index=False):
-                now = (row.tag, row.entity, row.partition, row.run)
+                now = (row.tag, row.entity, row.origin, row.partition, row.run)
                 if now != key:
                     yield from flush(key, slots)
                     key, slots = now, {}
@@ -106,7 +108,7 @@ def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 now = (row.tag, row.entity, row.slot)
                 if now != key:
                     key, held = now, None
-                yield (row.tag, row.entity, row.partition, row.run, row.slot, *(held or (None, None)))
+                yield (row.tag, row.entity, row.origin, row.partition, row.run, row.slot, *(held or (None, None)))
                 if held is None:
                     value, time = row.empty, row.empty_time
                 else:
@@ -125,7 +127,7 @@ def _differences(heads: dict[str, list[int]], kinds: dict[str, list[str]], confi
         key, states = None, {}
         for frame in frames:
             for row in frame.itertuples(index=False):
-                now = (row.tag, row.entity, row.partition, row.run)
+                now = (row.tag, row.entity, row.origin, row.partition, row.run)
                 if now != key:
                     key, states = now, {}
                 if row.texts is None:
@@ -137,13 +139,13 @@ def _differences(heads: dict[str, list[int]], kinds: dict[str, list[str]], confi
                     if row.texts[place] is not None:
                         states[head], deltas[place] = step(
                             states.get(head), int(row.texts[place]), int(row.ts_ms), kinds[row.tag][place], config)
-                yield (row.partition, int(row.offset), int(row.pos), row.tag, deltas)
+                yield (row.origin, row.partition, int(row.offset), int(row.pos), row.tag, deltas)
 
     return lambda frames: _frames(rows(frames), _DELTAS)
 
 
 def normalize_arrival(rows: DataFrame, app: App, run_length: int = 1_000_000) -> DataFrame:
-    """Add ``d<n>`` per layer in order of (partition, offset, pos). A run spans ``run_length`` offsets."""
+    """Add ``d<n>`` per layer in order of position. A run spans ``run_length`` offsets."""
     for number, layer in enumerate(C.layers(app)):
         heads = {p.tag: C._slot_heads(counters) for p, counters in layer.members}
         kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
@@ -151,13 +153,13 @@ def normalize_arrival(rows: DataFrame, app: App, run_length: int = 1_000_000) ->
         narrow = rows.where(
             F.col(f"entity{number}").isNotNull() & F.exists(values, lambda value: value.isNotNull())
         ).select(
-            "tag", F.col(f"entity{number}").alias("entity"), F.col("partition").cast("int").alias("partition"),
+            "tag", F.col(f"entity{number}").alias("entity"), "origin", F.col("partition").cast("int").alias("partition"),
             _run_of(F.col("offset"), run_length).alias("run"), "offset", "pos", "ts_ms",
             values.cast("array<string>").alias("texts"),
         )
         effects = _grouped(narrow, RUN, ["offset", "pos"]).mapInPandas(
             _effects(heads, app.normalize.cutoff_ms), _EFFECT)
-        starts = _grouped(effects, COUNTER, ["partition", "run"]).mapInPandas(_starts, _START)
+        starts = _grouped(effects, COUNTER, ["origin", "partition", "run"]).mapInPandas(_starts, _START)
         # NULL offsets sort first, so a run's starting states come before its readings.
         both = narrow.unionByName(starts, allowMissingColumns=True)
         deltas = _grouped(both, RUN, ["offset", "pos"]).mapInPandas(

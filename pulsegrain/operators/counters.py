@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pulsegrain.functions import variants as V
 from pulsegrain.functions.scalars import whole_text
 from pulsegrain.functions.times import epoch_millis
-from pulsegrain.operators.documents import COUNTERS
+from pulsegrain.operators.documents import COUNTERS, POSITION
 from pulsegrain.operators.predicates import predicate
 from pulsegrain.specs import App, CounterSpec, NormalizeConfig, Pipeline
 
@@ -256,7 +256,7 @@ def _cut(rows: DataFrame, number: int, config: NormalizeConfig) -> DataFrame:
     # Times at the very ends of the range have no piece start or no next piece; they are no reason to fail.
     begin = F.try_subtract(ts, F.pmod(ts, F.lit(length)))
     following = F.try_add(begin, F.lit(length))
-    piece = F.when(own, begin).otherwise(F.xxhash64("partition", "offset", "pos"))
+    piece = F.when(own, begin).otherwise(F.xxhash64(*POSITION))
     home = F.struct(piece.alias("piece"), F.lit(False).alias("copy"))
     ahead = F.struct(following.alias("piece"), F.lit(True).alias("copy"))
     in_tail = own & following.isNotNull() & (F.pmod(ts, F.lit(length)) >= length - config.cache_age_ms)
@@ -277,7 +277,7 @@ def normalize_batch(rows: DataFrame, app: App) -> DataFrame:
     """
     config = app.normalize
     for number, layer in enumerate(layers(app)):
-        group = Window.partitionBy("tag", f"entity{number}", "_piece").orderBy("ts_ms", "partition", "offset", "pos")
+        group = Window.partitionBy("tag", f"entity{number}", "_piece").orderBy("ts_ms", *POSITION)
         past = group.rowsBetween(Window.unboundedPreceding, -1)
         before_all = rows.columns
         seen = _cut(rows, number, config).select(

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from pulsegrain.functions import variants as V
 from pulsegrain.functions.scalars import parse_text
 
-# Columns every message has; the names are those of Spark's Kafka source.
-ENVELOPE = ("key", "timestamp", "partition", "offset")
+# What rows keep of their message. Names are those of Spark's Kafka source; ``origin`` is the topic it came from, empty
+# where a source has none.
+ENVELOPE = ("key", "timestamp", "origin", "partition", "offset")
+
+# The place of a row; unique, since ``pos`` counts the rows of a message. Several topics may share offsets.
+POSITION = ("origin", "partition", "offset", "pos")
 
 # Names of the steps that can send a message to the dead letters.
 PARSE, TRANSFORM, COUNTERS = "parse", "transform", "counters"
@@ -27,7 +31,8 @@ def opens_object(value: Column, doc: Column) -> Column:
 
 def parse_documents(messages: DataFrame) -> DataFrame:
     """Add ``doc`` (VARIANT, NULL if bad) and ``error`` (text, NULL if good)."""
-    parsed = messages.withColumn("doc", parse_text(F.col("value")))
+    origin = F.coalesce(F.col("topic"), F.lit("")) if "topic" in messages.columns else F.lit("")
+    parsed = messages.withColumn("origin", origin).withColumn("doc", parse_text(F.col("value")))
     good = F.coalesce(opens_object(F.col("value"), F.col("doc")), F.lit(False))
     reason = F.when(F.col("value").isNull(), "no value").when(F.col("doc").isNull(), "not valid JSON")
     return parsed.withColumn("error", F.when(~good, F.coalesce(reason, F.lit("not a JSON object")))).withColumn(

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.operators import counters as C
-from pulsegrain.operators.arrival import _DELTAS, POSITION, _frames
+from pulsegrain.operators.arrival import _DELTAS, _frames
+from pulsegrain.operators.documents import POSITION
 from pulsegrain.operators.fold import step
 from pulsegrain.specs import App, NormalizeConfig
 
@@ -26,7 +27,7 @@ ORDER = ["tag", "entity", "ts_ms", *POSITION]
 
 # ``part`` spreads finished rows by position and brings the open ones of an entity together.
 _SETTLED = (
-    "part bigint, turn int, tag string, entity string, ts_ms bigint, partition int, offset bigint, pos int, "
+    "part bigint, turn int, tag string, entity string, ts_ms bigint, origin string, partition int, offset bigint, pos int, "
     "deltas array<bigint>, open array<string>, seen array<string>, seen_at array<bigint>"
 )
 _DONE, _OPEN, _CARRY = 0, 1, 2
@@ -41,7 +42,7 @@ def _within(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: No
     def carry(key: tuple, last, states: dict[int, tuple[int, int]]) -> tuple:
         slots = range(len(heads[key[0]]))
         held = [states.get(slot) for slot in slots]
-        return (None, _CARRY, *key, int(last.ts_ms), last.partition, int(last.offset), int(last.pos), None, None,
+        return (None, _CARRY, *key, int(last.ts_ms), last.origin, last.partition, int(last.offset), int(last.pos), None, None,
                 [h and str(h[0]) for h in held], [h and h[1] for h in held])
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
@@ -63,7 +64,7 @@ def _within(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: No
                     states[head], deltas[place] = step(
                         states.get(head), int(row.texts[place]), int(row.ts_ms), kinds[row.tag][place], config)
                 waits = any(text is not None for text in open_texts)
-                yield (None, _OPEN if waits else _DONE, *key, int(row.ts_ms), row.partition, int(row.offset),
+                yield (None, _OPEN if waits else _DONE, *key, int(row.ts_ms), row.origin, row.partition, int(row.offset),
                        int(row.pos), deltas, open_texts if waits else None, None, None)
         if key is not None:
             yield carry(key, last, states)
@@ -78,7 +79,7 @@ def _across(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: No
         for frame in frames:
             for row in frame.itertuples(index=False):
                 if row.turn == _DONE:
-                    yield (row.partition, int(row.offset), int(row.pos), row.tag, row.deltas)
+                    yield (row.origin, row.partition, int(row.offset), int(row.pos), row.tag, row.deltas)
                     continue
                 now = (row.tag, row.entity)
                 if now != key:
@@ -93,7 +94,7 @@ def _across(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: No
                     if row.open[place] is not None:
                         _, deltas[place] = step(
                             states.get(head), int(row.open[place]), int(row.ts_ms), kinds[row.tag][place], config)
-                yield (row.partition, int(row.offset), int(row.pos), row.tag, deltas)
+                yield (row.origin, row.partition, int(row.offset), int(row.pos), row.tag, deltas)
 
     return lambda frames: _frames(rows(frames), _DELTAS)
 
@@ -107,7 +108,7 @@ def normalize_ranges(rows: DataFrame, app: App, ranges: int | None = None) -> Da
         narrow = rows.where(
             F.col(f"entity{number}").isNotNull() & F.exists(values, lambda value: value.isNotNull())
         ).select(
-            "tag", F.col(f"entity{number}").alias("entity"), F.col("partition").cast("int").alias("partition"),
+            "tag", F.col(f"entity{number}").alias("entity"), "origin", F.col("partition").cast("int").alias("partition"),
             "offset", "pos", "ts_ms", values.cast("array<string>").alias("texts"),
         )
         cut = narrow.repartitionByRange(ranges, *ORDER) if ranges else narrow.repartitionByRange(*ORDER)

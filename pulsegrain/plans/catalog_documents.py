@@ -423,7 +423,7 @@ SQL = {
         FROM {_EV}""",
     "text_functions": """
         SELECT p_partkey, upper(p_name) AS up, lower(p_brand) AS low, p_brand || p_type AS both,
-               p_brand[2:4] AS sub, NULL AS sub_out,
+               p_brand[2:4] AS sub, CAST(NULL AS VARCHAR) AS sub_out,
                CASE WHEN length(p_type) < 12 THEN lpad(p_type, 12, '*') ELSE p_type END AS lp,
                CASE WHEN length(p_type) < 3 THEN rpad(p_type, 3, '*') ELSE p_type END AS rp,
                3 AS n, CAST(length(p_name) AS INTEGER) AS n_chars, p_type || '|' || p_brand AS uniq,

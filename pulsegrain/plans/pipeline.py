@@ -14,7 +14,9 @@ from pulsegrain.specs import App
 
 
 def flatten(messages: DataFrame, app: App) -> DataFrame:
-    """Messages (key, value, timestamp, partition, offset) to flat rows with a tag; no shuffle."""
+    """Messages (key, value, timestamp, partition, offset and, where there are several, topic) to flat rows with a tag.
+
+    No shuffle."""
     return R.route(R.pre_transform(D.parse_documents(messages), app), app)
 
 

@@ -1,7 +1,8 @@
 """Message sources. Every reader gives key, value, timestamp, topic, partition, offset.
 
-Position columns must be the same each time a task is run again, since they break ties of time; so they come from
-the source itself, never from a counter made up while reading.
+Positions (topic, partition, offset) must be unique and the same each time a task is run again, since they break ties of
+time. Kafka and stored messages bring their own. For other files the place of a record in its split is taken right at
+the scan, where it depends on nothing but the files.
 """
 
 from __future__ import annotations
@@ -65,16 +66,10 @@ def stored_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text files with one message per line. The line's place is its byte block and the text itself, so equal lines
-    of one block are interchangeable and any order among them gives the same result."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.col("_metadata.file_modification_time").alias("timestamp"),
-    )
-    return lines.select(
-        F.lit(None).cast("string").alias("key"), "value", "timestamp", F.col("file").alias("topic"),
-        (F.pmod(F.xxhash64("file", "block"), F.lit(2**31 - 1))).cast("int").alias("partition"),
-        F.xxhash64("value").alias("offset"),
+    """Text files with one message per line."""
+    return spark.read.text(path).select(
+        F.lit(None).cast("string").alias("key"), "value", F.col("_metadata.file_modification_time").alias("timestamp"),
+        F.lit(path).alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
     )
 
 
@@ -82,26 +77,19 @@ def typed_batch(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None,
     key: str | None = None, timestamp: str | None = None, unions: Sequence[str] = (),
 ) -> DataFrame:
-    """Records of a typed format (Parquet, ORC; Avro where its package is present) as JSON messages.
-
-    Parquet gives exact row positions; for other formats name columns that order the records.
-    """
+    """Records of a typed format (Parquet, ORC; Avro where its package is present) as JSON messages."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     rows = reader.load(path)
     names = rows.columns
     when = F.col(timestamp) if timestamp else F.col("_metadata.file_modification_time")
-    place = F.col("_metadata.row_index") if fmt == "parquet" else F.xxhash64(*names)
-    part = F.pmod(F.xxhash64(F.col("_metadata.file_path")), F.lit(2**31 - 1))
-    held = rows.select(
-        *names, when.alias("_time"), part.cast("int").alias("_part"), place.alias("_place"),
-    )
+    held = rows.select(*names, when.alias("_time"), F.monotonically_increasing_id().alias("_place"))
     document = typed_document(rows, names, unions)
     return held.select(
         (F.col(key) if key else F.lit(None)).cast("string").alias("key"), document.alias("value"),
         F.col("_time").cast("timestamp").alias("timestamp"), F.lit(path).alias("topic"),
-        F.col("_part").alias("partition"), F.col("_place").alias("offset"),
+        F.lit(0).alias("partition"), F.col("_place").alias("offset"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pulsegrain.operators import counters as C
+from pulsegrain.operators.documents import POSITION
 from pulsegrain.operators.fold import step
 from pulsegrain.specs import App, NormalizeConfig
 
@@ -47,7 +48,7 @@ class CounterProcessor(StatefulProcessor):
             for slot, (value, ts) in enumerate(zip(*saved)):
                 states[slot] = None if value is None else (int(value), ts)
         # A micro-batch is bounded by the source's rate limit, and so is one entity's part of it.
-        for row in sorted(rows, key=attrgetter("partition", "offset", "pos")):
+        for row in sorted(rows, key=attrgetter(*POSITION)):
             deltas: list[int | None] = [None] * width
             for place, head in enumerate(heads):
                 text = row.texts[place]

@@ -79,3 +79,20 @@ def test_dense_equals_time_order(spark, messages, ranges):
         return sorted((r.offset, r.value) for r in emit(C.write_counters(counted, app), app).collect())
 
     assert values(normalize_ranges(rows, app, ranges)) == values(C.normalize_batch(rows, app))
+
+
+@pytest.mark.parametrize("order", ["time", "dense", "arrival"])
+def test_topics_may_share_offsets(spark, messages, order):
+    """Two topics with the same partitions and offsets: every row once, with its own difference."""
+    from pulsegrain import run
+    counters = CounterSet(TimeRule("$.t", "EpochMilli"), (
+        CounterSpec((KeyPart(path="$.node"), KeyPart(constant="x")), "u32", "$.x"),))
+    app = App([Pipeline("p", "out", {}, None, counters)], normalize=CONFIG)
+    tables = [
+        messages([{"node": name, "t": n, "x": n * n * factor} for n in range(5)]).selectExpr("*", f"'{name}' as topic")
+        for name, factor in (("a", 1), ("b", 10))
+    ]
+    rows = run(tables[0].unionByName(tables[1]), app, order=order).collect()
+    got = sorted((doc["node"], doc["t"], doc["x"]) for doc in (json.loads(row.value) for row in rows))
+    want = [(name, n, None if n == 0 else (2 * n - 1) * factor) for name, factor in (("a", 1), ("b", 10)) for n in range(5)]
+    assert got == want

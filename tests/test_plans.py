@@ -33,7 +33,7 @@ def test_one_parse_and_one_shuffle(stored):
     assert len(re.findall(r"Exchange ", text)) == 1
     assert "hashpartitioning(tag" in text and "piece" in text
     assert not re.search(r"Python|InPandas|ArrowEval|Join|CartesianProduct", text)
-    assert "ReadSchema: struct<key:string,value:string,timestamp:timestamp,partition:int,offset:bigint>" in text
+    assert "ReadSchema: struct<key:string,value:string,timestamp:timestamp,topic:string,partition:int,offset:bigint>" in text
 
 
 def test_no_counters_no_shuffle(stored):
