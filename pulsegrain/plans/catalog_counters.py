@@ -181,7 +181,8 @@ def counter_stream(spark, sf_dir):
     stored = messages.withColumn("topic", F.lit("events")).select(*[part.split(" ")[0] for part in MESSAGE_SCHEMA.split(", ")])
     stored.write.parquet(f"{folder}/in")
     app = _app(_set("a", "b", kind="u32"), _config(u32_limit=2**31 - 1))
-    output = run_stream(stored_stream(spark, f"{folder}/in"), app)
+    # written side by side: one micro-batch, in which rows are ordered by offset
+    output = run_stream(stored_stream(spark, f"{folder}/in", max_files=None), app)
     query = (
         output.select("topic", "offset", "value").writeStream.format("parquet").option("path", f"{folder}/out")
         .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()

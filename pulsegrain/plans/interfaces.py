@@ -87,11 +87,13 @@ def door(doc: Column) -> Column:
     return gate(V.put(V.pick(doc, ENVELOPE_FIELDS), {"telemetry_data": payload}), accepted)
 
 
-def _origin(doc: Place, *names: str) -> dict[str, Column]:
+def _origin(doc: Place) -> dict[str, Column]:
     """Fields of the envelope that rows carry."""
-    every = {name: doc.at(name) for name in ENVELOPE_FIELDS if name not in ("label", "telemetry_data")}
-    every |= {"platform_id": doc.at("label", "pkey"), "node_id": doc.at("label", "nkey")}
-    return {name: every[name].value for name in (names or every)}
+    names = [name for name in ENVELOPE_FIELDS if name not in ("label", "telemetry_data")]
+    return {
+        **doc.copy({name: name for name in names}),
+        "platform_id": doc.at("label", "pkey").value, "node_id": doc.at("label", "nkey").value,
+    }
 
 
 def _snake(names) -> dict[str, str]:
@@ -108,7 +110,7 @@ def _index(value: Column) -> Column:
     return F.coalesce(V.variant(S.as_long(value)), value)
 
 
-def _extension_rows(doc: Place) -> Column:
+def _extension_rows(doc: Place, origin: dict[str, Column]) -> Column:
     """Flat keys with slashes next to an ``extension`` object: one row."""
     data = doc.at("telemetry_data")
     extension = data.at("extension")
@@ -124,7 +126,7 @@ def _extension_rows(doc: Place) -> Column:
         **data.copy({f"/state/{name}": target for name, target in _snake(SLASH_STATES).items()}),
         "admin_status": S.rename_values(data.at("/state/admin-status").value, ADMIN_STATUS),
         "oper_status": S.rename_values(data.at("/state/oper-status").value, OPER_STATUS),
-        **_origin(doc),
+        **origin,
         "index": _index(index),
         "name": _joined_name(main, V.text(index)),
         "msg_timestamp": F.coalesce(V.variant(millis), data.at("msg_timestamp").value),
@@ -132,9 +134,13 @@ def _extension_rows(doc: Place) -> Column:
     return F.when(extension.is_object, F.array(row))
 
 
-def _object_rows(doc: Place) -> Column:
+def _object_rows(doc: Place, origin: dict[str, Column]) -> Column:
     """``data_json``: a list of elements with one interface or subinterface each."""
     data = doc.at("telemetry_data")
+    shared = {
+        **{name: origin[name] for name in ("telemetry_node", "platform_id", "node_id", "timestamp", "writer_id")},
+        **data.copy({key: key for key in ("node_id_str", "subscription_id_str", "msg_timestamp")}),
+    }
 
     def row(element: Column, combine) -> Column:
         interface = Place(element).at("content", "interface")
@@ -146,8 +152,7 @@ def _object_rows(doc: Place) -> Column:
 
         index = F.when(sub_state.is_object, F.coalesce(sub_state.at("index").value, sub.at("index").value))
         return V.row_of({
-            **_origin(doc, "telemetry_node", "platform_id", "node_id", "timestamp", "writer_id"),
-            **data.copy({key: key for key in ("node_id_str", "subscription_id_str", "msg_timestamp")}),
+            **shared,
             "type": state.at("type").value,
             "enabled": sub_state.at("enabled").value,
             "ifindex": F.coalesce(sub_state.at("ifindex").value, state.at("ifindex").value),
@@ -171,11 +176,11 @@ def _object_rows(doc: Place) -> Column:
     return F.array_compact(F.transform(data.at("data_json").items, build))
 
 
-def _decoded_rows(doc: Place) -> Column:
+def _decoded_rows(doc: Place, origin: dict[str, Column]) -> Column:
     """``decoded``: lists of interfaces inside a list, with counters of their own or lists of subinterfaces."""
     data = doc.at("telemetry_data")
     origin = {
-        **_origin(doc),
+        **origin,
         **data.copy({key: key for key in ("msg_timestamp", "node_id_str", "subscription_id_str")}),
         "encoding_path": data.at("sensor_path").value,
     }
@@ -221,7 +226,8 @@ def _decoded_rows(doc: Place) -> Column:
 def interface_rows(doc: Column) -> Column:
     """Rows of every layout a message holds."""
     place = Place(doc)
-    return R.either(_extension_rows(place), _object_rows(place), _decoded_rows(place))
+    origin = _origin(place)
+    return R.either(_extension_rows(place, origin), _object_rows(place, origin), _decoded_rows(place, origin))
 
 
 def counter_set(names=COUNTED, kind: str = "u64") -> CounterSet:

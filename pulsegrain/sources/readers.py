@@ -20,9 +20,10 @@ MESSAGE_SCHEMA = "key string, value string, timestamp timestamp, topic string, p
 
 def kafka_options(
     servers: str, topic: str | None = None, pattern: str | None = None, starting: str = "latest",
-    max_offsets: int | None = None, **extra: str,
+    max_offsets: int | None = 1_000_000, **extra: str,
 ) -> dict[str, str]:
-    """Reader options; a topic pattern wins over a topic name."""
+    """Reader options; a topic pattern wins over a topic name. ``max_offsets`` bounds a micro-batch and with it the rows of
+    one entity that a task sorts at a time."""
     if topic is None and pattern is None:
         raise ValueError("a topic or a topic pattern is needed")
     options = {"kafka.bootstrap.servers": servers, "startingOffsets": starting, **extra}
@@ -53,8 +54,12 @@ def kafka_batch(spark: SparkSession, **options) -> DataFrame:
     return _from_kafka(spark.read.format("kafka").options(**kafka_options(**options)).load())
 
 
-def stored_stream(spark: SparkSession, path: str, max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Messages stored as files in the message schema, as a stream; ``path`` may be a glob."""
+def stored_stream(spark: SparkSession, path: str, max_files: int | None = 32, fmt: str = "parquet") -> DataFrame:
+    """Messages stored as files in the message schema, as a stream; ``path`` may be a glob.
+
+    Files arrive in order of their modification time. ``max_files`` bounds a micro-batch; None takes all there are at once,
+    for files that were written side by side and so have no order of their own.
+    """
     reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -7,6 +7,7 @@ import pytest
 
 from pulsegrain import App, CounterSet, CounterSpec, KeyPart, NormalizeConfig, Pipeline, TimeRule, run
 from pulsegrain.functions import variants as V
+from pulsegrain.operators import metrics
 from pulsegrain.sources.readers import stored_batch, stored_stream
 from pulsegrain.sources.writers import stream_files
 from pulsegrain.streaming.counters import step
@@ -74,7 +75,9 @@ def test_restart_goes_on_and_equals_batch(spark, tmp_path):
     want = run(stored_batch(spark, str(source)), app()).select("topic", "value").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
     assert {row.topic for row in got} == {"out", "discard", "dlq"}
-    assert query.lastProgress.stateOperators[0].numRowsTotal > 0
+    numbers = metrics.state_numbers(query)
+    assert [state["rows"] for state in numbers] == [3] and numbers[0]["operator"].startswith("transformWithState")
+    assert "addBatch" in metrics.step_durations(query)
 
 
 def test_late_and_very_late_readings(spark, tmp_path):
