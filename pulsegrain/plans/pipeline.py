@@ -36,21 +36,48 @@ def emit(rows: DataFrame, app: App) -> DataFrame:
 
 ENGINES = {"time": C.normalize_batch, "dense": normalize_ranges, "arrival": normalize_arrival}
 
+# Groups of ``order="time"`` up to this size are left to one task.
+ROWS_PER_TASK = 2_000_000
+# Below this estimate of the source's size no group can be a burden.
+SMALL_BYTES = 8 * 2**30
 
-def run(messages: DataFrame, app: App, order: str = "time") -> DataFrame:
+
+def run(messages: DataFrame, app: App, order: str = "auto") -> DataFrame:
     """Bounded data. For streams see ``pulsegrain.streaming``.
 
     ``order="time"``: counters follow the rows' own time; one shuffle, groups are an entity's pieces of time.
-    ``order="dense"``: the same results where single pieces are too dense for a task; see ``dense_pieces``.
+    ``order="dense"``: the same results where single pieces are too large for a task.
+    ``order="auto"``: one of these two, see ``choose_order``.
     ``order="arrival"``: counters follow the position of messages, so late readings are treated as in a stream.
-    The last two read the source more than once.
+    The forms "dense" and "arrival" read the source more than once.
     """
+    if order == "auto":
+        order = choose_order(messages, app)
     if order not in ENGINES:
-        raise ValueError(f"order is one of {', '.join(ENGINES)}, not {order!r}")
+        raise ValueError(f"order is auto or one of {', '.join(ENGINES)}, not {order!r}")
     rows = C.read_counters(flatten(messages, app), app)
     return emit(C.write_counters(ENGINES[order](rows, app), app), app)
 
 
+def choose_order(
+    messages: DataFrame, app: App, rows_per_task: int = ROWS_PER_TASK, small_bytes: int = SMALL_BYTES,
+    fraction: float = 0.01,
+) -> str:
+    """"dense" if a sample of a large source shows a group beyond ``rows_per_task``, else "time".
+
+    Only the way of computing depends on the sample; both ways give the same results.
+    """
+    if not C.layers(app) or estimated_bytes(messages) <= small_bytes:
+        return "time"
+    sample = messages.sample(fraction=fraction, seed=7)
+    return "dense" if dense_pieces(sample, app, int(rows_per_task * fraction)).take(1) else "time"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of the size of a table, from file sizes and column widths; nothing is read."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def dense_pieces(messages: DataFrame, app: App, limit: int) -> DataFrame:
     """Groups of ``order="time"`` with more rows than ``limit``: tag, entity, start of the piece, rows.
 

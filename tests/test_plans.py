@@ -7,7 +7,7 @@ import pytest
 from pulsegrain import App, Pipeline, run
 from pulsegrain.plans import catalog_counters as catalog
 from pulsegrain.plans import interfaces
-from pulsegrain.plans.pipeline import dense_pieces, flatten
+from pulsegrain.plans.pipeline import choose_order, dense_pieces, estimated_bytes, flatten
 from pulsegrain.sources.readers import stored_batch
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +53,13 @@ def test_dense_pieces_are_found(messages):
     docs = [{"node": 1, "t": 5, "a": n} for n in range(9)] + [{"node": 2, "t": 5, "a": 1}]
     rows = dense_pieces(messages(docs), app, 5).collect()
     assert [(row.entity, row.piece, row.rows) for row in rows] == [(",1,", 0, 9)]
+
+
+def test_order_is_chosen_by_size_and_density(messages, stored):
+    app = catalog._app(catalog._set("a", kind="u64"), catalog._config())
+    table = messages([{"node": n % 2, "t": 5, "a": n} for n in range(40)])
+    assert 0 < estimated_bytes(stored) < 10**6
+    assert choose_order(stored, app) == "time"
+    assert choose_order(table, app, rows_per_task=5, small_bytes=0, fraction=1.0) == "dense"
+    assert choose_order(table, app, rows_per_task=500, small_bytes=0, fraction=1.0) == "time"
+    assert choose_order(table, App([Pipeline("p", "t")]), small_bytes=0) == "time"
