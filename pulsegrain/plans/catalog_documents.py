@@ -12,7 +12,7 @@ from pulsegrain.operators import documents as D
 from pulsegrain.operators import metrics
 from pulsegrain.operators import routing as R
 from pulsegrain.operators.counters import counter_key
-from pulsegrain.plans.pipeline import emit, flatten, run
+from pulsegrain.plans.pipeline import emit, estimated_bytes, flatten, run
 from pulsegrain.session import configure
 from pulsegrain.sources.readers import typed_batch
 from pulsegrain.specs import App, CounterSpec, KeyPart, Pipeline
@@ -24,9 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def widen(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on inputs with fewer files than cores; large inputs have more and are left as they are."""
+    """Spread a table that is too small to give every core a split; any larger one is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    small = estimated_bytes(df) < cores * 16 * 2**20
+    return df.repartition(cores, key) if small and len(df.inputFiles()) < cores else df
 
 
 def as_messages(df: DataFrame, key: Column, document: Column, timestamp: Column, offset: Column) -> DataFrame:

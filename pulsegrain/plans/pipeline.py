@@ -51,6 +51,8 @@ def run(messages: DataFrame, app: App, order: str = "auto") -> DataFrame:
     ``order="arrival"``: counters follow the position of messages, so late readings are treated as in a stream.
     The forms "dense" and "arrival" read the source more than once.
     """
+    if messages.isStreaming:
+        raise ValueError("a stream goes through pulsegrain.streaming.runner.run_stream")
     if order == "auto":
         order = choose_order(messages, app)
     if order not in ENGINES:
