@@ -8,7 +8,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -238,12 +237,3 @@ def merge_objects(items: Column) -> Column:
         return F.to_variant_object(F.map_from_arrays(names, F.transform(names, value_of)))
 
     return let(F.flatten(F.transform(items, lambda item: F.map_entries(fields(item)))), merged)
-
-
-def first_present(*values: Column) -> Column:
-    """The first value that is neither absent nor JSON null."""
-    return reduce(
-        lambda rest, value: F.when(has_value(value), value).otherwise(rest),
-        reversed(values[:-1]),
-        values[-1],
-    )

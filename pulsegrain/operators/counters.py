@@ -195,20 +195,9 @@ def read_counters(rows: DataFrame, app: App) -> DataFrame:
     )
 
 
-def _slots(layer: _Layer) -> list[dict[int, int | None]]:
-    """Per pipeline: for each counter place the nearest earlier place that writes the same key, if any."""
-    chains = []
-    for _, counters in layer.members:
-        chain: dict[int, int | None] = {}
-        for place, counter in enumerate(counters):
-            earlier = [other for other in range(place) if counters[other].slot == counter.slot]
-            chain[place] = earlier[-1] if earlier else None
-        chains.append(chain)
-    return chains
-
-
 def _shared(layer: _Layer) -> bool:
-    return any(before is not None for chain in _slots(layer) for before in chain.values())
+    """Some key is written by more than one counter of a pipeline."""
+    return any(_slot_heads(counters) != list(range(len(counters))) for _, counters in layer.members)
 
 
 def _slot_heads(counters: Sequence[CounterSpec]) -> list[int]:

@@ -3,7 +3,7 @@ stage and no shuffle; a parent's fields are simply in scope while its children a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,14 +18,11 @@ def _none() -> Column:
     return F.array().cast(NO_ROWS)
 
 
-def fan_out(doc: Column, path: str, build: Callable[[Column], Column]) -> Column:
-    """One row per item of the list at ``path``; rows that come out NULL are left out."""
-    rows = F.transform(F.coalesce(V.elements(doc, path), _none()), build)
-    return F.array_compact(rows)
+def fan_out(doc: Column, path: str, build: Callable[..., Column]) -> Column:
+    """One row per item of the list at ``path``; rows that come out NULL are left out.
 
-
-def fan_out_indexed(doc: Column, path: str, build: Callable[[Column, Column], Column]) -> Column:
-    """``fan_out`` that also gets the zero-based place of the item in the list."""
+    A ``build`` with two parameters also gets the zero-based place of the item.
+    """
     rows = F.transform(F.coalesce(V.elements(doc, path), _none()), build)
     return F.array_compact(rows)
 
@@ -37,8 +34,8 @@ def fan_out_keys(doc: Column, path: str, build: Callable[[Column, Column], Colum
     return F.coalesce(F.array_compact(rows), _none())
 
 
-def fan_out_nested(doc: Column, path: str, rows_of: Callable[[Column], Column]) -> Column:
-    """The rows of all items in one list, where each item gives a list of rows itself."""
+def fan_out_nested(doc: Column, path: str, rows_of: Callable[..., Column]) -> Column:
+    """The rows of all items in one list, where each item gives a list of rows itself; with places as in ``fan_out``."""
     nested = F.transform(F.coalesce(V.elements(doc, path), _none()), rows_of)
     return F.flatten(F.array_compact(nested))
 
@@ -55,10 +52,10 @@ def either(*branches: Column) -> Column:
 
 def first_layout(*branches: Column) -> Column:
     """Rows of the first layout that has any."""
-    chosen = _none()
-    for branch in reversed(branches):
-        chosen = V.let(branch, lambda found, rest=chosen: F.when(F.size(found) > 0, found).otherwise(rest))
-    return chosen
+    if not branches:
+        return _none()
+    rest = first_layout(*branches[1:])
+    return V.let(branches[0], lambda found: F.when(F.size(found) > 0, found).otherwise(rest))
 
 
 def dispatch(value: Column, branches: dict[str, Column]) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pulsegrain.functions import scalars as S
 from pulsegrain.functions import variants as V
-from pulsegrain.operators import documents as D
 from pulsegrain.operators import routing as R
 from pulsegrain.plans import interfaces
 from pulsegrain.plans.catalog_documents import as_messages, event_messages, table, widen

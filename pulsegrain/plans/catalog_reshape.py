@@ -64,10 +64,10 @@ def nested_grid(spark, sf_dir):
 
     def transform(doc: Column) -> Column:
         def line(part: Column, i: Column) -> Column:
-            return F.transform(V.elements(part, "$.cells"), lambda item, j: V.row_of({
+            return R.fan_out(part, "$.cells", lambda item, j: V.row_of({
                 "name": V.get(doc, "$.name"), "i": i, "j": j, "a": V.get(item, "$.a"), "b": V.get(item, "$.b"),
             }))
-        return F.flatten(F.transform(V.elements(doc, "$.grid"), line))
+        return R.fan_out_nested(doc, "$.grid", line)
 
     return _read(_rows(messages, transform), name="string", i="int", j="int", a="bigint", b="int")
 
@@ -107,7 +107,7 @@ def layout_union(spark, sf_dir):
     def transform(doc: Column) -> Column:
         place = Place(doc)
         state = place.at("order", "state")
-        return R.either(
+        return R.first_layout(
             F.when(V.has_value(place.at("price/total").value), F.array(
                 row(doc, "flat", place.at("cust-key").value, place.at("price/total").value))),
             F.when(state.is_object, F.array(row(doc, "deep", state.at("cust").value, state.at("price").value))),
@@ -170,6 +170,21 @@ def multi_source_list(spark, sf_dir):
     )
 
 
+def typed_rows(spark, sf_dir):
+    """The same reshaping outside the dataflow: a document column to table rows."""
+    document = F.parse_json(F.to_json(F.struct("c_custkey", F.split("c_name", "#").alias("parts"))))
+    docs = table(spark, sf_dir, "customer").select(document.alias("doc"))
+    rows = R.explode_rows(docs, R.fan_out(F.col("doc"), "$.parts", lambda part, place: F.when(place > 0, V.row_of({
+        "digits": part, "number": S.to_long(part), "half": S.divide_and_round(
+            1, part, F.parse_json(F.lit("2"))), "float": S.to_double(part), "flag": S.to_boolean(V.variant(F.lit("true"))),
+    }))), V.read(F.col("doc"), "$.c_custkey", "bigint").alias("id"))
+    row = F.col("row")
+    return rows.select("id", V.text(row, "$.digits").alias("digits"), *[
+        V.read(row, f"$.{name}", kind).alias(name)
+        for name, kind in (("number", "bigint"), ("half", "double"), ("float", "double"), ("flag", "boolean"))
+    ])
+
+
 def cardinality_one(spark, sf_dir):
     """A list gives its first item, a scalar stays; and the last item of a list."""
     document = F.struct("c_custkey", F.array("c_name", "c_mktsegment").alias("list"), F.col("c_mktsegment").alias("scalar"))
@@ -284,7 +299,7 @@ def matched_but_empty(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         order_fanout, nested_grid, parent_and_child_rows, layout_union, object_keys_explode, merge_key_list, enum_map,
-        multi_source_list, cardinality_one, split_tokens, null_holes, defaults_overwrite_remove, rename_keep_rest,
+        multi_source_list, typed_rows, cardinality_one, split_tokens, null_holes, defaults_overwrite_remove, rename_keep_rest,
         value_dispatch, path_filters, matched_but_empty,
     )
 }
@@ -324,6 +339,10 @@ SQL = {
                     ELSE o_orderstatus || '+' || o_orderpriority END AS target,
                CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS copy
         FROM orders""",
+    "typed_rows": """
+        SELECT c_custkey AS id, split_part(c_name, '#', 2) AS digits, CAST(split_part(c_name, '#', 2) AS BIGINT) AS number,
+               CAST(split_part(c_name, '#', 2) AS DOUBLE) / 2 AS half, CAST(split_part(c_name, '#', 2) AS DOUBLE) AS "float",
+               TRUE AS flag FROM customer""",
     "cardinality_one": """
         SELECT c_custkey AS id, c_name AS first, c_mktsegment AS same, c_mktsegment AS last, c_mktsegment AS kept
         FROM customer""",
