@@ -213,7 +213,7 @@ def counter_late_fold(spark, sf_dir):
 
 def interface_layouts(spark, sf_dir):
     """Interface messages of three device layouts, made from orders, to rows with differences."""
-    orders = widen(table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = widen(table(spark, sf_dir, "orders"))
     number = F.col("o_orderkey")
     millis = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.pmod(number, F.lit(60_000)) * 1000
     octets = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
@@ -284,7 +284,7 @@ def _end_to_end_app() -> App:
 
 def dataflow_end_to_end(spark, sf_dir):
     """Parse, gate, decode, route, fan out, count, and emit, with discards and dead letters."""
-    events = widen(table(spark, sf_dir, "events"), "event_id")
+    events = widen(table(spark, sf_dir, "events"))
     kind = F.col("event_type")
     parts = F.array(*[
         F.struct(

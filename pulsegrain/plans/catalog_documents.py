@@ -23,11 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def widen(df: DataFrame, key: str) -> DataFrame:
+def widen(df: DataFrame) -> DataFrame:
     """Spread a table that is too small to give every core a split; any larger one is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     small = estimated_bytes(df) < cores * 16 * 2**20
-    return df.repartition(cores, key) if small and len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if small and len(df.inputFiles()) < cores else df
 
 
 def as_messages(df: DataFrame, key: Column, document: Column, timestamp: Column, offset: Column) -> DataFrame:
@@ -40,7 +40,7 @@ def as_messages(df: DataFrame, key: Column, document: Column, timestamp: Column,
 
 def event_messages(spark: SparkSession, sf_dir: str, **fields: Column) -> DataFrame:
     """Every event as a JSON message; further fields are added to the document."""
-    events = widen(table(spark, sf_dir, "events"), "event_id")
+    events = widen(table(spark, sf_dir, "events"))
     document = F.to_json(F.struct(
         F.col("event_id").alias("id"), F.col("user_id").alias("node"), F.col("event_type").alias("kind"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("t"),

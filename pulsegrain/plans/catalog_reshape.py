@@ -26,13 +26,13 @@ def _read(rows: DataFrame, **fields: str) -> DataFrame:
 
 
 def _table_messages(spark, sf_dir, name: str, key: str, document: Column) -> DataFrame:
-    rows = widen(table(spark, sf_dir, name), key)
+    rows = widen(table(spark, sf_dir, name))
     return as_messages(rows, F.col(key), F.to_json(document), F.lit(0).cast("timestamp"), F.col(key))
 
 
 def order_fanout(spark, sf_dir):
     """Each line item as a message with a list of amounts; the header fields go to every amount."""
-    lines = widen(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = widen(table(spark, sf_dir, "lineitem"))
     amounts = F.array(*[
         F.struct(F.lit(name).alias("name"), F.col(f"l_{name}").alias("value"))
         for name in ("quantity", "extendedprice", "discount", "tax")
