@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrain.llm import chat, packing
+from pulsegrain.llm import chat, extract, packing, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +22,30 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back by byte ranges."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_extraction": op3_html_extraction,
+    "op4_warc": op4_warc,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_warc": """
+        SELECT page_id, payload_bytes, payload_digest, url,
+               CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+        FROM (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first
+              FROM (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                           sha256(coalesce(html, '')) AS payload_digest FROM pages))
+    """,
+}
