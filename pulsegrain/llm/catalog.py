@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrain.llm import chat, extract, packing, warc
+from pulsegrain.llm import chat, extract, mixing, packing, simhash, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,11 +32,23 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("payload")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_html_extraction": op3_html_extraction,
     "op4_warc": op4_warc,
+    "op6_mixing": op6_mixing,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -48,4 +60,5 @@ SQL: dict[str, str] = {
               FROM (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                            sha256(coalesce(html, '')) AS payload_digest FROM pages))
     """,
+    "op6_mixing": mixing.MIX_SQL,
 }
