@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrain.llm import chat, extract, mixing, packing, simhash, warc
+from pulsegrain.llm import chat, extract, mixing, packing, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model that learned from its labelled rows."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -49,6 +54,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op6_mixing": op6_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
