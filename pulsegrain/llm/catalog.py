@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrain.llm import chat, extract, mixing, packing, simhash, toxicity, warc
+from pulsegrain.llm import chat, extract, mixing, packing, pii, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -54,6 +59,7 @@ QUERIES = {
     "op4_warc": op4_warc,
     "op6_mixing": op6_mixing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
 
