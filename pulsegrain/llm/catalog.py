@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsegrain.llm import chat, extract, mixing, packing, pii, simhash, toxicity, warc
+from pulsegrain.llm import chat, extract, mixing, packing, pii, quality, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,12 +52,18 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base figures of every document and whether its tokeniser fertility is that of its language."""
+    return quality.judge(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_html_extraction": op3_html_extraction,
     "op4_warc": op4_warc,
     "op6_mixing": op6_mixing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
