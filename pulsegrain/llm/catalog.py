@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from pulsegrain.llm import chat, extract, mixing, neighbours, packing, pii, quality, simhash, toxicity, warc
 
 
@@ -73,6 +74,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {

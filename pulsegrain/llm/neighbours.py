@@ -266,8 +266,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
         return pd.DataFrame({"id": ids, "near": [ids[row[row >= 0]] for row in lists]})
 
     tasks = max(1, -(-total // cluster_size))
-    parts = assigned.repartition(tasks, "cluster")
-    lists = stored(parts.groupBy("cluster").applyInPandas(graph, "id bigint, near array<bigint>"), "near-graphs")
+    parts = assigned.repartition(tasks, "label", "cluster")
+    lists = stored(parts.groupBy("label", "cluster").applyInPandas(graph, "id bigint, near array<bigint>"), "near-graphs")
     united = lists.select("id", F.explode("near").alias("n")).groupBy("id").agg(F.collect_set("n").alias("near"))
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -289,7 +289,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
         degrees = owned_degrees(x, roots, ranked, own, pdf["copies"].to_numpy(), threshold)
         return pd.DataFrame({"id": ids, "links": degrees, "root": ids[roots]})
 
-    found = stored(assigned.join(united, "id", "left").repartition(tasks, "cluster").groupBy("cluster").applyInPandas(
+    found = stored(assigned.join(united, "id", "left").repartition(tasks, "label", "cluster").groupBy("label", "cluster").applyInPandas(
         walk, "id bigint, links bigint, root bigint"), "near-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts_of = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "near-components").withColumnRenamed("v", "id")

@@ -193,3 +193,19 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     named = classes.join(of_print, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """The rows of docs whose doc_id is the smallest of their component, one for each doc_id, with all their columns.
+
+    Of rows that repeat a doc_id the one with the smallest hash of its values stays. Rows without a doc_id cannot be told
+    apart by it and stay.
+    """
+    found = stored(near_duplicates(docs, distance).where("doc_id IS NOT NULL"), "simhash-found")
+    dropped = stored(found.where("doc_id != component_id").select("doc_id").distinct(), "simhash-dropped")
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "simhash-repeated")
+    names = [F.col(f"`{n}`") for n in docs.columns]
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*names)
+    row = F.struct(*names)
+    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*names)).alias("_row")).select("_row.*")
+    return kept.join(repeated, "doc_id", "left_anti").select(*names).union(one)
