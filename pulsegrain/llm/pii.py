@@ -234,16 +234,17 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     good = accepted(docs.select(spans(F.col("text")).alias("spans")))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    own = decided(spans(F.col("text")), good)
+    wrapped = docs.select(
+        F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), F.col("text").alias("text"),
+        decided(spans(F.col("text")), good).alias("found"))
 
     def put(state: Column, s: Column) -> Column:
-        new = s["start"] >= state["at"]
         piece = F.substr(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        return F.struct(
-            F.greatest(state["at"], s["stop"]).alias("at"),
-            F.when(new, F.concat(state["out"], F.array(piece, F.element_at(names, s["kind"] + 1)))).otherwise(state["out"]).alias("out"))
+        out = F.when(s["start"] >= state["at"], F.concat(state["out"], F.array(piece, F.element_at(names, s["kind"] + 1))))
+        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), out.otherwise(state["out"]).alias("out"))
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-    text = F.aggregate("_pii", start, put, lambda s: F.concat(
+    text = F.aggregate("found", start, put, lambda s: F.concat(
         F.array_join(s["out"], ""), F.substr(F.col("text"), (s["at"] + 1).cast("int"))))
-    return docs.withColumn("_pii", own).withColumn("text", F.when(F.size("_pii") > 0, text).otherwise(F.col("text"))).drop("_pii")
+    clean = F.when(F.size("found") > 0, text).otherwise(F.col("text"))
+    return wrapped.select(*[clean.alias(n) if n == "text" else F.col("row").getField(n).alias(n) for n in docs.columns])

@@ -207,5 +207,5 @@ def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     names = [F.col(f"`{n}`") for n in docs.columns]
     kept = docs.join(dropped, "doc_id", "left_anti").select(*names)
     row = F.struct(*names)
-    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*names)).alias("_row")).select("_row.*")
+    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row")).select("_row.*")
     return kept.join(repeated, "doc_id", "left_anti").select(*names).union(one)

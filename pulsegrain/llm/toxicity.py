@@ -297,33 +297,32 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, most_te
 # ---- scoring --------------------------------------------------------------------------------------------------------
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and a score from 0 to 1; the text alone decides it, null counts as empty.
+    """Every row of ``docs`` as a struct ``row`` with a score from 0 to 1; the text alone decides it, null counts as empty.
 
-    Texts are read whole and row by row. ``docs`` must not have a column named toxicity_score. An empty table gives none.
+    Texts are read whole and row by row; other columns may have any name. An empty table gives no rows.
     """
-    columns = [f"`{n}`" for n in docs.columns]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, kept = per_worker(("lexicon", *model.words.items(), "-", *model.beginnings.items()), lambda: (Lexicon(model.words, model.beginnings), {}))
         bias, *weights = model.weights
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            z = [bias + sum(w * v for w, v in zip(weights, features(t.as_py() or "", lexicon, kept))) for t in texts]
-            score = pa.array(1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30))))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], schema=pa.schema([*list(batch.schema)[:-1], pa.field("toxicity_score", pa.float64())]))
+            z = [bias + sum(w * v for w, v in zip(weights, features(t.as_py() or "", lexicon, kept))) for t in batch.column(1)]
+            score = pa.array(1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30))), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), score], schema=pa.schema([batch.schema.field(0), pa.field("score", pa.float64())]))
 
-    inner = docs.select(*[F.col(c) for c in columns], F.col("text").alias("_text_to_score"))
-    schema = StructType([*docs.schema.fields, StructField("toxicity_score", DoubleType())])
-    return inner.mapInArrow(run, schema)
+    inner = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
+    return inner.mapInArrow(run, StructType([inner.schema["row"], StructField("score", DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of docs, by a model trained on its labelled rows."""
-    found = scores(docs.select("doc_id", "text"), train(docs, labels)).select("doc_id", F.col("toxicity_score").alias("score"))
+    """doc_id, held_out, score and predicted of every row of docs, by a model trained on its labelled rows.
+
+    A null doc_id has no label and is not held out. Repeated rows are scored each for itself.
+    """
+    found = scores(docs.select("doc_id", "text"), train(docs, labels)).select("row.doc_id", "score")
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, with their columns."""
-    return scores(docs, train(docs, labels)).where("toxicity_score < 0.5").drop("toxicity_score")
+    return scores(docs, train(docs, labels)).where("score < 0.5").select("row.*")
