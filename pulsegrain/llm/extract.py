@@ -89,7 +89,8 @@ def blocks(html: str) -> list[Block]:
     """
     out: list[Block] = []
     held: list[str] = []
-    stack: list[tuple[str, str]] = []
+    # Name and role of open elements; a skipped one inside a line keeps the text that stands before it.
+    stack: list[tuple[str, str, list[str] | None]] = []
     depth: dict[str, int] = {}
     role, at, end = OPEN, 0, len(html)
 
@@ -102,10 +103,14 @@ def blocks(html: str) -> list[Block]:
     def close(tag: str) -> None:
         nonlocal role
         while stack:
-            name, _ = stack.pop()
+            name, _, before = stack.pop()
             depth[name] -= 1
+            if before is not None:
+                flush()
+                held.extend(before)
             if name == tag:
                 break
+            role = stack[-1][1] if stack else OPEN
         role = stack[-1][1] if stack else OPEN
 
     while at < end:
@@ -141,23 +146,29 @@ def blocks(html: str) -> list[Block]:
         if ending:
             if depth.get(tag):
                 # What is held belongs to the element that ends.
-                if role != (stack[-2][1] if len(stack) > 1 else OPEN):
+                if stack[-1][2] is None and role != (stack[-2][1] if len(stack) > 1 else OPEN):
                     flush()
                 close(tag)
         elif tag not in _VOID:
-            new = _role(tag, attributes, role)
-            if new != role:
+            new, before = _role(tag, attributes, role), None
+            if new == SKIP != role and tag not in _BLOCK:
+                before = held.copy()
+                held.clear()
+            elif new != role:
                 flush()
-            stack.append((tag, new))
+            stack.append((tag, new, before))
             depth[tag] = depth.get(tag, 0) + 1
             role = new
     flush()
+    while stack:
+        close(stack[-1][0])
+        flush()
     return out
 
 
-def _nested(stack: list[tuple[str, str]], tag: str) -> bool:
+def _nested(stack: list[tuple], tag: str) -> bool:
     """Whether a list or table was opened inside the last open ``tag``."""
-    for name, _ in reversed(stack):
+    for name, *_ in reversed(stack):
         if name == tag:
             return False
         if name in ("ul", "ol", "menu", "table"):
@@ -180,8 +191,8 @@ def covered(tokens: np.ndarray, pages: np.ndarray, least: int = LEAST_REPEAT) ->
     while have < least:
         step = min(have, least - have)
         after = np.full(n, -1, np.int64)
-        after[:n - step] = rank[step:]
-        after[:n - step][pages[:n - step] != pages[step:]] = -1
+        m = max(0, n - step)
+        after[:m] = np.where(pages[:m] == pages[step:], rank[step:], -1)
         rank = np.unique(rank * (n + 1) + after + 1, return_inverse=True)[1].astype(np.int64)
         have += step
     last = np.searchsorted(pages, pages, "right")
@@ -211,13 +222,15 @@ def main_texts(htmls: list[str], least: int = LEAST_REPEAT, share: float = COVER
     spans: dict[tuple, list[tuple[int, int]]] = {}
     keys = []
     for page in parsed:
-        key = tuple((b.role, b.text) for b in page if b.role != MAIN)
+        key = tuple((b.role, b.text) for b in page)
         keys.append(key)
         if key in spans:
             continue
         own = spans[key] = []
         number = len(spans)
-        for _, text in key:
+        for role, text in key:
+            if role == MAIN:
+                continue
             ids = [numbers.setdefault(w, len(numbers)) for w in text.split()]
             own.append((len(tokens), len(tokens) + len(ids)))
             tokens += ids
