@@ -63,10 +63,13 @@ class Lexicon:
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[float] = [0.0]
         self.opens: list[float] = [0.0]
+        self.nears: list[float] = [0.0]
         self.fuzzy: list[bool] = [False]
         for entry, weight in words.items():
-            self.ends[self._add(entry)] = weight
+            node = self._add(entry)
+            self.ends[node] = weight
             if len(entry) >= LEAST_FUZZY:
+                self.nears[node] = weight
                 self._mark(entry)
         for entry, weight in beginnings.items():
             self.opens[self._add(entry)] = weight
@@ -82,7 +85,7 @@ class Lexicon:
         for c in entry:
             if c not in self.children[node]:
                 self.children[node][c] = len(self.children)
-                for column, value in ((self.children, {}), (self.ends, 0.0), (self.opens, 0.0), (self.fuzzy, False)):
+                for column, value in ((self.children, {}), (self.ends, 0.0), (self.opens, 0.0), (self.nears, 0.0), (self.fuzzy, False)):
                     column.append(value)
             node = self.children[node][c]
         return node
@@ -115,7 +118,7 @@ class Lexicon:
             self.steps.append({})
             opened = max([self.opens[n] for n, e in members if e == 0], default=0.0)
             exact = max([opened, *(self.ends[n] for n, e in members if e == 0)])
-            near = max([self.ends[n] for n, e in members if e > 0 and self.fuzzy[n]], default=0.0)
+            near = max([self.nears[n] for n, e in members if e > 0], default=0.0)
             self.result.append(exact or -near)
             self.final.append(opened > 0 or not members)
         return self.states[members]
