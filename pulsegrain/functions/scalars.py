@@ -12,7 +12,7 @@ from pulsegrain.functions import variants as V
 
 # Forms of time text. An instant needs seconds and a zone.
 _INSTANT = r"^[+-]?\d{4,6}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{0,9})?(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"
-_WHOLE = r"^[+-]?[0-9]{1,37}$"
+_WHOLE = r"^[+-]?[0-9]+$"
 
 
 def parse_text(value: Column) -> Column:
@@ -46,8 +46,9 @@ def _each(value: Column, change) -> Column:
 
 
 def whole_text(digits: Column) -> Column:
-    """DECIMAL(38,0) of integer text of up to 37 digits; NULL for anything else."""
-    return F.when(digits.rlike(_WHOLE), digits.try_cast("decimal(38,0)"))
+    """Integer text of any length in one form, without plus and leading zeros; NULL for anything else."""
+    bare = F.regexp_replace(digits, r"^([+-]?)0*([0-9]+)$", "$1$2")
+    return F.when(digits.rlike(_WHOLE), F.when(bare == "-0", "0").otherwise(F.ltrim(bare, F.lit("+"))))
 
 
 def whole(value: Column) -> Column:
@@ -140,7 +141,13 @@ def smallest(items: Column) -> Column:
 
 
 def absolute(value: Column) -> Column:
-    return _each(value, lambda item: F.coalesce(V.variant(F.abs(as_long(item))), V.variant(F.abs(number(item)))))
+    """The smallest BIGINT has no positive twin of its kind; its absolute value is a DOUBLE."""
+    def one_of(item: Column) -> Column:
+        whole = as_long(item)
+        positive = F.when(whole >= 0, whole).otherwise(F.try_subtract(F.lit(0).cast("bigint"), whole))
+        return F.coalesce(V.variant(positive), V.variant(F.abs(number(item))))
+
+    return _each(value, one_of)
 
 
 def to_lower(value: Column) -> Column:
@@ -233,23 +240,33 @@ def squash_nulls(items: Column) -> Column:
 
 def squash_duplicates(items: Column) -> Column:
     """Items of a list without repeats, first ones kept; equality is that of their JSON text."""
-    return V.variant(
-        F.transform(
-            F.array_distinct(F.transform(V.elements(items), lambda item: F.to_json(item))),
-            lambda item: F.parse_json(item),
-        )
-    )
+    def distinct(pair: Column) -> Column:
+        return F.filter(pair["items"], lambda item, at: F.array_position(pair["texts"], F.get(pair["texts"], at)) == at + 1)
+
+    texts = F.transform(V.elements(items), lambda item: F.coalesce(F.to_json(item), F.lit("")))
+    return V.variant(V.let(F.struct(V.elements(items).alias("items"), texts.alias("texts")), distinct))
 
 
 def sort_list(items: Column) -> Column:
-    """Numbers in numeric order; a list with other scalars in text order."""
-    texts = _texts(items)
-    numeric = F.forall(V.elements(items), lambda item: number(item).isNotNull())
-    by_number = F.transform(
-        F.array_sort(F.transform(V.elements(items), lambda item: F.struct(number(item).alias("n"), V.text(item).alias("t")))),
-        lambda pair: F.parse_json(pair["t"]),
-    )
-    return F.when(numeric, V.variant(by_number)).otherwise(V.variant(F.array_sort(texts)))
+    """Numbers in numeric order; a list with other items in the order of their texts. Items stay as they are."""
+    def order(found: Column) -> Column:
+        numeric = F.forall(found, lambda item: number(item).isNotNull())
+        keys = F.transform(found, lambda item, at: F.struct(
+            F.when(numeric, number(item)).alias("number"), V.text(item).alias("text"), at.alias("at")))
+        by_key = F.array_sort(keys, lambda a, b: _compared(a, b))
+        return F.transform(by_key, lambda key: F.get(found, key["at"]))
+
+    return V.variant(V.let(V.elements(items), order))
+
+
+def _compared(a: Column, b: Column) -> Column:
+    """-1, 0 or 1 by number, text and place; an item without text comes last."""
+    def by(name: str, otherwise: Column) -> Column:
+        x, y = a[name], b[name]
+        return F.when(x.isNull() & y.isNull(), otherwise).when(x.isNull(), F.lit(1)).when(y.isNull(), F.lit(-1)).when(
+            x < y, F.lit(-1)).when(x > y, F.lit(1)).otherwise(otherwise)
+
+    return by("number", by("text", by("at", F.lit(0))))
 
 
 def is_null(value: Column) -> Column:

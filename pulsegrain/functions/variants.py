@@ -188,11 +188,11 @@ def drop(doc: Column, *names: str) -> Column:
 
 
 def rename(doc: Column, names: Mapping[str, str]) -> Column:
-    """Rename top-level fields and keep all others as they are."""
+    """Rename top-level fields and keep all others as they are; values that meet under one name become a list."""
     table = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
-    return F.to_variant_object(
-        F.transform_keys(fields(doc), lambda name, _: F.coalesce(F.try_element_at(table, name), name))
-    )
+    entries = F.transform(F.map_entries(fields(doc)), lambda entry: F.struct(
+        F.coalesce(F.try_element_at(table, entry["key"]), entry["key"]).alias("key"), entry["value"].alias("value")))
+    return let(entries, gathered)
 
 
 def put(doc: Column, values: Mapping[str, Column]) -> Column:
@@ -226,14 +226,18 @@ def put_default(doc: Column, values: Mapping[str, Column], over_null: bool = Fal
     return put(doc, wanted)
 
 
-def merge_objects(items: Column) -> Column:
-    """List of objects to one object; a repeated name collects its values in a list."""
-    def merged(entries: Column) -> Column:
-        def value_of(name: Column) -> Column:
-            found = F.transform(F.filter(entries, lambda entry: entry["key"] == name), lambda entry: entry["value"])
-            return let(found, lambda values: F.when(F.size(values) == 1, values[0]).otherwise(variant(values)))
+def gathered(entries: Column) -> Column:
+    """Entries (key, value) to one object; a repeated name collects its values in a list."""
+    def value_of(name: Column) -> Column:
+        found = F.transform(F.filter(entries, lambda entry: entry["key"] == name), lambda entry: entry["value"])
+        return let(found, lambda values: F.when(F.size(values) == 1, values[0]).otherwise(variant(values)))
 
-        names = F.array_distinct(F.transform(entries, lambda entry: entry["key"]))
-        return F.to_variant_object(F.map_from_arrays(names, F.transform(names, value_of)))
+    names = F.array_distinct(F.transform(entries, lambda entry: entry["key"]))
+    return F.to_variant_object(F.map_from_arrays(names, F.transform(names, value_of)))
 
-    return let(F.flatten(F.transform(items, lambda item: F.map_entries(fields(item)))), merged)
+
+def merge_objects(items: Column) -> Column:
+    """List of objects to one object; a repeated name collects its values in a list. Items that are no objects add nothing."""
+    none = F.array().cast("array<struct<key:string,value:variant>>")
+    entries = F.flatten(F.transform(items, lambda item: F.coalesce(F.map_entries(fields(item)), none)))
+    return let(entries, gathered)

@@ -12,6 +12,7 @@ position, which is unique.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,21 +24,23 @@ from pulsegrain.operators.documents import POSITION
 from pulsegrain.operators.fold import NOTHING, SAME, after, effect, step
 from pulsegrain.specs import App, NormalizeConfig
 
-RUN = ["tag", "entity", "origin", "partition", "run"]
-COUNTER = ["tag", "entity", "slot"]
+RUN = ["layer", "tag", "entity", "origin", "partition", "run"]
+COUNTER = ["layer", "tag", "entity", "slot"]
 
 # Outcomes are (value, time): no time at all means the state is as before, no value that it is empty.
 _EFFECT = (
-    "tag string, entity string, origin string, partition int, run bigint, slot int, uppers array<bigint>, "
+    "layer int, tag string, entity string, origin string, partition int, run bigint, slot int, uppers array<bigint>, "
     "outcomes array<string>, outcome_times array<bigint>, empty string, empty_time bigint"
 )
 _START = (
-    "tag string, entity string, origin string, partition int, run bigint, slot int, held string, held_time bigint"
+    "layer int, tag string, entity string, origin string, partition int, run bigint, slot int, held string, held_time bigint"
 )
-_DELTAS = "origin string, partition int, offset bigint, pos int, tag string, deltas array<bigint>"
+_DELTAS = "origin string, partition int, offset bigint, pos int, tag string, layer int, deltas array<bigint>"
 _EMPTIED = ("", 0)
 _UNCHANGED = (None, None)
 _BATCH = 5_000
+#: Offsets of a run.
+RUN_LENGTH = 100_000
 
 
 def _columns(schema: str) -> list[str]:
@@ -69,7 +72,7 @@ def _frames(rows: Iterator[tuple], schema: str) -> Iterator[pd.DataFrame]:
         yield frame()
 
 
-def _effects(heads: dict[str, list[int]], cutoff_ms: int):
+def _effects(heads: dict[tuple[int, str], list[int]], cutoff_ms: int):
     """One row per run and counter key: the effect of the run."""
     def told(readings: list[tuple[int, str]], index: int) -> tuple[str | None, int | None]:
         if index == SAME:
@@ -87,11 +90,11 @@ def _effects(heads: dict[str, list[int]], cutoff_ms: int):
         key, slots = None, {}
         for frame in frames:
             for row in frame.itertuples(index=False):
-                now = (row.tag, row.entity, row.origin, row.partition, row.run)
+                now = (row.layer, row.tag, row.entity, row.origin, row.partition, row.run)
                 if now != key:
                     yield from flush(key, slots)
                     key, slots = now, {}
-                for place, head in enumerate(heads[row.tag]):
+                for place, head in enumerate(heads[row.layer, row.tag]):
                     if row.texts[place] is not None:
                         slots.setdefault(head, []).append((int(row.ts_ms), row.texts[place]))
         yield from flush(key, slots)
@@ -105,10 +108,10 @@ def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, held = None, None
         for frame in frames:
             for row in frame.itertuples(index=False):
-                now = (row.tag, row.entity, row.slot)
+                now = (row.layer, row.tag, row.entity, row.slot)
                 if now != key:
                     key, held = now, None
-                yield (row.tag, row.entity, row.origin, row.partition, row.run, row.slot, *(held or (None, None)))
+                yield (row.layer, row.tag, row.entity, row.origin, row.partition, row.run, row.slot, *(held or (None, None)))
                 if held is None:
                     value, time = row.empty, row.empty_time
                 else:
@@ -121,51 +124,46 @@ def _starts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     return _frames(rows(), _START)
 
 
-def _differences(heads: dict[str, list[int]], kinds: dict[str, list[str]], config: NormalizeConfig):
+def _differences(heads: dict[tuple[int, str], list[int]], kinds: dict[tuple[int, str], list[str]], config: NormalizeConfig):
     """Play every run from the states it starts with; those come as leading rows of the run."""
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         key, states = None, {}
+        sys.set_int_max_str_digits(0)  # counters have any number of digits
         for frame in frames:
             for row in frame.itertuples(index=False):
-                now = (row.tag, row.entity, row.origin, row.partition, row.run)
+                now = (row.layer, row.tag, row.entity, row.origin, row.partition, row.run)
                 if now != key:
                     key, states = now, {}
                 if row.texts is None:
                     if row.held is not None:
                         states[int(row.slot)] = (int(row.held), int(row.held_time))
                     continue
-                deltas: list[int | None] = [None] * len(heads[row.tag])
-                for place, head in enumerate(heads[row.tag]):
+                deltas: list[int | None] = [None] * len(heads[row.layer, row.tag])
+                for place, head in enumerate(heads[row.layer, row.tag]):
                     if row.texts[place] is not None:
                         states[head], deltas[place] = step(
-                            states.get(head), int(row.texts[place]), int(row.ts_ms), kinds[row.tag][place], config)
-                yield (row.origin, row.partition, int(row.offset), int(row.pos), row.tag, deltas)
+                            states.get(head), int(row.texts[place]), int(row.ts_ms), kinds[row.layer, row.tag][place], config)
+                yield (row.origin, row.partition, int(row.offset), int(row.pos), row.tag, row.layer, deltas)
 
     return lambda frames: _frames(rows(frames), _DELTAS)
 
 
-def normalize_arrival(rows: DataFrame, app: App, run_length: int = 1_000_000) -> DataFrame:
-    """Add ``d<n>`` per layer in order of position. A run spans ``run_length`` offsets."""
-    for number, layer in enumerate(C.layers(app)):
-        heads = {p.tag: C._slot_heads(counters) for p, counters in layer.members}
-        kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
-        values = F.col(f"v{number}")
-        narrow = rows.where(
-            F.col(f"entity{number}").isNotNull() & F.exists(values, lambda value: value.isNotNull())
-        ).select(
-            "tag", F.col(f"entity{number}").alias("entity"), "origin", F.col("partition").cast("int").alias("partition"),
-            _run_of(F.col("offset"), run_length).alias("run"), "offset", "pos", "ts_ms",
-            values.cast("array<string>").alias("texts"),
-        )
-        effects = _grouped(narrow, RUN, ["offset", "pos"]).mapInPandas(
-            _effects(heads, app.normalize.cutoff_ms), _EFFECT)
-        starts = _grouped(effects, COUNTER, ["origin", "partition", "run"]).mapInPandas(_starts, _START)
-        # NULL offsets sort first, so a run's starting states come before its readings.
-        both = narrow.unionByName(starts, allowMissingColumns=True)
-        deltas = _grouped(both, RUN, ["offset", "pos"]).mapInPandas(
-            _differences(heads, kinds, app.normalize), _DELTAS)
-        rows = rows.join(deltas.withColumnRenamed("deltas", f"d{number}"), [*POSITION, "tag"], "left")
-    return rows
+def normalize_arrival(rows: DataFrame, app: App, run_length: int = RUN_LENGTH) -> DataFrame:
+    """Add ``d<n>`` per layer in order of position. A run spans ``run_length`` offsets; a task holds the readings of one
+    counter in one run at most, times and texts."""
+    found = C.layers(app)
+    if not found:
+        return rows
+    heads = {(n, p.tag): C.slot_heads(counters) for n, layer in enumerate(found) for p, counters in layer.members}
+    kinds = {(n, p.tag): [c.kind for c in counters] for n, layer in enumerate(found) for p, counters in layer.members}
+    narrow = C.narrow(rows, app).withColumns({
+        "partition": F.col("partition").cast("int"), "run": _run_of(F.col("offset"), run_length)})
+    effects = _grouped(narrow, RUN, ["offset", "pos"]).mapInPandas(_effects(heads, app.normalize.cutoff_ms), _EFFECT)
+    starts = _grouped(effects, COUNTER, ["origin", "partition", "run"]).mapInPandas(_starts, _START)
+    # NULL offsets sort first, so a run's starting states come before its readings.
+    both = narrow.unionByName(starts, allowMissingColumns=True)
+    deltas = _grouped(both, RUN, ["offset", "pos"]).mapInPandas(_differences(heads, kinds, app.normalize), _DELTAS)
+    return C.widened(rows, deltas, app)
 
 
 def _run_of(offset: Column, run_length: int) -> Column:

@@ -1,13 +1,13 @@
 """Counter normalisation: cumulative values of a row become differences to the value seen before.
 
-The rules are columns over one reading and the reading before it. The batch form finds the reading before with a
-window over the rows of an entity (all key parts but the constants) in order of the rows' own time. Every row keeps
-its counters side by side, so a row is shuffled once whatever the number of its counters.
-
-Skew. A reading older than the cache age never counts, so an entity's history is cut into pieces of several cache
-ages and the rows of the last cache age of a piece are copied, without their document, in front of the next one. The
-window's groups are then (entity, piece): bounded by how often one device reports within a piece, however large its
-share of the whole table is. Rows without counters get a group of their own by position.
+The rules are columns over one reading and the reading before it. Values are integer texts of any length. In order of the
+rows' own time the reading before is found by windows over positions, times and texts only; documents are joined to the
+differences by position.
+
+Skew. The order (entity, time, position) itself is cut into even ranges, wherever the cuts fall, so a range is no larger if one
+entity has a third of all rows, if a clock stands still or if a key part is missing. Inside a range a window finds the reading before.
+What it cannot find there, for the first readings of the entity that a cut runs through, comes from the last rows of the
+ranges before: only those few rows meet in a second window over the whole entity, all others are spread by position.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pulsegrain.operators.documents import COUNTERS, POSITION
 from pulsegrain.operators.predicates import predicate
 from pulsegrain.specs import App, CounterSpec, NormalizeConfig, Pipeline
 
-READING = "struct<v:decimal(38,0),ts:bigint>"
+READING = "struct<v:string,ts:bigint>"
 
 
 def _big(value: int) -> Column:
@@ -39,14 +39,34 @@ MAX_S64 = 2**63 - 1
 MAX_U64 = 2**64 - 1
 
 
-def signed64(value: Column) -> Column:
-    """BIGINT with the low 64 bits of a big integer, in two's complement."""
-    low = F.pmod(value, _big(2**64))
+def signed64(low: Column) -> Column:
+    """BIGINT with the low 64 bits of an integer, in two's complement."""
+    low = F.pmod(low, _big(2**64))
     return F.when(low > _big(MAX_S64), low - _big(2**64)).otherwise(low).cast("bigint")
 
 
+def low64(digits: Column) -> Column:
+    """The low 64 bits of integer text of any length, as DECIMAL(38,0) from 0 up; long texts nine digits at a time."""
+    bare = F.ltrim(digits, F.lit("-"))
+    width = F.ceil(F.length(bare) / F.lit(9)).cast("int") * 9
+    chunks = F.regexp_extract_all(F.lpad(bare, width, F.lit("0")), F.lit("[0-9]{9}"), F.lit(0))
+    folded = F.aggregate(
+        chunks, _big(0), lambda sum_, chunk: F.pmod(sum_ * F.lit(10**9).cast("decimal(10,0)") + chunk.cast("decimal(9,0)"), _big(2**64)).cast("decimal(38,0)"))
+    signed = F.when(digits.startswith("-"), -folded).otherwise(folded)
+    return F.pmod(F.when(F.length(digits) <= 37, digits.try_cast("decimal(38,0)")).otherwise(signed.cast("decimal(38,0)")), _big(2**64))
+
+
+def at_least(a: Column, b: Column) -> Column:
+    """Whether integer text ``a`` is no smaller than ``b``, by sign, length and digits."""
+    below, under = a.startswith("-"), b.startswith("-")
+    long_a, long_b = F.length(a), F.length(b)
+    above = (long_a > long_b) | ((long_a == long_b) & (a >= b))
+    deeper = (long_a < long_b) | ((long_a == long_b) & (a <= b))
+    return F.when(below != under, under).when(below, deeper).otherwise(above)
+
+
 def delta(kind: str | Column, value: Column, ts: Column, before: Column, config: NormalizeConfig) -> Column:
-    """Difference to the reading ``before`` (STRUCT v, ts; not later than ``ts``) or NULL.
+    """Difference to the reading ``before`` (STRUCT v, ts; not later than ``ts``) or NULL; values are integer texts.
 
     NULL: first sight, stale reading before, or reset. A smaller value counts as wrapped around if the difference over
     the end of the range is small and recent.
@@ -56,21 +76,24 @@ def delta(kind: str | Column, value: Column, ts: Column, before: Column, config:
     old, seen = before["v"], before["ts"]
     age = F.try_subtract(ts, seen)
     fresh = before.isNotNull() & (age <= config.cache_age_ms)
-    over32 = _big(MAX_U32) - old + value
-    over64 = F.when(old > _big(MAX_S64), _big(MAX_U64)).otherwise(_big(MAX_S64)) - old + value
-    # The limit is compared with the low bits read as a signed number, which for a limit below half the range
-    # is the same as comparing the low bits themselves.
-    wrapped = (
-        F.when((kind == "u32") & (F.pmod(over32, _big(2**32)) < _big(config.u32_limit)), over32)
-        .when((kind == "u64") & (F.pmod(over64, _big(2**64)) < _big(config.u64_limit)), over64)
-    )
+
+    def rest(low: Column) -> Column:
+        over32 = F.pmod(_big(MAX_U32) + low["diff"], _big(2**64))
+        over64 = F.pmod(F.when(at_least(F.lit(str(MAX_S64)), old), _big(MAX_S64)).otherwise(_big(MAX_U64)) + low["diff"], _big(2**64))
+        # The limit is compared with the low bits read as a signed number, which for a limit below half the range
+        # is the same as comparing the low bits themselves.
+        wrapped = (
+            F.when((kind == "u32") & (F.pmod(over32, _big(2**32)) < _big(config.u32_limit)), over32)
+            .when((kind == "u64") & (over64 < _big(config.u64_limit)), over64)
+        )
+        return F.when(at_least(value, old), signed64(low["diff"])).when(age <= config.wrap_time_ms, signed64(wrapped))
+
     # Both readings within 63 bits is the rule: subtract as BIGINT there.
     short, short_old = value.try_cast("bigint"), old.try_cast("bigint")
     return F.when(
         fresh & value.isNotNull(),
         F.when((short >= short_old) & (short_old >= 0), short - short_old)
-        .when(value >= old, signed64(value - old))
-        .when(age <= config.wrap_time_ms, signed64(wrapped)),
+        .otherwise(V.let(F.struct((low64(value) - low64(old)).cast("decimal(38,0)").alias("diff")), rest)),
     )
 
 
@@ -127,7 +150,7 @@ def counter_key(row: Column, counter: CounterSpec) -> Column:
 def read_counters(rows: DataFrame, app: App) -> DataFrame:
     """Check all counters of a row before any of them touches state.
 
-    Adds ``ts_ms`` and, per layer, ``entity<n>`` and ``v<n>`` (ARRAY<DECIMAL(38,0)>, NULL where a counter is absent
+    Adds ``ts_ms`` and, per layer, ``entity<n>`` and ``v<n>`` (ARRAY of integer texts, NULL where a counter is absent
     or does not match). A row with a bad value or time gets its ``error`` set and no readings.
     """
     row = F.col("row")
@@ -195,103 +218,105 @@ def read_counters(rows: DataFrame, app: App) -> DataFrame:
     )
 
 
-def _shared(layer: _Layer) -> bool:
-    """Some key is written by more than one counter of a pipeline."""
-    return any(_slot_heads(counters) != list(range(len(counters))) for _, counters in layer.members)
-
-
-def _slot_heads(counters: Sequence[CounterSpec]) -> list[int]:
+def slot_heads(counters: Sequence[CounterSpec]) -> list[int]:
     """For every counter the first place that has the same key."""
     first: dict[tuple, int] = {}
     return [first.setdefault(counter.slot, place) for place, counter in enumerate(counters)]
 
 
-def _reading(place: int, number: int) -> Column:
-    value = F.get(F.col(f"v{number}"), F.lit(place))
-    return F.when(value.isNotNull(), F.struct(value.alias("v"), F.col("ts_ms").alias("ts")))
+def narrow(rows: DataFrame, app: App) -> DataFrame:
+    """What normalisation needs, for all layers in one pass: tag, layer, entity, position, ts_ms and texts."""
+    sides = [
+        F.struct(F.lit(number).alias("layer"), F.col(f"entity{number}").alias("entity"), F.col(f"v{number}").alias("texts"))
+        for number in range(len(layers(app)))
+    ]
+    counted = F.filter(F.array(*sides), lambda side: side["entity"].isNotNull() & F.exists(side["texts"], lambda text: text.isNotNull()))
+    # The outer form, or the optimiser would evaluate the whole array once more as a filter.
+    return rows.select("tag", *POSITION, "ts_ms", F.explode_outer(counted).alias("side")).where(F.col("side").isNotNull()).select(
+        "tag", *POSITION, "ts_ms", "side.layer", "side.entity", "side.texts")
 
 
-def _last_of_slot(layer: _Layer, number: int, head: int) -> Column:
-    """The reading a row leaves behind for the key whose first counter is at ``head``."""
-    def choose(_, counters):
-        places = [p for p, first in enumerate(_slot_heads(counters)) if first == head]
-        if not places:
-            return F.lit(None).cast(READING)
-        return F.coalesce(*[_reading(place, number) for place in reversed(places)])
-
-    if not _shared(layer):
-        return _reading(head, number)
-    return _by_tag(layer, choose, F.lit(None).cast(READING))
-
-
-def _before(layer: _Layer, number: int, place: int) -> Column:
-    """The reading that counter ``place`` compares with: an earlier counter of the row itself, or the window's."""
-    def choose(_, counters):
-        if place >= len(counters):
-            return F.lit(None).cast(READING)
-        heads = _slot_heads(counters)
-        inside = [p for p in range(place) if heads[p] == heads[place]]
-        return F.coalesce(*[_reading(p, number) for p in reversed(inside)], F.col(f"_prev{heads[place]}"))
-
-    if not _shared(layer):
-        return F.col(f"_prev{place}")
-    return _by_tag(layer, choose, F.lit(None).cast(READING))
-
-
-def _cut(rows: DataFrame, number: int, config: NormalizeConfig) -> DataFrame:
-    """Give every row its piece and copy the tail of each piece, without documents, to the next."""
-    ts, length = F.col("ts_ms"), config.piece_ms
-    own = F.col(f"entity{number}").isNotNull() & F.exists(F.col(f"v{number}"), lambda value: value.isNotNull())
-    # Times at the very ends of the range have no piece start or no next piece; they are no reason to fail.
-    begin = F.try_subtract(ts, F.pmod(ts, F.lit(length)))
-    following = F.try_add(begin, F.lit(length))
-    piece = F.when(own, begin).otherwise(F.xxhash64(*POSITION))
-    home = F.struct(piece.alias("piece"), F.lit(False).alias("copy"))
-    ahead = F.struct(following.alias("piece"), F.lit(True).alias("copy"))
-    in_tail = own & following.isNotNull() & (F.pmod(ts, F.lit(length)) >= length - config.cache_age_ms)
-    placed = rows.select("*", F.explode_outer(F.when(in_tail, F.array(home, ahead)).otherwise(F.array(home))).alias("_at"))
-    keep = ~F.col("_at.copy")
-    light = {"row", "raw", "key"}
-    return placed.select(
-        *[F.when(keep, F.col(name)).alias(name) if name in light else F.col(name) for name in rows.columns],
-        F.col("_at.piece").alias("_piece"),
-        F.col("_at.copy").alias("_copy"),
-    )
+def widened(rows: DataFrame, deltas: DataFrame, app: App) -> DataFrame:
+    """Join differences (position, tag, layer, deltas) to their rows as ``d<n>`` per layer."""
+    keys, depth = [*POSITION, "tag"], len(layers(app))
+    if depth == 1:
+        wide = deltas.select(*keys, F.col("deltas").alias("d0"))
+    else:
+        wide = deltas.groupBy(*keys).agg(*[
+            F.first(F.when(F.col("layer") == number, F.col("deltas")), ignorenulls=True).alias(f"d{number}") for number in range(depth)])
+    return rows.join(wide, keys, "left")
 
 
-def normalize_batch(rows: DataFrame, app: App) -> DataFrame:
-    """Add ``d<n>`` (ARRAY<BIGINT>) per layer, in order of the rows' own time, position breaking ties.
+def _reading(place: int) -> Column:
+    value = F.get(F.col("texts"), F.lit(place))
+    return F.when(value.isNotNull(), F.struct(value.alias("v"), F.col("ts_ms").alias("ts")))
 
-    One exchange per layer, on (tag, entity, piece).
-    """
-    config = app.normalize
+
+def _choose(app: App, build, otherwise: Column) -> Column:
+    """A column by layer and tag out of ``build(counters)``."""
+    result = otherwise
     for number, layer in enumerate(layers(app)):
-        group = Window.partitionBy("tag", f"entity{number}", "_piece").orderBy("ts_ms", *POSITION)
-        past = group.rowsBetween(Window.unboundedPreceding, -1)
-        before_all = rows.columns
-        seen = _cut(rows, number, config).select(
-            "*",
-            *[
-                F.last(_last_of_slot(layer, number, place), ignorenulls=True).over(past).alias(f"_prev{place}")
-                for place in range(layer.width)
-            ],
-        )
-        rows = seen.where(~F.col("_copy")).select(*before_all, _deltas(layer, number, config).alias(f"d{number}"))
-    return rows
+        for pipeline, counters in layer.members:
+            mine = (F.col("layer") == number) & (F.col("tag") == F.lit(pipeline.tag))
+            result = F.when(mine, build(counters)).otherwise(result)
+    return result
 
 
-def _deltas(layer: _Layer, number: int, config: NormalizeConfig) -> Column:
-    """All differences of a row by one expression over (value, reading before, kind)."""
-    kinds = _by_tag(
-        layer,
-        lambda _, counters: F.array(*[F.lit(counter.kind) for counter in counters]),
-        F.lit(None).cast("array<string>"),
-    )
-    before = F.array(*[_before(layer, number, place) for place in range(layer.width)])
-    zipped = F.arrays_zip(F.col(f"v{number}").alias("v"), before.alias("before"), kinds.alias("kind"))
-    return F.transform(
-        zipped, lambda item: delta(item["kind"], item["v"], F.col("ts_ms"), item["before"], config)
-    )
+def _shared(app: App) -> bool:
+    """Some key is written by more than one counter of a pipeline."""
+    return any(slot_heads(c) != list(range(len(c))) for layer in layers(app) for _, c in layer.members)
+
+
+def normalize_time(rows: DataFrame, app: App, ranges: int | None = None) -> DataFrame:
+    """Add ``d<n>`` (ARRAY<BIGINT>) per layer, in order of the rows' own time, position breaking ties.
+
+    The same plan at every size: one sort into ranges and two windows over the narrow rows of all layers, then one join. ``ranges``
+    is the number of cuts (default: the session's shuffle partitions).
+    """
+    found = layers(app)
+    if not found:
+        return rows
+    config, places, none = app.normalize, range(max(layer.width for layer in found)), F.lit(None).cast(READING)
+    shared = _shared(app)
+
+    def left(place: int) -> Column:
+        """The reading a row leaves behind for the key whose first counter is at ``place``."""
+        def last(counters: Sequence[CounterSpec]) -> Column:
+            mine = [p for p, head in enumerate(slot_heads(counters)) if head == place]
+            return F.coalesce(*[_reading(p) for p in reversed(mine)]) if mine else none
+        return _choose(app, last, none) if shared else _reading(place)
+
+    def before(place: int) -> Column:
+        """The reading that counter ``place`` compares with: an earlier counter of the row itself, or the windows'."""
+        def one(counters: Sequence[CounterSpec]) -> Column:
+            if place >= len(counters):
+                return none
+            heads = slot_heads(counters)
+            inside = [p for p in range(place) if heads[p] == heads[place]]
+            return F.coalesce(*[_reading(p) for p in reversed(inside)], F.col(f"_prev{heads[place]}"))
+        return _choose(app, one, none) if shared else F.col(f"_prev{place}")
+
+    entity, order = ["layer", "tag", "entity"], ["ts_ms", *POSITION]
+    plain = narrow(rows, app)
+    cut = (plain.repartitionByRange(ranges, *entity, *order) if ranges else plain.repartitionByRange(*entity, *order)).withColumn(
+        "_range", F.spark_partition_id())
+    near = Window.partitionBy("_range", *entity).orderBy(*order)
+    past = near.rowsBetween(Window.unboundedPreceding, -1)
+    inside = cut.withColumns({f"_left{p}": left(p) for p in places}).withColumns(
+        {f"_prev{p}": F.last(f"_left{p}", ignorenulls=True).over(past) for p in places} | {"_end": F.lead(F.lit(1)).over(near).isNull()})
+    waits = reduce(lambda a, b: a | b, [F.col(f"_left{p}").isNotNull() & F.col(f"_prev{p}").isNull() for p in places])
+    # Rows that wait for an earlier range, and the last rows of an entity in its ranges, meet by entity.
+    spread = inside.withColumn("_meet", F.when(waits | F.col("_end"), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*POSITION)))
+    far = Window.partitionBy(*entity, "_meet").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    settled = spread.withColumns({
+        f"_carry{p}": F.last(F.when(F.col("_end"), F.coalesce(f"_left{p}", f"_prev{p}")), ignorenulls=True).over(far) for p in places
+    }).withColumns({f"_prev{p}": F.coalesce(f"_prev{p}", f"_carry{p}") for p in places})
+    kinds = _choose(app, lambda counters: F.array(*[F.lit(c.kind) for c in counters]), F.lit(None).cast("array<string>"))
+    zipped = F.arrays_zip(
+        F.col("texts").alias("v"), F.array(*[before(p) for p in places]).alias("before"), kinds.alias("kind"))
+    deltas = F.transform(
+        F.slice(zipped, 1, F.size("texts")), lambda item: delta(item["kind"], item["v"], F.col("ts_ms"), item["before"], config))
+    return widened(rows, settled.select(*POSITION, "tag", "layer", deltas.alias("deltas")), app)
 
 
 def write_counters(rows: DataFrame, app: App) -> DataFrame:

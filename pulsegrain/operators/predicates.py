@@ -44,7 +44,10 @@ def equals(doc: Column, path: str, literal: Any) -> Column:
         same = (V.read(doc, path, "boolean") == F.lit(literal)) & (kind == "BOOLEAN")
     elif isinstance(literal, str):
         same = (V.text(doc, path) == F.lit(literal)) & (kind == "STRING")
-    elif isinstance(literal, int) and abs(literal) < 10**38:
+    elif isinstance(literal, int):
+        if abs(literal) >= 10**38:
+            # Numbers of more digits lose them when a document is parsed, so equality could not be told.
+            raise BadSpec(f"an integer of more than 38 digits cannot be compared: {literal}")
         exact = F.lit(str(literal)).cast("decimal(38,0)")
         same = (
             (V.read(doc, path, "decimal(38,0)") == exact)

@@ -11,7 +11,7 @@ from pulsegrain.functions import scalars as S
 from pulsegrain.functions import variants as V
 from pulsegrain.operators import routing as R
 from pulsegrain.plans import interfaces
-from pulsegrain.plans.catalog_documents import as_messages, event_messages, table, widen
+from pulsegrain.plans.catalog_documents import as_messages, event_messages, table
 from pulsegrain.plans.pipeline import run
 from pulsegrain.session import checkpoint_root
 from pulsegrain.sources.readers import MESSAGE_SCHEMA, stored_stream
@@ -37,10 +37,14 @@ def _set(*names: str, kind: str, time: TimeRule = TimeRule("$.t", "EpochMilli"),
 
 
 def _config(**limits) -> NormalizeConfig:
-    base = dict(cache_age_ms=7 * DAY, wrap_time_ms=3 * DAY, cutoff_ms=DAY, state_ttl_ms=30 * DAY, piece_ages=1)
+    base = dict(cache_age_ms=7 * DAY, wrap_time_ms=3 * DAY, cutoff_ms=DAY, state_ttl_ms=30 * DAY)
     return NormalizeConfig(**{**base, **limits})
 
 
+def _timed(messages: DataFrame, app: App) -> DataFrame:
+    return run(messages, app, order="time")
+
+
 def _app(counters: CounterSet, config: NormalizeConfig, match=None) -> App:
     return App([Pipeline("c", "counted", match or {"jsonpath": "$.node"}, None, counters)], normalize=config)
 
@@ -58,7 +62,7 @@ def counter_delta_u32(spark, sf_dir):
         spark, sf_dir, a=_rising(39_916, 2**32),
         b=F.when(F.col("event_type") != "view", _rising(71, 2**32).cast("string")),
     )
-    return _values(run(messages, _app(_set("a", "b", kind="u32"), _config(u32_limit=2**31 - 1))), "a", "b")
+    return _values(_timed(messages, _app(_set("a", "b", kind="u32"), _config(u32_limit=2**31 - 1))), "a", "b")
 
 
 def counter_dense(spark, sf_dir):
@@ -70,12 +74,12 @@ def counter_dense(spark, sf_dir):
         b=F.when(F.col("event_id") % 3 == 0, _rising(71, 2**32)))
     counters = CounterSet(TimeRule("$.own", "EpochMilli"), tuple(
         CounterSpec((KeyPart(path="$.who"), KeyPart(constant=name)), "u32", f"$.{name}") for name in ("a", "b")))
-    return _values(run(messages, _app(counters, _config(u32_limit=2**31 - 1)), order="dense"), "a", "b")
+    return _values(_timed(messages, _app(counters, _config(u32_limit=2**31 - 1))), "a", "b")
 
 
 def counter_wrap_u32(spark, sf_dir):
     messages = event_messages(spark, sf_dir, a=_rising(2_039_916, 2**32))
-    return _values(run(messages, _app(_set("a", kind="u32"), _config(u32_limit=2_000_000_000))), "a")
+    return _values(_timed(messages, _app(_set("a", kind="u32"), _config(u32_limit=2_000_000_000))), "a")
 
 
 def counter_wrap_u64(spark, sf_dir):
@@ -84,20 +88,20 @@ def counter_wrap_u64(spark, sf_dir):
         spark, sf_dir, a=_rising(7_349_874_591_868_649, 2**64).cast("string"),
         b=_rising(3_674_937_295_934_324, 2**63).cast("string"),
     )
-    return _values(run(messages, _app(_set("a", "b", kind="u64"), _config(u64_limit=2**62))), "a", "b")
+    return _values(_timed(messages, _app(_set("a", "b", kind="u64"), _config(u64_limit=2**62))), "a", "b")
 
 
 def counter_reset(spark, sf_dir):
     """A counter that starts again far from the end of its range."""
     messages = event_messages(spark, sf_dir, a=_rising(40_503, 3_000_000))
-    return _values(run(messages, _app(_set("a", kind="u64"), _config(u64_limit=10_000_000))), "a")
+    return _values(_timed(messages, _app(_set("a", kind="u64"), _config(u64_limit=10_000_000))), "a")
 
 
 def counter_stale(spark, sf_dir):
-    """Readings older than the cache age do not count; the history is cut into many pieces."""
+    """Readings older than the cache age do not count; whatever their number."""
     messages = event_messages(spark, sf_dir, a=F.col("event_id"))
     config = _config(cache_age_ms=6 * HOUR, wrap_time_ms=HOUR)
-    return _values(run(messages, _app(_set("a", kind="u64"), config)), "a")
+    return _values(_timed(messages, _app(_set("a", kind="u64"), config)), "a")
 
 
 def counter_time_local(spark, sf_dir):
@@ -108,7 +112,7 @@ def counter_time_local(spark, sf_dir):
     )
     counters = CounterSet(TimeRule("$.local", "RFC2822"), (
         CounterSpec((KeyPart(path="$.node"), KeyPart(constant="o")), "u64", "$.s.deep.octets"),))
-    out = run(messages, _app(counters, _config(cache_age_ms=12 * HOUR, wrap_time_ms=HOUR)))
+    out = _timed(messages, _app(counters, _config(cache_age_ms=12 * HOUR, wrap_time_ms=HOUR)))
     return out.where(F.col("topic") == "counted").select(
         F.col("offset").alias("event_id"),
         F.get_json_object("value", "$.s.deep.octets").cast("bigint").alias("octets"),
@@ -122,7 +126,7 @@ def counter_shared_key(spark, sf_dir):
     messages = event_messages(spark, sf_dir, a=F.col("event_id") * 3, b=F.when(F.col("event_type") != "view", F.col("event_id") * 3 + 1))
     counters = CounterSet(TimeRule("$.t", "EpochMilli"), (
         CounterSpec(key, "u64", "$.a"), CounterSpec(key, "u64", "$.b", {"jsonpath": "$.b"})))
-    return _values(run(messages, _app(counters, _config())), "a", "b")
+    return _values(_timed(messages, _app(counters, _config())), "a", "b")
 
 
 def counter_two_entities(spark, sf_dir):
@@ -131,7 +135,7 @@ def counter_two_entities(spark, sf_dir):
     counters = CounterSet(TimeRule("$.t", "EpochMilli"), (
         CounterSpec((KeyPart(path="$.node"), KeyPart(constant="a")), "u64", "$.a"),
         CounterSpec((KeyPart(path="$.node"), KeyPart(path="$.kind"), KeyPart(constant="b")), "u64", "$.b")))
-    return _values(run(messages, _app(counters, _config(cache_age_ms=3 * DAY))), "a", "b")
+    return _values(_timed(messages, _app(counters, _config(cache_age_ms=3 * DAY))), "a", "b")
 
 
 def counter_multi_pipeline(spark, sf_dir):
@@ -142,7 +146,7 @@ def counter_multi_pipeline(spark, sf_dir):
         Pipeline("every", "t-every", {}, None, _set("a", kind="u64")),
         Pipeline("plain", "t-plain", {"jsonpath": "$.kind", "value": "view"}),
     ], normalize=_config(cache_age_ms=5 * DAY))
-    return run(messages, app).select(
+    return _timed(messages, app).select(
         "topic", F.col("offset").alias("event_id"), F.get_json_object("value", "$.a").cast("bigint").alias("a"))
 
 
@@ -150,7 +154,7 @@ def counter_narrowing(spark, sf_dir):
     """Differences beyond 63 bits wrap to negative numbers."""
     messages = event_messages(spark, sf_dir, a=(F.lit("15000000000000000000").cast("decimal(20,0)") * F.when(
         F.col("event_type").isin("click", "view"), 1).otherwise(0) + F.col("event_id")).cast("string"))
-    return _values(run(messages, _app(_set("a", kind="u64"), _config(u64_limit=0))), "a")
+    return _values(_timed(messages, _app(_set("a", kind="u64"), _config(u64_limit=0))), "a")
 
 
 def dlq_counters(spark, sf_dir):
@@ -161,7 +165,7 @@ def dlq_counters(spark, sf_dir):
             kind == "view", F.concat("event_id", F.lit(".5"))).otherwise(F.col("event_id").cast("string")),
         when=F.when(kind != "signup", F.unix_millis(F.col("ts").cast("timestamp"))),
     )
-    out = run(messages, _app(_set("a", kind="u64", time=TimeRule("$.when", "EpochMilli")), _config()))
+    out = _timed(messages, _app(_set("a", kind="u64", time=TimeRule("$.when", "EpochMilli")), _config()))
     return out.select(
         "topic", F.col("offset").alias("event_id"), F.get_json_object("value", "$.a").cast("bigint").alias("a"),
         F.get_json_object("value", "$.processingStep").alias("step"),
@@ -208,12 +212,12 @@ def counter_late_fold(spark, sf_dir):
         spark, sf_dir, own=_late(), a=_rising(39_916, 2**32),
         b=F.when(F.col("event_type") != "view", _rising(71, 2**32)))
     app = _app(_set("a", "b", kind="u32", time=TimeRule("$.own", "EpochMilli")), _config(u32_limit=2**31 - 1))
-    return _values(run(messages, app, order="arrival"), "a", "b")
+    return _values(run(messages, app), "a", "b")
 
 
 def interface_layouts(spark, sf_dir):
     """Interface messages of three device layouts, made from orders, to rows with differences."""
-    orders = widen(table(spark, sf_dir, "orders"))
+    orders = table(spark, sf_dir, "orders")
     number = F.col("o_orderkey")
     millis = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.pmod(number, F.lit(60_000)) * 1000
     octets = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
@@ -243,7 +247,7 @@ def interface_layouts(spark, sf_dir):
     ))
     messages = as_messages(orders, name, document, F.col("o_orderdate"), number)
     app = App([interfaces.pipeline(topic="ifs")], pre_transform=interfaces.door, normalize=_LAYOUTS)
-    return run(messages, app).select(
+    return _timed(messages, app).select(
         "topic", F.col("offset").alias("o_orderkey"),
         *[F.get_json_object("value", f"$.{field}").alias(field) for field in ("name", "oper_status", "node_id_str")],
         *[
@@ -284,7 +288,7 @@ def _end_to_end_app() -> App:
 
 def dataflow_end_to_end(spark, sf_dir):
     """Parse, gate, decode, route, fan out, count, and emit, with discards and dead letters."""
-    events = widen(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     kind = F.col("event_type")
     parts = F.array(*[
         F.struct(
@@ -297,7 +301,7 @@ def dataflow_end_to_end(spark, sf_dir):
         F.unix_millis(F.col("ts").cast("timestamp")).alias("t"),
         F.when(kind != "click", F.to_json(parts)).alias("parts"),
     )))
-    out = run(as_messages(events, F.col("user_id"), document, F.col("ts"), F.col("event_id")), _end_to_end_app())
+    out = _timed(as_messages(events, F.col("user_id"), document, F.col("ts"), F.col("event_id")), _end_to_end_app())
     return out.select(
         "topic", F.col("offset").alias("event_id"),
         *[F.get_json_object("value", f"$.{name}").cast("bigint").alias(name) for name in ("port", "octets", "drops")],

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrain.operators import counters as C
 from pulsegrain.operators import documents as D
 from pulsegrain.operators import routing as R
-from pulsegrain.operators.arrival import normalize_arrival
-from pulsegrain.operators.ranges import normalize_ranges
+from pulsegrain.operators.arrival import RUN_LENGTH, normalize_arrival
 from pulsegrain.specs import App
 
 
@@ -34,68 +33,24 @@ def emit(rows: DataFrame, app: App) -> DataFrame:
     )
 
 
-ENGINES = {"time": C.normalize_batch, "dense": normalize_ranges, "arrival": normalize_arrival}
+def run(messages: DataFrame, app: App, order: str = "arrival", run_length: int = RUN_LENGTH) -> DataFrame:
+    """Bounded data, with the results of the stream (``pulsegrain.streaming``) over the same messages.
 
-# Groups of ``order="time"`` up to this size are left to one task.
-ROWS_PER_TASK = 2_000_000
-# Below this estimate of the source's size no group can be a burden.
-SMALL_BYTES = 8 * 2**30
-
-
-def run(messages: DataFrame, app: App, order: str = "auto") -> DataFrame:
-    """Bounded data. For streams see ``pulsegrain.streaming``.
-
-    ``order="time"``: counters follow the rows' own time; one shuffle, groups are an entity's pieces of time.
-    ``order="dense"``: the same results where single pieces are too large for a task.
-    ``order="auto"``: one of these two, see ``choose_order``.
-    ``order="arrival"``: counters follow the position of messages, so late readings are treated as in a stream.
-    The forms "dense" and "arrival" read the source more than once.
+    ``order="arrival"``: counters follow the position of messages, so late readings are treated as in a stream. History is
+    played in runs of ``run_length`` offsets.
+    ``order="time"``: counters follow the rows' own time, so a late reading finds its place. Both read the source a fixed
+    number of times, whatever the number of counters, and give the same results where no reading is late.
     """
     if messages.isStreaming:
         raise ValueError("a stream goes through pulsegrain.streaming.runner.run_stream")
-    if order == "auto":
-        order = choose_order(messages, app)
-    if order not in ENGINES:
-        raise ValueError(f"order is auto or one of {', '.join(ENGINES)}, not {order!r}")
-    rows = C.read_counters(flatten(messages, app), app)
-    return emit(C.write_counters(ENGINES[order](rows, app), app), app)
-
-
-def choose_order(
-    messages: DataFrame, app: App, rows_per_task: int = ROWS_PER_TASK, small_bytes: int = SMALL_BYTES,
-    fraction: float = 0.01,
-) -> str:
-    """"dense" if a sample of a large source shows a group beyond ``rows_per_task``, else "time".
-
-    Only the way of computing depends on the sample; both ways give the same results.
-    """
-    if not C.layers(app) or estimated_bytes(messages) <= small_bytes:
-        return "time"
-    sample = messages.sample(fraction=fraction, seed=7)
-    return "dense" if dense_pieces(sample, app, int(rows_per_task * fraction)).take(1) else "time"
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of the size of a table, from file sizes and column widths; nothing is read."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def dense_pieces(messages: DataFrame, app: App, limit: int) -> DataFrame:
-    """Groups of ``order="time"`` with more rows than ``limit``: tag, entity, start of the piece, rows.
-
-    Counted with a partial aggregation before the shuffle; run it over a sample of a large source.
-    """
     rows = C.read_counters(flatten(messages, app), app)
-    start = F.try_subtract(F.col("ts_ms"), F.pmod(F.col("ts_ms"), F.lit(app.normalize.piece_ms)))
-    found = None
-    for number in range(len(C.layers(app))):
-        counted = rows.where(F.col(f"entity{number}").isNotNull()).groupBy(
-            "tag", F.col(f"entity{number}").alias("entity"), start.alias("piece")).agg(F.count("*").alias("rows"))
-        part = counted.where(F.col("rows") > limit)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        raise ValueError("the app has no counters")
-    return found
+    if order == "arrival":
+        counted = normalize_arrival(rows, app, run_length)
+    elif order == "time":
+        counted = C.normalize_time(rows, app)
+    else:
+        raise ValueError(f"order is arrival or time, not {order!r}")
+    return emit(C.write_counters(counted, app), app)
 
 
 def to_sink(output: DataFrame) -> DataFrame:

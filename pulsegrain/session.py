@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,9 +50,12 @@ def local_session(cores: str = "8", name: str = "pulsegrain", **extra: str) -> S
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a local one only where none is set."""
+    """The folder in ``spark.checkpoint.dir``, which all executors share. Only a local master without it gets one of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="pulsegrain-")
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"{os.environ.get('TMPDIR', '/tmp').rstrip('/')}/pulsegrain-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root.rstrip("/")

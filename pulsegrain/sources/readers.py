@@ -20,10 +20,10 @@ MESSAGE_SCHEMA = "key string, value string, timestamp timestamp, topic string, p
 
 def kafka_options(
     servers: str, topic: str | None = None, pattern: str | None = None, starting: str = "latest",
-    max_offsets: int | None = 1_000_000, **extra: str,
+    max_offsets: int | None = None, **extra: str,
 ) -> dict[str, str]:
-    """Reader options; a topic pattern wins over a topic name. ``max_offsets`` bounds a micro-batch and with it the rows of
-    one entity that a task sorts at a time."""
+    """Reader options; a topic pattern wins over a topic name. ``max_offsets`` bounds a micro-batch of a stream and with it the
+    rows of one entity that a task sorts at a time; without it a micro-batch takes all there is."""
     if topic is None and pattern is None:
         raise ValueError("a topic or a topic pattern is needed")
     options = {"kafka.bootstrap.servers": servers, "startingOffsets": starting, **extra}
@@ -49,12 +49,14 @@ def kafka_stream(spark: SparkSession, **options) -> DataFrame:
 
 
 def kafka_batch(spark: SparkSession, **options) -> DataFrame:
-    """A bounded replay of topics."""
+    """A bounded replay of topics; all of it, so there is no limit to give."""
+    if "max_offsets" in options:
+        raise TypeError("max_offsets bounds micro-batches of a stream")
     options.setdefault("starting", "earliest")
     return _from_kafka(spark.read.format("kafka").options(**kafka_options(**options)).load())
 
 
-def stored_stream(spark: SparkSession, path: str, max_files: int | None = 32, fmt: str = "parquet") -> DataFrame:
+def stored_stream(spark: SparkSession, path: str, max_files: int | None = None, fmt: str = "parquet") -> DataFrame:
     """Messages stored as files in the message schema, as a stream; ``path`` may be a glob.
 
     Files arrive in order of their modification time. ``max_files`` bounds a micro-batch; None takes all there are at once,

@@ -119,8 +119,6 @@ class NormalizeConfig:
     wrap_time_ms: int = 5 * 60_000
     # Streams: how long an untouched counter stays in state, in processing time.
     state_ttl_ms: int = 7 * 86_400_000
-    # Batches: history of one entity is cut into pieces of this many cache ages.
-    piece_ages: int = 8
 
     def __post_init__(self):
         if min(self.cutoff_ms, self.cache_age_ms, self.wrap_time_ms) < 0:
@@ -129,12 +127,6 @@ class NormalizeConfig:
             raise BadSpec("wrap limits must fit the signed type of the counter")
         if self.state_ttl_ms < self.cache_age_ms + self.cutoff_ms:
             raise BadSpec("state must outlive cache age plus cutoff")
-        if self.piece_ages < 1:
-            raise BadSpec("a piece is at least one cache age long")
-
-    @property
-    def piece_ms(self) -> int:
-        return max(self.cache_age_ms, 1) * self.piece_ages
 
 
 @dataclass(frozen=True)

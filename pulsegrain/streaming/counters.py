@@ -6,6 +6,7 @@ go through Python; documents pass as they are.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from operator import attrgetter
 
@@ -39,6 +40,7 @@ class CounterProcessor(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        sys.set_int_max_str_digits(0)  # counters have any number of digits
         tag = key[0]
         kinds, heads = self.kinds[tag], self.heads[tag]
         width, shape = len(heads), Row(*self.columns, "deltas")
@@ -66,7 +68,7 @@ class CounterProcessor(StatefulProcessor):
 
 
 def normalize_stream(rows: DataFrame, app: App) -> DataFrame:
-    """Streaming twin of ``operators.counters.normalize_batch``: adds ``d<n>`` per layer.
+    """Streaming twin of ``operators.arrival.normalize_arrival``: adds ``d<n>`` per layer.
 
     Rows without counters do not enter the stateful step. With several layers one stateful step follows another.
     """
@@ -82,14 +84,12 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) ->
         F.col(entity).isNotNull() & F.exists(F.col(values), lambda value: value.isNotNull()), F.lit(False)
     )
     kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
-    heads = {p.tag: C._slot_heads(counters) for p, counters in layer.members}
+    heads = {p.tag: C.slot_heads(counters) for p, counters in layer.members}
     types = dict(rows.dtypes)
 
     def outward(name: str) -> Column:
         if types[name] == "variant":
             return F.to_json(name).alias(name)
-        if types[name].startswith("array<decimal"):
-            return F.col(name).cast("array<string>").alias(name)
         return F.col(name)
 
     def homeward(name: str) -> Column:
@@ -99,7 +99,7 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) ->
 
     stateful = rows.where(counted).select(
         *[outward(name).alias("entity") if name == entity else outward(name) for name in rows.columns],
-        F.col(values).cast("array<string>").alias("texts"),
+        F.col(values).alias("texts"),
     )
     passed = [field for field in stateful.schema if field.name != "texts"]
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in passed) + ", deltas array<bigint>"

@@ -8,7 +8,6 @@ import pytest
 from pulsegrain import App, CounterSet, CounterSpec, KeyPart, NormalizeConfig, Pipeline, TimeRule
 from pulsegrain.operators import arrival
 from pulsegrain.operators import counters as C
-from pulsegrain.operators.ranges import normalize_ranges
 from pulsegrain.operators.fold import NOTHING, SAME, after, effect, step
 from pulsegrain.plans.pipeline import emit, flatten
 
@@ -58,30 +57,40 @@ def test_arrival_equals_fold(spark, messages, run_length):
                 assert name not in mine
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 7])
-def test_dense_equals_time_order(spark, messages, ranges):
-    """A third of all rows under one key and one time, cut into several ranges."""
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40])
+def test_time_order_equals_fold(spark, messages, ranges):
+    """A third of all rows under one key and one time, cut into several ranges; two entities, and a key written twice."""
     rng = random.Random(ranges)
     docs = []
     for number in range(120):
-        doc = {"t": 5 if number % 3 == 0 else rng.randrange(2000), "x": rng.randrange(2**32)}
+        doc = {"t": 5 if number % 3 == 0 else rng.randrange(2000), "x": rng.randrange(2**32), "port": number % 2}
         if number % 3:
             doc["node"] = rng.choice("ab")
-        if rng.random() < 0.2:
-            doc["y"] = rng.randrange(100)
+        for name, often in (("y", 0.2), ("z", 0.5)):
+            if rng.random() < often:
+                doc[name] = rng.randrange(100)
         docs.append(doc)
-    counters = CounterSet(TimeRule("$.t", "EpochMilli"), tuple(
-        CounterSpec((KeyPart(path="$.node"), KeyPart(constant=name)), "u32", f"$.{name}") for name in "xy"))
-    app = App([Pipeline("p", "out", {}, None, counters)], normalize=CONFIG)
-    rows = C.read_counters(flatten(messages(docs), app), app)
-
-    def values(counted):
-        return sorted((r.offset, r.value) for r in emit(C.write_counters(counted, app), app).collect())
-
-    assert values(normalize_ranges(rows, app, ranges)) == values(C.normalize_batch(rows, app))
+    node, port = KeyPart(path="$.node"), KeyPart(path="$.port")
+    counters = CounterSet(TimeRule("$.t", "EpochMilli"), (
+        CounterSpec((node, KeyPart(constant="x")), "u32", "$.x"), CounterSpec((node, KeyPart(constant="y")), "u32", "$.y"),
+        CounterSpec((node, KeyPart(constant="y")), "u32", "$.z"), CounterSpec((node, port, KeyPart(constant="p")), "u32", "$.z")))
+    separate = CounterSet(counters.time, counters.counters[:3])
+    for spec in (separate, counters):
+        app = App([Pipeline("p", "out", {}, None, spec)], normalize=CONFIG)
+        rows = C.read_counters(flatten(messages(docs), app), app)
+        got = {r.offset: json.loads(r.value) for r in emit(C.write_counters(C.normalize_time(rows, app, ranges), app), app).collect()}
+        states = {}
+        for offset, doc in sorted(enumerate(docs), key=lambda pair: (pair[1]["t"], pair[0])):
+            entity, want = doc.get("node"), {}
+            for key, name in ((entity, "x"), "x"), ((entity, "y"), "y"), ((entity, "y"), "z"), ((entity, doc["port"], "p"), "z"):
+                if name in doc and (len(key) == 2 or spec is counters):
+                    states[key], want[name, len(key)] = step(states.get(key), doc[name], doc["t"], "u32", CONFIG)
+            mine = got[offset]
+            assert all(mine[name] == want[name, 3 if (name, 3) in want else 2] for name in "xyz" if name in doc)
+            assert all(name not in mine for name in "yz" if name not in doc)
 
 
-@pytest.mark.parametrize("order", ["time", "dense", "arrival"])
+@pytest.mark.parametrize("order", ["time", "arrival"])
 def test_topics_may_share_offsets(spark, messages, order):
     """Two topics with the same partitions and offsets: every row once, with its own difference."""
     from pulsegrain import run

@@ -9,7 +9,7 @@ from pulsegrain import App, CounterSet, CounterSpec, KeyPart, NormalizeConfig, P
 from pulsegrain.operators.fold import step
 from pulsegrain.specs import BadSpec
 
-BASE = 1647244800000
+BASE = 1_500_000_000_000
 CONFIG = NormalizeConfig(cache_age_ms=10_000, u64_limit=1_000_000)
 
 
@@ -21,29 +21,33 @@ def counter(kind, value="$.v", constant="v", match=None):
     return CounterSpec((KeyPart(path="$.node"), KeyPart(path="$.name"), KeyPart(constant=constant)), kind, value, match or {})
 
 
-@pytest.mark.parametrize("kind,rows", [
-    ("u64", [(0, 1000, None)]),
-    ("u64", [(0, "1000", None), (0, 3000, 2000)]),
-    ("u32", [(0, 100, None), (0, 300, 200)]),
-    ("u64", [(0, "5", None), (1000, 3, None), (3000, 10, 7)]),
-    ("u64", [(0, 9223372036854774805, None), (1000, 1000, 2002), (4000, 18446744073709550000, -2616),
-             (5000, 1000, 2615)]),
-    ("u64", [(0, 18446744073709550000, None), (1000, 3000000, None),
-             (2000, 9223372036854774705, 9223372036851774705), (3000, 2000000, None),
-             (3000, 15223372036854774705, -3223372036856776911), (3000, 2000000, None)]),
-    ("u32", [(0, 4294967200, None), (1000, 100, 195), (4000, 501, 401), (5000, 551, 50)]),
-    ("u32", [(0, 4294967200, None), (1000, 2000000, None)]),
-    ("u64", [(0, 1, None), (10_000, 2, 1), (20_001, 3, None), (20_002, 4, 1)]),
-    ("u64", [(0, -5, None), (1, -3, 2), (2, 4, 7), (3, -1, None)]),
-    ("u64", [(0, 7, None), (1, None, "absent"), (2, 9, 2)]),
-])
-def test_known_sequences(messages, emitted, kind, rows):
+U32, S63, U64 = 2**32, 2**63, 2**64
+
+# (time, value, difference); limits are CONFIG's: age 10 s, wrap within 5 min, u32 below 10,000, u64 below 1,000,000.
+SEQUENCES = [
+    ("u64", [(0, "40", None), (700, "42", 2), (1400, 42, 0), (9000, 50, 8)]),
+    ("u32", [(0, 12, None), (10_000, 15, 3), (20_001, 99, None), (20_500, 100, 1)]),  # the third came too late to count
+    ("u32", [(0, U32 - 10, None), (50, 4, 13), (60, 3, None), (70, 8, 5)]),  # 2^32 - 1 - old + new, then a reset
+    ("u32", [(0, U32 - 1, None), (1, 9_999, 9_999), (2, U32 - 1, U32 - 10_000), (3, 10_000, None)]),
+    ("u64", [(0, S63 - 8, None), (10, 5, 12), (20, S63 + 90, -(2**63) + 85), (30, U64 - 5, S63 - 95)]),
+    ("u64", [(0, str(U64 - 3), None), (1, 6, 8), (2, 1_000_000, 999_994), (3, 999_999, None)]),
+    ("u64", [(0, -9, None), (5, -2, 7), (6, 0, 2), (7, -1, None), (8, 4, 5)]),
+    ("u64", [(0, 1, None), (1, None, "absent"), (2, 8, 7), (3, None, "absent"), (4, 9, 1)]),
+    ("u64", [(0, "1" + "0" * 37, None), (1, "1" + "0" * 36 + "7", 7), (2, "3" * 60, (int("3" * 60) - 10**37 - 7) % U64), (3, "3" * 59 + "5", 2)]),
+    ("u64", [(0, "-" + "5" * 60, None), (1, "-" + "5" * 59 + "1", 4), (2, 0, int("5" * 59 + "1") % U64)]),
+]
+
+
+@pytest.mark.parametrize("order", ["time", "arrival"])
+@pytest.mark.parametrize("kind,rows", SEQUENCES)
+def test_known_sequences(messages, emitted, kind, rows, order):
     docs = []
     for t, value, _ in rows:
         doc = {"node": "n", "name": "i", "t": BASE + t}
         docs.append(doc if value is None else {**doc, "v": value})
-    out = emitted(run(messages(docs), app(counter(kind))))
-    assert [row.get("v", "absent") for _, _, row in out] == [want for _, _, want in rows]
+    out = emitted(run(messages(docs), app(counter(kind)), order=order))
+    signed = [want if not isinstance(want, int) or want < S63 else want - U64 for _, _, want in rows]
+    assert [row.get("v", "absent") for _, _, row in out] == signed
 
 
 def test_random_sequences_equal_fold(messages, emitted):
@@ -56,8 +60,8 @@ def test_random_sequences_equal_fold(messages, emitted):
         if rng.random() < 0.5:
             doc["w"] = rng.choice([rng.randrange(2**32), 2**32 - rng.randrange(500), rng.randrange(500)])
         docs.append(doc)
-    config = NormalizeConfig(cache_age_ms=10_000, u64_limit=2**62, u32_limit=20_000, piece_ages=2)
-    out = emitted(run(messages(docs), app(counter("u64"), counter("u32", "$.w", "w"), config=config)))
+    config = NormalizeConfig(cache_age_ms=10_000, u64_limit=2**62, u32_limit=20_000)
+    out = emitted(run(messages(docs), app(counter("u64"), counter("u32", "$.w", "w"), config=config), order="time"))
     states = {}
     for doc, (_, _, row) in zip(docs, out):
         for name, kind in (("v", "u64"), ("w", "u32")):
@@ -88,8 +92,9 @@ def test_bad_rows_touch_no_state(messages, emitted):
 
 def test_time_far_out_does_not_stop_the_job(messages, emitted):
     docs = [{"node": "n", "name": "i", "t": t, "v": 1} for t in (2**63 - 1, -(2**63), 0)]
-    out = emitted(run(messages(docs), app(counter("u64"))))
-    assert [row["v"] for _, _, row in out] == [None, None, None]
+    for order in ("time", "arrival"):
+        out = emitted(run(messages(docs), app(counter("u64")), order=order))
+        assert [row["v"] for _, _, row in out] == [None, None, None]
 
 
 def test_declarations_are_checked():

@@ -4,10 +4,10 @@ import re
 
 import pytest
 
-from pulsegrain import App, Pipeline, run
+from pulsegrain import App, CounterSpec, KeyPart, Pipeline, run
 from pulsegrain.plans import catalog_counters as catalog
 from pulsegrain.plans import interfaces
-from pulsegrain.plans.pipeline import choose_order, dense_pieces, estimated_bytes, flatten
+from pulsegrain.plans.pipeline import flatten
 from pulsegrain.sources.readers import stored_batch
 
 SF = "/root/testdata/sf0.001"
@@ -24,42 +24,37 @@ def stored(spark, messages, tmp_path):
     return stored_batch(spark, path)
 
 
-def test_one_parse_and_one_shuffle(stored):
-    app = App([
-        Pipeline(f"p{n}", "t", {"jsonpath": "$.node"}, None, catalog._set("a", "b", kind="u64")) for n in range(4)
+def wide_app(depth):
+    """Four pipelines; counters of ``depth`` different entities."""
+    extra = [CounterSpec((KeyPart(path="$.node"), KeyPart(path=f"$.k{n}")), "u64", "$.a") for n in range(depth - 1)]
+    return App([
+        Pipeline(f"p{n}", "t", {"jsonpath": "$.node"}, None, catalog._set("a", "b", kind="u64", extra=extra)) for n in range(4)
     ])
-    text = plan(run(stored, app))
-    assert len(re.findall(r"from_json\(", text)) == 1
-    assert len(re.findall(r"Exchange ", text)) == 1
-    assert "hashpartitioning(tag" in text and "piece" in text
-    assert not re.search(r"Python|InPandas|ArrowEval|Join|CartesianProduct", text)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_time_order_has_one_plan_without_python(stored, depth):
+    """Two scans and parses, a range exchange, two windows and a join, however many entities there are."""
+    text = plan(run(stored, wide_app(depth), order="time"))
+    assert len(re.findall(r"from_json\(", text)) == len(re.findall(r"FileScan", text)) == 2
+    assert len(re.findall(r"rangepartitioning\(layer", text)) == 1
+    assert len(re.findall(r"hashpartitioning\(_range", text)) == len(re.findall(r"hashpartitioning\(layer", text)) == 1
+    assert not re.search(r"Python|InPandas|ArrowEval|CartesianProduct", text)
     assert "ReadSchema: struct<key:string,value:string,timestamp:timestamp,topic:string,partition:int,offset:bigint>" in text
 
 
+@pytest.mark.parametrize("depth", [1, 3])
+def test_arrival_scans_do_not_grow_with_layers(stored, depth):
+    text = plan(run(stored, wide_app(depth)))
+    assert len(re.findall(r"FileScan", text)) == 3 and "CartesianProduct" not in text
+
+
 def test_no_counters_no_shuffle(stored):
     app = App([interfaces.pipeline()], pre_transform=interfaces.door)
     assert "Exchange" not in plan(flatten(stored, app))
     assert "Exchange" not in plan(run(stored, App([Pipeline("p", "t", {"jsonpath": "$.node"})])))
 
 
-def test_interfaces_share_one_state_row(stored):
-    text = plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door)))
-    assert len(re.findall(r"Exchange ", text)) == 1
-    assert len(re.findall(r"from_json\(VariantType, [^#]*, value#", text)) == 1
-
-
-def test_dense_pieces_are_found(messages):
-    app = catalog._app(catalog._set("a", kind="u64"), catalog._config())
-    docs = [{"node": 1, "t": 5, "a": n} for n in range(9)] + [{"node": 2, "t": 5, "a": 1}]
-    rows = dense_pieces(messages(docs), app, 5).collect()
-    assert [(row.entity, row.piece, row.rows) for row in rows] == [(",1,", 0, 9)]
-
-
-def test_order_is_chosen_by_size_and_density(messages, stored):
-    app = catalog._app(catalog._set("a", kind="u64"), catalog._config())
-    table = messages([{"node": n % 2, "t": 5, "a": n} for n in range(40)])
-    assert 0 < estimated_bytes(stored) < 10**6
-    assert choose_order(stored, app) == "time"
-    assert choose_order(table, app, rows_per_task=5, small_bytes=0, fraction=1.0) == "dense"
-    assert choose_order(table, app, rows_per_task=500, small_bytes=0, fraction=1.0) == "time"
-    assert choose_order(table, App([Pipeline("p", "t")]), small_bytes=0) == "time"
+def test_interfaces_are_parsed_once_a_scan(stored):
+    text = plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door), order="time"))
+    assert len(re.findall(r"from_json\(VariantType, [^#]*, value#", text)) == 2
