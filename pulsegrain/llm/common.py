@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 from typing import Any
@@ -11,24 +10,15 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrain.session import checkpoint_root
+
 #: ASCII white space; what is between it is a word in every operator here.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only a local master without that setting gets one of its own."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path for a table or archive in the shared folder."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 
 from pulsegrain.llm import neighbours, simhash
-from pulsegrain.llm.common import WORD, components, shared_root
+from pulsegrain.llm.common import WORD, components, shared_path
 
 
 def union(n, pairs):
@@ -142,4 +142,4 @@ def test_recall_of_the_graph():
 
 
 def test_shared_folder(spark):
-    assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/x-")
