@@ -26,7 +26,7 @@ LEAST_REPEAT = 8
 #: Share of an open block that repeats must cover.
 COVERED = 0.8
 #: Characters of html in one shard of a host, on the mean.
-SHARD_CHARS = 16 * 2**20
+SHARD_CHARS = 4 * 2**20
 
 SKIP, MAIN, OPEN = "skip", "main", "open"
 
