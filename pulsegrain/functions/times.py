@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from pulsegrain.functions import variants as V
 from pulsegrain.functions.scalars import instant_micros
 
-# The zone local times are in, and the form of a local time.
+# The zone local times are in unless a rule names another, and the form of a local time.
 LOCAL_ZONE = "Europe/Paris"
 _LOCAL = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}(:\d{2}(\.\d{0,9})?)?$"
 _EPOCH = r"^[+-]?[0-9]{1,19}$"
 
 
-def epoch_millis(row: Column, path: str, kind: str) -> Column:
+def epoch_millis(row: Column, path: str, kind: str, zone: str = LOCAL_ZONE) -> Column:
+    """``zone`` is that of local times, which carry none themselves."""
     content = V.text(row, path)
     if kind == "RFC2822":
         # The seconds may be missing; the cast wants them.
-        zone = F.when(F.length(content) == 16, F.lit(":00 " + LOCAL_ZONE)).otherwise(F.lit(" " + LOCAL_ZONE))
-        return F.when(content.rlike(_LOCAL), F.unix_millis(F.concat(content, zone).try_cast("timestamp")))
+        ending = F.when(F.length(content) == 16, F.lit(f":00 {zone}")).otherwise(F.lit(f" {zone}"))
+        return F.when(content.rlike(_LOCAL), F.unix_millis(F.concat(content, ending).try_cast("timestamp")))
     if kind == "ISO8601":
         return F.floor(instant_micros(content) / F.lit(1000).cast("decimal(5,0)")).cast("bigint")
     count = F.when(content.rlike(_EPOCH), content.try_cast("bigint"))

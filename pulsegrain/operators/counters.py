@@ -162,7 +162,7 @@ def read_counters(rows: DataFrame, app: App) -> DataFrame:
     ts = F.lit(None).cast("bigint")
     for pipeline in reversed(with_sets):
         time = pipeline.counters.time
-        ts = F.when(F.col("tag") == F.lit(pipeline.tag), epoch_millis(row, time.path, time.kind)).otherwise(ts)
+        ts = F.when(F.col("tag") == F.lit(pipeline.tag), epoch_millis(row, time.path, time.kind, time.zone)).otherwise(ts)
 
     def hits(counters: Sequence[CounterSpec]) -> Column:
         return F.array(*[predicate(counter.match, row) for counter in counters])

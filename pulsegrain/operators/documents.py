@@ -18,7 +18,7 @@ ENVELOPE = ("key", "timestamp", "origin", "partition", "offset")
 POSITION = ("origin", "partition", "offset", "pos")
 
 # Names of the steps that can send a message to the dead letters.
-PARSE, TRANSFORM, COUNTERS = "parse", "transform", "counters"
+PARSE, PRE_TRANSFORM, TRANSFORM, COUNTERS = "parse", "pre-transform", "transform", "counters"
 
 _SPACE = " \t\r\n"
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pulsegrain.operators import documents as D
+from pulsegrain.operators import routing as R
 from pulsegrain.specs import App
 
 
@@ -23,6 +25,30 @@ def counts(output: DataFrame, app: App) -> DataFrame:
     return output.groupBy("tag", outcome(app).alias("outcome")).agg(F.count("*").alias("n"))
 
 
+def _steps() -> dict[str, Column]:
+    """Counts over messages after the pre-transform, before they fan out."""
+    return {
+        "read": F.count("*"), "parse": F.count(F.when(F.col("failed_at") == D.PARSE, True)),
+        "pre-transform": F.count(F.when(F.col("failed_at") == D.PRE_TRANSFORM, True)), "dropped": F.count(F.when(F.col("dropped"), True)),
+    }
+
+
+def observe_messages(ready: DataFrame, name: str) -> DataFrame:
+    """Attach the counts of the steps before the fan-out; they are collected while the data flows."""
+    return ready.observe(name, *[count.alias(step) for step, count in _steps().items()])
+
+
+def step_counts(messages: DataFrame, app: App) -> DataFrame:
+    """Rows (step, tag, outcome, n): messages read, failed in parsing or before the fan-out, dropped, and rows by pipeline."""
+    ready = R.pre_transform(D.parse_documents(messages), app)
+    before = ready.agg(*[count.alias(step) for step, count in _steps().items()]).select(F.explode(F.map_from_arrays(
+        F.array(*[F.lit(step) for step in _steps()]), F.array(*[F.col(f"`{step}`") for step in _steps()]))).alias("step", "n"))
+    after = R.route(ready, app).where(F.col("error").isNull() | F.col("tag").isNotNull()).groupBy(
+        "tag", F.when(F.col("error").isNotNull(), "error").when(F.col("tag").isNull(), "discarded").otherwise("emitted").alias("outcome")).agg(F.count("*").alias("n"))
+    none = F.lit(None).cast("string")
+    return before.select("step", none.alias("tag"), none.alias("outcome"), "n").unionByName(after.select(F.lit("rows").alias("step"), "tag", "outcome", "n"))
+
+
 def observe(output: DataFrame, app: App, name: str = "dataflow") -> DataFrame:
     """Attach counters that are collected while the data flows; read them from the query's progress."""
     kind = outcome(app)

@@ -51,10 +51,13 @@ def _rows(pipeline: Pipeline, doc: Column) -> Column:
 
 
 def pre_transform(parsed: DataFrame, app: App) -> DataFrame:
-    """Apply the pre-transform; ``dropped`` marks documents it made vanish."""
+    """Check and change documents; ``dropped`` marks those that the change made vanish, ``failed_at`` the step of an error."""
+    message = F.lit(None).cast("string") if app.pre_check is None else app.pre_check(F.col("doc")).cast("string")
+    checked = parsed.withColumn("failed_at", F.when(F.col("error").isNotNull(), D.PARSE).when(message.isNotNull(), D.PRE_TRANSFORM)).withColumn(
+        "error", F.coalesce("error", message))
     if app.pre_transform is None:
-        return parsed.withColumn("dropped", F.lit(False))
-    changed = parsed.withColumn("doc", app.pre_transform(F.col("doc")))
+        return checked.withColumn("dropped", F.lit(False))
+    changed = checked.withColumn("doc", F.when(F.col("error").isNull(), app.pre_transform(F.col("doc"))).otherwise(F.col("doc")))
     return changed.withColumn("dropped", F.col("error").isNull() & F.col("doc").isNull())
 
 
@@ -68,7 +71,7 @@ def route(parsed: DataFrame, app: App) -> DataFrame:
     flags = [f"_match{number}" for number in range(len(app.pipelines))]
     ready = F.col("error").isNull() & ~F.col("dropped")
     staged = parsed.select(
-        *D.ENVELOPE, "value", "doc", "error", "dropped",
+        *D.ENVELOPE, "value", "doc", "error", "failed_at", "dropped",
         *[
             (ready & predicate(pipeline.match, doc)).alias(flag)
             for flag, pipeline in zip(flags, app.pipelines)
@@ -80,7 +83,7 @@ def route(parsed: DataFrame, app: App) -> DataFrame:
     for flag in flags:
         matched = matched | F.col(flag)
     rest = (
-        F.when(F.col("error").isNotNull(), F.array(_entry(F.lit(None), F.lit(D.PARSE), F.col("error"), F.lit(None))))
+        F.when(F.col("error").isNotNull(), F.array(_entry(F.lit(None), F.col("failed_at"), F.col("error"), doc)))
         .when(ready & ~matched, F.array(_entry(F.lit(None), F.lit(None), F.lit(None), doc)))
     )
     routes = F.flatten(F.array(*[F.coalesce(branch, empty) for branch in [*branches, rest]]))

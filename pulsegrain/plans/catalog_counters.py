@@ -157,6 +157,15 @@ def counter_narrowing(spark, sf_dir):
     return _values(_timed(messages, _app(_set("a", kind="u64"), _config(u64_limit=0))), "a")
 
 
+def counter_long_integers(spark, sf_dir):
+    """Counters of 38 digits as numbers and of 60 digits as texts."""
+    step = F.pmod(F.col("event_id"), F.lit(997)) * 7
+    messages = event_messages(
+        spark, sf_dir, a=(F.lit("1" + "0" * 37).cast("decimal(38,0)") + step.cast("decimal(5,0)")).cast("decimal(38,0)"),
+        b=F.concat(F.lit("1"), F.lpad(step.cast("string"), 59, "0")))
+    return _values(_timed(messages, _app(_set("a", "b", kind="u64"), _config(u64_limit=0))), "a", "b")
+
+
 def dlq_counters(spark, sf_dir):
     """A bad value or a bad time sends the whole row to the dead letters and leaves the readings alone."""
     kind = F.col("event_type")
@@ -312,7 +321,7 @@ def dataflow_end_to_end(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         counter_delta_u32, counter_dense, counter_wrap_u32, counter_wrap_u64, counter_reset, counter_stale, counter_time_local,
-        counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, dlq_counters,
+        counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, counter_long_integers, dlq_counters,
         counter_late_fold, counter_stream, interface_layouts, dataflow_end_to_end,
     )
 }
@@ -502,6 +511,8 @@ SQL = {
     "counter_narrowing": _columns_sql(
         _config(u64_limit=0), "u64",
         a="(CASE WHEN event_type IN ('click', 'view') THEN 15000000000000000000::HUGEINT ELSE 0 END + event_id)"),
+    "counter_long_integers": _columns_sql(
+        _config(u64_limit=0), "u64", a="(event_id % 997 * 7)::HUGEINT", b="(event_id % 997 * 7)::HUGEINT"),
     "dlq_counters": _dlq_sql(),
     "counter_stream": _U32,
     "counter_late_fold": _late_sql(),

@@ -73,10 +73,6 @@ MATCH = {
 }
 
 
-def _snake(name: str) -> str:
-    return name.replace("-", "_")
-
-
 def door(doc: Column) -> Column:
     """Let only JSON messages in, keep the envelope fields and decode the payload parts that come as text."""
     accepted = F.coalesce(V.text(doc, "$.serialization").isin(*SERIALIZATIONS), F.lit(False))

@@ -9,14 +9,16 @@ from pulsegrain.operators import counters as C
 from pulsegrain.operators import documents as D
 from pulsegrain.operators import routing as R
 from pulsegrain.operators.arrival import RUN_LENGTH, normalize_arrival
+from pulsegrain.operators.metrics import observe_messages
 from pulsegrain.specs import App
 
 
-def flatten(messages: DataFrame, app: App) -> DataFrame:
+def flatten(messages: DataFrame, app: App, observed: str | None = None) -> DataFrame:
     """Messages (key, value, timestamp, partition, offset and, where there are several, topic) to flat rows with a tag.
 
-    No shuffle."""
-    return R.route(R.pre_transform(D.parse_documents(messages), app), app)
+    No shuffle. ``observed`` names metrics of the messages before they fan out: read, failed by step, dropped by the gate."""
+    ready = R.pre_transform(D.parse_documents(messages), app)
+    return R.route(ready if observed is None else observe_messages(ready, observed), app)
 
 
 def emit(rows: DataFrame, app: App) -> DataFrame:

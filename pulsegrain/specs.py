@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column
 
+from pulsegrain.functions.times import LOCAL_ZONE
 from pulsegrain.functions.variants import ANY, steps
 
 # Names of the time rules and counter kinds as configurations spell them.
@@ -25,6 +26,8 @@ class TimeRule:
 
     path: str
     kind: str
+    # Of local times, which name none.
+    zone: str = LOCAL_ZONE
 
     def __post_init__(self):
         if self.kind not in TIME_KINDS:
@@ -98,7 +101,7 @@ class CounterSet:
             counters.append(
                 CounterSpec(key=key, kind=item["type"], value=item["value"]["jsonpath"], match=item.get("match", {}))
             )
-        return cls(TimeRule(time["jsonpath"], time["timestamp-type"]), tuple(counters))
+        return cls(TimeRule(time["jsonpath"], time["timestamp-type"], time.get("zone", LOCAL_ZONE)), tuple(counters))
 
     def groups(self) -> list[list[CounterSpec]]:
         """Counters by shared entity, in order of first appearance."""
@@ -147,12 +150,14 @@ class Pipeline:
 
 @dataclass(frozen=True)
 class App:
-    """A whole deployment. ``pre_transform`` maps document to document; NULL drops it silently."""
+    """A whole deployment. ``pre_transform`` maps document to document; NULL drops it silently. ``pre_check`` may give a message
+    that sends the document to the dead letters before."""
 
     pipelines: Sequence[Pipeline]
     discard_topic: str = "discard"
     dlq_topic: str = "dlq"
     pre_transform: Callable[[Column], Column] | None = None
+    pre_check: Callable[[Column], Column] | None = None
     normalize: NormalizeConfig = field(default_factory=NormalizeConfig)
     name: str = "pulsegrain"
 
