@@ -1,7 +1,8 @@
 """Counter normalisation over an unbounded stream, in order of arrival.
 
-State is keyed by (tag, entity) and holds one reading per counter, so a row is handled as a whole. Only the numbers
-go through Python; documents pass as they are.
+State is keyed by (tag, entity) and holds one reading per counter, so a row is handled as a whole. All rows go through one
+stateful step per layer, so the source is read once: rows without counters have keys of their own, spread by position, and touch
+no state. Documents go through Python as opaque texts.
 """
 
 from __future__ import annotations
@@ -42,6 +43,12 @@ class CounterProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         sys.set_int_max_str_digits(0)  # counters have any number of digits
         tag = key[0]
+        if tag is None:
+            # No counters: nothing to order and nothing to keep.
+            shape = Row(*self.columns, "deltas")
+            for row in rows:
+                yield shape(*[row[name] for name in self.columns], None)
+            return
         kinds, heads = self.kinds[tag], self.heads[tag]
         width, shape = len(heads), Row(*self.columns, "deltas")
         states: list[tuple[int, int] | None] = [None] * width
@@ -70,7 +77,7 @@ class CounterProcessor(StatefulProcessor):
 def normalize_stream(rows: DataFrame, app: App) -> DataFrame:
     """Streaming twin of ``operators.arrival.normalize_arrival``: adds ``d<n>`` per layer.
 
-    Rows without counters do not enter the stateful step. With several layers one stateful step follows another.
+    With several layers one stateful step follows another; the source is read once all the same.
     """
     layers = C.layers(app)
     for number, layer in enumerate(layers):
@@ -97,18 +104,16 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) ->
             return F.parse_json(name).alias(name)
         return F.col(name).cast(types[name]).alias(name)
 
-    stateful = rows.where(counted).select(
-        *[outward(name).alias("entity") if name == entity else outward(name) for name in rows.columns],
-        F.col(values).alias("texts"),
+    stateful = rows.select(
+        *[outward(name) for name in rows.columns],
+        F.when(counted, F.col(values)).alias("texts"),
+        F.when(counted, F.col("tag")).alias("_tag"),
+        F.when(counted, F.col(entity)).otherwise(F.xxhash64(*POSITION).cast("string")).alias("_entity"),
     )
-    passed = [field for field in stateful.schema if field.name != "texts"]
+    passed = [field for field in stateful.schema if field.name in rows.columns]
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in passed) + ", deltas array<bigint>"
-    done = stateful.groupBy("tag", "entity").transformWithState(
+    done = stateful.groupBy("_tag", "_entity").transformWithState(
         statefulProcessor=CounterProcessor(kinds, heads, [field.name for field in passed], config),
         outputStructType=schema, outputMode="Append", timeMode="ProcessingTime",
     )
-    back = done.withColumnRenamed("entity", entity).select(
-        *[homeward(name) for name in rows.columns], F.col("deltas").alias(deltas)
-    )
-    rest = rows.where(~counted).select("*", F.lit(None).cast("array<bigint>").alias(deltas))
-    return back.unionByName(rest)
+    return done.select(*[homeward(name) for name in rows.columns], F.col("deltas").alias(deltas))

@@ -120,9 +120,26 @@ def test_two_entities_in_one_stream(spark, tmp_path):
     spec = App([Pipeline("p", "out", {}, None, both)], normalize=CONFIG)
     docs = [{"id": n, "node": "x", "port": n % 2, "t": n, "a": n * 3, "b": n * 5} for n in range(6)]
     write(spark, tmp_path / "in", docs)
-    query = stream_files(run_stream(stored_stream(spark, str(tmp_path / "in")), spec), str(tmp_path / "out"),
-                         str(tmp_path / "cp")).trigger(availableNow=True).start()
+    output = run_stream(stored_stream(spark, str(tmp_path / "in")), spec)
+    assert output._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 1
+    query = stream_files(output, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
     if not query.awaitTermination(120):
         query.stop()
     got = [(doc["a"], doc["b"]) for doc in docs_of(spark, tmp_path / "out")]
     assert got == [(None, None), (3, None), (3, 10), (3, 10), (3, 10), (3, 10)]
+
+
+def test_rows_without_a_key_and_several_micro_batches(spark, tmp_path):
+    """A missing key part gives one entity named null; every file is a micro-batch of its own."""
+    docs = [{"id": n, "node": None if n % 3 else "x", "t": n, "c": {"a": n * n}} for n in range(12)]
+    spec = App([Pipeline("p", "out", {}, None, counters())], normalize=CONFIG)
+    for part in range(4):
+        write(spark, tmp_path / "in", docs[part * 3:part * 3 + 3], part * 3)
+    query = stream_files(run_stream(stored_stream(spark, str(tmp_path / "in"), max_files=1), spec), str(tmp_path / "out"),
+                         str(tmp_path / "cp")).trigger(availableNow=True).start()
+    assert query.awaitTermination(120) and query.exception() is None
+    states, want = {}, []
+    for doc in docs:
+        states[doc["node"]], delta = step(states.get(doc["node"]), doc["c"]["a"], doc["t"], "u64", CONFIG)
+        want.append(delta)
+    assert [doc["c"]["a"] for doc in docs_of(spark, tmp_path / "out")] == want
