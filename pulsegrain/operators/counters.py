@@ -88,13 +88,20 @@ def delta(kind: str | Column, value: Column, ts: Column, before: Column, config:
         )
         return F.when(at_least(value, old), signed64(low["diff"])).when(age <= config.wrap_time_ms, signed64(wrapped))
 
-    # Both readings within 63 bits is the rule: subtract as BIGINT there.
-    short, short_old = value.try_cast("bigint"), old.try_cast("bigint")
-    return F.when(
-        fresh & value.isNotNull(),
-        F.when((short >= short_old) & (short_old >= 0), short - short_old)
-        .otherwise(V.let(F.struct((low64(value) - low64(old)).cast("decimal(38,0)").alias("diff")), rest)),
-    )
+    def within(pair: Column) -> Column:
+        """Both readings within 63 bits, which is the rule: BIGINT does, and nothing can overflow."""
+        now, then = pair["now"], pair["then"]
+        span32, span64 = F.lit(MAX_U32).cast("bigint") - then + now, F.lit(MAX_S64).cast("bigint") - then + now
+        wrapped = (
+            F.when((kind == "u32") & (F.pmod(span32, F.lit(2**32).cast("bigint")) < config.u32_limit), span32)
+            .when((kind == "u64") & (span64 < config.u64_limit), span64)
+        )
+        return F.when(
+            (now >= 0) & (then >= 0), F.when(now >= then, now - then).when(age <= config.wrap_time_ms, wrapped)
+        ).otherwise(V.let(F.struct((low64(value) - low64(old)).cast("decimal(38,0)").alias("diff")), rest))
+
+    shorts = F.struct(value.try_cast("bigint").alias("now"), old.try_cast("bigint").alias("then"))
+    return F.when(fresh & value.isNotNull(), V.let(shorts, within))
 
 
 @dataclass(frozen=True)

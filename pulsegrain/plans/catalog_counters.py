@@ -11,7 +11,7 @@ from pulsegrain.functions import scalars as S
 from pulsegrain.functions import variants as V
 from pulsegrain.operators import routing as R
 from pulsegrain.plans import interfaces
-from pulsegrain.plans.catalog_documents import as_messages, event_messages, table
+from pulsegrain.plans.catalog_documents import as_messages, dealt, event_messages, table
 from pulsegrain.plans.pipeline import run
 from pulsegrain.session import checkpoint_root
 from pulsegrain.sources.readers import MESSAGE_SCHEMA, stored_stream
@@ -226,7 +226,7 @@ def counter_late_fold(spark, sf_dir):
 
 def interface_layouts(spark, sf_dir):
     """Interface messages of three device layouts, made from orders, to rows with differences."""
-    orders = table(spark, sf_dir, "orders")
+    orders = dealt(table(spark, sf_dir, "orders"), "o_orderkey")
     number = F.col("o_orderkey")
     millis = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.pmod(number, F.lit(60_000)) * 1000
     octets = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
@@ -297,7 +297,7 @@ def _end_to_end_app() -> App:
 
 def dataflow_end_to_end(spark, sf_dir):
     """Parse, gate, decode, route, fan out, count, and emit, with discards and dead letters."""
-    events = table(spark, sf_dir, "events")
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
     kind = F.col("event_type")
     parts = F.array(*[
         F.struct(

@@ -23,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over partitions by a key, as a topic would bring them. The tables come as single files of one row group, which one
+    task would read alone; rows are dealt whatever their number."""
+    return df.repartition(key)
+
+
 def as_messages(df: DataFrame, key: Column, document: Column, timestamp: Column, offset: Column) -> DataFrame:
     """Rows of a table as messages; the row's own number is its position."""
     return df.select(
@@ -33,7 +39,7 @@ def as_messages(df: DataFrame, key: Column, document: Column, timestamp: Column,
 
 def event_messages(spark: SparkSession, sf_dir: str, **fields: Column) -> DataFrame:
     """Every event as a JSON message; further fields are added to the document."""
-    events = table(spark, sf_dir, "events")
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
     document = F.to_json(F.struct(
         F.col("event_id").alias("id"), F.col("user_id").alias("node"), F.col("event_type").alias("kind"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("t"),

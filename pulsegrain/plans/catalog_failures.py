@@ -8,7 +8,7 @@ from pulsegrain.functions import scalars as S
 from pulsegrain.functions import variants as V
 from pulsegrain.operators import metrics
 from pulsegrain.operators import routing as R
-from pulsegrain.plans.catalog_documents import as_messages, event_messages, table
+from pulsegrain.plans.catalog_documents import as_messages, dealt, event_messages, table
 from pulsegrain.plans.pipeline import flatten, run
 from pulsegrain.specs import App, Pipeline
 
@@ -33,7 +33,7 @@ def rename_collision(spark, sf_dir):
 
 def merge_mixed_list(spark, sf_dir):
     """A list to merge holds numbers, nulls and texts among its objects."""
-    events = table(spark, sf_dir, "events")
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
     odd = F.when(_kind() == "click", ', 5, null, "x", [1]').otherwise("")
     text = F.concat(F.lit('{"keys": [{"a": '), "event_id", F.lit("}"), odd, F.lit("]}"))
     messages = as_messages(events, F.col("user_id"), text, F.col("ts"), F.col("event_id"))
@@ -46,7 +46,7 @@ def sort_mixed_list(spark, sf_dir):
     n = F.pmod(F.col("event_id"), F.lit(50))
     items = F.when(_kind() == "click", F.to_json(F.array(F.lit("10"), F.lit("9"), F.concat(F.lit("00"), n.cast("string"))))).when(
         _kind() == "view", F.concat(F.lit("["), n, F.lit(", 7.5, -1]"))).otherwise(F.concat(F.lit('["b", null, '), n, F.lit(', "NaN"]')))
-    events = table(spark, sf_dir, "events")
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
     messages = as_messages(events, F.col("user_id"), F.concat(F.lit('{"l": '), items, F.lit("}")), F.col("ts"), F.col("event_id"))
     rows = _rows(messages, lambda doc: F.array(V.row_of({"s": S.sort_list(V.get(doc, "$.l"))})))
     return rows.select(F.col("offset").alias("event_id"), F.to_json(V.get(F.col("row"), "$.s")).alias("sorted"))
@@ -74,7 +74,7 @@ def _checked() -> App:
 
 
 def _some_broken(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
     document = F.to_json(F.struct(F.col("event_id").alias("id"), _kind().alias("kind")))
     text = F.when((F.col("event_id") % 11 == 0), F.concat(F.lit("{broken "), "event_id")).otherwise(document)
     return as_messages(events, F.col("user_id"), text, F.col("ts"), F.col("event_id"))

@@ -9,7 +9,7 @@ from pulsegrain.functions import scalars as S
 from pulsegrain.functions import variants as V
 from pulsegrain.functions.variants import Place
 from pulsegrain.operators import reshape as R
-from pulsegrain.plans.catalog_documents import as_messages, table
+from pulsegrain.plans.catalog_documents import as_messages, dealt, table
 from pulsegrain.plans.pipeline import flatten, run
 from pulsegrain.specs import App, Pipeline
 
@@ -26,13 +26,13 @@ def _read(rows: DataFrame, **fields: str) -> DataFrame:
 
 
 def _table_messages(spark, sf_dir, name: str, key: str, document: Column) -> DataFrame:
-    rows = table(spark, sf_dir, name)
+    rows = dealt(table(spark, sf_dir, name), key)
     return as_messages(rows, F.col(key), F.to_json(document), F.lit(0).cast("timestamp"), F.col(key))
 
 
 def order_fanout(spark, sf_dir):
     """Each line item as a message with a list of amounts; the header fields go to every amount."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = dealt(table(spark, sf_dir, "lineitem"), "l_orderkey")
     amounts = F.array(*[
         F.struct(F.lit(name).alias("name"), F.col(f"l_{name}").alias("value"))
         for name in ("quantity", "extendedprice", "discount", "tax")
