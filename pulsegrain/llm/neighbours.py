@@ -1,12 +1,14 @@
 """Near-duplicate embeddings by robust-pruned flat graphs.
 
-Equal vectors of a label are one vertex with a count. Vertices go to the clusters of a label's pivots (a bounded sample) whose
-cosine is near the best one, so neighbouring clusters overlap. Each cluster builds a graph by itself: every vertex is searched for in
-the graph so far, and of what the search meets the robust prune keeps neighbours in different directions. A vertex's lists
-from all its clusters are united and the graphs searched again: greedy from the medoid, then outwards over the whole range
-of near vectors. Links are verified in double precision; inside what links connect, all pairs are counted exactly, in
-blocks, and a pair that several clusters hold belongs to the first of them. Pairs are never emitted: a cluster returns
-each vertex's count and one edge of a spanning forest.
+Equal vectors of a label are one vertex with a count. The home of a vertex is the cluster of its best pivot (of a bounded
+sample of its label); it is a guest of every other cluster that may be home to a vector it links with, by bounds that no link
+can break. So a cluster holds all that its own vertices link with, however many clusters a vertex is sent to. Each cluster
+builds a graph by itself: every vertex is searched for in the graph so far, and of what the search meets the robust prune
+keeps neighbours in different directions. A vertex's lists from all its clusters are united and the graphs searched again:
+greedy from the medoid, then outwards over the whole range of near vectors. Links are verified in double precision; inside
+what links connect, a cluster counts all pairs of its own vertices exactly. A cluster of too many vertices has no graph:
+it is cut into pairs of blocks, a task for each, and all cosines are computed. Pairs are never emitted: a task returns each
+vertex's count and one edge of a spanning forest.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from pulsegrain.llm.common import components, stored
 THRESHOLD = 0.98
 #: Vertices of a cluster, on the mean, and pivots in all, at most: the sample that the clusters are fitted on.
 CLUSTER, MOST_PIVOTS = 2_000, 4_096
-#: How much below the best cosine a pivot may lie, and how many clusters a vertex goes to, at most.
-MARGIN, OVERLAP = 0.08, 4
+#: In cluster sizes: vertices with guests from which on a cluster is cut into blocks, and vertices of a block, on the mean.
+MOST_GRAPH, BLOCK = 4, 2
 DEGREE, BEAM, ALPHA = 20, 40, 1.2
 #: Range in which the search goes on from what it has found.
 SLACK = 0.05
@@ -186,31 +188,78 @@ def forest(n: int, pairs: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
     return np.array([root(i) for i in range(n)], np.int64)
 
 
-def owned_degrees(x: np.ndarray, roots: np.ndarray, clusters: np.ndarray, cluster: int, counts: np.ndarray, threshold: float) -> np.ndarray:
-    """Vectors that each vertex links with in its component, counting only pairs whose first common cluster this one is."""
+def own_degrees(x: np.ndarray, roots: np.ndarray, own: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """Vectors that each vertex of ``own`` links with in its component; 0 for guests, which are counted at home."""
     out = np.zeros(len(x), np.int64)
     order = np.argsort(roots, kind="stable")
     cuts = np.flatnonzero(np.r_[True, roots[order][1:] != roots[order][:-1]])
     for a, b in zip(cuts.tolist(), np.r_[cuts[1:], len(order)].tolist()):
-        if b - a < 2:
-            continue
         part = order[a:b]
-        for at in range(a, b, _BATCH):
-            rows = order[at:min(b, at + _BATCH)]
-            i, j = np.nonzero(x[rows] @ x[part].T >= threshold)
-            i, j = rows[i], part[j]
-            i, j = i[i != j], j[i != j]
-            mine, theirs = clusters[i], clusters[j]
-            common = (mine[:, :, None] == theirs[:, None, :]).any(2) & (mine >= 0)
-            first = np.where(common, mine, np.iinfo(mine.dtype).max).min(1)
-            np.add.at(out, i, np.where(first == cluster, counts[j], 0))
+        mine = part[own[part]]
+        for at in range(0, len(mine) if b - a > 1 else 0, _BATCH):
+            rows = mine[at:at + _BATCH]
+            near = (x[rows] @ x[part].T >= threshold) & (rows[:, None] != part[None, :])
+            out[rows] = near @ counts[part]
+    return out
+
+
+def block_links(x: np.ndarray, ids: np.ndarray, own: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vertices (ids, rising), how many vectors of the others each of ``own`` links with, and the smallest id of their components.
+
+    All cosines of rows that are ``own`` with those that are not are computed; a vertex may be there as both.
+    """
+    nodes, place = np.unique(ids, return_inverse=True)
+    mine, others = np.flatnonzero(own), np.flatnonzero(~own)
+    links, label, to = np.zeros(len(nodes), np.int64), np.arange(len(nodes)), place[others]
+    for at in range(0, len(mine), _BATCH):
+        rows = mine[at:at + _BATCH]
+        near = (x[rows] @ x[others].T >= threshold) & (place[rows][:, None] != to[None, :])
+        links[place[rows]] += near @ counts[others]
+        # Most rows of a dense block are in one component with all they link with already.
+        apart = (near & (label[to][None, :] != label[place[rows]][:, None])).any(1)
+        for k in np.flatnonzero(apart):
+            met = np.unique(np.r_[label[place[rows[k]]], label[to[near[k]]]])
+            if len(met) > 1:
+                label[np.isin(label, met)] = met[0]
+    return nodes, links, nodes[label]
+
+
+def thinned(names: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pivots without those that link with an earlier one: many in one dense group would only hold the same vectors."""
+    kept: list[int] = []
+    for k in range(len(names)):
+        if not kept or (centres[kept] @ centres[k]).max() < threshold:
+            kept.append(k)
+    return names[kept], centres[kept]
+
+
+def homes(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best pivot of each vertex and the angle to it."""
+    cos = x @ centres.T
+    best = cos.argmax(1)
+    return best, np.arccos(np.clip(cos[np.arange(len(x)), best], -1, 1))
+
+
+def may_link(x: np.ndarray, home: np.ndarray, centres: np.ndarray, radius: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pivots (columns) may be home to a vector that a vertex (rows) links with; never leaves one out that is.
+
+    ``radius`` is the greatest angle of a pivot's own vertices, below 0 if it has none. Whoever is linked lies within the
+    threshold's angle, so a pivot is not farther than that beyond its radius. And who is at home there is on that pivot's
+    side of the plane between it and the vertex's own pivot, so the vertex is within the threshold's chord of the plane.
+    """
+    cos, slack = x @ centres.T, 1e-9
+    angle, chord = np.arccos(np.clip(threshold, -1, 1)), np.sqrt(max(0.0, 2 - 2 * threshold))
+    least = np.cos(np.minimum(np.pi, radius + angle))
+    apart = np.sqrt(np.maximum(0, 2 - 2 * (centres[home] @ centres.T)))
+    rows = np.arange(len(x))
+    out = (cos >= least - slack) & (cos[rows, home][:, None] - cos <= chord * apart + slack) & (radius >= 0)
+    out[rows, home] = True
     return out
 
 
 # ---- Spark ----------------------------------------------------------------------------------------------------------
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_size: int = CLUSTER, most_pivots: int = MOST_PIVOTS,
-                    margin: float = MARGIN) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_size: int = CLUSTER, most_pivots: int = MOST_PIVOTS) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of vectors (vec_id, embedding, label).
 
     Rows whose label, vec_id or vector is null, and vectors that are empty, zero or hold a null or non-finite component,
@@ -236,28 +285,47 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
     known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for label in {r.label for r in pivots}:
         own = [r for r in pivots if r.label == label]
-        known[label] = (np.array([r.id for r in own], np.int64), units(np.array([r.v for r in own], float)))
+        known[label] = thinned(np.array([r.id for r in own], np.int64), units(np.array([r.v for r in own], float)), threshold)
     sent = spark.sparkContext.broadcast(known)
 
+    def at_home(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            home, angle = pdf["home"].to_numpy(np.int64, copy=True), np.full(len(pdf), np.nan)
+            for label, places in pdf.groupby("label").indices.items():
+                if label in sent.value:
+                    names, centres = sent.value[label]
+                    for part in np.array_split(places, -(-len(places) // _BATCH)):
+                        best, angle[part] = homes(units(np.stack(pdf["v"].to_numpy()[part])), centres)
+                        home[part] = names[best]
+            yield pdf.assign(home=home, angle=angle)
+
+    schema = "label string, v array<double>, id bigint, copies bigint, home bigint"
+    settled = stored(classes.join(sizes.select("label", F.col("one.id").alias("home")), "label").select("label", "v", "id", "copies", "home").mapInPandas(
+        at_home, schema + ", angle double").withColumn("angle", F.nanvl("angle", F.lit(None).cast("double"))), "near-homes")
+    # As many rows as there are pivots.
+    widths = {(r.label, r.home): r.radius for r in settled.where("angle is not null").groupBy("label", "home").agg(F.max("angle").alias("radius")).collect()}
+    reach = spark.sparkContext.broadcast({label: np.array([widths.get((label, int(n)), -1.0) for n in names]) for label, (names, _) in known.items()})
+
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            out: list[list[int]] = [[] for _ in range(len(pdf))]
+            out: list[list[int]] = [[home] for home in pdf["home"].tolist()]
             for label, places in pdf.groupby("label").indices.items():
-                if label not in sent.value:
-                    for place in places:
-                        out[place] = [int(pdf["home"].iloc[place])]
-                    continue
-                names, centres = sent.value[label]
-                cos = units(np.stack(pdf["v"].to_numpy()[places])) @ centres.T
-                top = np.argsort(-cos, axis=1, kind="stable")[:, :OVERLAP]
-                best = np.take_along_axis(cos, top, 1)
-                for place, ids, near in zip(places, names[top], best >= best[:, :1] - margin):
-                    out[place] = sorted(ids[near].tolist())
-            yield pdf.drop(columns="home").assign(clusters=out)
-
-    schema = "label string, v array<double>, id bigint, copies bigint, clusters array<bigint>"
-    assigned = stored(classes.join(sizes.select("label", F.col("one.id").alias("home")), "label").select("label", "v", "id", "copies", "home").mapInPandas(assign, schema).select(
-        "*", F.explode("clusters").alias("cluster")), "near-assigned")
+                if label in sent.value:
+                    names, centres = sent.value[label]
+                    place_of = {n: k for k, n in enumerate(names.tolist())}
+                    for part in np.array_split(places, -(-len(places) // _BATCH)):
+                        home = np.array([place_of[n] for n in pdf["home"].to_numpy()[part].tolist()])
+                        for place, some in zip(part, may_link(units(np.stack(pdf["v"].to_numpy()[part])), home, centres, reach.value[label], threshold)):
+                            out[place] = names[some].tolist()
+            yield pdf.assign(clusters=out)
+
+    assigned = stored(settled.drop("angle").mapInPandas(assign, schema + ", clusters array<bigint>").select(
+        "label", "v", "id", "copies", "home", F.explode("clusters").alias("cluster")), "near-assigned")
+    # Clusters that are cut: no more than pivots and labels of that size.
+    block = BLOCK * cluster_size
+    cut = stored(assigned.groupBy("label", "cluster").agg(F.count("*").alias("n"), F.count_if(F.col("home") == F.col("cluster")).alias("n_own")).where(
+        F.col("n") > MOST_GRAPH * cluster_size).select("label", "cluster", F.ceil(F.col("n_own") / block).cast("int").alias("owns"), F.ceil(F.col("n") / block).cast("int").alias("alls")), "near-cut")
+    whole = assigned.join(cut, ["label", "cluster"], "left_anti")
 
     def graph(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -266,7 +334,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
         return pd.DataFrame({"id": ids, "near": [ids[row[row >= 0]] for row in lists]})
 
     tasks = max(1, -(-total // cluster_size))
-    parts = assigned.repartition(tasks, "label", "cluster")
+    parts = whole.repartition(tasks, "label", "cluster")
     lists = stored(parts.groupBy("label", "cluster").applyInPandas(graph, "id bigint, near array<bigint>"), "near-graphs")
     united = lists.select("id", F.explode("near").alias("n")).groupBy("id").agg(F.collect_set("n").alias("near"))
 
@@ -280,17 +348,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
         for k, p in enumerate(places):
             adjacent[k, :len(p)] = p
         roots = forest(len(ids), search(x, adjacent, threshold))
-        # A cluster is named by a vertex; ranks of names are compared, as an id may be negative.
-        names, ranks = np.unique(np.concatenate(pdf["clusters"].to_list()), return_inverse=True)
-        ranked, at = np.full((len(ids), OVERLAP), -1, np.int64), 0
-        for k, c in enumerate(pdf["clusters"]):
-            ranked[k, :len(c)], at = ranks[at:at + len(c)], at + len(c)
-        own = int(np.searchsorted(names, pdf["cluster"].iloc[0]))
-        degrees = owned_degrees(x, roots, ranked, own, pdf["copies"].to_numpy(), threshold)
+        degrees = own_degrees(x, roots, (pdf["home"] == pdf["cluster"]).to_numpy(), pdf["copies"].to_numpy(), threshold)
         return pd.DataFrame({"id": ids, "links": degrees, "root": ids[roots]})
 
-    found = stored(assigned.join(united, "id", "left").repartition(tasks, "label", "cluster").groupBy("label", "cluster").applyInPandas(
-        walk, "id bigint, links bigint, root bigint"), "near-links")
+    def pair(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = units(np.stack(pdf["v"].to_numpy()).astype(float))
+        ids, links, roots = block_links(x, pdf["id"].to_numpy(), pdf["own"].to_numpy(bool), pdf["copies"].to_numpy(), threshold)
+        return pd.DataFrame({"id": ids, "links": links, "root": roots})
+
+    # Every block of a cluster's own vertices meets every block of all it holds, in a task for each pair of blocks.
+    number = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    columns = F.transform(F.sequence(F.lit(0), F.col("alls") - 1), lambda k: F.struct(number("owns", 5).alias("a"), k.alias("b"), F.lit(True).alias("own")))
+    lines = F.transform(F.sequence(F.lit(0), F.col("owns") - 1), lambda k: F.struct(k.alias("a"), number("alls", 6).alias("b"), F.lit(False).alias("own")))
+    blocks = assigned.join(cut.where("owns > 0"), ["label", "cluster"]).withColumn("at", F.explode(F.when(
+        F.col("home") == F.col("cluster"), F.concat(columns, lines)).otherwise(lines))).select("label", "cluster", "id", "v", "copies", "at.*")
+
+    result = "id bigint, links bigint, root bigint"
+    found = stored(whole.join(united, "id", "left").repartition(tasks, "label", "cluster").groupBy("label", "cluster").applyInPandas(walk, result).union(
+        blocks.groupBy("label", "cluster", "a", "b").applyInPandas(pair, result)), "near-links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts_of = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "near-components").withColumnRenamed("v", "id")
     named = classes.select(F.col("label").alias("own_label"), F.col("v").alias("own_v"), "id", "copies").join(links, "id").join(

@@ -141,5 +141,28 @@ def test_recall_of_the_graph():
     assert (ids[:, 0] == np.arange(0, len(x), 20)).mean() >= 0.9 or np.isclose(cos[np.arange(0, len(x), 20), ids[:, 0]], 1).mean() >= 0.9
 
 
+def test_dense_group_of_many_pivots(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([np.eye(16)[0] + rng.normal(size=(900, 16)) * 0.045, rng.normal(size=(500, 16))])
+    df = spark.createDataFrame([(i, [float(c) for c in v], 1) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    near = neighbours.units(x) @ neighbours.units(x).T >= 0.98
+    roots = union(len(x), [(int(i), int(j)) for i, j in zip(*np.nonzero(near)) if i < j])
+    got = neighbours.near_duplicates(df, cluster_size=20).collect()
+    assert near.sum() > 100_000
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (int(near[i].sum()) - 1, roots[i]) for i in range(len(x))}
+
+
+@pytest.mark.parametrize("dim, threshold", [(3, 0.98), (16, 0.9), (64, 0.98)])
+def test_guests_reach_the_homes_of_all_their_links(dim, threshold):
+    rng = np.random.default_rng(dim)
+    x = neighbours.units(np.repeat(rng.normal(size=(60, dim)), 10, 0) + rng.normal(size=(600, dim)) * 0.15)
+    centres = x[::13]
+    home, angle = neighbours.homes(x, centres)
+    radius = np.array([angle[home == k].max(initial=-1) for k in range(len(centres))])
+    goes = neighbours.may_link(x, home, centres, radius, threshold)
+    i, j = np.nonzero(x @ x.T >= threshold)
+    assert goes[i, home[j]].all() and len(i) > len(x)
+
+
 def test_shared_folder(spark):
     assert shared_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/x-")
