@@ -1,7 +1,6 @@
 """Toxicity by a learned lexicon, Levenshtein automata over its trie, and scores of the words around a hit.
 
-Training. From a bounded sample of labelled rows, terms are counted by documents: words, and the beginnings of words of toxic
-documents. What is far more frequent in toxic ones enters the lexicon, as a word or, where several such words begin alike, as
+Training. From a bounded sample of labelled rows, terms are counted by documents: words, and the beginnings of words. What is far more frequent in toxic ones enters the lexicon, as a word or, where several such words begin alike, as
 a beginning. A logistic regression weighs a document's hits by kind.
 
 Scoring. The lexicon is a trie. Its product with a Levenshtein automaton accepts every word within one edit of an entry; the
@@ -208,21 +207,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED)
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Document counts of terms in a partition: words as they are, beginnings with a hyphen."""
+    """Document counts of terms in a partition: words as they are, beginnings with a hyphen.
+
+    Clean documents count for every term: whether a toxic one has it shows only in the sum over all partitions.
+    """
     toxic, clean, n = Counter(), Counter(), [0, 0]
     for batch in batches:
         for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
             own = {plain(w) for w in set(text.as_py().split())} - {""}
             n[label > 0] += 1
-            if label:
-                toxic.update(own)
-                toxic.update({w[:k] + "-" for w in own for k in _PREFIXES if len(w) > k})
-            else:
-                clean.update(own)
-    for word, times in list(clean.items()):
-        for k in _PREFIXES:
-            if len(word) > k and word[:k] + "-" in toxic:
-                clean[word[:k] + "-"] += times
+            side = toxic if label else clean
+            side.update(own)
+            side.update({w[:k] + "-" for w in own for k in _PREFIXES if len(w) > k})
     names = list(toxic) + [w for w in clean if w not in toxic]
     rows = [("", n[1], n[0]), *((w, toxic[w], clean[w]) for w in names)]
     for at in range(0, len(rows), 2**16):

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from oracle import compare, connect
 
@@ -223,6 +224,19 @@ def test_held_out_rows_are_told_apart(spark):
     assert right >= 0.97 * len(rows) and caught >= 0.85 * sum(r.toxic for r in rows)
 
 
+def test_terms_do_not_depend_on_partitions(spark):
+    docs, labels = labelled(spark, "sf0.01")
+    one, many = (toxicity.train(docs.repartition(n, "doc_id"), labels.coalesce(1)) for n in (1, 16))
+    assert (one.words, one.beginnings) == (many.words, many.beginnings) and one.weights == pytest.approx(many.weights)
+    batches = [[(f"stem{k} other", 1) for k in "abc"], [("stemmed stems", 0)] * 5]
+    counts = Counter()
+    for rows in batches:
+        for b in toxicity._terms(iter([pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["text", "toxic"])])):
+            for term, toxic, clean in zip(*(c.to_pylist() for c in b.columns)):
+                counts.update({(term, "toxic"): toxic, (term, "clean"): clean})
+    assert (counts["stem-", "toxic"], counts["stem-", "clean"]) == (3, 5)
+
+
 def test_toxicity_of_odd_rows(spark, documents):
     texts = [None, "", "you vile toad " + "x " * 100_000, "fine"] + [f"vile toad number {i} of all" if i % 2 else f"kind words number {i} of all" for i in range(200)]
     df = documents([*texts[:4], *[(4 + i, t) for i, t in enumerate(texts[4:])], (None, "vile"), (7, "repeated id")])
