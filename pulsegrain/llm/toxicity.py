@@ -53,7 +53,8 @@ class Lexicon:
     """A trie of words and beginnings, and its product with a Levenshtein automaton.
 
     A state is a set of (trie node, edits used). A transition takes a letter as the next one, as a wrong one or as one
-    too many, or skips a letter of the entry first; beginnings accept whatever follows. ``find`` gives the weight of the
+    too many, or skips a letter of the entry first; beginnings accept whatever follows, and decide for the words that they
+    cover; those words are entries for the sake of what is an edit away from them. ``find`` gives the weight of the
     entry that a word is: above 0 for an entry itself, below 0 for one with an edit, 0 for none.
     """
 
@@ -229,7 +230,8 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lexicon(terms: dict[str, tuple[int, float]]) -> tuple[dict[str, float], dict[str, float]]:
     """Words and beginnings, with weights, out of the terms (count, weight) that speak for toxicity.
 
-    A beginning needs three such words; of those that contain each other the one with most evidence is taken.
+    A beginning needs three such words; of those that contain each other the one with most evidence is taken. Words that it
+    covers stay if they are long enough to be met with an edit: a beginning itself is only met as it is.
     """
     words = {t: w for t, (_, w) in terms.items() if not t.endswith("-")}
     begins: dict[str, float] = {}
@@ -237,7 +239,7 @@ def _lexicon(terms: dict[str, tuple[int, float]]) -> tuple[dict[str, float], dic
         name = term[:-1]
         if not any(name.startswith(b) or b.startswith(name) for b in begins) and sum(w.startswith(name) for w in words) >= 3:
             begins[name] = terms[term][1]
-    return {w: v for w, v in words.items() if not any(w.startswith(b) for b in begins)}, begins
+    return {w: v for w, v in words.items() if len(w) >= LEAST_FUZZY or not any(w.startswith(b) for b in begins)}, begins
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> list[float]:

@@ -197,6 +197,20 @@ def test_automaton_equals_edit_distance():
         assert lexicon.find(word) == (exact or -near)
 
 
+def test_words_under_a_beginning_are_met_with_an_edit():
+    terms = {t: (9, 2.0) for t in ("moron", "morons", "moronic", "moro", "other")} | {"moro-": (20, 3.0)}
+    words, beginnings = toxicity._lexicon(terms)
+    assert beginnings == {"moro": 3.0} and sorted(words) == ["moron", "moronic", "morons", "other"]
+    lexicon = toxicity.Lexicon(words, beginnings)
+    rng = random.Random(2)
+    for word in [*terms, "mron", "mxron", "noronic", "mooronic", "xmorons", "ohter", "mor", "moronically"] + [
+            "".join(rng.choice("mornics") for _ in range(rng.randrange(3, 7))) for _ in range(3000)]:
+        exact = 3.0 if word.startswith("moro") else words.get(word, 0.0)
+        near = any(len(w) >= toxicity.LEAST_FUZZY and edits(w, word) == 1 for w in words)
+        assert lexicon.find(word) == (exact or -2.0 * near), word
+    assert lexicon.find("mron") == -2.0 and lexicon.find("noronic") == -2.0
+
+
 def test_quotation_is_told_from_abuse():
     lexicon = toxicity.Lexicon({"moron": 5.0}, {})
     assert toxicity.features("you are a moron today", lexicon, {})[:3] == (5.0, 0.0, 0.0)
