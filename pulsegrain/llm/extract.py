@@ -4,18 +4,21 @@ A page becomes blocks of text, each with a role: text inside an article is main
 and the like is boilerplate by its markup, the rest is open. The tokens of a host's boilerplate and open blocks are
 concatenated, page by page, and sorted by suffix (prefix doubling up to the least length of a repeat). Neighbours in that
 order which agree on so many tokens and lie in distinct pages are repeats; an open block that repeats cover for the most
-part is boilerplate, the others are kept. A hot host is cut into shards of bounded size, each with hundreds of pages, so a
-template shows up in every one of them.
+part is boilerplate, the others are kept. A hot host is cut into shards of bounded size. Its runs of so many tokens are
+hashed and their pages counted over the whole host by Spark, and a shard gets those of its runs that other pages of the host
+have, so that a repeat on a few pages is found wherever they are dealt.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,10 +181,11 @@ def _nested(stack: list[tuple], tag: str) -> bool:
 
 # ---- suffix array ---------------------------------------------------------------------------------------------------
 
-def covered(tokens: np.ndarray, pages: np.ndarray, least: int = LEAST_REPEAT) -> np.ndarray:
+def covered(tokens: np.ndarray, pages: np.ndarray, least: int = LEAST_REPEAT, known: np.ndarray | None = None) -> np.ndarray:
     """Which positions of a token stream lie in a run of ``least`` tokens that another page has as well.
 
-    ``tokens`` are numbers, ``pages`` the page of each, in rising order. Suffixes are sorted by their first ``least``
+    ``tokens`` are numbers, ``pages`` the page of each, in rising order; ``known`` tells of each position whether a page
+    outside the stream has the run that starts there. Suffixes are sorted by their first ``least``
     tokens by prefix doubling; a run never goes across the end of its page.
     """
     n = len(tokens)
@@ -204,16 +208,38 @@ def covered(tokens: np.ndarray, pages: np.ndarray, least: int = LEAST_REPEAT) ->
     shared = np.zeros(int(group[-1]) + 1 if len(group) else 0, bool)
     shared[group[1:][(ranks[1:] == ranks[:-1]) & (at[1:] != at[:-1])]] = True
     marks = np.zeros(n + 1, np.int64)
-    starts = order[shared[group]] if len(group) else order
+    starts = order[shared[group] | (False if known is None else known[order])] if len(group) else order
     np.add.at(marks, starts, 1)
     np.add.at(marks, np.minimum(starts + least, n), -1)
     return np.cumsum(marks)[:n] > 0
 
 
-def main_texts(htmls: list[str], least: int = LEAST_REPEAT, share: float = COVERED) -> list[tuple[str, int]]:
+def run_hashes(hashes: np.ndarray, pages: np.ndarray, least: int = LEAST_REPEAT) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the run of ``least`` tokens that starts at each position, and whether the page is long enough for it."""
+    n = max(0, len(hashes) - least + 1)
+    out = np.zeros(len(hashes), np.uint64)
+    for k in range(least):
+        out[:n] = out[:n] * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
+    return out.view(np.int64), np.arange(len(pages)) + least <= np.searchsorted(pages, pages, "right")
+
+
+def _token_hashes(tokens: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in tokens], np.uint64)
+
+
+def page_runs(html: str, least: int = LEAST_REPEAT) -> tuple[np.ndarray, int]:
+    """Hashes of a page's distinct runs outside main blocks, and a hash of the page that copies of it share."""
+    page = blocks(html)
+    tokens = [w for b in page if b.role != MAIN for w in b.text.split()]
+    runs, whole = run_hashes(_token_hashes(tokens), np.zeros(len(tokens), np.int64), least)
+    key = xxhash.xxh64_intdigest("\0".join(f"{b.role}\1{b.text}" for b in page).encode("utf-8", "surrogatepass"))
+    return np.unique(runs[whole]), key - 2**63
+
+
+def main_texts(htmls: list[str], least: int = LEAST_REPEAT, share: float = COVERED, elsewhere: np.ndarray | None = None) -> list[tuple[str, int]]:
     """(main text, tokens in repeats) for the pages of one host or shard.
 
-    Pages whose blocks are the same throughout count as one page, so copies do not make each other boilerplate.
+    ``elsewhere`` are the hashes of runs that several pages of the host have, if these pages are a shard of it. Pages whose blocks are the same throughout count as one page, so copies do not make each other boilerplate.
     """
     parsed = [blocks(h) for h in htmls]
     numbers: dict[str, int] = {}
@@ -235,7 +261,10 @@ def main_texts(htmls: list[str], least: int = LEAST_REPEAT, share: float = COVER
             own.append((len(tokens), len(tokens) + len(ids)))
             tokens += ids
             pages += [number] * len(ids)
-    hit = np.r_[0, np.cumsum(covered(np.array(tokens, np.int64), np.array(pages, np.int64), least))]
+    stream, of_page, known = np.array(tokens, np.int64), np.array(pages, np.int64), None
+    if elsewhere is not None and len(tokens):
+        known = np.isin(run_hashes(_token_hashes(list(numbers))[stream], of_page, least)[0], elsewhere)
+    hit = np.r_[0, np.cumsum(covered(stream, of_page, least, known))]
     out = []
     for page, key in zip(parsed, keys):
         places, kept, repeated = iter(spans[key]), [], 0
@@ -262,20 +291,40 @@ def extract(pages: DataFrame, shard_chars: int = SHARD_CHARS, least: int = LEAST
 
     A null html has an empty text; rows with a null url, or one without a host, form a host of their own. Repeated rows
     are extracted each for itself. Other columns are ignored; an empty table gives no rows. Sizes of hosts are sums of
-    lengths; only hosts of several shards are kept, and a host's pages are dealt over its shards by a hash.
+    lengths; only hosts of several shards are kept, and a host's pages are dealt over its shards by a hash. Shards do not
+    change the result, as each gets the runs that its pages have in common with others.
     """
     host = F.regexp_extract(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
     rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
     hot = stored(rows.groupBy("host").agg(
         F.ceil(F.sum(F.length("html")) / shard_chars).cast("int").alias("shards")).where("shards > 1"), "hosts")
     dealt = rows.join(hot, "host", "left").withColumn(
-        "shard", F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.coalesce("shards", F.lit(1)))).drop("shards")
+        "shard", F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.coalesce("shards", F.lit(1)))).withColumn("hot", F.col("shards").isNotNull()).drop("shards")
+
+    # Runs of hot hosts and how many pages have them: of one page both ends are equal.
+    def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            found = [page_runs(h, least) for h in pdf["html"]]
+            sizes = [len(r) for r, _ in found]
+            each = pd.DataFrame({
+                "host": np.repeat(pdf["host"].to_numpy(), sizes), "shard": np.repeat(pdf["shard"].to_numpy(), sizes),
+                "run": np.concatenate([r for r, _ in found]) if found else np.zeros(0, np.int64), "page": np.repeat(np.array([p for _, p in found], np.int64), sizes)})
+            yield each.groupby(["host", "shard", "run"], sort=False, as_index=False).agg(low=("page", "min"), high=("page", "max"))
+
+    placed = dealt.where("hot").select("host", "shard", "html").mapInPandas(runs, "host string, shard bigint, run bigint, low bigint, high bigint")
+    repeats = placed.groupBy("host", "run").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("shard").alias("shards")).where(
+        (F.col("low") < F.col("high")) & (F.size("shards") > 1)).select("host", F.explode("shards").alias("shard"), "run")
+    given = repeats.groupBy("host", "shard").agg(F.collect_list("run").alias("runs"))
 
     def of_host(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = main_texts(pdf["html"].tolist(), least, share)
+        told = pdf["runs"].notna()
+        elsewhere = np.concatenate([np.asarray(r, np.int64) for r in pdf["runs"][told]]) if told.any() else None
+        pdf = pdf[~told]
+        found = main_texts(pdf["html"].tolist(), least, share, elsewhere)
         texts = [text for text, _ in found]
         return pd.DataFrame({
             "page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": list(map(len, texts)),
             "n_repeated": [n for _, n in found]}, index=pdf.index)
 
-    return dealt.groupBy("host", "shard").applyInPandas(of_host, TEXTS)
+    both = dealt.drop("hot").withColumn("runs", F.lit(None).cast("array<bigint>")).unionByName(given, allowMissingColumns=True)
+    return both.groupBy("host", "shard").applyInPandas(of_host, TEXTS)

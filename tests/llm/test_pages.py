@@ -83,6 +83,17 @@ def test_extraction_of_odd_rows(spark):
     assert extract.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_shards_of_a_host_do_not_change_its_repeats(spark):
+    rng = random.Random(8)
+    menu, pairs = words(rng, 12), [words(rng, 20) for _ in range(40)]
+    rows = [(k, "http://hot.x/p", f"<nav>{menu}</nav><p>{words(rng, 15)}</p><p>{pairs[k % 40]}</p><article>own {k}</article>") for k in range(80)]
+    rows += [(100 + k, "http://hot.x/q", rows[k][2]) for k in range(20)]
+    rows += [(200 + k, "http://hot.x/q", f"<p>{pairs[0]}</p>") for k in range(4)] + [(300, "http://cold.x/", rows[0][2])]
+    df = spark.createDataFrame(rows, PAGES)
+    one, many = (sorted(map(tuple, extract.extract(df, shard_chars=size).collect()), key=str) for size in (2**22, 1000))
+    assert one == many and all(pairs[r[0] % 40] not in r[2] for r in many if r[0] < 80)
+
+
 ROWS = [(5, "http://a/1", "x" * 100), (3, "http://a/ü\n2", "x" * 100), (9, None, "x" * 100), (1, "u", "x" * 99), (2, "u", "x" * 99), (3, "http://a/ü\n2", "x" * 100),
         (4, "e", None), (6, "e", ""), (None, "n", "x" * 100), (7, "long", "".join(chr(32 + k * k % 90) for k in range(400_000)))]
 
