@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pulsegrain.llm import chat, extract, mixing, neighbours, packing, pii, quality, simhash, toxicity, warc
+from pulsegrain.llm import chat, divergence, extract, licenses, mixing, neighbours, packing, pii, quality, simhash, spelling, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,21 @@ def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every source of a language differs from the other sources and from the language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the words one edit away."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every document."""
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -74,6 +89,9 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_license_scan": op13_license_scan,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -87,4 +105,5 @@ SQL: dict[str, str] = {
                            sha256(coalesce(html, '')) AS payload_digest FROM pages))
     """,
     "op6_mixing": mixing.MIX_SQL,
+    "op11_source_divergence": divergence.AUDIT_SQL,
 }
