@@ -29,7 +29,7 @@ _SECRET = (r"(?<=(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)
            r"|\bAKIA[0-9A-Z]{16}\b|(?<=\")[0-9a-f]{24,}+(?=\")")
 _IBAN = r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?\b"
 _NAME = r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señor|Señora)\.?\x20\p{Lu}\p{L}++(?:\x20\p{Lu}\p{L}++)?"
-_OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "iban", "name")

@@ -137,7 +137,8 @@ def base_spans(text):
 def random_texts(n):
     rng = random.Random(9)
     parts = ["a@b.c", "x_d@e.f-g.h", "@", ".", "1.2.3.4", "256.1.1.1", "0001.2.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (234) 555-1234", "+", "é", "🙂", " ", " 5",
-             "1234567890", "-", "password=", "hunter2abc99", "b%c", "\n", "+49 30 1234567890"]
+             "1234567890", "-", "password=", "hunter2abc99", "b%c", "\n", "+49 30 1234567890",
+             "10.0.0.1", "0.0.0.0", "127.0.0.1", "00.1.2.3", "1.1.1.00", "000256.0.0.0", ".0"]
     return ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 25))) for _ in range(n)]
 
 
@@ -165,10 +166,11 @@ def test_proposals_need_their_votes(spark, documents):
 
 
 def test_redaction(spark, documents):
-    df = documents(["é a@b.c, 1.2.3.4!", None, "", "nothing", "4111 1111 1111 1111a@b.c"])
+    df = documents(["é a@b.c, 1.2.3.4!", None, "", "nothing", "4111 1111 1111 1111a@b.c", "up 10.0.0.1 and 127.0.0.1, 0.0.0.256"])
     got = pii.redact(df)
     assert got.columns == df.columns
-    assert [r.text for r in got.orderBy("doc_id").collect()] == ["é [EMAIL], [IP]!", None, "", "nothing", "[CARD][EMAIL]"][:4] + [got.where("doc_id = 4").first().text]
+    assert got.where("doc_id = 5").first().text == "up [IP] and [IP], 0.0.0.256"
+    assert [r.text for r in got.orderBy("doc_id").collect()] == ["é [EMAIL], [IP]!", None, "", "nothing", "[CARD][EMAIL]"][:4] + [got.where(f"doc_id = {n}").first().text for n in (4, 5)]
     assert "4111" not in got.where("doc_id = 4").first().text
 
 
