@@ -3,7 +3,8 @@ stage and no shuffle; a parent's fields are simply in scope while its children a
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,35 @@ def first_layout(*branches: Column) -> Column:
     return V.let(branches[0], lambda found: F.when(F.size(found) > 0, found).otherwise(rest))
 
 
+@dataclass(frozen=True)
+class Layouts:
+    """A transform in two halves, for documents of many elements or layouts.
+
+    ``pick`` maps the document to its raw elements (``element``), one for each row to come, and runs before the fan-out;
+    nothing but sub-documents is copied there. ``builds`` hold one function per layout, (shared, parent, element) → row, and
+    run after it, once per row in an ordinary projection. ``shared`` names what rows take from the whole document; it is
+    read once per document and is in scope as a struct while rows are built.
+    """
+
+    shared: Callable[[Column], dict[str, Column]]
+    pick: Callable[[Column], Column]
+    builds: Sequence[Callable[[Column, Column, Column], Column]]
+
+
+def element(layout: int, value: Column, parent: Column | None = None) -> Column:
+    """An element of ``Layouts.pick``: the layout that builds its row, its sub-document and something of its parent's."""
+    return F.struct(
+        F.lit(layout).alias("layout"), (F.lit(None) if parent is None else parent).cast("variant").alias("parent"), value.cast("variant").alias("element"))
+
+
+ELEMENTS = "array<struct<layout:int,parent:variant,element:variant>>"
+
+
+def elements_of(*lists: Column) -> Column:
+    """Lists of elements one after another; a NULL list has none."""
+    return F.flatten(F.array(*[F.coalesce(one, F.array().cast(ELEMENTS)) for one in lists]))
+
+
 def dispatch(value: Column, branches: dict[str, Column]) -> Column:
     """The branch named by a text; NULL for any other text."""
     chosen = F.lit(None)

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from pulsegrain.functions import variants as V
 from pulsegrain.operators import documents as D
 from pulsegrain.operators.predicates import predicate
+from pulsegrain.operators.reshape import Layouts
 from pulsegrain.specs import App, Pipeline
 
-_ROUTE = "array<struct<tag:string,step:string,error:string,row:variant>>"
+_ROUTE = "array<struct<tag:string,step:string,error:string,row:variant,layout:int,parent:variant,element:variant>>"
 
 
 def gate(doc: Column, condition: Column) -> Column:
@@ -28,25 +29,30 @@ def whitelist(doc: Column, names: Sequence[str]) -> Column:
     return V.pick(doc, names)
 
 
-def _entry(tag: Column, step: Column, error: Column, row: Column) -> Column:
-    return F.struct(
-        tag.cast("string").alias("tag"), step.cast("string").alias("step"),
-        error.cast("string").alias("error"), row.cast("variant").alias("row"),
-    )
+def _entry(tag: Column | None = None, *, step=None, error=None, row=None, element: Column | None = None) -> Column:
+    """One row to come: a finished row, an element to build one from, or an error."""
+    layout, parent, value = (None,) * 3 if element is None else (element["layout"], element["parent"], element["element"])
+    fields = {
+        "tag": (tag, "string"), "step": (step, "string"), "error": (error, "string"), "row": (row, "variant"),
+        "layout": (layout, "int"), "parent": (parent, "variant"), "element": (value, "variant"),
+    }
+    return F.struct(*[(F.lit(None) if part is None else part).cast(kind).alias(name) for name, (part, kind) in fields.items()])
 
 
 def _rows(pipeline: Pipeline, doc: Column) -> Column:
     tag = F.lit(pipeline.tag)
     if pipeline.transform is None:
-        rows = F.array(_entry(tag, F.lit(None), F.lit(None), doc))
+        rows = F.array(_entry(tag, row=doc))
+    elif isinstance(pipeline.transform, Layouts):
+        rows = F.transform(pipeline.transform.pick(doc), lambda element: _entry(tag, element=element))
     else:
         kept = F.filter(pipeline.transform(doc), V.has_value)
-        rows = F.transform(kept, lambda row: _entry(tag, F.lit(None), F.lit(None), row))
+        rows = F.transform(kept, lambda row: _entry(tag, row=row))
     if pipeline.check is None:
         return rows
     message = pipeline.check(doc)
     return F.when(
-        message.isNotNull(), F.array(_entry(tag, F.lit(D.TRANSFORM), message, doc))
+        message.isNotNull(), F.array(_entry(tag, step=F.lit(D.TRANSFORM), error=message, row=doc))
     ).otherwise(rows)
 
 
@@ -83,20 +89,31 @@ def route(parsed: DataFrame, app: App) -> DataFrame:
     for flag in flags:
         matched = matched | F.col(flag)
     rest = (
-        F.when(F.col("error").isNotNull(), F.array(_entry(F.lit(None), F.col("failed_at"), F.col("error"), doc)))
-        .when(ready & ~matched, F.array(_entry(F.lit(None), F.lit(None), F.lit(None), doc)))
+        F.when(F.col("error").isNotNull(), F.array(_entry(step=F.col("failed_at"), error=F.col("error"), row=doc)))
+        .when(ready & ~matched, F.array(_entry(row=doc)))
     )
     routes = F.flatten(F.array(*[F.coalesce(branch, empty) for branch in [*branches, rest]]))
+    # Pipelines in two halves: what their rows share goes with the fan-out, and rows are built after it.
+    late = [(number, pipeline) for number, pipeline in enumerate(app.pipelines) if isinstance(pipeline.transform, Layouts)]
+    shared = [
+        F.when(F.col(flags[number]), F.struct(*[value.alias(name) for name, value in pipeline.transform.shared(doc).items()])).alias(f"_shared{number}")
+        for number, pipeline in late
+    ]
+    row = F.col("route.row")
+    for number, pipeline in late:
+        for layout, build in enumerate(pipeline.transform.builds):
+            mine = (F.col("route.tag") == F.lit(pipeline.tag)) & (F.col("route.layout") == F.lit(layout))
+            row = F.when(mine, build(F.col(f"_shared{number}"), F.col("route.parent"), F.col("route.element"))).otherwise(row)
     # The outer form: a plain explode would make the optimiser evaluate the whole array a second time as a
     # "size > 0" filter. Empty arrays leave one row without route, dropped right after.
     return (
         staged.select(
             *D.ENVELOPE,
-            F.when(F.col("error").isNotNull(), F.col("value")).alias("raw"),
+            F.when(F.col("error").isNotNull(), F.col("value")).alias("raw"), *shared,
             F.posexplode_outer(routes).alias("pos", "route"),
         )
         .where(F.col("route").isNotNull())
-        .select(*D.ENVELOPE, "raw", "pos", "route.tag", "route.step", "route.error", "route.row")
+        .select(*D.ENVELOPE, "raw", "pos", "route.tag", "route.step", "route.error", row.alias("row"))
     )
 
 

@@ -37,7 +37,7 @@ def _set(*names: str, kind: str, time: TimeRule = TimeRule("$.t", "EpochMilli"),
 
 
 def _config(**limits) -> NormalizeConfig:
-    base = dict(cache_age_ms=7 * DAY, wrap_time_ms=3 * DAY, cutoff_ms=DAY, state_ttl_ms=30 * DAY)
+    base = dict(cache_age_ms=7 * DAY, wrap_time_ms=3 * DAY, cutoff_ms=DAY)
     return NormalizeConfig(**{**base, **limits})
 
 
@@ -266,7 +266,7 @@ def interface_layouts(spark, sf_dir):
     )
 
 
-_LAYOUTS = _config(cache_age_ms=400 * DAY, wrap_time_ms=400 * DAY, state_ttl_ms=900 * DAY, u64_limit=2**62)
+_LAYOUTS = _config(cache_age_ms=400 * DAY, wrap_time_ms=400 * DAY, u64_limit=2**62)
 
 
 def _end_to_end_app() -> App:

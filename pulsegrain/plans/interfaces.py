@@ -106,124 +106,122 @@ def _index(value: Column) -> Column:
     return F.coalesce(V.variant(S.as_long(value)), value)
 
 
-def _extension_rows(doc: Place, origin: dict[str, Column]) -> Column:
-    """Flat keys with slashes next to an ``extension`` object: one row."""
-    data = doc.at("telemetry_data")
+def _shared(doc: Column) -> dict[str, Column]:
+    """What rows of all layouts take from the message: its envelope and a few fields of the payload."""
+    place = Place(doc)
+    data = place.at("telemetry_data")
+    return {
+        **_origin(place), **data.copy({name: name for name in ("msg_timestamp", "node_id_str", "subscription_id_str")}),
+        "encoding_path": data.at("sensor_path").value,
+    }
+
+
+_ORIGIN = (*[name for name in ENVELOPE_FIELDS if name not in ("label", "telemetry_data")], "platform_id", "node_id")
+_OF_OBJECTS = ("telemetry_node", "platform_id", "node_id", "timestamp", "writer_id", "node_id_str", "subscription_id_str", "msg_timestamp")
+_OF_DECODED = (*_ORIGIN, "msg_timestamp", "node_id_str", "subscription_id_str", "encoding_path")
+
+
+def _taken(shared: Column, names) -> dict[str, Column]:
+    return {name: shared[name] for name in names}
+
+
+def _extension_row(shared: Column, _: Column, element: Column) -> Column:
+    """Flat keys with slashes next to an ``extension`` object; the element is the payload."""
+    data = Place(element)
     extension = data.at("extension")
     main = F.transform(R.filter_values(data, "sensor_path", "name"), lambda name: V.text(name))
     index = F.try_element_at(R.filter_values(data, "sensor_path", "index"), F.lit(-1))
     nanos = data.at("notification_timestamp").value
     millis = S.divide(nanos, F.parse_json(F.lit("1000000"))).try_cast("bigint").cast("string")
-    row = V.row_of({
+    states = {name: target for name, target in _snake(SLASH_STATES).items() if target not in ("admin_status", "oper_status")}
+    return V.row_of({
         "node_id_str": extension.at("systemId").value,
         **extension.copy({name: name for name in EXTENSION_FIELDS}),
         "init_time": data.at("/init-time").value,
         **data.copy({f"/state/counters/{name}": target for name, target in _snake(SLASH_COUNTERS).items()}),
-        **data.copy({f"/state/{name}": target for name, target in _snake(SLASH_STATES).items()}),
+        **data.copy({f"/state/{name}": target for name, target in states.items()}),
         "admin_status": S.rename_values(data.at("/state/admin-status").value, ADMIN_STATUS),
         "oper_status": S.rename_values(data.at("/state/oper-status").value, OPER_STATUS),
-        **origin,
+        **_taken(shared, _ORIGIN),
         "index": _index(index),
         "name": _joined_name(main, V.text(index)),
-        "msg_timestamp": F.coalesce(V.variant(millis), data.at("msg_timestamp").value),
+        "msg_timestamp": F.coalesce(V.variant(millis), shared["msg_timestamp"]),
     })
-    return F.when(extension.is_object, F.array(row))
 
 
-def _object_rows(doc: Place, origin: dict[str, Column]) -> Column:
-    """``data_json``: a list of elements with one interface or subinterface each."""
-    data = doc.at("telemetry_data")
-    shared = {
-        **{name: origin[name] for name in ("telemetry_node", "platform_id", "node_id", "timestamp", "writer_id")},
-        **data.copy({key: key for key in ("node_id_str", "subscription_id_str", "msg_timestamp")}),
-    }
+def _object_row(shared: Column, parent: Column, element: Column) -> Column:
+    """An interface or subinterface of ``data_json``. The parent tells whether it is both; then values are gathered."""
+    interface = Place(element)
+    state, sub = interface.at("state"), interface.at("subinterfaces", "subinterface")
+    sub_state, twofold = sub.at("state"), parent.cast("boolean")
+
+    def both(*name: str) -> Column:
+        pair = F.struct(state.at(*name).value.alias("a"), sub_state.at(*name).value.alias("b"))
+        return V.let(pair, lambda p: F.when(twofold, S.gather(p["a"], p["b"])).otherwise(F.coalesce(p["a"], p["b"])))
+
+    index = F.when(sub_state.is_object, F.coalesce(sub_state.at("index").value, sub.at("index").value))
+    return V.row_of({
+        **_taken(shared, _OF_OBJECTS),
+        "type": state.at("type").value,
+        "enabled": sub_state.at("enabled").value,
+        "ifindex": F.coalesce(sub_state.at("ifindex").value, state.at("ifindex").value),
+        "description": both("description"),
+        "admin_status": S.rename_values(both("admin-status"), ADMIN_STATUS),
+        "oper_status": S.rename_values(both("oper-status"), OPER_STATUS),
+        **{target: both("counters", name) for name, target in _snake(OBJECT_COUNTERS).items()},
+        "index": _index(index),
+        "name": F.coalesce(sub_state.at("name").text, _joined_name(F.array(interface.at("name").text), V.text(index))),
+    })
+
+
+def _interface_row(shared: Column, name: Column, counters: Column) -> Column:
+    """An interface of ``decoded`` with counters of its own."""
+    return V.row_of({**_taken(shared, _OF_DECODED), "name": name, **Place(counters).copy(CAMEL_COUNTERS)})
+
+
+def _sub_row(shared: Column, name: Column, element: Column) -> Column:
+    """A subinterface of ``decoded``; the parent is its interface's name."""
+    sub = Place(element)
+    state = sub.at("state")
+    counters = state.at("counters")
+    index = F.when(counters.is_object, sub.at("index").value)
+    states = {source: target for source, target in CAMEL_STATES.items() if target not in ("admin_status", "oper_status")}
+    return V.row_of({
+        **_taken(shared, _OF_DECODED),
+        **state.copy(states),
+        "admin_status": S.rename_values(state.at("adminStatus").value, ADMIN_STATUS),
+        "oper_status": S.rename_values(state.at("operStatus").value, OPER_STATUS),
+        **counters.copy({name: CAMEL_COUNTERS[name] for name in CAMEL_SUB_COUNTERS}),
+        "index": _index(index),
+        "name": F.coalesce(state.at("name").text, _joined_name(F.array(V.text(name)), V.text(index))),
+    })
 
-    def row(element: Column, combine) -> Column:
-        interface = Place(element).at("content", "interface")
-        state, sub = interface.at("state"), interface.at("subinterfaces", "subinterface")
-        sub_state = sub.at("state")
-
-        def both(*name: str) -> Column:
-            return combine(state.at(*name).value, sub_state.at(*name).value)
-
-        index = F.when(sub_state.is_object, F.coalesce(sub_state.at("index").value, sub.at("index").value))
-        return V.row_of({
-            **shared,
-            "type": state.at("type").value,
-            "enabled": sub_state.at("enabled").value,
-            "ifindex": F.coalesce(sub_state.at("ifindex").value, state.at("ifindex").value),
-            "description": both("description"),
-            "admin_status": S.rename_values(both("admin-status"), ADMIN_STATUS),
-            "oper_status": S.rename_values(both("oper-status"), OPER_STATUS),
-            **{target: both("counters", name) for name, target in _snake(OBJECT_COUNTERS).items()},
-            "index": _index(index),
-            "name": F.coalesce(
-                sub_state.at("name").text,
-                _joined_name(F.array(interface.at("name").text), V.text(index)),
-            ),
-        })
-
-    def build(element: Column) -> Column:
-        interface = Place(element).at("content", "interface")
+
+def _pick(doc: Column) -> Column:
+    """The elements of every layout that a message holds."""
+    data = Place(doc).at("telemetry_data")
+
+    def objects(item: Column) -> Column:
+        interface = Place(item).at("content", "interface")
         main, sub = interface.at("state").is_object, interface.at("subinterfaces", "subinterface", "state").is_object
-        # An element with both kinds of state gathers their values; the rule is one kind.
-        return F.when(main & sub, row(element, S.gather)).when(main | sub, row(element, F.coalesce))
+        return F.when(main | sub, R.element(1, interface.value, main & sub))
 
-    return F.array_compact(F.transform(data.at("data_json").items, build))
+    def decoded(item: Column) -> Column:
+        interface = Place(item)
+        name, counters = interface.at("name").value, interface.at("state", "counters")
+        subs = F.filter(interface.at("subinterfaces", "subinterface").items, lambda sub: Place(sub).at("state").is_object)
+        return R.elements_of(
+            F.when(counters.is_object, F.array(R.element(2, counters.value, name))),
+            F.transform(subs, lambda sub: R.element(3, sub, name)))
 
+    return R.elements_of(
+        F.when(data.at("extension").is_object, F.array(R.element(0, data.value))),
+        F.array_compact(F.transform(data.at("data_json").items, objects)),
+        F.flatten(F.transform(data.at("decoded").items, lambda part: F.flatten(F.transform(Place(part).at("interface").items, decoded)))))
 
-def _decoded_rows(doc: Place, origin: dict[str, Column]) -> Column:
-    """``decoded``: lists of interfaces inside a list, with counters of their own or lists of subinterfaces."""
-    data = doc.at("telemetry_data")
-    origin = {
-        **origin,
-        **data.copy({key: key for key in ("msg_timestamp", "node_id_str", "subscription_id_str")}),
-        "encoding_path": data.at("sensor_path").value,
-    }
 
-    def interface_row(interface: Place) -> Column:
-        counters = interface.at("state", "counters")
-        row = V.row_of({**origin, "name": interface.at("name").value, **counters.copy(CAMEL_COUNTERS)})
-        return F.when(counters.is_object, row)
-
-    def sub_row(interface: Place, sub: Place) -> Column:
-        state = sub.at("state")
-        counters = state.at("counters")
-        index = F.when(counters.is_object, sub.at("index").value)
-        row = V.row_of({
-            **origin,
-            **state.copy(CAMEL_STATES),
-            "admin_status": S.rename_values(state.at("adminStatus").value, ADMIN_STATUS),
-            "oper_status": S.rename_values(state.at("operStatus").value, OPER_STATUS),
-            **counters.copy({name: CAMEL_COUNTERS[name] for name in CAMEL_SUB_COUNTERS}),
-            "index": _index(index),
-            "name": F.coalesce(
-                state.at("name").text, _joined_name(F.array(interface.at("name").text), V.text(index))
-            ),
-        })
-        return F.when(state.is_object, row)
-
-    def rows_of(element: Column) -> Column:
-        interface = Place(element)
-        return R.either(
-            R.rows(interface_row(interface)),
-            F.array_compact(F.transform(
-                interface.at("subinterfaces", "subinterface").items,
-                lambda sub: sub_row(interface, Place(sub)),
-            )),
-        )
-
-    return F.flatten(F.transform(
-        data.at("decoded").items,
-        lambda part: F.flatten(F.transform(Place(part).at("interface").items, rows_of)),
-    ))
-
-
-def interface_rows(doc: Column) -> Column:
-    """Rows of every layout a message holds."""
-    place = Place(doc)
-    origin = _origin(place)
-    return R.either(_extension_rows(place, origin), _object_rows(place, origin), _decoded_rows(place, origin))
+#: Rows of every layout a message holds.
+LAYOUTS = R.Layouts(_shared, _pick, (_extension_row, _object_row, _interface_row, _sub_row))
 
 
 def counter_set(names=COUNTED, kind: str = "u64") -> CounterSet:
@@ -235,4 +233,4 @@ def counter_set(names=COUNTED, kind: str = "u64") -> CounterSet:
 
 
 def pipeline(tag: str = "oc-interface", topic: str = "interfaces") -> Pipeline:
-    return Pipeline(tag=tag, topic=topic, match=MATCH, transform=interface_rows, counters=counter_set())
+    return Pipeline(tag=tag, topic=topic, match=MATCH, transform=LAYOUTS, counters=counter_set())

@@ -10,6 +10,7 @@ from pulsegrain.operators import documents as D
 from pulsegrain.operators import routing as R
 from pulsegrain.operators.arrival import RUN_LENGTH, normalize_arrival
 from pulsegrain.operators.metrics import observe_messages
+from pulsegrain.sources.staging import staged
 from pulsegrain.specs import App
 
 
@@ -40,18 +41,22 @@ def run(messages: DataFrame, app: App, order: str = "arrival", run_length: int =
 
     ``order="arrival"``: counters follow the position of messages, so late readings are treated as in a stream. History is
     played in runs of ``run_length`` offsets.
-    ``order="time"``: counters follow the rows' own time, so a late reading finds its place. Both read the source a fixed
-    number of times, whatever the number of counters, and give the same results where no reading is late.
+    ``order="time"``: counters follow the rows' own time, so a late reading finds its place. Both give the same results where
+    no reading is late.
+
+    The source is read, parsed and transformed once: with counters, flat rows are written to the shared folder when this is
+    called, and what follows reads from there, narrow columns for the counters and whole rows once at the end. Without
+    counters nothing is written and nothing shuffled.
     """
     if messages.isStreaming:
         raise ValueError("a stream goes through pulsegrain.streaming.runner.run_stream")
-    rows = C.read_counters(flatten(messages, app), app)
-    if order == "arrival":
-        counted = normalize_arrival(rows, app, run_length)
-    elif order == "time":
-        counted = C.normalize_time(rows, app)
-    else:
+    if order not in ("arrival", "time"):
         raise ValueError(f"order is arrival or time, not {order!r}")
+    rows = C.read_counters(flatten(messages, app), app)
+    if not C.layers(app):
+        return emit(rows, app)
+    rows = staged(rows, "flat-rows")
+    counted = normalize_arrival(rows, app, run_length) if order == "arrival" else C.normalize_time(rows, app)
     return emit(C.write_counters(counted, app), app)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -10,6 +11,7 @@ from pyspark.sql import Column
 
 from pulsegrain.functions.times import LOCAL_ZONE
 from pulsegrain.functions.variants import ANY, steps
+from pulsegrain.operators.reshape import Layouts
 
 # Names of the time rules and counter kinds as configurations spell them.
 TIME_KINDS = ("RFC2822", "ISO8601", "EpochMilli", "EpochSeconds")
@@ -77,6 +79,11 @@ class CounterSpec:
         """The constants of the key."""
         return tuple(part.constant for part in self.key)
 
+    @property
+    def slot_name(self) -> str:
+        """The constants as one text, the name that a reading of this counter has in state."""
+        return json.dumps(self.slot)
+
 
 @dataclass(frozen=True)
 class CounterSet:
@@ -104,11 +111,11 @@ class CounterSet:
         return cls(TimeRule(time["jsonpath"], time["timestamp-type"], time.get("zone", LOCAL_ZONE)), tuple(counters))
 
     def groups(self) -> list[list[CounterSpec]]:
-        """Counters by shared entity, in order of first appearance."""
+        """Counters by shared entity; entities stand in an order that does not depend on that of the counters."""
         found: dict[tuple[str | None, ...], list[CounterSpec]] = {}
         for counter in self.counters:
             found.setdefault(counter.entity, []).append(counter)
-        return list(found.values())
+        return [found[entity] for entity in sorted(found, key=lambda parts: [part or "" for part in parts])]
 
 
 @dataclass(frozen=True)
@@ -120,30 +127,29 @@ class NormalizeConfig:
     u32_limit: int = 10_000
     u64_limit: int = 10_000_000
     wrap_time_ms: int = 5 * 60_000
-    # Streams: how long an untouched counter stays in state, in processing time.
-    state_ttl_ms: int = 7 * 86_400_000
+    # Streams: how often the readings of an entity are looked through for old ones, in processing time. Old is what the
+    # stream's own time has left behind by more than the cache age.
+    clean_every_ms: int = 7 * 86_400_000
 
     def __post_init__(self):
-        if min(self.cutoff_ms, self.cache_age_ms, self.wrap_time_ms) < 0:
+        if min(self.cutoff_ms, self.cache_age_ms, self.wrap_time_ms, self.clean_every_ms) < 0:
             raise BadSpec("times must not be negative")
         if not 0 <= self.u32_limit < 2**31 or not 0 <= self.u64_limit < 2**63:
             raise BadSpec("wrap limits must fit the signed type of the counter")
-        if self.state_ttl_ms < self.cache_age_ms + self.cutoff_ms:
-            raise BadSpec("state must outlive cache age plus cutoff")
 
 
 @dataclass(frozen=True)
 class Pipeline:
     """One branch of the deployment.
 
-    ``transform`` maps the document column (VARIANT) to its rows (ARRAY<VARIANT>); None keeps the document as
-    the only row. ``check`` may give a message that sends the whole document to the dead letters instead.
+    ``transform`` maps the document column (VARIANT) to its rows (ARRAY<VARIANT>), or is a ``reshape.Layouts``; None keeps
+    the document as the only row. ``check`` may give a message that sends the whole document to the dead letters instead.
     """
 
     tag: str
     topic: str
     match: Mapping[str, Any] = field(default_factory=dict)
-    transform: Callable[[Column], Column] | None = None
+    transform: Callable[[Column], Column] | Layouts | None = None
     counters: CounterSet | None = None
     check: Callable[[Column], Column] | None = None
 

@@ -1,8 +1,13 @@
 """Counter normalisation over an unbounded stream, in order of arrival.
 
-State is keyed by (tag, entity) and holds one reading per counter, so a row is handled as a whole. All rows go through one
-stateful step per layer, so the source is read once: rows without counters have keys of their own, spread by position, and touch
-no state. Documents go through Python as opaque texts.
+State is keyed by (tag, entity) and holds one reading per counter beside the counter's own name, so a row is handled as a
+whole and a declaration may change over a restart: readings are found by name, whatever the order and number of counters.
+All rows go through one stateful step per layer, so the source is read once: rows without counters share a few keys, spread
+by position, and touch no state. Documents go through Python as opaque texts.
+
+Clean-up follows the stream's own time. A task knows the greatest record time of its rows; an entity's timer goes off now and
+then and forgets the readings that this time has left behind by more than the cache age. No watermark is set, so no row is
+dropped for being late.
 """
 
 from __future__ import annotations
@@ -20,7 +25,13 @@ from pulsegrain.operators.documents import POSITION
 from pulsegrain.operators.fold import step
 from pulsegrain.specs import App, NormalizeConfig
 
-READINGS = "readings"
+#: Name and schema of the state: names, values and times of the readings, the greatest stream time known, and when the timer is due.
+READINGS = "readings_by_name"
+STATE = "names array<string>, held array<string>, times array<bigint>, seen bigint, due bigint"
+#: Keys that rows without counters share.
+SPREAD = 256
+
+Reading = tuple[int, int]
 
 
 class CounterProcessor(StatefulProcessor):
@@ -30,68 +41,102 @@ class CounterProcessor(StatefulProcessor):
     number of its rows and counters.
     """
 
-    def __init__(
-        self, kinds: dict[str, list[str]], heads: dict[str, list[int]], columns: list[str], config: NormalizeConfig
-    ):
-        self.kinds, self.heads, self.columns, self.config = kinds, heads, columns, config
+    def __init__(self, kinds: dict[str, list[str]], names: dict[str, list[str]], columns: list[str], config: NormalizeConfig):
+        self.kinds, self.names, self.columns, self.config = kinds, names, columns, config
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.readings = handle.getValueState(
-            READINGS, "held array<string>, times array<bigint>", ttlDurationMs=self.config.state_ttl_ms
-        )
+        self.handle = handle
+        self.readings = handle.getValueState(READINGS, STATE)
+        # Greatest record time of the task's rows; timers go off after them.
+        self.seen: int | None = None
+
+    def _load(self) -> tuple[dict[str, Reading], int | None, int | None]:
+        saved = self.readings.get()
+        if saved is None:
+            return {}, None, None
+        names, held, times, seen, due = saved
+        return {name: (int(value), time) for name, value, time in zip(names, held, times)}, seen, due
+
+    def _save(self, states: dict[str, Reading], due: int) -> None:
+        self.readings.update((list(states), [str(value) for value, _ in states.values()], [time for _, time in states.values()], self.seen, due))
+
+    def _see(self, time: int | None) -> None:
+        if time is not None and (self.seen is None or time > self.seen):
+            self.seen = time
+
+    def _due(self, now: int) -> int:
+        # Later than a timer that is going off, which Spark deletes by its time afterwards.
+        due = now + max(1, self.config.clean_every_ms)
+        self.handle.registerTimer(due)
+        return due
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         sys.set_int_max_str_digits(0)  # counters have any number of digits
-        tag = key[0]
+        tag, shape = key[0], Row(*self.columns, "deltas")
         if tag is None:
             # No counters: nothing to order and nothing to keep.
-            shape = Row(*self.columns, "deltas")
             for row in rows:
+                self._see(row["_seen"])
                 yield shape(*[row[name] for name in self.columns], None)
             return
-        kinds, heads = self.kinds[tag], self.heads[tag]
-        width, shape = len(heads), Row(*self.columns, "deltas")
-        states: list[tuple[int, int] | None] = [None] * width
-        saved = self.readings.get()
-        if saved is not None:
-            for slot, (value, ts) in enumerate(zip(*saved)):
-                states[slot] = None if value is None else (int(value), ts)
+        kinds, names = self.kinds[tag], self.names[tag]
+        states, seen, due = self._load()
+        self._see(seen)
         # A micro-batch is bounded by the source's rate limit, and so is one entity's part of it.
         for row in sorted(rows, key=attrgetter(*POSITION)):
-            deltas: list[int | None] = [None] * width
-            for place, head in enumerate(heads):
-                text = row.texts[place]
+            self._see(row["_seen"])
+            deltas: list[int | None] = [None] * len(names)
+            for place, name in enumerate(names):
+                text = row["_texts"][place]
                 if text is not None:
-                    states[head], deltas[place] = step(
-                        states[head], int(text), row.ts_ms, kinds[place], self.config)
+                    state, deltas[place] = step(states.get(name), int(text), row["_ts"], kinds[place], self.config)
+                    if state is None:
+                        states.pop(name, None)
+                    else:
+                        states[name] = state
             yield shape(*[row[name] for name in self.columns], deltas)
-        self.readings.update((
-            [None if state is None else str(state[0]) for state in states],
-            [None if state is None else state[1] for state in states],
-        ))
+        self._save(states, self._due(timerValues.getCurrentProcessingTimeInMs()) if due is None else due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        sys.set_int_max_str_digits(0)
+        states, seen, _ = self._load()
+        self._see(seen)
+        young = {name: state for name, state in states.items() if self.seen is None or state[1] >= self.seen - self.config.cache_age_ms}
+        if young:
+            self._save(young, self._due(timerValues.getCurrentProcessingTimeInMs()))
+        else:
+            self.readings.clear()
+        return iter(())
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        if key[0] is not None:
+            self.readings.update((
+                initialState["names"], initialState["held"], initialState["times"], initialState["seen"],
+                self._due(timerValues.getCurrentProcessingTimeInMs())))
 
     def close(self) -> None:
         pass
 
 
-def normalize_stream(rows: DataFrame, app: App) -> DataFrame:
+def normalize_stream(rows: DataFrame, app: App, initial: DataFrame | None = None) -> DataFrame:
     """Streaming twin of ``operators.arrival.normalize_arrival``: adds ``d<n>`` per layer.
 
-    With several layers one stateful step follows another; the source is read once all the same.
+    With several layers one stateful step follows another; the source is read once all the same. ``initial`` holds readings
+    (layer, tag, entity, name, value, time) to start a new stream with; see ``streaming.state``.
     """
     layers = C.layers(app)
     for number, layer in enumerate(layers):
-        rows = _one_layer(rows, number, layer, app.normalize)
+        rows = _one_layer(rows, number, layer, app.normalize, initial)
     return rows
 
 
-def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) -> DataFrame:
+def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig, initial: DataFrame | None) -> DataFrame:
     entity, values, deltas = f"entity{number}", f"v{number}", f"d{number}"
     counted = F.coalesce(
         F.col(entity).isNotNull() & F.exists(F.col(values), lambda value: value.isNotNull()), F.lit(False)
     )
     kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
-    heads = {p.tag: C.slot_heads(counters) for p, counters in layer.members}
+    names = {p.tag: [c.slot_name for c in counters] for p, counters in layer.members}
     types = dict(rows.dtypes)
 
     def outward(name: str) -> Column:
@@ -106,14 +151,24 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig) ->
 
     stateful = rows.select(
         *[outward(name) for name in rows.columns],
-        F.when(counted, F.col(values)).alias("texts"),
+        F.when(counted, F.col(values)).alias("_texts"), F.col("ts_ms").alias("_ts"),
+        F.unix_millis(F.col("timestamp").cast("timestamp")).alias("_seen"),
         F.when(counted, F.col("tag")).alias("_tag"),
-        F.when(counted, F.col(entity)).otherwise(F.xxhash64(*POSITION).cast("string")).alias("_entity"),
+        F.when(counted, F.col(entity)).otherwise(F.pmod(F.xxhash64(*POSITION), F.lit(SPREAD)).cast("string")).alias("_entity"),
     )
     passed = [field for field in stateful.schema if field.name in rows.columns]
     schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in passed) + ", deltas array<bigint>"
+    start = None if initial is None else _grouped(initial.where(F.col("layer") == number)).groupBy("_tag", "_entity")
     done = stateful.groupBy("_tag", "_entity").transformWithState(
-        statefulProcessor=CounterProcessor(kinds, heads, [field.name for field in passed], config),
-        outputStructType=schema, outputMode="Append", timeMode="ProcessingTime",
+        statefulProcessor=CounterProcessor(kinds, names, [field.name for field in passed], config),
+        outputStructType=schema, outputMode="Append", timeMode="ProcessingTime", initialState=start,
     )
     return done.select(*[homeward(name) for name in rows.columns], F.col("deltas").alias(deltas))
+
+
+def _grouped(readings: DataFrame) -> DataFrame:
+    """One row per entity, no wider than its counters are many."""
+    held = F.array_sort(F.collect_list(F.struct("name", "value", "time")))
+    return readings.groupBy(F.col("tag").alias("_tag"), F.col("entity").alias("_entity")).agg(held.alias("all")).select(
+        "_tag", "_entity", F.col("all.name").alias("names"), F.col("all.value").alias("held"), F.col("all.time").alias("times"),
+        F.lit(None).cast("bigint").alias("seen"))

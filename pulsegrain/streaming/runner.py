@@ -10,12 +10,13 @@ from pulsegrain.specs import App
 from pulsegrain.streaming.counters import normalize_stream
 
 
-def run_stream(messages: DataFrame, app: App) -> DataFrame:
+def run_stream(messages: DataFrame, app: App, initial: DataFrame | None = None) -> DataFrame:
     """Streaming messages to (topic, key, value, …) in order of arrival per partition.
 
     No watermark is set: late rows are never dropped, only their differences are empty. State is held per tag and
-    entity across all partitions of the source; a checkpoint location makes a restart go on where it stopped. Limit
-    the size of micro-batches at the source (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
+    entity across all partitions of the source; a checkpoint location makes a restart go on where it stopped, also with
+    counters added, removed or in another order. Limit the size of micro-batches at the source (``maxOffsetsPerTrigger``,
+    ``maxFilesPerTrigger``). ``initial`` holds readings that a new stream starts with (``streaming.state``).
     """
     rows = C.read_counters(flatten(messages, app), app)
-    return emit(C.write_counters(normalize_stream(rows, app), app), app)
+    return emit(C.write_counters(normalize_stream(rows, app, initial), app), app)

@@ -6,9 +6,10 @@ import pytest
 
 from pulsegrain import App, CounterSpec, KeyPart, Pipeline, run
 from pulsegrain.plans import catalog_counters as catalog
-from pulsegrain.plans import interfaces
+from pulsegrain.plans import interfaces, pipeline
 from pulsegrain.plans.pipeline import flatten
 from pulsegrain.sources.readers import stored_batch
+from pulsegrain.sources.staging import staged
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,21 +33,35 @@ def wide_app(depth):
     ])
 
 
+def parses(df):
+    return len(re.findall(r"from_json\(VariantType, [^#]*, value#", plan(df)))
+
+
 @pytest.mark.parametrize("depth", [1, 2, 3])
 def test_time_order_has_one_plan_without_python(stored, depth):
-    """Two scans and parses, a range exchange, two windows and a join, however many entities there are."""
+    """Staged rows are read twice, narrow and whole: a range exchange, two windows and a join, however many entities there are."""
     text = plan(run(stored, wide_app(depth), order="time"))
-    assert len(re.findall(r"from_json\(", text)) == len(re.findall(r"FileScan", text)) == 2
+    assert "from_json" not in text and len(re.findall(r"FileScan", text)) == 2
     assert len(re.findall(r"rangepartitioning\(layer", text)) == 1
     assert len(re.findall(r"hashpartitioning\(_range", text)) == len(re.findall(r"hashpartitioning\(layer", text)) == 1
     assert not re.search(r"Python|InPandas|ArrowEval|CartesianProduct", text)
-    assert "ReadSchema: struct<key:string,value:string,timestamp:timestamp,topic:string,partition:int,offset:bigint>" in text
+    assert "ReadSchema: struct<origin:string,partition:int,offset:bigint,pos:int,tag:string,ts_ms:bigint,entity0:string" in text
 
 
 @pytest.mark.parametrize("depth", [1, 3])
-def test_arrival_scans_do_not_grow_with_layers(stored, depth):
+def test_arrival_order_has_no_python(stored, depth):
     text = plan(run(stored, wide_app(depth)))
-    assert len(re.findall(r"FileScan", text)) == 3 and "CartesianProduct" not in text
+    assert "from_json" not in text and not re.search(r"Python|InPandas|ArrowEval|CartesianProduct", text)
+
+
+@pytest.mark.parametrize("order", ["time", "arrival"])
+def test_the_source_is_parsed_once(stored, order, monkeypatch):
+    """What is staged holds the only parse, and nothing is shuffled for it."""
+    written = []
+    monkeypatch.setattr(pipeline, "staged", lambda df, name: written.append(df) or staged(df, name))
+    output = run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door), order=order)
+    assert [parses(df) for df in written] == [1] and "Exchange" not in plan(written[0])
+    assert "from_json" not in plan(output)
 
 
 def test_no_counters_no_shuffle(stored):
@@ -55,6 +70,10 @@ def test_no_counters_no_shuffle(stored):
     assert "Exchange" not in plan(run(stored, App([Pipeline("p", "t", {"jsonpath": "$.node"})])))
 
 
-def test_interfaces_are_parsed_once_a_scan(stored):
-    text = plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door), order="time"))
-    assert len(re.findall(r"from_json\(VariantType, [^#]*, value#", text)) == 2
+def test_layout_rows_are_built_after_the_fan_out(stored):
+    """Elements go through the generate, rows are built by a projection: every path of a layout is read once."""
+    text = plan(flatten(stored, App([interfaces.pipeline()], pre_transform=interfaces.door)))
+    assert text.count("to_variant_object(map_filter(map(") == 4 and len(re.findall("Generate", text)) == 1
+    assert text.index("to_variant_object(map_filter(map(") < text.index("Generate")
+    assert text.count("try_variant_get") < 200
+    assert plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door))).count("try_variant_get") < 120

@@ -7,10 +7,14 @@ import pytest
 
 from pulsegrain import App, CounterSet, CounterSpec, KeyPart, NormalizeConfig, Pipeline, TimeRule, run
 from pulsegrain.functions import variants as V
+from pulsegrain.operators import counters as C
 from pulsegrain.operators import metrics
+from pulsegrain.operators.arrival import last_readings
+from pulsegrain.plans.pipeline import flatten
 from pulsegrain.sources.readers import stored_batch, stored_stream
 from pulsegrain.sources.writers import stream_files
 from pulsegrain.streaming.counters import step
+from pulsegrain.streaming import state
 from pulsegrain.streaming.runner import run_stream
 
 CONFIG = NormalizeConfig(cache_age_ms=10_000, u64_limit=1_000_000)
@@ -36,8 +40,8 @@ def write(spark, path, docs, first=0):
     ).coalesce(1).write.mode("append").parquet(str(path))
 
 
-def drain(spark, source, target, checkpoint):
-    query = stream_files(run_stream(stored_stream(spark, str(source)), app()), str(target), str(checkpoint)) \
+def drain(spark, source, target, checkpoint, spec=None, initial=None):
+    query = stream_files(run_stream(stored_stream(spark, str(source)), spec or app(), initial), str(target), str(checkpoint)) \
         .trigger(availableNow=True).start()
     finished = query.awaitTermination(120)
     if not finished:
@@ -143,3 +147,76 @@ def test_rows_without_a_key_and_several_micro_batches(spark, tmp_path):
         states[doc["node"]], delta = step(states.get(doc["node"]), doc["c"]["a"], doc["t"], "u64", CONFIG)
         want.append(delta)
     assert [doc["c"]["a"] for doc in docs_of(spark, tmp_path / "out")] == want
+
+
+def named(names, config=CONFIG, *extra):
+    """An app with the counters ``$.<name>`` in the order given."""
+    declared = tuple(CounterSpec((KeyPart(path="$.node"), KeyPart(constant=name)), "u64", f"$.{name}") for name in names)
+    return App([Pipeline("p", "out", {"jsonpath": "$.node"}, None, CounterSet(TimeRule("$.t", "EpochMilli"), declared + extra))], normalize=config)
+
+
+def held_by(spark, checkpoint):
+    return {(r.layer, r.entity, json.loads(r.name)[-1]): (int(r.value), r.time) for r in state.readings(spark, str(checkpoint)).collect()}
+
+
+def test_counters_may_change_over_a_restart(spark, tmp_path):
+    """Readings are found by name: reordered, removed, added and returning counters go on from their own."""
+    parts = ["ab", "ba", "a", "ac", "cb"]
+    states, number = {}, 0
+    for names in parts:
+        docs = [{"id": number + k, "node": "xy"[k % 2], "t": number + k, **{n: (number + k) ** 2 * (ord(n) - 90) for n in "abc"}} for k in range(4)]
+        write(spark, tmp_path / "in", docs, number)
+        drain(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp", named(names))
+        got = {doc["id"]: doc for doc in docs_of(spark, tmp_path / "out")}
+        for doc in docs:
+            for name in names:
+                key = (0, f",{doc['node']},", name)
+                states[key], want = step(states.get(key), doc[name], doc["t"], "u64", CONFIG)
+                assert got[doc["id"]][name] == want, (names, doc)
+        number += 4
+        assert held_by(spark, tmp_path / "cp") == states
+
+
+def test_old_readings_leave_by_the_time_of_the_stream(spark, tmp_path):
+    """A key whose readings the record time has left behind is forgotten, a younger one stays; a late row is not dropped."""
+    # write() gives record times of 1700000000000 and on; own times follow them. One partition, so one time for all keys.
+    base, config = 1_700_000_000_000, NormalizeConfig(cache_age_ms=1_000, cutoff_ms=100_000, clean_every_ms=0)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        write(spark, tmp_path / "in", [{"id": 0, "node": "old", "t": base, "a": 1}, {"id": 1, "node": "young", "t": base + 4_500, "a": 1}])
+        drain(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp", named("a", config))
+        assert set(held_by(spark, tmp_path / "cp")) == {(0, ",old,", "a"), (0, ",young,", "a")}
+        write(spark, tmp_path / "in", [{"id": 2, "other": 1}, {"id": 3, "node": "new", "t": base + 5_200, "a": 7}], 5_200)
+        drain(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp", named("a", config))
+        assert set(held_by(spark, tmp_path / "cp")) == {(0, ",young,", "a"), (0, ",new,", "a")}
+        write(spark, tmp_path / "in", [{"id": 4, "node": "young", "t": base + 4_600, "a": 5}, {"id": 5, "node": "old", "t": base + 10, "a": 3}], 4_600)
+        drain(spark, tmp_path / "in", tmp_path / "out", tmp_path / "cp", named("a", config))
+        got = {doc["id"]: doc.get("a") for doc in docs_of(spark, tmp_path / "out") if "node" in doc}
+        assert got == {0: None, 1: None, 3: None, 4: 4, 5: None}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_stream_may_start_from_a_batch(spark, tmp_path):
+    """A batch up to an offset and a stream from there on equal one stream; with two entities, and readings read back."""
+    rng = random.Random(3)
+    port = CounterSpec((KeyPart(path="$.node"), KeyPart(path="$.port"), KeyPart(constant="b")), "u64", "$.b")
+    spec = named("a", NormalizeConfig(cache_age_ms=500, cutoff_ms=40), port)
+    docs = [{"id": n, "node": rng.choice("xy"), "port": n % 2, "t": n * 10 + rng.choice([0, 0, -25, -90, 200]), "a": n * n, "b": n * 7} for n in range(60)]
+    docs += [{"id": 60 + k, "node": "xy"[k // 2], "port": k % 2, "t": 900 + k, "a": 4_000 + k, "b": 500 + k} for k in range(4)]
+    write(spark, tmp_path / "all", docs)
+    drain(spark, tmp_path / "all", tmp_path / "one", tmp_path / "cp1", spec)
+    write(spark, tmp_path / "first", docs[:35])
+    write(spark, tmp_path / "rest", docs[35:], 35)
+    batch = stored_batch(spark, str(tmp_path / "first"))
+    initial = last_readings(C.read_counters(flatten(batch, spec), spec), spec, run_length=10)
+    drain(spark, tmp_path / "rest", tmp_path / "two", tmp_path / "cp2", spec, initial)
+    assert docs_of(spark, tmp_path / "two") == docs_of(spark, tmp_path / "one")[35:]
+    assert held_by(spark, tmp_path / "cp1") == held_by(spark, tmp_path / "cp2")
+    assert {layer for layer, _, _ in held_by(spark, tmp_path / "cp1")} == {0, 1}
+    # What the old checkpoint knows may start a stream whose counters have another entity.
+    write(spark, tmp_path / "more", [{"id": 64, "node": "x", "port": 0, "t": 950, "a": 10_000, "b": 10_000}], 64)
+    drain(spark, tmp_path / "more", tmp_path / "three", tmp_path / "cp3", spec, state.readings(spark, str(tmp_path / "cp2")))
+    old = held_by(spark, tmp_path / "cp2")
+    want = {name: step(old.get(key), 10_000, 950, "u64", spec.normalize)[1] for name, key in (("a", (0, ",x,", "a")), ("b", (1, ",x,0,", "b")))}
+    assert {name: doc[name] for doc in docs_of(spark, tmp_path / "three") for name in "ab"} == want == {"a": 5_999, "b": 9_500}
