@@ -1,8 +1,10 @@
 """Near-duplicate embeddings by robust-pruned flat graphs.
 
 Equal vectors of a label are one vertex with a count. The home of a vertex is the cluster of its best pivot (of a bounded
-sample of its label); it is a guest of every other cluster that may be home to a vector it links with, by bounds that no link
-can break. So a cluster holds all that its own vertices link with, however many clusters a vertex is sent to. Each cluster
+sample of its label); it is a guest of every other cluster whose pivot is not much farther than that of its home. How much is
+audited: a bounded sample of vertices is compared with all of their label, in blocks, and the smallest margin that leads the
+sample to the homes of its links is taken, up to the one that no link can break. So there is no cap on the clusters of a
+vertex, and what the graphs find is audited by the same sample; if it is too little, all clusters are counted in blocks. Each cluster
 builds a graph by itself: every vertex is searched for in the graph so far, and of what the search meets the robust prune
 keeps neighbours in different directions. A vertex's lists from all its clusters are united and the graphs searched again:
 greedy from the medoid, then outwards over the whole range of near vectors. Links are verified in double precision; inside
@@ -28,6 +30,9 @@ CLUSTER, MOST_PIVOTS = 2_000, 4_096
 #: In cluster sizes: vertices with guests from which on a cluster is cut into blocks, and vertices of a block, on the mean.
 MOST_GRAPH, BLOCK = 4, 2
 DEGREE, BEAM, ALPHA = 20, 40, 1.2
+#: Vertices that are audited, about; margins that are tried, and the one that is taken if no vertex of the sample has a link; parts of
+#: the sample's links whose home a margin must reach, and that must be found in the end.
+AUDITED, MARGINS, PLAIN_MARGIN, LEAST_REACH, LEAST_RECALL = 512, (0.05, 0.075, 0.1, 0.125, 0.15), 0.1, 1.0, 0.95
 #: Range in which the search goes on from what it has found.
 SLACK = 0.05
 _BATCH = 256
@@ -240,15 +245,21 @@ def homes(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, np.arccos(np.clip(cos[np.arange(len(x)), best], -1, 1))
 
 
-def may_link(x: np.ndarray, home: np.ndarray, centres: np.ndarray, radius: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pivots (columns) may be home to a vector that a vertex (rows) links with; never leaves one out that is.
+def bound(threshold: float) -> float:
+    """The margin that no link can break: the chord of the threshold's angle."""
+    return float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+
+
+def may_link(x: np.ndarray, home: np.ndarray, centres: np.ndarray, radius: np.ndarray, threshold: float, margin: float | None = None) -> np.ndarray:
+    """Which pivots (columns) may be home to a vector that a vertex (rows) links with; without a margin it never leaves one out that is.
 
     ``radius`` is the greatest angle of a pivot's own vertices, below 0 if it has none. Whoever is linked lies within the
     threshold's angle, so a pivot is not farther than that beyond its radius. And who is at home there is on that pivot's
-    side of the plane between it and the vertex's own pivot, so the vertex is within the threshold's chord of the plane.
+    side of the plane between it and the vertex's own pivot, so the vertex is within the threshold's chord of the plane, and in many
+    dimensions nearly always within a part of it, the margin.
     """
     cos, slack = x @ centres.T, 1e-9
-    angle, chord = np.arccos(np.clip(threshold, -1, 1)), np.sqrt(max(0.0, 2 - 2 * threshold))
+    angle, chord = np.arccos(np.clip(threshold, -1, 1)), bound(threshold) if margin is None else margin
     least = np.cos(np.minimum(np.pi, radius + angle))
     apart = np.sqrt(np.maximum(0, 2 - 2 * (centres[home] @ centres.T)))
     rows = np.arange(len(x))
@@ -306,6 +317,41 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
     widths = {(r.label, r.home): r.radius for r in settled.where("angle is not null").groupBy("label", "home").agg(F.max("angle").alias("radius")).collect()}
     reach = spark.sparkContext.broadcast({label: np.array([widths.get((label, int(n)), -1.0) for n in names]) for label, (names, _) in known.items()})
 
+    # The audit: a sample by hash of the vertices of labels with pivots against all vertices of their label.
+    in_parts = settled.where("angle is not null")
+    n_parts = max(1, in_parts.count())
+    sample = in_parts.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.lit(-(-1_000_000 * AUDITED // n_parts))).select("label", "id", "v", "home").collect()
+    asked: dict[str, tuple] = {}
+    margins = (*(m for m in MARGINS if m < bound(threshold)), bound(threshold))
+    for label in {r.label for r in sample}:
+        own = [r for r in sample if r.label == label]
+        x, (names, centres) = units(np.array([r.v for r in own], float)), known[label]
+        home = np.searchsorted(names, [r.home for r in own])
+        goes = np.stack([may_link(x, home, centres, reach.value[label], threshold, m) for m in margins])
+        asked[label] = (np.array([r.id for r in own]), x, names, goes)
+    questions = spark.sparkContext.broadcast(asked)
+
+    def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for label, places in pdf.groupby("label").indices.items():
+                if label not in questions.value:
+                    continue
+                ids, x, names, goes = questions.value[label]
+                links, reached = np.zeros(len(ids), np.int64), np.zeros((len(margins), len(ids)), np.int64)
+                for part in np.array_split(places, -(-len(places) // _BATCH)):
+                    theirs, copies = pdf["id"].to_numpy()[part], pdf["copies"].to_numpy()[part]
+                    near = (x @ units(np.stack(pdf["v"].to_numpy()[part])).T >= threshold) & (ids[:, None] != theirs[None, :])
+                    links += near @ copies
+                    at = np.searchsorted(names, pdf["home"].to_numpy(np.int64)[part])
+                    reached += np.einsum("mqn,qn,n->mq", goes[:, :, at], near, copies)
+                yield pd.DataFrame({"id": ids, "links": links, "reached": list(reached.T)})
+
+    told = in_parts.select("label", "v", "id", "copies", "home").mapInPandas(answer, "id bigint, links bigint, reached array<bigint>").groupBy("id").agg(
+        F.sum("links").alias("links"), *[F.sum(F.get("reached", F.lit(k))).alias(f"m{k}") for k in range(len(margins))])
+    truth = stored(told, "near-audit")
+    sums = truth.agg(F.coalesce(F.sum("links"), F.lit(0)), *[F.coalesce(F.sum(f"m{k}"), F.lit(0)) for k in range(len(margins))]).first()
+    margin = next((m for m, n in zip(margins, sums[1:]) if n >= LEAST_REACH * sums[0]), bound(threshold)) if sums[0] else min(PLAIN_MARGIN, bound(threshold))
+
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out: list[list[int]] = [[home] for home in pdf["home"].tolist()]
@@ -315,17 +361,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
                     place_of = {n: k for k, n in enumerate(names.tolist())}
                     for part in np.array_split(places, -(-len(places) // _BATCH)):
                         home = np.array([place_of[n] for n in pdf["home"].to_numpy()[part].tolist()])
-                        for place, some in zip(part, may_link(units(np.stack(pdf["v"].to_numpy()[part])), home, centres, reach.value[label], threshold)):
+                        for place, some in zip(part, may_link(units(np.stack(pdf["v"].to_numpy()[part])), home, centres, reach.value[label], threshold, margin)):
                             out[place] = names[some].tolist()
             yield pdf.assign(clusters=out)
 
     assigned = stored(settled.drop("angle").mapInPandas(assign, schema + ", clusters array<bigint>").select(
         "label", "v", "id", "copies", "home", F.explode("clusters").alias("cluster")), "near-assigned")
-    # Clusters that are cut: no more than pivots and labels of that size.
-    block = BLOCK * cluster_size
-    cut = stored(assigned.groupBy("label", "cluster").agg(F.count("*").alias("n"), F.count_if(F.col("home") == F.col("cluster")).alias("n_own")).where(
-        F.col("n") > MOST_GRAPH * cluster_size).select("label", "cluster", F.ceil(F.col("n_own") / block).cast("int").alias("owns"), F.ceil(F.col("n") / block).cast("int").alias("alls")), "near-cut")
-    whole = assigned.join(cut, ["label", "cluster"], "left_anti")
 
     def graph(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
@@ -333,11 +374,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
         lists = build(units(np.stack(pdf["v"].to_numpy()).astype(float)))
         return pd.DataFrame({"id": ids, "near": [ids[row[row >= 0]] for row in lists]})
 
-    tasks = max(1, -(-total // cluster_size))
-    parts = whole.repartition(tasks, "label", "cluster")
-    lists = stored(parts.groupBy("label", "cluster").applyInPandas(graph, "id bigint, near array<bigint>"), "near-graphs")
-    united = lists.select("id", F.explode("near").alias("n")).groupBy("id").agg(F.collect_set("n").alias("near"))
-
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id")
         ids = pdf["id"].to_numpy()
@@ -356,16 +392,30 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cluster_si
         ids, links, roots = block_links(x, pdf["id"].to_numpy(), pdf["own"].to_numpy(bool), pdf["copies"].to_numpy(), threshold)
         return pd.DataFrame({"id": ids, "links": links, "root": roots})
 
-    # Every block of a cluster's own vertices meets every block of all it holds, in a task for each pair of blocks.
     number = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
     columns = F.transform(F.sequence(F.lit(0), F.col("alls") - 1), lambda k: F.struct(number("owns", 5).alias("a"), k.alias("b"), F.lit(True).alias("own")))
     lines = F.transform(F.sequence(F.lit(0), F.col("owns") - 1), lambda k: F.struct(k.alias("a"), number("alls", 6).alias("b"), F.lit(False).alias("own")))
-    blocks = assigned.join(cut.where("owns > 0"), ["label", "cluster"]).withColumn("at", F.explode(F.when(
-        F.col("home") == F.col("cluster"), F.concat(columns, lines)).otherwise(lines))).select("label", "cluster", "id", "v", "copies", "at.*")
 
-    result = "id bigint, links bigint, root bigint"
-    found = stored(whole.join(united, "id", "left").repartition(tasks, "label", "cluster").groupBy("label", "cluster").applyInPandas(walk, result).union(
-        blocks.groupBy("label", "cluster", "a", "b").applyInPandas(pair, result)), "near-links")
+    result, tasks = "id bigint, links bigint, root bigint", max(1, -(-total // cluster_size))
+
+    def search_all(most: int) -> DataFrame:
+        """Links and roots of all clusters; those of more than ``most`` vertices are cut, no more than pivots and labels of that size."""
+        block = BLOCK * cluster_size
+        cut = stored(assigned.groupBy("label", "cluster").agg(F.count("*").alias("n"), F.count_if(F.col("home") == F.col("cluster")).alias("n_own")).where(
+            F.col("n") > most).select("label", "cluster", F.ceil(F.col("n_own") / block).cast("int").alias("owns"), F.ceil(F.col("n") / block).cast("int").alias("alls")), "near-cut")
+        whole = assigned.join(cut, ["label", "cluster"], "left_anti")
+        lists = stored(whole.repartition(tasks, "label", "cluster").groupBy("label", "cluster").applyInPandas(graph, "id bigint, near array<bigint>"), "near-graphs")
+        united = lists.select("id", F.explode("near").alias("n")).groupBy("id").agg(F.collect_set("n").alias("near"))
+        # Every block of a cluster's own vertices meets every block of all it holds, in a task for each pair of blocks.
+        blocks = assigned.join(cut.where("owns > 0"), ["label", "cluster"]).withColumn("at", F.explode(F.when(
+            F.col("home") == F.col("cluster"), F.concat(columns, lines)).otherwise(lines))).select("label", "cluster", "id", "v", "copies", "at.*")
+        return stored(whole.join(united, "id", "left").repartition(tasks, "label", "cluster").groupBy("label", "cluster").applyInPandas(walk, result).union(
+            blocks.groupBy("label", "cluster", "a", "b").applyInPandas(pair, result)), "near-links")
+
+    found = search_all(MOST_GRAPH * cluster_size)
+    audited = found.join(truth.select("id"), "id", "left_semi").agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0]
+    if audited < LEAST_RECALL * sums[0]:
+        found = search_all(0)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     parts_of = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "near-components").withColumnRenamed("v", "id")
     named = classes.select(F.col("label").alias("own_label"), F.col("v").alias("own_v"), "id", "copies").join(links, "id").join(
