@@ -230,13 +230,13 @@ def find_documents(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of personal data in its text replaced by its kind in brackets; overlapping ones by the first.
 
-    All columns are kept; a null text stays null. Signatures are learned from the same documents.
+    All columns are kept; a null text stays null; repeated rows are redacted alike; an empty table gives no rows. Signatures are
+    learned from the same documents.
     """
-    good = accepted(docs.select(spans(F.col("text")).alias("spans")))
+    # Spans are found once and stay with their rows; counting signatures reads nothing else.
+    found = stored(docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), spans(F.col("text")).alias("spans")), "pii-rows")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    wrapped = docs.select(
-        F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), F.col("text").alias("text"),
-        decided(spans(F.col("text")), good).alias("found"))
+    wrapped = found.select("row", F.col("row.text").alias("text"), decided(F.col("spans"), accepted(found)).alias("found"))
 
     def put(state: Column, s: Column) -> Column:
         piece = F.substr(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
