@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +11,7 @@ from pulsegrain.operators import routing as R
 from pulsegrain.plans import interfaces
 from pulsegrain.plans.catalog_documents import as_messages, dealt, event_messages, table
 from pulsegrain.plans.pipeline import run
-from pulsegrain.session import checkpoint_root
-from pulsegrain.sources.readers import MESSAGE_SCHEMA, stored_stream
 from pulsegrain.specs import App, CounterSet, CounterSpec, KeyPart, NormalizeConfig, Pipeline, TimeRule
-from pulsegrain.streaming.runner import run_stream
 
 HOUR, DAY = 3_600_000, 86_400_000
 
@@ -183,31 +178,6 @@ def dlq_counters(spark, sf_dir):
     )
 
 
-def counter_stream(spark, sf_dir):
-    """The counters of ``counter_delta_u32`` over a stream of stored messages."""
-    messages = event_messages(
-        spark, sf_dir, a=_rising(39_916, 2**32),
-        b=F.when(F.col("event_type") != "view", _rising(71, 2**32).cast("string")),
-    )
-    folder = _scratch(spark)
-    stored = messages.withColumn("topic", F.lit("events")).select(*[part.split(" ")[0] for part in MESSAGE_SCHEMA.split(", ")])
-    stored.write.parquet(f"{folder}/in")
-    app = _app(_set("a", "b", kind="u32"), _config(u32_limit=2**31 - 1))
-    # written side by side: one micro-batch, in which rows are ordered by offset
-    output = run_stream(stored_stream(spark, f"{folder}/in", max_files=None), app)
-    query = (
-        output.select("topic", "offset", "value").writeStream.format("parquet").option("path", f"{folder}/out")
-        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return _values(spark.read.schema("topic string, offset bigint, value string").parquet(f"{folder}/out"), "a", "b")
-
-
-def _scratch(spark) -> str:
-    """A folder of its own for one run, in the shared place of the cluster."""
-    return f"{checkpoint_root(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
-
-
 def _late() -> Column:
     """Own time of an event: now and then far behind or far ahead of its arrival."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -322,7 +292,7 @@ QUERIES = {
     f.__name__: f for f in (
         counter_delta_u32, counter_dense, counter_wrap_u32, counter_wrap_u64, counter_reset, counter_stale, counter_time_local,
         counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, counter_long_integers, dlq_counters,
-        counter_late_fold, counter_stream, interface_layouts, dataflow_end_to_end,
+        counter_late_fold, interface_layouts, dataflow_end_to_end,
     )
 }
 
@@ -514,7 +484,6 @@ SQL = {
     "counter_long_integers": _columns_sql(
         _config(u64_limit=0), "u64", a="(event_id % 997 * 7)::HUGEINT", b="(event_id % 997 * 7)::HUGEINT"),
     "dlq_counters": _dlq_sql(),
-    "counter_stream": _U32,
     "counter_late_fold": _late_sql(),
     "interface_layouts": _layouts_sql(),
     "dataflow_end_to_end": _end_to_end_sql(),
