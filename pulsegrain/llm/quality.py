@@ -3,8 +3,10 @@
 A public vocabulary measures every text: characters per token, the share of tokens that are single bytes because no piece
 of the vocabulary holds a character, and the entropy of the text's tokens against that of as many different ones. Texts
 of one language lie close together in these figures; what lies outside the language's band is rejected. A band is a
-median of all documents that pass the base rules, and so many median deviations to either side; as a mean over tokens
-scatters less in longer texts, characters per token are compared in deviations times the root of the number of tokens.
+median of all documents that pass the base rules, and so many median deviations to either side; as figures over tokens
+scatter less in longer texts, they are compared in deviations times the root of the number of tokens. So the band of a short
+text is wider, and every text that passes the base rules is judged. Byte share and entropy differ between texts however long
+they are, so their bands get no narrower beyond a number of tokens.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ SYMBOLS = "#*$%&|<>"
 #: Half the width of a band in median absolute deviations, and the least half width, by measure.
 WIDTH = 8.0
 LEAST_WIDTH = {"chars_per_token": 0.06, "byte_share": 0.02, "token_entropy": 0.15}
-#: Shorter texts have no stable figures and are left to the base rules.
-LEAST_TOKENS = 150
+#: Tokens beyond which the bands of byte share and entropy get no narrower.
+WHOLE = 512
 _KEPT_WORDS = 2**20
 
 
@@ -105,13 +107,13 @@ def measures(docs: DataFrame, path: str) -> DataFrame:
 
 def _away(measure: str) -> Column:
     """Distance from the language's median in the unit in which bands are measured."""
-    away = F.abs(F.col(measure) - F.col(f"{measure}_mid"))
-    return away * F.sqrt(F.col("n_tokens").cast("double")) if measure == "chars_per_token" else away
+    n = F.col("n_tokens") if measure == "chars_per_token" else F.least("n_tokens", F.lit(WHOLE))
+    return F.abs(F.col(measure) - F.col(f"{measure}_mid")) * F.sqrt(n.cast("double"))
 
 
 def bands(found: DataFrame) -> DataFrame:
-    """Median and median deviation of each measure by language, over all rows that pass the base rules and are long enough."""
-    usable = found.where(~F.col("base_failed") & (F.col("n_tokens") >= LEAST_TOKENS))
+    """Median and median deviation of each measure by language, over all rows that pass the base rules."""
+    usable = found.where(~F.col("base_failed"))
     middle = stored(usable.groupBy("lang").agg(*[F.percentile_approx(m, 0.5, 1000).alias(f"{m}_mid") for m in LEAST_WIDTH]), "quality-medians")
     return usable.join(middle, "lang").groupBy("lang").agg(
         *[F.first(f"{m}_mid").alias(f"{m}_mid") for m in LEAST_WIDTH],
@@ -122,8 +124,7 @@ def judge(docs: DataFrame, path: str, width: float = WIDTH) -> DataFrame:
     """Figures of every row with base_failed and kept.
 
     kept is false for rows that fail the base rules or lie outside their language's band in a measure. A null language is
-    one of its own ("und"); texts of fewer than ``LEAST_TOKENS`` tokens, and languages without any longer text, are judged
-    by the base rules alone. Repeated rows are judged each for itself; an empty table gives no rows.
+    one of its own ("und"). Repeated rows are judged each for itself; an empty table gives no rows.
     """
     found = stored(measures(docs, path), "quality")
     inside: Column = F.lit(True)
@@ -133,5 +134,5 @@ def judge(docs: DataFrame, path: str, width: float = WIDTH) -> DataFrame:
     joined = found.join(stored(bands(found), "quality-bands"), "lang", "left")
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & ((F.col("n_tokens") < LEAST_TOKENS) | inside)).alias("kept"),
+        (~F.col("base_failed") & inside).alias("kept"),
         "lang", "n_tokens", *LEAST_WIDTH)

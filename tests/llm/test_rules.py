@@ -1,6 +1,7 @@
 """Mixing, quality rules, personal data, toxicity and the pipeline against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -106,6 +107,28 @@ def test_quality_by_brute_force(spark, documents):
     assert quality.judge(documents([]), PIECES).count() == 0
 
 
+def test_verdict_by_brute_force(spark, documents):
+    """Every text that passes the base rules is judged, short ones too: medians, deviations and bands by hand."""
+    rng = random.Random(4)
+    words = "the a river mountain house garden walks under over with light and many other people came home in spring".split()
+    texts = [" ".join(rng.choices(words, k=rng.choice([51, 60, 90, 300, 2000]))) for _ in range(90)]
+    texts += [" ".join(f"\u13a0\u13a1{rng.choice('abcdefgh')}\u4dc0" + rng.choice("xyzw") for _ in range(55)) for _ in range(4)] + ["", None, "few"]
+    pieces = quality.Pieces(PIECES)
+    found = {i: quality.measure(t or "", pieces) for i, t in enumerate(texts)}
+    good = [i for i, t in enumerate(texts) if not base(t)[-1]]
+    figures = {i: {"chars_per_token": m[1] / m[5], "byte_share": m[6] / m[5], "token_entropy": m[7] / math.log2(m[5])} for i, m in found.items() if i in good}
+    median = lambda values: sorted(values)[-(-len(values) // 2) - 1]
+    kept = set(good)
+    for name, least in quality.LEAST_WIDTH.items():
+        mid = median([figures[i][name] for i in good])
+        size = {i: found[i][5] if name == "chars_per_token" else min(found[i][5], quality.WHOLE) for i in good}
+        away = {i: abs(figures[i][name] - mid) * math.sqrt(size[i]) for i in good}
+        dev = median(list(away.values()))
+        kept -= {i for i in good if abs(figures[i][name] - mid) > least and away[i] > quality.WIDTH * dev}
+    got = {r.doc_id for r in quality.judge(documents(texts), PIECES).collect() if r.kept}
+    assert got == kept and set(range(80)) & set(good) <= kept and not kept & {90, 91, 92, 93} and {90, 91, 92, 93} <= set(good)
+
+
 def test_quality_keeps_good_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.judge(docs, PIECES).join(labels, "doc_id").where("not base_failed").collect()
