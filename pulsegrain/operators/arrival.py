@@ -158,6 +158,11 @@ def _starts(runs: DataFrame, fan: int) -> tuple[DataFrame, DataFrame]:
     return starts, top.select(*COUNTER, F.col("walked.held").alias("held"))
 
 
+def _beyond(late: Column, early: Column, cutoff_ms: int) -> Column:
+    """Whether two times, in order, are more than the cutoff apart; a distance that no BIGINT holds is."""
+    return F.coalesce(F.try_subtract(late, early) > cutoff_ms, F.lit(True))
+
+
 def _cuts(cutoff_ms: int) -> Column:
     """Places (from 0) of the readings of a run that make the held one be forgotten."""
     readings, start = F.col("readings"), F.col("start")
@@ -165,7 +170,7 @@ def _cuts(cutoff_ms: int) -> Column:
 
     def go(s: Column, r: Column) -> Column:
         late = s["held"] > r["ts"]
-        cut = late & (F.try_subtract(s["held"], r["ts"]) > cutoff_ms)
+        cut = late & _beyond(s["held"], r["ts"], cutoff_ms)
         held = F.when(F.coalesce(cut, F.lit(False)), F.lit(None)).when(F.coalesce(late, F.lit(False)), s["held"]).otherwise(r["ts"])
         return F.struct(
             held.cast("bigint").alias("held"), (s["at"] + 1).alias("at"),
@@ -174,7 +179,7 @@ def _cuts(cutoff_ms: int) -> Column:
     none = F.array().cast("array<int>")
     times = F.transform(readings, lambda r: r["ts"])
     # Most runs have none, as no reading of theirs is that far behind another.
-    spread = F.greatest(F.array_max(times), start["ts"]) - F.array_min(times) > cutoff_ms
+    spread = _beyond(F.greatest(F.array_max(times), start["ts"]), F.array_min(times), cutoff_ms)
     walked = F.aggregate(readings, F.struct(start["ts"].alias("held"), F.lit(0).alias("at"), none.alias("cuts")).cast(state), go, lambda s: s["cuts"])
     return F.when(spread, walked).otherwise(none)
 
