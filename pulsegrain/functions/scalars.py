@@ -280,7 +280,7 @@ def not_null(value: Column) -> Column:
 def rename_values(value: Column, names: dict[str, str]) -> Column:
     """Replace listed texts; any other value keeps its own text."""
     content = V.text(value)
-    table = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
+    table = F.map_from_arrays(F.array(*[F.lit(name) for name in names]), F.array(*[F.lit(name) for name in names.values()]))
     return F.coalesce(F.try_element_at(table, content), content)
 
 

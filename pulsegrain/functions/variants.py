@@ -170,10 +170,15 @@ def spread(doc: Column, parts: Sequence[str | int]) -> Column:
     return F.flatten(F.transform(children, lambda child: spread(child, tail)))
 
 
+def named(values: Mapping[str, Column]) -> Column:
+    """MAP<STRING, VARIANT>. All values are computed before the map is begun, so one that raises leaves nothing behind."""
+    names = F.array(*[F.lit(name) for name in values]).cast("array<string>")
+    return F.map_from_arrays(names, F.array(*[variant(value) for value in values.values()]).cast("array<variant>"))
+
+
 def row_of(targets: Mapping[str, Column]) -> Column:
     """One object with the given fields; a field whose column is NULL is left out."""
-    pairs = [part for name, value in targets.items() for part in (F.lit(name), variant(value))]
-    return F.to_variant_object(F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull()))
+    return F.to_variant_object(F.map_filter(named(targets), lambda _, value: value.isNotNull()))
 
 
 def pick(doc: Column, names: Sequence[str]) -> Column:
@@ -189,7 +194,7 @@ def drop(doc: Column, *names: str) -> Column:
 
 def rename(doc: Column, names: Mapping[str, str]) -> Column:
     """Rename top-level fields and keep all others as they are; values that meet under one name become a list."""
-    table = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
+    table = F.map_from_arrays(F.array(*[F.lit(name) for name in names]), F.array(*[F.lit(name) for name in names.values()]))
     entries = F.transform(F.map_entries(fields(doc)), lambda entry: F.struct(
         F.coalesce(F.try_element_at(table, entry["key"]), entry["key"]).alias("key"), entry["value"].alias("value")))
     return let(entries, gathered)
@@ -197,8 +202,7 @@ def rename(doc: Column, names: Mapping[str, str]) -> Column:
 
 def put(doc: Column, values: Mapping[str, Column]) -> Column:
     """Write top-level fields; where the new value is NULL the field stays as it was."""
-    pairs = [part for name, value in values.items() for part in (F.lit(name), variant(value))]
-    merged = F.map_zip_with(fields(doc), F.create_map(*pairs), lambda _, old, new: F.coalesce(new, old))
+    merged = F.map_zip_with(fields(doc), named(values), lambda _, old, new: F.coalesce(new, old))
     return F.to_variant_object(F.map_filter(merged, lambda _, value: value.isNotNull()))
 
 

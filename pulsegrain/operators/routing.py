@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import variants as V
+from pulsegrain.functions.guard import attempt
 from pulsegrain.operators import documents as D
 from pulsegrain.operators.predicates import predicate
 from pulsegrain.operators.reshape import Layouts
@@ -39,39 +40,59 @@ def _entry(tag: Column | None = None, *, step=None, error=None, row=None, elemen
     return F.struct(*[(F.lit(None) if part is None else part).cast(kind).alias(name) for name, (part, kind) in fields.items()])
 
 
-def _rows(pipeline: Pipeline, doc: Column) -> Column:
+RAISED = "an expression raised an error"
+
+
+def _entries(pipeline: Pipeline, doc: Column, elements: Column | None) -> Column:
+    """The rows of a document that matches; its message instead, if the check or the transform refuses it."""
     tag = F.lit(pipeline.tag)
     if pipeline.transform is None:
-        rows = F.array(_entry(tag, row=doc))
-    elif isinstance(pipeline.transform, Layouts):
-        rows = F.transform(pipeline.transform.pick(doc), lambda element: _entry(tag, element=element))
-    else:
-        kept = F.filter(pipeline.transform(doc), V.has_value)
-        rows = F.transform(kept, lambda row: _entry(tag, row=row))
-    if pipeline.check is None:
+        return F.array(_entry(tag, row=doc))
+    if isinstance(pipeline.transform, Layouts):
+        return F.transform(elements, lambda element: _entry(tag, element=element))
+    return F.transform(F.filter(pipeline.transform(doc), V.has_value), lambda row: _entry(tag, row=row))
+
+
+def _rows(pipeline: Pipeline, doc: Column, half: Column | None) -> Column:
+    """As ``_entries``; a transform or check that raises sends the document to the dead letters as well."""
+    tag, empty = F.lit(pipeline.tag), F.array().cast(_ROUTE)
+
+    def refused(message: Column) -> Column:
+        return F.array(_entry(tag, step=F.lit(D.TRANSFORM), error=message, row=doc)).cast(_ROUTE)
+
+    rows = F.coalesce(_entries(pipeline, doc, None if half is None else half["elements"]), empty)
+    if pipeline.check is not None:
+        message = pipeline.check(doc).cast("string")
+        rows = F.when(message.isNotNull(), refused(message)).otherwise(rows)
+    if pipeline.transform is None and pipeline.check is None:
         return rows
-    message = pipeline.check(doc)
-    return F.when(
-        message.isNotNull(), F.array(_entry(tag, step=F.lit(D.TRANSFORM), error=message, row=doc))
-    ).otherwise(rows)
+    found = F.coalesce(attempt(rows, doc.isNotNull()), refused(F.lit(RAISED)))
+    return found if half is None else F.when(half.isNull(), refused(F.lit(RAISED))).otherwise(found)
 
 
 def pre_transform(parsed: DataFrame, app: App) -> DataFrame:
-    """Check and change documents; ``dropped`` marks those that the change made vanish, ``failed_at`` the step of an error."""
-    message = F.lit(None).cast("string") if app.pre_check is None else app.pre_check(F.col("doc")).cast("string")
-    checked = parsed.withColumn("failed_at", F.when(F.col("error").isNotNull(), D.PARSE).when(message.isNotNull(), D.PRE_TRANSFORM)).withColumn(
-        "error", F.coalesce("error", message))
-    if app.pre_transform is None:
-        return checked.withColumn("dropped", F.lit(False))
-    changed = checked.withColumn("doc", F.when(F.col("error").isNull(), app.pre_transform(F.col("doc"))).otherwise(F.col("doc")))
-    return changed.withColumn("dropped", F.col("error").isNull() & F.col("doc").isNull())
+    """Check and change documents; ``dropped`` marks those that the change made vanish, ``failed_at`` the step of an error.
+
+    A check or change that raises is an error of its document."""
+    doc, good = F.col("doc"), F.col("error").isNull()
+    if app.pre_check is None and app.pre_transform is None:
+        return parsed.withColumn("failed_at", F.when(~good, D.PARSE)).withColumn("dropped", F.lit(False))
+    message = F.lit(None).cast("string") if app.pre_check is None else app.pre_check(doc).cast("string")
+    changed = doc if app.pre_transform is None else F.when(message.isNull(), app.pre_transform(doc))
+    tried = parsed.withColumn("_tried", attempt(F.struct(message.alias("message"), changed.cast("variant").alias("doc")), good))
+    failed = F.when(~good, F.col("error")).when(F.col("_tried").isNull(), RAISED).otherwise(F.col("_tried.message"))
+    kept = F.when(good & failed.isNull(), F.col("_tried.doc")).otherwise(doc)
+    return tried.select(
+        *[name for name in parsed.columns if name not in ("doc", "error")], kept.alias("doc"), failed.alias("error"),
+        F.when(~good, D.PARSE).when(failed.isNotNull(), D.PRE_TRANSFORM).alias("failed_at"), (failed.isNull() & kept.isNull()).alias("dropped"))
 
 
 def route(parsed: DataFrame, app: App) -> DataFrame:
     """One output row per message, matching pipeline and transformed row.
 
     Columns: the envelope, ``pos`` (place of the row within its message), ``tag`` (NULL if nothing matched), ``row``
-    (VARIANT), and ``step``/``error`` for dead letters.
+    (VARIANT), and ``step``/``error`` for dead letters. A document whose transform raises has one row, its dead letter; of
+    a ``Layouts`` transform, whose rows are built one by one, a row that raises leaves its element as the dead letter.
     """
     doc = F.col("doc")
     flags = [f"_match{number}" for number in range(len(app.pipelines))]
@@ -84,7 +105,20 @@ def route(parsed: DataFrame, app: App) -> DataFrame:
         ],
     )
     empty = F.array().cast(_ROUTE)
-    branches = [F.when(F.col(flag), _rows(pipeline, doc)) for flag, pipeline in zip(flags, app.pipelines)]
+    # Pipelines in two halves: what their rows share goes with the fan-out, and rows are built after it.
+    late = [(number, pipeline) for number, pipeline in enumerate(app.pipelines) if isinstance(pipeline.transform, Layouts)]
+    staged = staged.select("*", *[
+        attempt(F.struct(
+            F.struct(*[value.alias(name) for name, value in pipeline.transform.shared(doc).items()]).alias("shared"),
+            pipeline.transform.pick(doc).alias("elements"),
+        ), F.col(flags[number])).alias(f"_half{number}")
+        for number, pipeline in late
+    ])
+    halves = {number: F.col(f"_half{number}") for number, _ in late}
+    branches = [
+        F.when(F.col(flag), _rows(pipeline, doc, halves.get(number)))
+        for number, (flag, pipeline) in enumerate(zip(flags, app.pipelines))
+    ]
     matched = F.lit(False)
     for flag in flags:
         matched = matched | F.col(flag)
@@ -93,27 +127,31 @@ def route(parsed: DataFrame, app: App) -> DataFrame:
         .when(ready & ~matched, F.array(_entry(row=doc)))
     )
     routes = F.flatten(F.array(*[F.coalesce(branch, empty) for branch in [*branches, rest]]))
-    # Pipelines in two halves: what their rows share goes with the fan-out, and rows are built after it.
-    late = [(number, pipeline) for number, pipeline in enumerate(app.pipelines) if isinstance(pipeline.transform, Layouts)]
-    shared = [
-        F.when(F.col(flags[number]), F.struct(*[value.alias(name) for name, value in pipeline.transform.shared(doc).items()])).alias(f"_shared{number}")
-        for number, pipeline in late
-    ]
-    row = F.col("route.row")
+    row = F.struct(F.col("route.row").alias("row"))
     for number, pipeline in late:
         for layout, build in enumerate(pipeline.transform.builds):
             mine = (F.col("route.tag") == F.lit(pipeline.tag)) & (F.col("route.layout") == F.lit(layout))
-            row = F.when(mine, build(F.col(f"_shared{number}"), F.col("route.parent"), F.col("route.element"))).otherwise(row)
+            built = F.struct(build(F.col(f"_shared{number}"), F.col("route.parent"), F.col("route.element")).cast("variant").alias("row"))
+            row = F.when(mine, attempt(built, mine)).otherwise(row)
     # The outer form: a plain explode would make the optimiser evaluate the whole array a second time as a
     # "size > 0" filter. Empty arrays leave one row without route, dropped right after.
-    return (
+    fanned = (
         staged.select(
             *D.ENVELOPE,
-            F.when(F.col("error").isNotNull(), F.col("value")).alias("raw"), *shared,
+            F.when(F.col("error").isNotNull(), F.col("value")).alias("raw"),
+            *[halves[number]["shared"].alias(f"_shared{number}") for number, _ in late],
             F.posexplode_outer(routes).alias("pos", "route"),
         )
         .where(F.col("route").isNotNull())
-        .select(*D.ENVELOPE, "raw", "pos", "route.tag", "route.step", "route.error", row.alias("row"))
+    )
+    if not late:
+        return fanned.select(*D.ENVELOPE, "raw", "pos", "route.tag", "route.step", "route.error", "route.row")
+    raised = F.col("built").isNull()
+    return fanned.select(*D.ENVELOPE, "raw", "pos", "route", row.alias("built")).select(
+        *D.ENVELOPE, "raw", "pos", "route.tag",
+        F.when(raised, D.TRANSFORM).otherwise(F.col("route.step")).alias("step"),
+        F.when(raised, RAISED).otherwise(F.col("route.error")).alias("error"),
+        F.when(raised, F.col("route.element")).otherwise(F.col("built.row")).alias("row"),
     )
 
 

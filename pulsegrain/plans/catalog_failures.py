@@ -94,9 +94,30 @@ def step_counts(spark, sf_dir):
     return metrics.step_counts(_some_broken(spark, sf_dir), _checked())
 
 
+def transform_raises(spark, sf_dir):
+    """Casts, parsers and divisions that raise: the message goes to the dead letters for that pipeline only, all others go on."""
+    n = V.text(F.col("doc"), "$.n")
+    events = dealt(table(spark, sf_dir, "events"), "event_id")
+    text = F.to_json(F.struct(
+        F.col("event_id").alias("id"),
+        F.when(_kind() == "click", F.concat(F.lit("#"), "event_id")).otherwise(F.col("event_id").cast("string")).alias("n"),
+        F.array(F.col("user_id"), F.pmod("user_id", F.lit(7))).alias("l")))
+    app = App([
+        Pipeline("twice", "t-twice", {}, lambda doc: F.array(V.row_of({"id": V.get(doc, "$.id"), "n": n.cast("bigint") + n.cast("bigint")}))),
+        Pipeline("share", "t-share", {}, lambda doc: F.transform(V.elements(doc, "$.l"), lambda item: V.row_of({
+            "id": V.get(doc, "$.id"), "n": (F.lit(420) / V.read(item, "$", "int")).cast("bigint")}))),
+    ], pre_check=lambda doc: F.when(F.substring(V.text(doc, "$.n"), -2, 2).cast("int") == 13, F.lit("ends in 13")))
+    out = run(as_messages(events, F.col("user_id"), text, F.col("ts"), F.col("event_id")), app)
+    failed = F.get_json_object(F.get_json_object("value", "$.failedValue"), "$.id").cast("bigint")
+    return out.select(
+        "topic", F.col("tag"), F.coalesce(F.get_json_object("value", "$.id").cast("bigint"), failed).alias("event_id"),
+        F.get_json_object("value", "$.n").cast("bigint").alias("n"), F.get_json_object("value", "$.processingStep").alias("step"),
+        F.get_json_object("value", "$.errorMessage").alias("message"))
+
+
 QUERIES = {
     f.__name__: f for f in (
-        rename_collision, merge_mixed_list, sort_mixed_list, match_long_number, pre_transform_failure, step_counts,
+        rename_collision, merge_mixed_list, sort_mixed_list, match_long_number, pre_transform_failure, step_counts, transform_raises,
     )
 }
 
@@ -126,6 +147,24 @@ SQL = {
         UNION ALL
         SELECT event_id, 'transform', 'a multiple of three', event_id FROM events
         WHERE event_id % 11 <> 0 AND event_id % 3 = 0 AND event_type NOT IN ('error', 'signup', 'view')""",
+    "transform_raises": """
+        WITH read AS (
+            SELECT *, CASE WHEN event_type = 'click' THEN '#' || event_id ELSE event_id::VARCHAR END AS text FROM events
+        ), tried AS (
+            SELECT *, right(text, 2) AS tail FROM read
+        ), ready AS (SELECT * FROM tried WHERE try_cast(tail AS INT) <> 13)
+        SELECT 'dlq' AS topic, NULL AS tag, event_id, NULL::BIGINT AS n, 'pre-transform' AS step,
+               CASE WHEN try_cast(tail AS INT) = 13 THEN 'ends in 13' ELSE 'an expression raised an error' END AS message
+        FROM tried WHERE coalesce(try_cast(tail AS INT) = 13, TRUE)
+        UNION ALL
+        SELECT CASE WHEN event_type = 'click' THEN 'dlq' ELSE 't-twice' END, 'twice', event_id, CASE WHEN event_type <> 'click' THEN 2 * event_id END,
+               CASE WHEN event_type = 'click' THEN 'transform' END, CASE WHEN event_type = 'click' THEN 'an expression raised an error' END
+        FROM ready
+        UNION ALL
+        SELECT 'dlq', 'share', event_id, NULL, 'transform', 'an expression raised an error' FROM ready WHERE user_id % 7 = 0
+        UNION ALL
+        SELECT 't-share', 'share', event_id, trunc(420 / item)::BIGINT, NULL, NULL
+        FROM (SELECT event_id, unnest([user_id, user_id % 7]) AS item FROM ready WHERE user_id % 7 <> 0)""",
     "step_counts": f"""
         SELECT 'read' AS step, NULL AS tag, NULL AS outcome, count(*) AS n FROM events
         UNION ALL SELECT 'parse', NULL, NULL, count(*) FROM events WHERE event_id % 11 = 0

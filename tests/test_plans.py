@@ -73,7 +73,7 @@ def test_no_counters_no_shuffle(stored):
 def test_layout_rows_are_built_after_the_fan_out(stored):
     """Elements go through the generate, rows are built by a projection: every path of a layout is read once."""
     text = plan(flatten(stored, App([interfaces.pipeline()], pre_transform=interfaces.door)))
-    assert text.count("to_variant_object(map_filter(map(") == 4 and len(re.findall("Generate", text)) == 1
-    assert text.index("to_variant_object(map_filter(map(") < text.index("Generate")
+    assert text.count("to_variant_object(map_filter(map_from_arrays(") == 4 and len(re.findall("Generate", text)) == 1
+    assert text.index("to_variant_object(map_filter(map_from_arrays(") < text.index("Generate")
     assert text.count("try_variant_get") < 200
     assert plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door))).count("try_variant_get") < 120
