@@ -16,8 +16,8 @@ _WHOLE = r"^[+-]?[0-9]+$"
 
 
 def parse_text(value: Column) -> Column:
-    """Any JSON text to VARIANT, comments allowed; NULL if it is no JSON."""
-    return F.from_json(value, "variant", {"allowComments": "true", "mode": "PERMISSIVE"})
+    """Any JSON text to VARIANT, comments allowed, integers of any length; NULL if it is no JSON."""
+    return F.from_json(V.marked_json(value), "variant", {"allowComments": "true", "mode": "PERMISSIVE"})
 
 
 def _decode_one(value: Column) -> Column:

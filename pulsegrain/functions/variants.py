@@ -1,6 +1,9 @@
 """Reading and editing VARIANT documents through JSONPath-like text paths.
 
 Only definite paths and ``[*]`` are accepted: ``$.a.b``, ``$['a:b'].c``, ``$.list[0]``, ``$.list[*].x``.
+
+VARIANT holds integers of up to 38 digits. Longer ones are held as texts of their digits behind ``MARK``, wherever they stand in a
+document, so they go through every transform like any other value. ``text`` reads the digits, ``plain_json`` writes the number.
 """
 
 from __future__ import annotations
@@ -14,6 +17,27 @@ from pyspark.sql import functions as F
 
 ANY = "[*]"
 
+# A code point that Unicode keeps out of interchanged text.
+MARK = "\ufdd0"
+
+_LONG = r"-?+[1-9][0-9]{38,}+"
+# One token after another up to the next long integer that is a value: words and signs, texts, comments, other numbers.
+_BEFORE = (
+    r"""[^"0-9/-]++|"(?:[^"\\]++|\\.)*+"|//[^\n]*+|/\*(?:[^*]++|\*(?!/))*+\*/"""
+    rf"""|(?!{_LONG}(?![.eE]))-?+[0-9]++(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"""
+)
+_NEXT_LONG = rf"""(?s)\G((?:{_BEFORE})*+)({_LONG})(?=\s*+(?:[,\]}}/]|$))"""
+
+
+def marked_json(value: Column) -> Column:
+    """JSON text whose integers of more than 38 digits are marked texts; any other text as it is."""
+    return F.when(value.rlike("[1-9][0-9]{38}"), F.regexp_replace(value, _NEXT_LONG, f'$1"{MARK}$2"')).otherwise(value)
+
+
+def plain_json(value: Column) -> Column:
+    """JSON text whose marked integers are numbers again."""
+    return F.when(value.contains(MARK), F.regexp_replace(value, f'"{MARK}({_LONG})"', "$1")).otherwise(value)
+
 _STEP = re.compile(r"""\.([^.\[\]()?@*]+)|\['([^']*)'\]|\["([^"]*)"\]|\[(\d+)\]|\[(\*)\]""")
 
 
@@ -75,7 +99,7 @@ def get(doc: Column, path: str) -> Column:
 
 
 def text(doc: Column, path: str = "$") -> Column:
-    return read(doc, path, "string")
+    return F.ltrim(read(doc, path, "string"), F.lit(MARK))
 
 
 def elements(doc: Column, path: str = "$") -> Column:
@@ -126,7 +150,7 @@ class Place:
 
     @property
     def text(self) -> Column:
-        return self.read("string")
+        return F.ltrim(self.read("string"), F.lit(MARK))
 
     @property
     def items(self) -> Column:

@@ -41,8 +41,8 @@ def parse_documents(messages: DataFrame) -> DataFrame:
 
 
 def serialise(doc: Column) -> Column:
-    """JSON text of a document; JSON nulls stay visible."""
-    return F.to_json(doc)
+    """JSON text of a document; JSON nulls stay visible, integers have all their digits."""
+    return V.plain_json(F.to_json(doc))
 
 
 def json_text(value: Column) -> Column:

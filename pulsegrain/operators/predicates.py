@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pulsegrain.functions import variants as V
+from pulsegrain.functions.scalars import parse_text
 from pulsegrain.specs import BadSpec
 
 _NUMBER_KIND = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
@@ -30,7 +31,7 @@ def equals(doc: Column, path: str, literal: Any) -> Column:
     """The value at ``path`` equals the literal, kind included; numbers compare by value."""
     parts = V.steps(path)
     if isinstance(literal, (list, dict)):
-        wanted = F.to_json(F.parse_json(F.lit(json.dumps(literal))))
+        wanted = F.to_json(parse_text(F.lit(json.dumps(literal))))
         if V.ANY in parts:
             found = V.variant(V.spread(doc, parts))
         else:
@@ -40,14 +41,14 @@ def equals(doc: Column, path: str, literal: Any) -> Column:
         # JSON null counts as no value, and a list is never equal to a scalar.
         return F.lit(False)
     kind = F.schema_of_variant(V.get(doc, path))
+    held = V.read(doc, path, "string")
     if isinstance(literal, bool):
         same = (V.read(doc, path, "boolean") == F.lit(literal)) & (kind == "BOOLEAN")
     elif isinstance(literal, str):
-        same = (V.text(doc, path) == F.lit(literal)) & (kind == "STRING")
+        same = (held == F.lit(literal)) & (kind == "STRING")
     elif isinstance(literal, int):
         if abs(literal) >= 10**38:
-            # Numbers of more digits lose them when a document is parsed, so equality could not be told.
-            raise BadSpec(f"an integer of more than 38 digits cannot be compared: {literal}")
+            return F.coalesce(held == F.lit(f"{V.MARK}{literal}"), F.lit(False))
         exact = F.lit(str(literal)).cast("decimal(38,0)")
         same = (
             (V.read(doc, path, "decimal(38,0)") == exact)
@@ -56,6 +57,8 @@ def equals(doc: Column, path: str, literal: Any) -> Column:
         )
     else:
         same = (V.read(doc, path, "double") == F.lit(float(literal))) & kind.rlike(_NUMBER_KIND)
+        if abs(literal) >= 1e38:
+            same = F.when(held.startswith(V.MARK), V.text(doc, path).try_cast("double") == F.lit(float(literal))).otherwise(same)
     return F.coalesce(same, F.lit(False))
 
 

@@ -161,6 +161,14 @@ def counter_long_integers(spark, sf_dir):
     return _values(_timed(messages, _app(_set("a", "b", kind="u64"), _config(u64_limit=0))), "a", "b")
 
 
+def counter_any_length(spark, sf_dir):
+    """Counters that are JSON numbers of 60 digits, more than VARIANT holds."""
+    step = F.pmod(F.col("event_id"), F.lit(997)) * 7
+    messages = event_messages(spark, sf_dir, a=F.concat(F.lit("1"), F.lpad(step.cast("string"), 59, "0")))
+    bare = messages.withColumn("value", F.regexp_replace("value", '"([0-9]{60})"', "$1"))
+    return _values(_timed(bare, _app(_set("a", kind="u64"), _config(u64_limit=0))), "a")
+
+
 def dlq_counters(spark, sf_dir):
     """A bad value or a bad time sends the whole row to the dead letters and leaves the readings alone."""
     kind = F.col("event_type")
@@ -291,7 +299,7 @@ def dataflow_end_to_end(spark, sf_dir):
 QUERIES = {
     f.__name__: f for f in (
         counter_delta_u32, counter_dense, counter_wrap_u32, counter_wrap_u64, counter_reset, counter_stale, counter_time_local,
-        counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, counter_long_integers, dlq_counters,
+        counter_shared_key, counter_two_entities, counter_multi_pipeline, counter_narrowing, counter_long_integers, counter_any_length, dlq_counters,
         counter_late_fold, interface_layouts, dataflow_end_to_end,
     )
 }
@@ -483,6 +491,7 @@ SQL = {
         a="(CASE WHEN event_type IN ('click', 'view') THEN 15000000000000000000::HUGEINT ELSE 0 END + event_id)"),
     "counter_long_integers": _columns_sql(
         _config(u64_limit=0), "u64", a="(event_id % 997 * 7)::HUGEINT", b="(event_id % 997 * 7)::HUGEINT"),
+    "counter_any_length": _columns_sql(_config(u64_limit=0), "u64", a="(event_id % 997 * 7)::HUGEINT"),
     "dlq_counters": _dlq_sql(),
     "counter_late_fold": _late_sql(),
     "interface_layouts": _layouts_sql(),

@@ -97,6 +97,14 @@ def big_ints_kept(spark, sf_dir):
     )
 
 
+def long_integers_kept(spark, sf_dir):
+    """Integers of 60 digits, as numbers and as texts, leave in the form they came in."""
+    big = F.concat(F.lit("7" * 48), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    text = F.concat(F.lit('{"id": '), "event_id", F.lit(', "l": ['), big, F.lit(', "'), big, F.lit('"], "neg": -'), big, F.lit("}"))
+    out = run(as_messages(table(spark, sf_dir, "events"), F.col("user_id"), text, F.col("ts"), F.col("event_id")), App([]))
+    return out.select(F.col("offset").alias("event_id"), "value")
+
+
 # ---- matching --------------------------------------------------------------------------------------------------
 
 def _matched(messages: DataFrame, match: dict) -> DataFrame:
@@ -349,7 +357,7 @@ def counter_keys(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f for f in (
-        parse_ok, parse_errors, big_ints_kept, match_value, match_number, match_exists, match_and_or_not,
+        parse_ok, parse_errors, big_ints_kept, long_integers_kept, match_value, match_number, match_exists, match_and_or_not,
         match_wildcard, gate_whitelist, nested_gate, multi_route, route_unmatched, route_counts, topic_dispatch,
         transform_failure, typed_source, decode_json_strings, arith_functions, text_functions, iso_to_epoch,
         time_rules, counter_keys,
@@ -377,6 +385,9 @@ SQL = {
     "big_ints_kept": """
         SELECT event_id, n, n AS s, '-' || n AS neg, n AS shown
         FROM (SELECT event_id, CAST(CAST(18446744073700000000 AS HUGEINT) + event_id AS VARCHAR) AS n FROM events)""",
+    "long_integers_kept": """
+        SELECT event_id, '{"id":' || event_id || ',"l":[' || n || ',"' || n || '"],"neg":-' || n || '}' AS "value"
+        FROM (SELECT event_id, repeat('7', 48) || lpad(event_id::VARCHAR, 12, '0') AS n FROM events)""",
     "match_value": "SELECT event_id FROM events WHERE json_extract_string(json_object('kind', event_type), '$.kind') = 'click'",
     "match_number": f"SELECT event_id FROM {_EV} WHERE k = 42 OR k = 21",
     "match_exists": f"SELECT event_id FROM {_EV} WHERE k < 50 OR k % 3 = 0",

@@ -26,7 +26,7 @@ def emit(rows: DataFrame, app: App) -> DataFrame:
     """Flat rows to (topic, key, value) plus the tag, time and position they come from."""
     good = F.col("error").isNull()
     topic = F.when(good, R.topic_of(F.col("tag"), app)).otherwise(F.lit(app.dlq_topic))
-    failed = F.coalesce(F.to_json("row"), D.json_text(F.col("raw")))
+    failed = F.coalesce(D.serialise(F.col("row")), D.json_text(F.col("raw")))
     letter = D.error_json(D.error_record(app.name, F.col("step"), F.col("error"), failed))
     return rows.select(
         topic.alias("topic"),
