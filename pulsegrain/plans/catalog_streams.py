@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pulsegrain.operators import counters as C
 from pulsegrain.operators.arrival import last_readings
 from pulsegrain.plans import catalog_counters as K
+from pulsegrain.plans import catalog_failures as B
 from pulsegrain.plans.catalog_documents import event_messages
 from pulsegrain.plans.pipeline import flatten
 from pulsegrain.session import checkpoint_root
 from pulsegrain.sources.readers import MESSAGE_SCHEMA, stored_batch, stored_stream
 from pulsegrain.specs import App
+from pulsegrain.streaming import progress
 from pulsegrain.streaming.runner import run_stream
 from pulsegrain.streaming.state import readings
 
@@ -91,7 +93,27 @@ def stream_from_batch(spark, sf_dir):
     return _out(spark, folder)
 
 
-QUERIES = {query.__name__: query for query in (counter_stream, stream_changed_counters, stream_state, stream_from_batch)}
+def stream_progress(spark, sf_dir):
+    """Counts of all micro-batches of a stream, over restarts, from the table that a listener writes. Messages break in every step."""
+    folder = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    messages = B._some_broken(spark, sf_dir).withColumn("topic", F.lit("events")).select(*[part.split(" ")[0] for part in MESSAGE_SCHEMA.split(", ")])
+    part = _part(messages)
+    log = progress.ProgressLog(spark, f"{folder}/progress")
+    spark.streams.addListener(log)
+    try:
+        for number in range(PARTS):
+            messages.where(part == number).write.mode("append").parquet(f"{folder}/in")
+            output = run_stream(stored_stream(spark, f"{folder}/in", max_files=None), B._checked(), observed="steps")
+            query = output.select("topic", "offset", "value").writeStream.format("parquet").option("path", f"{folder}/out").option(
+                "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+            query.awaitTermination()
+            log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
+    return progress.totals(progress.read(spark, f"{folder}/progress")).where("part <> 'duration-ms'")
+
+
+QUERIES = {query.__name__: query for query in (counter_stream, stream_changed_counters, stream_state, stream_from_batch, stream_progress)}
 
 _THIRD = f"floor(event_id * {PARTS} / (SELECT max(event_id) + 1.0 FROM events))"
 
@@ -109,5 +131,22 @@ SQL = {
         FROM ({K._U32}) JOIN events USING (event_id)""",
     "stream_state": _last_sql("a", K._rising_sql(39_916, 2**32), "true") + " UNION ALL " + _last_sql(
         "b", K._rising_sql(71, 2**32), "event_type <> 'view'"),
+    "stream_progress": f"""
+        WITH good AS ({B._READY}), rows AS (
+            SELECT 'clicks' AS tag, 'emitted' AS kind FROM good WHERE kind = 'click'
+            UNION ALL SELECT 'strict', CASE WHEN id % 3 = 0 THEN 'error' ELSE 'emitted' END FROM good WHERE kind <> 'view'
+            UNION ALL SELECT NULL, 'discarded' FROM good WHERE kind = 'view'
+            UNION ALL SELECT NULL, 'error' FROM events WHERE event_id % 11 = 0 OR event_type = 'error'
+        )
+        SELECT 'source' AS part, 'rows' AS name, count(*) AS n FROM events
+        UNION ALL SELECT 'steps', 'read', count(*) FROM events
+        UNION ALL SELECT 'steps', 'parse', count(*) FROM events WHERE event_id % 11 = 0
+        UNION ALL SELECT 'steps', 'pre-transform', count(*) FROM events WHERE event_id % 11 <> 0 AND event_type = 'error'
+        UNION ALL SELECT 'steps', 'dropped', count(*) FROM events WHERE event_id % 11 <> 0 AND event_type = 'signup'
+        UNION ALL SELECT 'steps-rows', 'rows', count(*) FROM rows
+        UNION ALL SELECT 'steps-rows', o.kind, count(rows.kind) FROM (VALUES ('emitted'), ('discarded'), ('error')) o(kind)
+                  LEFT JOIN rows ON rows.kind = o.kind GROUP BY o.kind
+        UNION ALL SELECT 'steps-rows', 'tag:' || o.tag, count(rows.tag) FROM (VALUES ('clicks'), ('strict')) o(tag)
+                  LEFT JOIN rows ON rows.tag = o.tag GROUP BY o.tag""",
     "stream_from_batch": f"SELECT event_id, a, b FROM ({K._U32}) WHERE {_THIRD} = {PARTS - 1}",
 }
