@@ -5,8 +5,9 @@ ones too, are dealt by a hash into shards of some ten thousand pieces. A shard i
 is solved by several islands. An individual is an assignment of pieces to bins. Crossover injects whole well-filled bins
 of one parent into the other, the bins that hold duplicates of their pieces are dissolved, and the displaced pieces are
 put back by best fit. After every epoch an island's elite migrates to the next island, which is one shuffle of
-assignments; the best individual of a shard is its result. Shards do not exchange pieces: each keeps its partly filled
-bins, so a table of n shards may take about n sequences more than one shard would.
+assignments; the best individual of a shard is its result. Every shard then gives up its least filled bins; those of some
+dozens of shards are one problem of the next level, solved in the same way, until one problem is left. So the bins that
+shards leave partly filled do not add up.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -145,10 +147,6 @@ def best_fit(lengths: np.ndarray, order: np.ndarray, bins: np.ndarray, fill: lis
             used |= 1 << (room - size)
 
 
-def _compact(bins: np.ndarray) -> np.ndarray:
-    return np.unique(bins, return_inverse=True)[1].astype(np.int32)
-
-
 def fitness(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> tuple[int, float]:
     """Few bins first, then bins as unequal as possible: the last one as empty as can be."""
     fill = np.bincount(bins, lengths)
@@ -223,46 +221,39 @@ def _close(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "items": [items.tobytes()], "lengths": [items["length"].tobytes()]})
 
 
-def _open(items: np.ndarray, bins: np.ndarray, shard: int) -> pd.DataFrame:
-    """Pieces of a shard with their places; the pieces of a bin stand in the shard's order."""
+def _open(items: np.ndarray, bins: np.ndarray, first_id: int) -> pd.DataFrame:
+    """Pieces with their places; the pieces of a bin stand in the shard's order."""
     order = np.argsort(bins, kind="stable")
     lengths = items["length"][order].astype(np.int64)
     after = np.cumsum(lengths)
-    first = np.r_[True, bins[order][1:] != bins[order][:-1]]
+    first = np.r_[True, bins[order][1:] != bins[order][:-1]] if len(order) else np.zeros(0, bool)
     begin = np.maximum.accumulate(np.where(first, after - lengths, 0))
     items = items[order]
     return pd.DataFrame({
         "doc_id": pd.array(items["doc_id"], "Int64").copy() if items["known"].all() else pd.array(
             [d if k else None for d, k in zip(items["doc_id"].tolist(), items["known"])], "Int64"),
         "piece": items["piece"], "start": items["start"], "length": lengths, "ids_crc32": items["crc"].astype(np.int64),
-        "sequence_id": (np.int64(shard) << 32) + bins[order], "offset": after - lengths - begin,
+        "sequence_id": first_id + bins[order].astype(np.int64), "offset": after - lengths - begin,
     })
 
 
-def pack(pieces: DataFrame, capacity: int = 4096, shard_pieces: int = 16384, islands: int = 2, epochs: int = 2,
-         generations: int = 4, size: int = 3, seed: int = 7) -> DataFrame:
-    """Pieces of at most ``capacity`` with a sequence_id and an offset, gapless from 0 in each sequence.
+def loose_pieces(lengths: np.ndarray, bins: np.ndarray, loose: int) -> np.ndarray:
+    """Which pieces lie in the ``loose`` least filled bins; of bins filled alike the later ones, which hold shorter pieces."""
+    fill = np.bincount(bins, lengths)
+    given = np.zeros(len(fill), bool)
+    given[np.lexsort((-np.arange(len(fill)), fill))[:loose]] = True
+    return given[bins]
 
-    ``pieces`` has the columns of ``tokenise`` and is a stored table, as it is dealt by row. Other columns are ignored;
-    repeated rows, also in any number, are placed each for itself, as the place in the file takes part in the deal. The
-    result is the same for the same stored table; an empty table gives no rows. No task holds more than a shard, which
-    has ``shard_pieces`` pieces on the mean; each shard leaves one sequence partly filled at the least.
-    """
-    count = pieces.count()
-    shards = max(1, -(-count // shard_pieces))
-    dealt = pieces.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.col("_metadata.row_index"), F.lit(seed)), F.lit(shards)).alias("shard"))
-    # Shards are few bytes and much work: the number of tasks is stated, so that they are not merged into one.
-    closed = stored(dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(_close, _SHARDS), "pack-shards")
 
+def solve(closed: DataFrame, shards: int, level: int, capacity: int, islands: int, epochs: int, generations: int, size: int, seed: int) -> DataFrame:
+    """The best assignment (shard, bins) of every shard: epochs of evolution on islands with a migration after each."""
     def live(pdf: pd.DataFrame) -> pd.DataFrame:
         """One epoch of one island; its elite goes to the next island as well."""
         shard, island = int(pdf["shard"].iloc[0]), int(pdf["island"].iloc[0])
         raw = next(x for x in pdf["lengths"] if x is not None)
         lengths = np.frombuffer(raw, "<i4")
         own = [np.frombuffer(b, "<i4") for b in pdf.sort_values(["n_bins", "spread", "bins"])["bins"] if b is not None]
-        rng = np.random.default_rng([seed, shard, island, len(own)])
+        rng = np.random.default_rng([seed, level, shard, island, len(own)])
         while len(own) < size:
             own.append(first_individual(lengths, capacity, rng, 0.0 if not own else 0.1 * len(own)))
         best = evolve(lengths, own, capacity, generations, rng, size)
@@ -274,16 +265,49 @@ def pack(pieces: DataFrame, capacity: int = 4096, shard_pieces: int = 16384, isl
         "shard", F.explode(F.array([F.lit(i) for i in range(islands)])).alias("island"), F.lit(0).alias("n_bins"),
         F.lit(0.0).alias("spread"), "lengths", F.lit(None).cast("binary").alias("bins"))
     for _ in range(epochs):
+        # Shards are few bytes and much work: the number of tasks is stated, so that they are not merged into one.
         state = state.repartition(shards * islands, "shard", "island").groupBy("shard", "island").applyInPandas(live, _STATE)
-    best = state.where(F.col("bins").isNotNull()).groupBy("shard").agg(
+    return state.where(F.col("bins").isNotNull()).groupBy("shard").agg(
         F.min_by("bins", F.struct("n_bins", "spread", "island", F.xxhash64("bins"))).alias("bins"))
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for shard, items, bins in zip(pdf["shard"], pdf["items"], pdf["bins"]):
-                yield _open(np.frombuffer(items, _ITEM), np.frombuffer(bins, "<i4"), shard)
 
-    return closed.select("shard", "items").join(best, "shard").mapInPandas(place, PACKED)
+def pack(pieces: DataFrame, capacity: int = 4096, shard_pieces: int = 16384, islands: int = 2, epochs: int = 2,
+         generations: int = 4, size: int = 3, seed: int = 7, loose: int = 8, fan: int = 64) -> DataFrame:
+    """Pieces of at most ``capacity`` with a sequence_id and an offset, gapless from 0 in each sequence.
+
+    ``pieces`` has the columns of ``tokenise`` and is a stored table, as it is dealt by row. Other columns are ignored;
+    repeated rows, also in any number, are placed each for itself, as the place in the file takes part in the deal. The
+    result is the same for the same stored table; an empty table gives no rows. A shard has ``shard_pieces`` pieces on the
+    mean. The ``loose`` least filled bins of ``fan`` shards are the pieces of one shard of the next level, so a task holds
+    a shard or ``fan * loose`` bins; there are as many levels as the logarithm of the shards to the base ``fan``.
+    """
+    count = pieces.count()
+    shards = max(1, -(-count // shard_pieces))
+    rows = pieces.select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
+        F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.col("_metadata.row_index"), F.lit(seed)), F.lit(shards)).alias("shard"))
+
+    def placed(closed: DataFrame, best: DataFrame, level: int, given: int, wanted: bool) -> DataFrame:
+        """Pieces of the ``given`` least filled bins of each shard, or all the others."""
+        def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                for shard, items, bins in zip(pdf["shard"], pdf["items"], pdf["bins"]):
+                    items, bins = np.frombuffer(items, _ITEM), np.frombuffer(bins, "<i4")
+                    mine = loose_pieces(items["length"], bins, given) == wanted
+                    yield _open(items[mine], bins[mine], (level << 56) + (shard << 32)).assign(shard=shard)
+
+        return closed.select("shard", "items").join(best, "shard").mapInPandas(place, f"{PACKED}, shard bigint")
+
+    done, level = [], 0
+    while True:
+        closed = stored(rows.repartition(shards, "shard").groupBy("shard").applyInPandas(_close, _SHARDS), "pack-shards")
+        best = stored(solve(closed, shards, level, capacity, islands, epochs, generations, size, seed), "pack-best")
+        last = shards == 1
+        done.append(placed(closed, best, level, 0 if last else loose, False).drop("shard"))
+        if last:
+            return reduce(DataFrame.unionByName, done)
+        rows = placed(closed, best, level, loose, True).drop("sequence_id", "offset").withColumn("shard", F.floor(F.col("shard") / fan))
+        shards, level = -(-shards // fan), level + 1
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 4096, **settings: int) -> DataFrame:

@@ -247,7 +247,11 @@ def _rows(held: list[tuple]) -> pa.RecordBatch:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Write the pages to new archives in the shared folder and read them back without payloads."""
+    """Write the pages to new archives in the shared folder and read them back without payloads.
+
+    A null html is an empty payload; repeated rows are a record each; of equal payloads the smallest page_id answers for
+    the others; other columns are ignored; an empty table gives no rows.
+    """
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
     write_archives(pages, path)

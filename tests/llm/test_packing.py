@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from pulsegrain.llm import packing
+from pulsegrain.llm.common import stored
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "İSTANBUL ΣΑΣ ﬁ x\x1cy", "don't they've I'LL 'd", "a b c", "é é É", "<|endoftext|> x<|startoftext|>",
@@ -50,7 +51,33 @@ def test_odd_rows_and_shards(spark, documents, tokenizer):
     rows = [(None, "a b"), (1, None), (1, None), (2, "word " * 30_000), *[(7, "same text")] * 300, *[(100 + i, t) for i, t in enumerate(ODD)]]
     out = packing.pack_documents(documents(rows), PATH, 64, shard_pieces=100, islands=3, epochs=2).collect()
     n, total = check(rows, out, tokenizer, 64)
-    assert n <= -(-total // 64) + 2 * len({r.sequence_id >> 32 for r in out})
+    assert n <= -(-total // 64) + 2
+
+
+@pytest.mark.parametrize("fan", [64, 3])
+def test_many_shards_cost_no_sequences(spark, tokenizer, fan):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pieces = stored(packing.tokenise(docs, PATH), "test-pieces")
+    out = packing.pack(pieces, shard_pieces=-(-pieces.count() // 20), fan=fan, loose=4).collect()
+    n, total = check([(r.doc_id, r.text) for r in docs.collect()], out, tokenizer, 4096)
+    assert {r.sequence_id >> 56 for r in out} >= {0, 1} and n <= -(-total // 4096) + 2
+
+
+def test_evolution_on_islands_beats_best_fit(spark):
+    """Lengths between a quarter and a half of the capacity, where best fit leaves gaps that no piece is short enough for."""
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(1024, 2048, 600).tolist()
+    pieces = stored(spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], packing.TOKENISED), "test-pieces")
+    out = packing.pack(pieces, epochs=3, generations=150).collect()
+    assert sorted(r.length for r in out) == sorted(lengths)
+    alone = packing.first_individual(np.array(lengths, np.int32), 4096, rng, 0.0)
+    assert len({r.sequence_id for r in out}) < alone.max() + 1
+
+
+def test_loose_bins_are_the_least_filled():
+    lengths, bins = np.array([9, 1, 5, 5, 3], np.int32), np.array([0, 0, 1, 2, 3])
+    assert packing.loose_pieces(lengths, bins, 2).tolist() == [False, False, False, True, True]
+    assert packing.loose_pieces(lengths, bins, 0).sum() == 0 and packing.loose_pieces(lengths, bins, 9).all()
 
 
 def test_no_documents(spark, documents):
