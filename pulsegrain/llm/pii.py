@@ -3,10 +3,11 @@
 Patterns propose spans. Four of them are exact rules (e-mail, IP address, card, phone) whose valid matches always count;
 the others (credentials, bank accounts, names) are proposals. Labelers vote on every span: the shape, a validity rule, a
 gazetteer of key words, prefixes and first names, the words before it, and what it is embedded in. A span is then known by
-its signature: kind, votes and length class. Counting signatures is one aggregation over all documents; there are only so
-many (kinds x 3^labelers x length classes), so their counts may go to the driver. Expectation-maximisation estimates from
-them how often each labeler is right, and a logistic classifier, trained on the posteriors, decides which signatures of
-proposals are personal data.
+its signature: kind, votes, length class and, for proposals, what the span is made of: its share of digits, whether it has
+capitals, small letters or other signs, and whether a label stands right before it. Counting signatures is one aggregation
+over all documents; there are only so many (kinds x 3^labelers x length classes x 64), so their counts may go to the driver.
+Expectation-maximisation estimates from the votes how often each labeler is right; a logistic classifier, trained on the
+posteriors, weighs votes and make-up and decides which signatures of proposals are personal data.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ _CUES = (
     r"(?i)(?:card|visa|karte|carte|tarjeta|credit)", r"(?i)(?:tel|phone|call|mobile|fax|ruf)",
     r"(?i)(?:password|passwd|pwd|secret|token|key)", r"(?i)(?:iban|account|konto|compte|cuenta)", r"(?i)(?:name|dear|liebe|cher|estimad)")
 _AGAINST = r"(?i)(?:version|isbn|issn|page|seite|chapter|section|figure|doi)\W*$"
+_LABEL = r"[\p{L}_][=:]\x20{0,2}[\"']?$"
 _CONTEXT = 40
 LABELERS = ("shape", "validity", "gazetteer", "context", "edges")
 VALIDITY = 1
@@ -109,8 +111,17 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, "1").when(no, "0").otherwise("2")
 
 
+def _make_up(span: Column) -> Column:
+    """What a proposal is made of: digits in quarters of its length, then 0 or 1 for capitals, small letters, other signs, a label before it."""
+    hit = span["hit"]
+    digits = F.length(F.regexp_replace(hit, "[^0-9]", ""))
+    quarters = F.least(F.lit(3), F.floor(4 * digits / F.length(hit)).cast("int")).cast("string")
+    flags = [hit.rlike(r"\p{Lu}"), hit.rlike(r"\p{Ll}"), hit.rlike(r"[^\p{L}0-9]"), span["before"].rlike(_LABEL)]
+    return F.when(span["kind"] >= len(BASE), F.concat(quarters, *[F.when(f, "1").otherwise("0") for f in flags])).otherwise("")
+
+
 def _signature(span: Column, valid: Column) -> Column:
-    """Kind, votes in the order of LABELERS and length class as one short text."""
+    """Kind, votes in the order of LABELERS, length class and make-up as one short text."""
     kind, hit, before, after = span["kind"], span["hit"], span["before"], span["after"]
     shape = _pick(kind, [hit.rlike(rf"^(?:{p})$") for p in _SHAPES])
     known = _pick(kind, [hit.rlike(rf"^(?:{p})$") for p in _GAZETTEERS])
@@ -119,7 +130,7 @@ def _signature(span: Column, valid: Column) -> Column:
     length = F.when(F.length(hit) < 12, "s").when(F.length(hit) < 24, "m").otherwise("l")
     return F.concat(
         kind.cast("string"), F.lit(":"), _vote(shape, ~shape), _vote(valid, ~valid), _vote(known, F.lit(False)),
-        _vote(cue, before.rlike(_AGAINST)), _vote(~embedded, embedded), F.lit(":"), length)
+        _vote(cue, before.rlike(_AGAINST)), _vote(~embedded, embedded), F.lit(":"), length, F.lit(":"), _make_up(span))
 
 
 def spans(text: Column) -> Column:
@@ -163,8 +174,12 @@ def estimate(counts: dict[str, int], rounds: int = 30) -> dict[str, float]:
 
 
 def classify(counts: dict[str, int], post: dict[str, float], steps: int = 300, rate: float = 0.5, ridge: float = 1e-3) -> dict[str, float]:
-    """Score of each signature by a logistic classifier on kind, votes and length, trained on the posteriors."""
-    names = {s: [f"k{s.split(':')[0]}", f"l{s[-1]}", *(f"{j}{v}" for j, v in enumerate(s.split(":")[1]) if v != "2")] for s in counts}
+    """Score of each signature by a logistic classifier on kind, votes, length and make-up, trained on the posteriors."""
+    def features(signature: str) -> list[str]:
+        kind, votes, length, made = signature.split(":")
+        return [f"k{kind}", f"l{length}", *(f"{j}{v}" for j, v in enumerate(votes) if v != "2"), *(f"m{kind}{j}{v}" for j, v in enumerate(made) if j == 0 or v == "1")]
+
+    names = {s: features(s) for s in counts}
     weights = dict.fromkeys((f for own in names.values() for f in own), 0.0)
     bias, total = 0.0, float(sum(counts.values())) or 1.0
     importance = {s: math.sqrt(n / total) for s, n in counts.items()}

@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from oracle import compare, connect
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pulsegrain.llm import catalog, mixing, pii, quality, simhash, toxicity
@@ -188,6 +189,19 @@ def test_proposals_need_their_votes(spark, documents):
     assert all("secret" in r.spans for r in got if r.doc_id < 10) and all("secret" not in r.spans for r in got if r.doc_id >= 10)
 
 
+def test_make_up_decides_where_votes_do_not():
+    counts = {"4:12211:l:20100": 100, "4:02200:s:00010": 100, "4:02221:m:20100": 5, "4:02221:m:00010": 5}
+    score = pii.classify(counts, dict(zip(counts, (1.0, 0.0, 0.5, 0.5))))
+    assert score["4:02221:m:20100"] > 0.5 > score["4:02221:m:00010"]
+
+
+def test_make_up_of_spans(spark, documents):
+    texts = ["password=abcDEF-123", "password = 12345678", "mail a@b.c"]
+    found = documents(texts).select("doc_id", pii.spans(F.col("text")).alias("found")).collect()
+    made = {r.doc_id: [s.signature.split(":")[3] for s in r.found if s.kind >= len(pii.BASE)] for r in found}
+    assert made == {0: ["11111"], 1: ["30000"], 2: []}
+
+
 def test_redaction(spark, documents):
     df = documents(["é a@b.c, 1.2.3.4!", None, "", "nothing", "4111 1111 1111 1111a@b.c", "up 10.0.0.1 and 127.0.0.1, 0.0.0.256"])
     got = pii.redact(df)
