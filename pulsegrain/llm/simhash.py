@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pulsegrain.llm.common import components, stored
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
+#: Fingerprints that have more than one in so many rows get their component by a broadcast; there are fewer of them than this.
+HOT = 4096
 _AT_ONCE = 2**15
 
 
@@ -183,16 +185,18 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     ``docs`` has doc_id and text; other columns are ignored. Texts without words have fingerprint zero and are linked
     like any other. Equal fingerprints are one vertex, so copies in any number make no pairs. A null doc_id is kept; it is
-    a component's id only if nothing else is in it. An empty table gives no rows.
+    a component's id only if nothing else is in it. An empty table gives no rows. Fingerprints of more than one row in
+    ``HOT`` of the table are fewer than that and are broadcast, so their rows are not brought together.
     """
     prints = stored(fingerprints(docs), "simhash-prints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "simhash-classes")
     found = stored(components(links(classes, distance), "simhash-links"), "simhash-components")
     least = found.join(classes, found["v"] == classes["fp"]).groupBy("component").agg(F.min("first").alias("component_id"))
     of_print = found.join(least, "component").select(F.col("v").alias("fp"), "component_id")
-    named = classes.join(of_print, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return prints.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = stored(classes.join(of_print, "fp", "left").select("fp", "copies", F.coalesce("component_id", "first").alias("component_id")), "simhash-named")
+    hot = F.broadcast(named.where(F.col("copies") > prints.count() / HOT))
+    rows = prints.join(hot, "fp").unionByName(prints.join(hot, "fp", "left_anti").join(named, "fp"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
