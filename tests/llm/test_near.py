@@ -63,6 +63,16 @@ def test_documents_by_brute_force(spark, documents):
         (a, b) for a, b in zip(sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got), want) if a[:2] != b[:2]] == []
 
 
+def test_hot_fingerprints_change_nothing(spark, documents, monkeypatch):
+    docs = documents([*["the same five words here"] * 40, *["other words of one text"] * 3, *[f"text number {i} alone" for i in range(20)], None, ""])
+    want = None
+    for hot in (1, 10, 4096):  # all through the shuffle, some by the broadcast, all by the broadcast
+        monkeypatch.setattr(simhash, "HOT", hot)
+        got = sorted(map(tuple, simhash.near_duplicates(docs).collect()))
+        want = want or got
+        assert got == want and len(got) == 65
+
+
 def test_one_of_each_group_stays(spark, documents):
     rows = [(5, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (8, "quite another text here"), (9, None), (7, ""), (None, "a b c d e")]
     df = documents(rows)
