@@ -29,12 +29,22 @@ def opens_object(value: Column, doc: Column) -> Column:
     return doc.isNotNull() & (lead.startswith("{") | (lead.startswith("/") & V.is_object(doc)))
 
 
+def is_whole(value: Column) -> Column:
+    """Whether nothing but white space and comments follows the JSON value that a text begins with. Spark's parser stops behind it. A text
+    that closes one kind of bracket too many, or holds another value, does not fit between the other kind, or is one of several."""
+    options = {"allowComments": "true", "allowSingleQuotes": "false"}
+    listed = F.from_json(F.concat(F.lit("["), value, F.lit("\n]")), "array<string>", options)
+    held = F.from_json(F.concat(F.lit('{"":'), value, F.lit("\n}")), "map<string,string>", options)
+    return F.coalesce((F.size(listed) == 1) & held.isNotNull(), F.lit(False))
+
+
 def parse_documents(messages: DataFrame) -> DataFrame:
     """Add ``doc`` (VARIANT, NULL if bad) and ``error`` (text, NULL if good)."""
     origin = F.coalesce(F.col("topic"), F.lit("")) if "topic" in messages.columns else F.lit("")
     parsed = messages.withColumn("origin", origin).withColumn("doc", parse_text(F.col("value")))
     good = F.coalesce(opens_object(F.col("value"), F.col("doc")), F.lit(False))
-    reason = F.when(F.col("value").isNull(), "no value").when(F.col("doc").isNull(), "not valid JSON")
+    bad = F.col("doc").isNull() | ~is_whole(F.col("value"))
+    reason = F.when(F.col("value").isNull(), "no value").when(bad, "not valid JSON")
     return parsed.withColumn("error", F.when(~good, F.coalesce(reason, F.lit("not a JSON object")))).withColumn(
         "doc", F.when(good, F.col("doc"))
     )

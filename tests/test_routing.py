@@ -29,6 +29,13 @@ def test_texts_that_are_documents(messages, emitted):
     assert out == [("discard", None, {"a": 1})] * len(texts)
 
 
+def test_a_value_before_other_text_is_no_json(messages, emitted):
+    texts = ["45 Anth", "45", '"x" y', '"x"', "[1] x", "[1] // x", "[1]] x", "true, false", "'x'"]
+    letters = [letter["errorMessage"] for _, _, letter in emitted(run(messages(texts), App([])))]
+    json_, other = "not a JSON object", "not valid JSON"
+    assert letters == [other, json_, other, json_, other, json_, other, other, other]
+
+
 def test_numbers_and_nulls_survive(messages):
     text = '{"big":18446744073709551615,"none":null,"x":{"y":null},"z":-9223372036854775809}'
     assert run(messages([text]), App([])).first().value == text
