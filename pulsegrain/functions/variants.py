@@ -4,6 +4,8 @@ Only definite paths and ``[*]`` are accepted: ``$.a.b``, ``$['a:b'].c``, ``$.lis
 
 VARIANT holds integers of up to 38 digits. Longer ones are held as texts of their digits behind ``MARK``, wherever they stand in a
 document, so they go through every transform like any other value. ``text`` reads the digits, ``plain_json`` writes the number.
+
+VARIANT shows decimals without zeros at their end. Numbers such as ``1234.0`` are therefore read as doubles, which keep theirs.
 """
 
 from __future__ import annotations
@@ -21,17 +23,26 @@ ANY = "[*]"
 MARK = "\ufdd0"
 
 _LONG = r"-?+[1-9][0-9]{38,}+"
-# One token after another up to the next long integer that is a value: words and signs, texts, comments, other numbers.
-_BEFORE = (
-    r"""[^"0-9/-]++|"(?:[^"\\]++|\\.)*+"|//[^\n]*+|/\*(?:[^*]++|\*(?!/))*+\*/"""
-    rf"""|(?!{_LONG}(?![.eE]))-?+[0-9]++(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"""
-)
-_NEXT_LONG = rf"""(?s)\G((?:{_BEFORE})*+)({_LONG})(?=\s*+(?:[,\]}}/]|$))"""
+# Doubles are shown with all their digits, without an exponent, below ten million.
+_ROUND = r"-?+[0-9]{1,7}+\.0++"
+
+
+def _next(number: str) -> str:
+    """The next value that is such a number, behind other tokens: words and signs, texts, comments, other numbers."""
+    before = (
+        r"""[^"0-9/-]++|"(?:[^"\\]++|\\.)*+"|//[^\n]*+|/\*(?:[^*]++|\*(?!/))*+\*/"""
+        rf"""|(?!{number}(?![.0-9eE]))-?+[0-9]++(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"""
+    )
+    return rf"""(?s)\G((?:{before})*+)({number})(?=\s*+(?:[,\]}}/]|$))"""
+
+
+_SPECIAL = r"[1-9][0-9]{38}|(?:^|[:\[,/\s])-?[0-9]{1,7}\.0+(?:[\s,\]}/]|$)"
 
 
 def marked_json(value: Column) -> Column:
-    """JSON text whose integers of more than 38 digits are marked texts; any other text as it is."""
-    return F.when(value.rlike("[1-9][0-9]{38}"), F.regexp_replace(value, _NEXT_LONG, f'$1"{MARK}$2"')).otherwise(value)
+    """JSON text whose integers of more than 38 digits are marked texts and whose round decimals are doubles; any other text as it is."""
+    longs = F.regexp_replace(value, _next(_LONG), f'$1"{MARK}$2"')
+    return F.when(value.rlike(_SPECIAL), F.regexp_replace(longs, _next(_ROUND), "$1$2e0")).otherwise(value)
 
 
 def plain_json(value: Column) -> Column:
