@@ -56,6 +56,14 @@ def low64(digits: Column) -> Column:
     return F.pmod(F.when(F.length(digits) <= 37, digits.try_cast("decimal(38,0)")).otherwise(signed.cast("decimal(38,0)")), _big(2**64))
 
 
+def low_difference(value: Column, old: Column) -> Column:
+    """DECIMAL(38,0) that equals ``value - old`` modulo 2^64. Long texts mostly differ in their last 18 digits alone, which BIGINT subtracts."""
+    size = F.length(value)
+    alike = ~value.startswith("-") & (size > 18) & (size == F.length(old)) & (value.substr(F.lit(1), size - 18) == old.substr(F.lit(1), size - 18))
+    last = value.substr(size - 17, F.lit(18)).try_cast("bigint") - old.substr(size - 17, F.lit(18)).try_cast("bigint")
+    return F.when(alike, last.cast("decimal(38,0)")).otherwise((low64(value) - low64(old)).cast("decimal(38,0)"))
+
+
 def at_least(a: Column, b: Column) -> Column:
     """Whether integer text ``a`` is no smaller than ``b``, by sign, length and digits."""
     below, under = a.startswith("-"), b.startswith("-")
@@ -98,7 +106,7 @@ def delta(kind: str | Column, value: Column, ts: Column, before: Column, config:
         )
         return F.when(
             (now >= 0) & (then >= 0), F.when(now >= then, now - then).when(age <= config.wrap_time_ms, wrapped)
-        ).otherwise(V.let(F.struct((low64(value) - low64(old)).cast("decimal(38,0)").alias("diff")), rest))
+        ).otherwise(V.let(F.struct(low_difference(value, old).alias("diff")), rest))
 
     shorts = F.struct(value.try_cast("bigint").alias("now"), old.try_cast("bigint").alias("then"))
     return F.when(fresh & value.isNotNull(), V.let(shorts, within))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsegrain import App, CounterSet, Pipeline, run
 from pulsegrain.functions import scalars as S
 from pulsegrain.functions import variants as V
+from pulsegrain.operators import counters as C
 
 L = "9" * 38 + "7"          # 39 digits
 H = "1" + "0" * 400 + "3"   # beyond a double
@@ -76,3 +77,16 @@ def test_counting(messages, order):
         (row.topic, row.value) for row in run(messages(texts), App([Pipeline("p", "t", {}, counters=counters)]), order="time").orderBy("offset").collect()]
     assert [json.loads(value) for _, value in out] == [
         {"t": 1000, "k": int(L), "c": None}, {"t": 1001, "k": int(L), "c": 5}, {"t": 1002, "k": int(L), "c": 5}]
+
+
+def test_long_texts_are_subtracted_by_their_last_digits(spark):
+    """Neither text is folded where only the last digits differ; all other pairs give the same as the fold."""
+    pairs = [
+        (int("1" + "0" * 41 + "7"), int("1" + "0" * 41 + "3")), (int("1" + "0" * 41 + "3"), int("1" + "0" * 41 + "7")), (10**60, 10**60 - 1),
+        (10**60, 7), (-(10**60) + 5, -(10**60)), (int("12" + "9" * 18), int("12" + "0" * 18)), (int("9" * 19), int("8" * 19)), (10**18, 10**18 - 1)]
+    frame = spark.createDataFrame([(n, str(a), str(b)) for n, (a, b) in enumerate(pairs)], "n int, a string, b string")
+    found = C.low_difference(F.col("a"), F.col("b"))
+    rows = frame.orderBy("n").select(F.pmod(found, C._big(2**64)).cast("string")).collect()
+    assert [int(row[0]) for row in rows] == [(a - b) % 2**64 for a, b in pairs]
+    text = found._jc.toString()
+    assert text.index("substr") < text.index("regexp_extract_all")
