@@ -5,7 +5,7 @@ Only definite paths and ``[*]`` are accepted: ``$.a.b``, ``$['a:b'].c``, ``$.lis
 VARIANT holds integers of up to 38 digits. Longer ones are held as texts of their digits behind ``MARK``, wherever they stand in a
 document, so they go through every transform like any other value. ``text`` reads the digits, ``plain_json`` writes the number.
 
-VARIANT shows decimals without zeros at their end. Numbers such as ``1234.0`` are therefore read as doubles, which keep theirs.
+VARIANT shows decimals without zeros at their end. Typed sources write doubles such as ``1234.0`` so that they are read as doubles.
 """
 
 from __future__ import annotations
@@ -36,13 +36,15 @@ def _next(number: str) -> str:
     return rf"""(?s)\G((?:{before})*+)({number})(?=\s*+(?:[,\]}}/]|$))"""
 
 
-_SPECIAL = r"[1-9][0-9]{38}|(?:^|[:\[,/\s])-?[0-9]{1,7}\.0+(?:[\s,\]}/]|$)"
+def marked_json(value: Column) -> Column:
+    """JSON text whose integers of more than 38 digits are marked texts; any other text as it is."""
+    return F.when(value.rlike("[1-9][0-9]{38}"), F.regexp_replace(value, _next(_LONG), f'$1"{MARK}$2"')).otherwise(value)
 
 
-def marked_json(value: Column) -> Column:
-    """JSON text whose integers of more than 38 digits are marked texts and whose round decimals are doubles; any other text as it is."""
-    longs = F.regexp_replace(value, _next(_LONG), f'$1"{MARK}$2"')
-    return F.when(value.rlike(_SPECIAL), F.regexp_replace(longs, _next(_ROUND), "$1$2e0")).otherwise(value)
+def round_doubles(value: Column) -> Column:
+    """JSON text whose numbers such as ``1234.0`` have an exponent, so that they are parsed as doubles and leave with their point."""
+    held = value.rlike(r"[:\[,]-?[0-9]{1,7}\.0+[,\]}]")
+    return F.when(held, F.regexp_replace(value, _next(_ROUND), "$1$2e0")).otherwise(value)
 
 
 def plain_json(value: Column) -> Column:

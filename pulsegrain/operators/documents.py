@@ -96,7 +96,8 @@ def typed_document(rows: DataFrame, names: Sequence[str], unions: Sequence[str]
             return F.when(column.isNotNull(), F.struct(column.alias(_BRANCHES[types[name]]))).alias(name)
         return column.alias(name)
 
-    return F.to_json(F.struct(*[shown(name) for name in names]), {"ignoreNullFields": "false"})
+    document = F.to_json(F.struct(*[shown(name) for name in names]), {"ignoreNullFields": "false"})
+    return V.round_doubles(document) if any("double" in types[name] or "float" in types[name] for name in names) else document
 
 
 def typed_to_messages(
