@@ -3,7 +3,8 @@
 State is keyed by (tag, entity) and holds one reading per counter beside the counter's own name, so a row is handled as a
 whole and a declaration may change over a restart: readings are found by name, whatever the order and number of counters.
 All rows go through one stateful step per layer, so the source is read once: rows without counters share a few keys, spread
-by position, and touch no state. Documents go through Python as opaque texts.
+by position, and touch no state. Python takes a row in few columns, as each costs time: what it reads is one text, what it
+hands on is one value per row beside the document, as they are.
 
 Clean-up follows the stream's own time. A task knows the greatest record time of its rows; an entity's timer goes off now and
 then and forgets the readings that this time has left behind by more than the cache age. No watermark is set, so no row is
@@ -14,12 +15,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from operator import attrgetter
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from pulsegrain.functions import variants as V
 from pulsegrain.operators import counters as C
 from pulsegrain.operators.documents import POSITION
 from pulsegrain.operators.fold import step
@@ -31,9 +32,25 @@ STATE = "names array<string>, held array<string>, times array<bigint>, seen bigi
 #: Keys that rows without counters share.
 SPREAD = 256
 
+#: Types that go through Python packed into one value, and what they are there. Documents and raw texts, which have no bound, do not.
+_PACKED = {kind: kind for kind in ("string", "int", "bigint", "boolean", "array<string>", "array<bigint>")} | {"timestamp": "bigint"}
+
 Reading = tuple[int, int]
 
 
+def _brief(text: str) -> tuple[tuple, int | None, int | None, list[str]]:
+    """Position, own time, record time and integer texts (empty: none) of a row; the twin of ``_brief_column``."""
+    ts, seen, partition, offset, pos, texts, origin = text.split("|", 6)
+    return (origin, int(partition), int(offset), int(pos)), int(ts) if ts else None, int(seen) if seen else None, texts.split(",")
+
+
+def _brief_column(ts: Column, seen: Column, texts: Column) -> Column:
+    """What Python reads of a row, as one text. Numbers hold no bar; the origin, which may, comes last."""
+    none = F.lit("")
+    parts = [ts, seen, F.col("partition"), F.col("offset"), F.col("pos"), F.array_join(texts, ",", ""), F.col("origin")]
+    return F.concat_ws("|", *[F.coalesce(part.cast("string"), none) for part in parts])
+
+
 class CounterProcessor(StatefulProcessor):
     """Differences for all rows of one entity, oldest arrival first.
 
@@ -76,25 +93,26 @@ class CounterProcessor(StatefulProcessor):
         if tag is None:
             # No counters: nothing to order and nothing to keep.
             for row in rows:
-                self._see(row["_seen"])
+                self._see(_brief(row["_brief"])[1])
                 yield shape(*[row[name] for name in self.columns], None)
             return
         kinds, names = self.kinds[tag], self.names[tag]
         states, seen, due = self._load()
         self._see(seen)
         # A micro-batch is bounded by the source's rate limit, and so is one entity's part of it.
-        for row in sorted(rows, key=attrgetter(*POSITION)):
-            self._see(row["_seen"])
-            deltas: list[int | None] = [None] * len(names)
-            for place, name in enumerate(names):
-                text = row["_texts"][place]
-                if text is not None:
-                    state, deltas[place] = step(states.get(name), int(text), row["_ts"], kinds[place], self.config)
+        for (_, ts, time, texts), row in sorted(((_brief(row["_brief"]), row) for row in rows), key=lambda one: one[0][0]):
+            self._see(time)
+            deltas = [""] * len(names)
+            for place, (name, text) in enumerate(zip(names, texts)):
+                if text:
+                    state, delta = step(states.get(name), int(text), ts, kinds[place], self.config)
+                    if delta is not None:
+                        deltas[place] = str(delta)
                     if state is None:
                         states.pop(name, None)
                     else:
                         states[name] = state
-            yield shape(*[row[name] for name in self.columns], deltas)
+            yield shape(*[row[name] for name in self.columns], ",".join(deltas))
         self._save(states, self._due(timerValues.getCurrentProcessingTimeInMs()) if due is None else due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -138,32 +156,35 @@ def _one_layer(rows: DataFrame, number: int, layer, config: NormalizeConfig, ini
     kinds = {p.tag: [c.kind for c in counters] for p, counters in layer.members}
     names = {p.tag: [c.slot_name for c in counters] for p, counters in layer.members}
     types = dict(rows.dtypes)
-
-    def outward(name: str) -> Column:
-        if types[name] == "variant":
-            return F.to_json(name).alias(name)
-        return F.col(name)
-
-    def homeward(name: str) -> Column:
-        if types[name] == "variant":
-            return F.parse_json(name).alias(name)
-        return F.col(name).cast(types[name]).alias(name)
-
+    packed = [name for name in rows.columns if types[name] in _PACKED and name != "raw"]
+    apart = [name for name in rows.columns if name not in packed]
+    seen = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    envelope = F.to_variant_object(F.struct(*[
+        (F.unix_micros(name) if types[name] == "timestamp" else F.col(name)).alias(name) for name in packed]))
     stateful = rows.select(
-        *[outward(name) for name in rows.columns],
-        F.when(counted, F.col(values)).alias("_texts"), F.col("ts_ms").alias("_ts"),
-        F.unix_millis(F.col("timestamp").cast("timestamp")).alias("_seen"),
+        envelope.alias("_packed"), *apart,
+        _brief_column(F.col("ts_ms"), seen, F.when(counted, F.col(values))).alias("_brief"),
         F.when(counted, F.col("tag")).alias("_tag"),
         F.when(counted, F.col(entity)).otherwise(F.pmod(F.xxhash64(*POSITION), F.lit(SPREAD)).cast("string")).alias("_entity"),
     )
-    passed = [field for field in stateful.schema if field.name in rows.columns]
-    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in passed) + ", deltas array<bigint>"
+    columns = ["_packed", *apart]
+    schema = ", ".join(f"`{name}` {stateful.schema[name].dataType.simpleString()}" for name in columns) + ", deltas string"
     start = None if initial is None else _grouped(initial.where(F.col("layer") == number)).groupBy("_tag", "_entity")
     done = stateful.groupBy("_tag", "_entity").transformWithState(
-        statefulProcessor=CounterProcessor(kinds, names, [field.name for field in passed], config),
+        statefulProcessor=CounterProcessor(kinds, names, columns, config),
         outputStructType=schema, outputMode="Append", timeMode="ProcessingTime", initialState=start,
     )
-    return done.select(*[homeward(name) for name in rows.columns], F.col("deltas").alias(deltas))
+    fields = ",".join(f"`{name}`:{_PACKED[types[name]]}" for name in packed)
+    opened = done.withColumn("_packed", V.read(F.col("_packed"), "$", f"struct<{fields}>"))
+
+    def homeward(name: str) -> Column:
+        if name in apart:
+            return F.col(name)
+        held = F.col("_packed").getField(name)
+        return (F.timestamp_micros(held) if types[name] == "timestamp" else held).alias(name)
+
+    differences = F.transform(F.split("deltas", ","), lambda text: F.nullif(text, F.lit("")).cast("bigint"))
+    return opened.select(*[homeward(name) for name in rows.columns], differences.alias(deltas))
 
 
 def _grouped(readings: DataFrame) -> DataFrame:

@@ -220,3 +220,22 @@ def test_a_stream_may_start_from_a_batch(spark, tmp_path):
     old = held_by(spark, tmp_path / "cp2")
     want = {name: step(old.get(key), 10_000, 950, "u64", spec.normalize)[1] for name, key in (("a", (0, ",x,", "a")), ("b", (1, ",x,0,", "b")))}
     assert {name: doc[name] for doc in docs_of(spark, tmp_path / "three") for name in "ab"} == want == {"a": 5_999, "b": 9_500}
+
+
+def test_python_gets_few_columns_and_gives_them_back(spark, tmp_path):
+    from pulsegrain.streaming.counters import normalize_stream
+    rows = C.read_counters(flatten(stored_stream(spark, str(tmp_path)), app()), app())
+    done = normalize_stream(rows, app())
+    assert done.dtypes == [*rows.dtypes, ("d0", "array<bigint>")]
+    analyzed = done._jdf.queryExecution().analyzed().toString()
+    step_line = next(line for line in analyzed.splitlines() if "TransformWithStateInPySpark " in line)
+    assert "timestamp" not in step_line and "origin" not in step_line and "_packed" in step_line
+
+
+def test_brief_keeps_what_python_reads(spark):
+    from pulsegrain.streaming.counters import _brief, _brief_column
+    rows = spark.sql(f"""
+        SELECT * FROM VALUES ('a|b', 1, 7L, 2, CAST(NULL AS BIGINT), 5L, array('{'9' * 60}', NULL, '-3')), ('', 0, 0L, 0, -4L, NULL, NULL)
+        AS t(origin, partition, offset, pos, ts, seen, texts)""")
+    found = [_brief(row[0]) for row in rows.select(_brief_column(V.F.col("ts"), V.F.col("seen"), V.F.col("texts"))).collect()]
+    assert found == [(("a|b", 1, 7, 2), None, 5, ["9" * 60, "", "-3"]), (("", 0, 0, 0), -4, None, [""])]
