@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -213,9 +214,56 @@ def named(values: Mapping[str, Column]) -> Column:
     return F.map_from_arrays(names, F.array(*[variant(value) for value in values.values()]).cast("array<variant>"))
 
 
+def _apart(names: Sequence[str]) -> bool:
+    """Whether names differ by more than case, so that they may be fields of one struct."""
+    return len({name.lower() for name in names}) == len(names)
+
+
+#: Rows of up to so many fields mostly have them all; wider ones have holes.
+FEW = 8
+
+
 def row_of(targets: Mapping[str, Column]) -> Column:
-    """One object with the given fields; a field whose column is NULL is left out."""
-    return F.to_variant_object(F.map_filter(named(targets), lambda _, value: value.isNotNull()))
+    """One object with the given fields; a field whose column is NULL is left out. A row of few fields needs no map if it has them all."""
+    def present(fields: Mapping[str, Column]) -> Column:
+        return F.to_variant_object(F.map_filter(named(fields), lambda _, value: value.isNotNull()))
+
+    if not 0 < len(targets) <= FEW or not _apart(list(targets)):
+        return present(targets)
+
+    def built(held: Column) -> Column:
+        full = reduce(lambda a, b: a & b, [held[name].isNotNull() for name in targets])
+        return F.when(full, F.to_variant_object(held)).otherwise(present({name: held[name] for name in targets}))
+
+    return let(F.struct(*[variant(value).alias(name) for name, value in targets.items()]), built)
+
+
+def _struct(paths: Mapping[tuple[str, ...], str]) -> str | None:
+    """Type of a struct with all paths of names; None where one ends inside another or names differ by case alone."""
+    below: dict[str, dict[tuple[str, ...], str]] = {}
+    for parts, kind in paths.items():
+        below.setdefault(parts[0], {})[parts[1:]] = kind
+    if not _apart(list(below)):
+        return None
+    fields = []
+    for name, inner in below.items():
+        if () in inner and len(inner) > 1:
+            return None
+        kind = inner[()] if () in inner else _struct(inner)
+        if kind is None:
+            return None
+        fields.append("`" + name.replace("`", "``") + "`:" + kind)
+    return f"struct<{','.join(fields)}>"
+
+
+def together(doc: Column, paths: Mapping[tuple[str | int, ...], str], build: Callable[[Callable[..., Column]], Column]) -> Column:
+    """``build`` over the values at ``paths`` (parts → type), read in one pass over the document instead of one per path.
+
+    ``build`` gets a function from parts to the value there; the parts of an object on the way give NULL where there is none."""
+    kind = _struct(paths) if paths and all(parts and all(isinstance(part, str) for part in parts) for parts in paths) else None
+    if kind is None:
+        return build(lambda *parts: F.try_variant_get(doc, render(parts), paths.get(parts, "struct<>")))
+    return let(F.try_variant_get(doc, "$", kind), lambda held: build(lambda *parts: reduce(lambda part, name: part[name], parts, held)))
 
 
 def pick(doc: Column, names: Sequence[str]) -> Column:

@@ -44,12 +44,14 @@ def order_fanout(spark, sf_dir):
     messages = as_messages(lines, F.col("l_orderkey"), document, F.col("l_shipdate"), F.col("l_orderkey"))
 
     def transform(doc: Column) -> Column:
-        return R.fan_out(doc, "$.amounts", lambda item: V.row_of({
-            "order": V.get(doc, "$.header.order"), "line": V.get(doc, "$.header.line"), "flag": V.get(doc, "$.flag"),
+        header = {("header", "order"): "variant", ("header", "line"): "variant", ("flag",): "variant"}
+        return V.together(doc, header, lambda at: R.fan_out(doc, "$.amounts", lambda item: V.row_of({
+            "order": at("header", "order"), "line": at("header", "line"), "flag": at("flag"),
             "name": V.get(item, "$.name"), "value": V.get(item, "$.value"),
-        }))
+        })))
 
-    return _read(_rows(messages, transform), order="bigint", line="int", flag="string", name="string", value="double")
+    found = _read(_rows(messages, transform), order="bigint", line="bigint", flag="string", name="string", value="double")
+    return found.withColumn("line", F.col("line").try_cast("int"))
 
 
 def nested_grid(spark, sf_dir):

@@ -130,3 +130,29 @@ def test_lists(value_of):
     assert value_of(doc, lambda d: S.one(V.get(d, "$.l"))) == 3
     assert value_of(doc, lambda d: S.one(V.get(d, "$.s"))) == "x"
     assert value_of(doc, lambda d: S.to_list(V.get(d, "$.s"))) == ["x"]
+
+
+@pytest.mark.parametrize("paths", [
+    {("a", "b"): "variant", ("a", "c"): "string", ("d",): "variant"},
+    {("a",): "variant", ("a", "b"): "bigint"}, {("A",): "variant", ("a",): "variant"}, {("l", 1): "bigint", ("d",): "variant"},
+    {("tick`s",): "string", ("/x y/", "z-é"): "string", ("a", "c"): "string"},
+])
+def test_values_read_together_are_those_read_alone(spark, paths):
+    docs = spark.createDataFrame([(text,) for text in (
+        '{"a": {"b": 1, "c": "x"}, "d": null, "l": [1, 2], "tick`s": "t", "/x y/": {"z-é": 7}}', '{"a": 3, "A": {"k": [1.50]}, "d": [true]}',
+        '{}', '{"a": {"b": null, "c": {"q": 1}}, "l": {"k": 1}, "tick`s": {}, "/x y/": []}', '[1]', "null")], "value string").select(F.parse_json("value").alias("doc"))
+    doc = F.col("doc")
+
+    def shown(columns):
+        return [F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})) for c in columns]
+
+    alone = docs.select(F.array(*shown([F.try_variant_get(doc, V.render(parts), kind) for parts, kind in paths.items()]))).collect()
+    both = docs.select(V.together(doc, paths, lambda at: F.array(*shown([at(*parts) for parts in paths])))).collect()
+    assert alone == both
+
+
+def test_rows_with_and_without_holes(spark):
+    found = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b UNION ALL SELECT 2, 'x' UNION ALL SELECT NULL, NULL").select(
+        F.to_json(V.row_of({"a": F.col("a"), "b": F.col("b"), "n": F.when(F.col("a") == 2, V.json_null())})).alias("one"),
+        F.to_json(V.row_of({"k": F.col("a"), "K": F.col("b")})).alias("alike")).collect()
+    assert sorted(map(tuple, found)) == [('{"a":1}', '{"k":1}'), ('{"a":2,"b":"x","n":null}', '{"K":"x","k":2}'), ("{}", "{}")]
