@@ -183,7 +183,9 @@ def read_counters(rows: DataFrame, app: App) -> DataFrame:
         return F.array(*[predicate(counter.match, row) for counter in counters])
 
     def raw(counters: Sequence[CounterSpec]) -> Column:
-        return F.array(*[F.when(predicate(c.match, row), V.text(row, c.value)) for c in counters])
+        paths = {tuple(V.steps(c.value)): "string" for c in counters}
+        return V.together(row, paths, lambda at: F.array(*[
+            F.when(predicate(c.match, row), F.ltrim(at(*V.steps(c.value)), F.lit(V.MARK))) for c in counters]))
 
     none = F.lit(None)
     staged = rows.select(
