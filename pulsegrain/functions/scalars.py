@@ -48,7 +48,9 @@ def _each(value: Column, change) -> Column:
 def whole_text(digits: Column) -> Column:
     """Integer text of any length in one form, without plus and leading zeros; NULL for anything else."""
     bare = F.regexp_replace(digits, r"^([+-]?)0*([0-9]+)$", "$1$2")
-    return F.when(digits.rlike(_WHOLE), F.when(bare == "-0", "0").otherwise(F.ltrim(bare, F.lit("+"))))
+    # Most texts have that form already and fit 64 bits, which takes no pattern to tell.
+    return F.when(digits.try_cast("bigint").cast("string") == digits, digits).when(
+        digits.rlike(_WHOLE), F.when(bare == "-0", "0").otherwise(F.ltrim(bare, F.lit("+"))))
 
 
 def whole(value: Column) -> Column:

@@ -285,10 +285,11 @@ def rename(doc: Column, names: Mapping[str, str]) -> Column:
     return let(entries, gathered)
 
 
-def put(doc: Column, values: Mapping[str, Column]) -> Column:
-    """Write top-level fields; where the new value is NULL the field stays as it was."""
+def put(doc: Column, values: Mapping[str, Column], keep: Sequence[str] | None = None) -> Column:
+    """Write top-level fields; where the new value is NULL the field stays as it was. With ``keep`` only the fields named there stay."""
     merged = F.map_zip_with(fields(doc), named(values), lambda _, old, new: F.coalesce(new, old))
-    return F.to_variant_object(F.map_filter(merged, lambda _, value: value.isNotNull()))
+    kept = [] if keep is None else [F.lit(name) for name in keep]
+    return F.to_variant_object(F.map_filter(merged, lambda name, value: value.isNotNull() if keep is None else name.isin(*kept) & value.isNotNull()))
 
 
 def put_paths(doc: Column, values: Mapping[Sequence[str], Column]) -> Column:

@@ -62,6 +62,24 @@ def equals(doc: Column, path: str, literal: Any) -> Column:
     return F.coalesce(same, F.lit(False))
 
 
+def _one_of(doc: Column, path: str, texts: list[str]) -> Column:
+    """The value at ``path`` is one of the texts. Its kind is looked up for a hit alone."""
+    found = F.coalesce(V.read(doc, path, "string").isin(*texts), F.lit(False))
+    return F.when(found, F.schema_of_variant(V.get(doc, path)) == "STRING").otherwise(F.lit(False))
+
+
+def _texts_by_path(matches) -> tuple[dict[str, list[str]], list]:
+    """Declarations that compare a definite path with a text, by path, and all others."""
+    texts: dict[str, list[str]] = {}
+    others = []
+    for match in matches:
+        if match and "jsonpath" in match and isinstance(match.get("value"), str) and V.ANY not in V.steps(match["jsonpath"]):
+            texts.setdefault(match["jsonpath"], []).append(match["value"])
+        else:
+            others.append(match)
+    return texts, others
+
+
 def predicate(match: Mapping[str, Any], doc: Column) -> Column:
     """Column for a match declaration; the first of jsonpath, and, or, constant, not decides."""
     if not match:
@@ -73,7 +91,9 @@ def predicate(match: Mapping[str, Any], doc: Column) -> Column:
     if "and" in match:
         return reduce(lambda a, b: a & b, [predicate(inner, doc) for inner in match["and"]], F.lit(True))
     if "or" in match:
-        return reduce(lambda a, b: a | b, [predicate(inner, doc) for inner in match["or"]], F.lit(False))
+        texts, others = _texts_by_path(match["or"])
+        return reduce(lambda a, b: a | b, [
+            *[_one_of(doc, path, found) for path, found in texts.items()], *[predicate(inner, doc) for inner in others]], F.lit(False))
     if "constant" in match:
         return F.lit(bool(match["constant"]))
     if "not" in match:

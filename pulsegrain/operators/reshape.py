@@ -65,11 +65,11 @@ class Layouts:
 
     ``pick`` maps the document to its raw elements (``element``), one for each row to come, and runs before the fan-out;
     nothing but sub-documents is copied there. ``builds`` hold one function per layout, (shared, parent, element) → row, and
-    run after it, once per row in an ordinary projection. ``shared`` names what rows take from the whole document; it is
-    read once per document and is in scope as a struct while rows are built.
+    run after it, once per row in an ordinary projection. ``shared`` names what rows take from the whole document, as columns or
+    as one struct; it is read once per document and is in scope as a struct while rows are built.
     """
 
-    shared: Callable[[Column], dict[str, Column]]
+    shared: Callable[[Column], dict[str, Column] | Column]
     pick: Callable[[Column], Column]
     builds: Sequence[Callable[[Column, Column, Column], Column]]
 

@@ -87,6 +87,10 @@ def pre_transform(parsed: DataFrame, app: App) -> DataFrame:
         F.when(~good, D.PARSE).when(failed.isNotNull(), D.PRE_TRANSFORM).alias("failed_at"), (failed.isNull() & kept.isNull()).alias("dropped"))
 
 
+def _as_struct(shared: dict[str, Column] | Column) -> Column:
+    return shared if isinstance(shared, Column) else F.struct(*[value.alias(name) for name, value in shared.items()])
+
+
 def route(parsed: DataFrame, app: App) -> DataFrame:
     """One output row per message, matching pipeline and transformed row.
 
@@ -109,7 +113,7 @@ def route(parsed: DataFrame, app: App) -> DataFrame:
     late = [(number, pipeline) for number, pipeline in enumerate(app.pipelines) if isinstance(pipeline.transform, Layouts)]
     staged = staged.select("*", *[
         attempt(F.struct(
-            F.struct(*[value.alias(name) for name, value in pipeline.transform.shared(doc).items()]).alias("shared"),
+            _as_struct(pipeline.transform.shared(doc)).alias("shared"),
             pipeline.transform.pick(doc).alias("elements"),
         ), F.col(flags[number])).alias(f"_half{number}")
         for number, pipeline in late

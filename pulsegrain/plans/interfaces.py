@@ -80,16 +80,7 @@ def door(doc: Column) -> Column:
         S.decode_json(V.get(doc, "$.telemetry_data")),
         lambda data: F.when(V.is_object(data), R.decode_fields(data, "extension", "decoded")).otherwise(data),
     )
-    return gate(V.put(V.pick(doc, ENVELOPE_FIELDS), {"telemetry_data": payload}), accepted)
-
-
-def _origin(doc: Place) -> dict[str, Column]:
-    """Fields of the envelope that rows carry."""
-    names = [name for name in ENVELOPE_FIELDS if name not in ("label", "telemetry_data")]
-    return {
-        **doc.copy({name: name for name in names}),
-        "platform_id": doc.at("label", "pkey").value, "node_id": doc.at("label", "nkey").value,
-    }
+    return gate(V.put(doc, {"telemetry_data": payload}, keep=ENVELOPE_FIELDS), accepted)
 
 
 def _snake(names) -> dict[str, str]:
@@ -106,14 +97,15 @@ def _index(value: Column) -> Column:
     return F.coalesce(V.variant(S.as_long(value)), value)
 
 
-def _shared(doc: Column) -> dict[str, Column]:
+def _shared(doc: Column) -> Column:
     """What rows of all layouts take from the message: its envelope and a few fields of the payload."""
-    place = Place(doc)
-    data = place.at("telemetry_data")
-    return {
-        **_origin(place), **data.copy({name: name for name in ("msg_timestamp", "node_id_str", "subscription_id_str")}),
-        "encoding_path": data.at("sensor_path").value,
+    sources = {
+        **{name: (name,) for name in ENVELOPE_FIELDS if name not in ("label", "telemetry_data")},
+        "platform_id": ("label", "pkey"), "node_id": ("label", "nkey"),
+        **{name: ("telemetry_data", name) for name in ("msg_timestamp", "node_id_str", "subscription_id_str")},
+        "encoding_path": ("telemetry_data", "sensor_path"),
     }
+    return V.together(doc, _variants(sources.values()), lambda at: F.struct(*[at(*parts).alias(name) for name, parts in sources.items()]))
 
 
 _ORIGIN = (*[name for name in ENVELOPE_FIELDS if name not in ("label", "telemetry_data")], "platform_id", "node_id")
@@ -121,6 +113,10 @@ _OF_OBJECTS = ("telemetry_node", "platform_id", "node_id", "timestamp", "writer_
 _OF_DECODED = (*_ORIGIN, "msg_timestamp", "node_id_str", "subscription_id_str", "encoding_path")
 
 
+def _variants(paths) -> dict[tuple[str, ...], str]:
+    return {parts: "variant" for parts in paths}
+
+
 def _taken(shared: Column, names) -> dict[str, Column]:
     return {name: shared[name] for name in names}
 
@@ -128,73 +124,90 @@ def _taken(shared: Column, names) -> dict[str, Column]:
 def _extension_row(shared: Column, _: Column, element: Column) -> Column:
     """Flat keys with slashes next to an ``extension`` object; the element is the payload."""
     data = Place(element)
-    extension = data.at("extension")
     main = F.transform(R.filter_values(data, "sensor_path", "name"), lambda name: V.text(name))
     index = F.try_element_at(R.filter_values(data, "sensor_path", "index"), F.lit(-1))
-    nanos = data.at("notification_timestamp").value
-    millis = S.divide(nanos, F.parse_json(F.lit("1000000"))).try_cast("bigint").cast("string")
     states = {name: target for name, target in _snake(SLASH_STATES).items() if target not in ("admin_status", "oper_status")}
-    return V.row_of({
-        "node_id_str": extension.at("systemId").value,
-        **extension.copy({name: name for name in EXTENSION_FIELDS}),
-        "init_time": data.at("/init-time").value,
-        **data.copy({f"/state/counters/{name}": target for name, target in _snake(SLASH_COUNTERS).items()}),
-        **data.copy({f"/state/{name}": target for name, target in states.items()}),
-        "admin_status": S.rename_values(data.at("/state/admin-status").value, ADMIN_STATUS),
-        "oper_status": S.rename_values(data.at("/state/oper-status").value, OPER_STATUS),
-        **_taken(shared, _ORIGIN),
-        "index": _index(index),
-        "name": _joined_name(main, V.text(index)),
-        "msg_timestamp": F.coalesce(V.variant(millis), shared["msg_timestamp"]),
-    })
+    sources = {
+        "node_id_str": ("extension", "systemId"), **{name: ("extension", name) for name in EXTENSION_FIELDS},
+        "init_time": ("/init-time",),
+        **{target: (f"/state/counters/{name}",) for name, target in _snake(SLASH_COUNTERS).items()},
+        **{target: (f"/state/{name}",) for name, target in states.items()},
+    }
+    admin, oper, nanos = ("/state/admin-status",), ("/state/oper-status",), ("notification_timestamp",)
+
+    def row(at, index: Column) -> Column:
+        millis = S.divide(at(*nanos), F.parse_json(F.lit("1000000"))).try_cast("bigint").cast("string")
+        return V.row_of({
+            **{target: at(*parts) for target, parts in sources.items()},
+            "admin_status": S.rename_values(at(*admin), ADMIN_STATUS),
+            "oper_status": S.rename_values(at(*oper), OPER_STATUS),
+            **_taken(shared, _ORIGIN),
+            "index": _index(index),
+            "name": _joined_name(main, V.text(index)),
+            "msg_timestamp": F.coalesce(V.variant(millis), shared["msg_timestamp"]),
+        })
+
+    # The index is found once, however often the row uses it.
+    return V.together(element, _variants([*sources.values(), admin, oper, nanos]), lambda at: V.let(index, lambda found: row(at, found)))
 
 
 def _object_row(shared: Column, parent: Column, element: Column) -> Column:
     """An interface or subinterface of ``data_json``. The parent tells whether it is both; then values are gathered."""
-    interface = Place(element)
-    state, sub = interface.at("state"), interface.at("subinterfaces", "subinterface")
-    sub_state, twofold = sub.at("state"), parent.cast("boolean")
-
-    def both(*name: str) -> Column:
-        pair = F.struct(state.at(*name).value.alias("a"), sub_state.at(*name).value.alias("b"))
-        return V.let(pair, lambda p: F.when(twofold, S.gather(p["a"], p["b"])).otherwise(F.coalesce(p["a"], p["b"])))
-
-    index = F.when(sub_state.is_object, F.coalesce(sub_state.at("index").value, sub.at("index").value))
-    return V.row_of({
-        **_taken(shared, _OF_OBJECTS),
-        "type": state.at("type").value,
-        "enabled": sub_state.at("enabled").value,
-        "ifindex": F.coalesce(sub_state.at("ifindex").value, state.at("ifindex").value),
-        "description": both("description"),
-        "admin_status": S.rename_values(both("admin-status"), ADMIN_STATUS),
-        "oper_status": S.rename_values(both("oper-status"), OPER_STATUS),
-        **{target: both("counters", name) for name, target in _snake(OBJECT_COUNTERS).items()},
-        "index": _index(index),
-        "name": F.coalesce(sub_state.at("name").text, _joined_name(F.array(interface.at("name").text), V.text(index))),
-    })
+    sub = ("subinterfaces", "subinterface")
+    sub_state, twofold = (*sub, "state"), parent.cast("boolean")
+    twin = [("description",), ("admin-status",), ("oper-status",), *[("counters", name) for name in OBJECT_COUNTERS]]
+    paths = _variants([
+        ("name",), (*sub, "index"), ("state", "type"), ("state", "ifindex"), *[("state", *name) for name in twin],
+        *[(*sub_state, name) for name in ("enabled", "ifindex", "index", "name")], *[(*sub_state, *name) for name in twin],
+    ])
+
+    def row(at) -> Column:
+        def both(*name: str) -> Column:
+            a, b = at("state", *name), at(*sub_state, *name)
+            return F.when(twofold, S.gather(a, b)).otherwise(F.coalesce(a, b))
+
+        index = F.when(at(*sub_state).isNotNull(), F.coalesce(at(*sub_state, "index"), at(*sub, "index")))
+        return V.row_of({
+            **_taken(shared, _OF_OBJECTS),
+            "type": at("state", "type"),
+            "enabled": at(*sub_state, "enabled"),
+            "ifindex": F.coalesce(at(*sub_state, "ifindex"), at("state", "ifindex")),
+            "description": both("description"),
+            "admin_status": S.rename_values(both("admin-status"), ADMIN_STATUS),
+            "oper_status": S.rename_values(both("oper-status"), OPER_STATUS),
+            **{target: both("counters", name) for name, target in _snake(OBJECT_COUNTERS).items()},
+            "index": _index(index),
+            "name": F.coalesce(V.text(at(*sub_state, "name")), _joined_name(F.array(V.text(at("name"))), V.text(index))),
+        })
+
+    return V.together(element, paths, row)
 
 
 def _interface_row(shared: Column, name: Column, counters: Column) -> Column:
     """An interface of ``decoded`` with counters of its own."""
-    return V.row_of({**_taken(shared, _OF_DECODED), "name": name, **Place(counters).copy(CAMEL_COUNTERS)})
+    return V.together(counters, _variants((source,) for source in CAMEL_COUNTERS), lambda at: V.row_of({
+        **_taken(shared, _OF_DECODED), "name": name, **{target: at(source) for source, target in CAMEL_COUNTERS.items()}}))
 
 
 def _sub_row(shared: Column, name: Column, element: Column) -> Column:
     """A subinterface of ``decoded``; the parent is its interface's name."""
-    sub = Place(element)
-    state = sub.at("state")
-    counters = state.at("counters")
-    index = F.when(counters.is_object, sub.at("index").value)
     states = {source: target for source, target in CAMEL_STATES.items() if target not in ("admin_status", "oper_status")}
-    return V.row_of({
-        **_taken(shared, _OF_DECODED),
-        **state.copy(states),
-        "admin_status": S.rename_values(state.at("adminStatus").value, ADMIN_STATUS),
-        "oper_status": S.rename_values(state.at("operStatus").value, OPER_STATUS),
-        **counters.copy({name: CAMEL_COUNTERS[name] for name in CAMEL_SUB_COUNTERS}),
-        "index": _index(index),
-        "name": F.coalesce(state.at("name").text, _joined_name(F.array(V.text(name)), V.text(index))),
-    })
+    paths = _variants([
+        ("index",), ("state", "name"), *[("state", source) for source in CAMEL_STATES], *[("state", "counters", source) for source in CAMEL_SUB_COUNTERS]])
+
+    def row(at) -> Column:
+        index = F.when(at("state", "counters").isNotNull(), at("index"))
+        return V.row_of({
+            **_taken(shared, _OF_DECODED),
+            **{target: at("state", source) for source, target in states.items()},
+            "admin_status": S.rename_values(at("state", "adminStatus"), ADMIN_STATUS),
+            "oper_status": S.rename_values(at("state", "operStatus"), OPER_STATUS),
+            **{CAMEL_COUNTERS[source]: at("state", "counters", source) for source in CAMEL_SUB_COUNTERS},
+            "index": _index(index),
+            "name": F.coalesce(V.text(at("state", "name")), _joined_name(F.array(V.text(name)), V.text(index))),
+        })
+
+    return V.together(element, paths, row)
 
 
 def _pick(doc: Column) -> Column:
@@ -214,10 +227,11 @@ def _pick(doc: Column) -> Column:
             F.when(counters.is_object, F.array(R.element(2, counters.value, name))),
             F.transform(subs, lambda sub: R.element(3, sub, name)))
 
-    return R.elements_of(
-        F.when(data.at("extension").is_object, F.array(R.element(0, data.value))),
-        F.array_compact(F.transform(data.at("data_json").items, objects)),
-        F.flatten(F.transform(data.at("decoded").items, lambda part: F.flatten(F.transform(Place(part).at("interface").items, decoded)))))
+    extension, listed, parts = (("telemetry_data", name) for name in ("extension", "data_json", "decoded"))
+    return V.together(doc, {extension: "struct<>", listed: "array<variant>", parts: "array<variant>"}, lambda at: R.elements_of(
+        F.when(at(*extension).isNotNull(), F.array(R.element(0, data.value))),
+        F.array_compact(F.transform(at(*listed), objects)),
+        F.flatten(F.transform(at(*parts), lambda part: F.flatten(F.transform(Place(part).at("interface").items, decoded))))))
 
 
 #: Rows of every layout a message holds.

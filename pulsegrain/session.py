@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated key in one JSON object keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Rows between two steps are read back whole; cutting them into columns would be undone at once.
+    "spark.sql.variant.inferShreddingSchema": "false",
     # Keyed counter state needs column families, which only this provider has.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     # Nothing is ever emitted by time alone. Without this, state with an age limit makes an ``availableNow`` query

@@ -4,6 +4,7 @@ import json
 
 from pulsegrain import App, run
 from pulsegrain.plans import interfaces
+from pulsegrain.plans.pipeline import flatten
 
 
 def envelope(data, **extra):
@@ -122,3 +123,14 @@ def test_no_rows_discard_and_silent_drop(messages, emitted):
     out = emitted(run(messages([no_rows, states_only, other, gated]), app()))
     assert [(topic, tag) for topic, tag, _ in out] == [("discard", None)]
     assert "unwanted" not in out[0][2] and out[0][2]["telemetry_data"] == {"encoding_path": "something-else"}
+
+
+def test_elements_are_read_in_one_pass(spark, messages):
+    """Rows and what they share take no path of a layout one by one; names that are missing would cost the most."""
+    most = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        text = flatten(messages([]), app())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", most)
+    assert text.count("try_variant_get") < 160
