@@ -289,11 +289,10 @@ def dataflow_end_to_end(spark, sf_dir):
         F.when(kind != "click", F.to_json(parts)).alias("parts"),
     )))
     out = _timed(as_messages(events, F.col("user_id"), document, F.col("ts"), F.col("event_id")), _end_to_end_app())
-    return out.select(
-        "topic", F.col("offset").alias("event_id"),
-        *[F.get_json_object("value", f"$.{name}").cast("bigint").alias(name) for name in ("port", "octets", "drops")],
-        F.get_json_object("value", "$.alarm").alias("alarm"), F.get_json_object("value", "$.errorMessage").alias("message"),
-    )
+    # Each value is parsed once for all fields.
+    names, numbers = ("port", "octets", "drops", "alarm", "errorMessage"), ("port", "octets", "drops")
+    return out.select("topic", F.col("offset").alias("event_id"), F.json_tuple("value", *names).alias(*names)).select(
+        "topic", "event_id", *[F.col(name).cast("bigint").alias(name) for name in numbers], "alarm", F.col("errorMessage").alias("message"))
 
 
 QUERIES = {

@@ -78,3 +78,10 @@ def test_layout_rows_are_built_after_the_fan_out(stored):
     assert text.index("to_variant_object(map_filter(map_from_arrays(") < text.index("Generate")
     assert text.count("try_variant_get") < 200
     assert plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door))).count("try_variant_get") < 120
+
+
+@pytest.mark.parametrize("name", ["dataflow_end_to_end"])
+def test_output_values_are_parsed_once(spark, name):
+    """All fields of an emitted value come from one pass over its text."""
+    text = plan(catalog.QUERIES[name](spark, SF))
+    assert text.count("json_tuple(") == 1 and "GetJsonObject" not in text and "get_json_object" not in text
