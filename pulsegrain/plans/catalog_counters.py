@@ -234,14 +234,9 @@ def interface_layouts(spark, sf_dir):
     ))
     messages = as_messages(orders, name, document, F.col("o_orderdate"), number)
     app = App([interfaces.pipeline(topic="ifs")], pre_transform=interfaces.door, normalize=_LAYOUTS)
-    return _timed(messages, app).select(
-        "topic", F.col("offset").alias("o_orderkey"),
-        *[F.get_json_object("value", f"$.{field}").alias(field) for field in ("name", "oper_status", "node_id_str")],
-        *[
-            F.get_json_object("value", f"$.{field}").cast("bigint").alias(field)
-            for field in ("msg_timestamp", "in_octets", "out_errors")
-        ],
-    )
+    texts, numbers = ("name", "oper_status", "node_id_str"), ("msg_timestamp", "in_octets", "out_errors")
+    out = _timed(messages, app).select("topic", F.col("offset").alias("o_orderkey"), F.json_tuple("value", *texts, *numbers).alias(*texts, *numbers))
+    return out.select("topic", "o_orderkey", *texts, *[F.col(field).cast("bigint").alias(field) for field in numbers])
 
 
 _LAYOUTS = _config(cache_age_ms=400 * DAY, wrap_time_ms=400 * DAY, u64_limit=2**62)

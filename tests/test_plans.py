@@ -80,7 +80,7 @@ def test_layout_rows_are_built_after_the_fan_out(stored):
     assert plan(run(stored, App([interfaces.pipeline()], pre_transform=interfaces.door))).count("try_variant_get") < 120
 
 
-@pytest.mark.parametrize("name", ["dataflow_end_to_end"])
+@pytest.mark.parametrize("name", ["dataflow_end_to_end", "interface_layouts"])
 def test_output_values_are_parsed_once(spark, name):
     """All fields of an emitted value come from one pass over its text."""
     text = plan(catalog.QUERIES[name](spark, SF))
